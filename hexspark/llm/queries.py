@@ -4,13 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexspark.llm import chat, mixing, warc
+from hexspark.llm import chat, mixing, secrets, warc
 from hexspark.llm.common import table
 
 
+def op1_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with counts and digests of the spans found in it."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = joined(F.filter("spans", lambda s: s["kind"] != "random"))
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), of("random"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words the mix takes of it."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -43,7 +57,7 @@ def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_mix_sources, op5_archive_pages, op6_format_chats)}
+    return {f.__name__: f for f in (op1_find_secrets, op4_mix_sources, op5_archive_pages, op6_format_chats)}
 
 
 def oracle_sql() -> dict[str, str]:
