@@ -54,15 +54,12 @@ def branch_table(messages: DataFrame) -> DataFrame:
         if reach.where("up is not null").isEmpty():
             break
         far = reach.select(F.col("node").alias("n2"), F.col("up").alias("up2"), F.col("score").alias("s2"), F.col("depth").alias("d2"), F.col("top").alias("t2"))
-        reach = common.stored(
-            reach.join(far, F.col("up") == F.col("n2"), "left").select(
-                "tree", "node", F.col("up2").alias("up"),
-                (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"),
-                (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                F.coalesce("t2", "top").alias("top"),
-            ),
-            "reach",
+        # Only messages that have not reached their root are joined; every pointer has its row in far.
+        further = reach.where("up is not null").join(far, F.col("up") == F.col("n2")).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("s2")).alias("score"),
+            (F.col("depth") + F.col("d2")).alias("depth"), F.col("t2").alias("top"),
         )
+        reach = common.stored(reach.where("up is null").unionByName(further), "reach")
     leaves = reach.where("up is null").join(parents, "node", "left_anti")
     return leaves.select("tree", F.col("node").alias("leaf"), F.col("top").alias("root"), "depth", "score")
 
