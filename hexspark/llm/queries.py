@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexspark.llm import chat, mixing, secrets, warc
+from hexspark.llm import chat, compression, mixing, quality_rules, secrets, toxicity, warc
 from hexspark.llm.common import table
 
 
@@ -25,6 +25,12 @@ def op1_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), of("random"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its rule statistics and the verdict."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "anomaly")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words the mix takes of it."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -56,8 +62,22 @@ def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score, learned without the held-out labels."""
+    train = ~compression.held_out("doc_id")
+    scored = compression.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train)
+    return scored.select("doc_id", compression.held_out().alias("held_out"), "score", (F.col("score") >= compression.DECISION).cast("int").alias("predicted"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score, learned without the held-out labels."""
+    train = ~toxicity.held_out("doc_id")
+    scored = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_find_secrets, op4_mix_sources, op5_archive_pages, op6_format_chats)}
+    return {f.__name__: f for f in (op1_find_secrets, op2_quality_rules, op4_mix_sources, op5_archive_pages, op6_format_chats, op9_quality_classifier, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
