@@ -156,6 +156,22 @@ def word_bounds(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, at)
 
 
+_PUNCT = np.zeros(256, bool)
+_PUNCT[list(range(0x21, 0x30)) + list(range(0x3A, 0x41)) + list(range(0x5B, 0x61)) + list(range(0x7B, 0x7F))] = True
+
+
+def bare_bounds(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """word_bounds without the ASCII punctuation around words; one of punctuation alone is an empty range."""
+    starts, ends, first = word_bounds(raw, at)
+    for edge, step, inner in ((ends, -1, -1), (starts, 1, 0)):
+        open_ = np.arange(len(starts))
+        while len(open_):
+            open_ = open_[ends[open_] > starts[open_]]
+            open_ = open_[_PUNCT[raw[edge[open_] + inner]]]
+            edge[open_] += step
+    return starts, ends, first
+
+
 def hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
     """A 64-bit hash of each byte range; with lower, A-Z count as a-z."""
     if not len(starts):

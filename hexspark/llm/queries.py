@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexspark.llm import chat, compression, mixing, ngram_join, quality_rules, secrets, toxicity, warc
+from hexspark.llm import chat, compression, decontamination, mixing, ngram_join, quality_rules, secrets, toxicity, warc
 from hexspark.llm.common import table
 
 
@@ -67,6 +67,11 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(table(spark, sf_dir, "documents"), ngram_join.Likeness(3, 90, 100))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document, by its best window."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its quality score, learned without the held-out labels."""
     train = ~compression.held_out("doc_id")
@@ -82,7 +87,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_find_secrets, op2_quality_rules, op4_mix_sources, op5_archive_pages, op6_format_chats, op7_ngram_join, op9_quality_classifier, op10_toxicity)}
+    return {f.__name__: f for f in (op1_find_secrets, op2_quality_rules, op4_mix_sources, op5_archive_pages, op6_format_chats, op7_ngram_join, op8_decontaminate, op9_quality_classifier, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
