@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexspark.llm import chat, compression, decontamination, mixing, ngram_join, quality_rules, secrets, toxicity, warc
-from hexspark.llm.common import table
+from hexspark.llm import chat, compression, decontamination, language_model, mixing, ngram_join, quality_rules, secrets, toxicity, warc
+from hexspark.llm.common import fold, table
 
 
 def op1_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its log10 probability under the recurrent network and under add-one unigrams."""
+    return language_model.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words the mix takes of it."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -87,7 +92,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_find_secrets, op2_quality_rules, op4_mix_sources, op5_archive_pages, op6_format_chats, op7_ngram_join, op8_decontaminate, op9_quality_classifier, op10_toxicity)}
+    return {f.__name__: f for f in (op1_find_secrets, op2_quality_rules, op3_language_model, op4_mix_sources, op5_archive_pages, op6_format_chats, op7_ngram_join, op8_decontaminate, op9_quality_classifier, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
