@@ -32,10 +32,14 @@ HEAD = 1 << 18
 CLASSES, CLASS_WORDS = 32, 64
 BINS = 16
 HIDDEN = 24
-TRAIN_EVERY = 16
+TRAIN_EVERY = 8
 TRAIN_LANES, TRAIN_STEPS, TRAIN_RATE = 64, 16, 0.004
+#: Weights with adaptive steps (Adam).  The others, of the outputs, take plain ones: adaptive steps would
+#: push down every word that a sample happens not to hold.
+ADAPTIVE = ("wx", "u", "wc")
+PLAIN_RATE = 0.5
 #: A partition with little to train on passes over it again, up to so often, towards so many updates.
-LEAST_UPDATES, MOST_PASSES = 200, 6
+LEAST_UPDATES, MOST_PASSES = 200, 3
 LANES, STEPS = 256, 32
 #: Tokens scored together, and tokens a partition trains on together.
 CHUNK_TOKENS = 2_000_000
@@ -295,10 +299,12 @@ def score_documents(net: Network, head: Head, docs: list[np.ndarray]) -> np.ndar
 
 
 def train_documents(net: Network, head: Head, docs: list[np.ndarray]) -> Network:
-    """Adam over windows of TRAIN_STEPS tokens in TRAIN_LANES lanes; state is carried, gradients are not."""
+    """Gradient steps over windows of TRAIN_STEPS tokens in TRAIN_LANES lanes; state is carried, gradients are not."""
     if not docs:
         return net
-    packed = Packed(head, docs, TRAIN_LANES)
+    # Long documents go in segments, so that lanes end together and no update hangs on a few texts.
+    most = max(16 * TRAIN_STEPS, -(-sum(map(len, docs)) // TRAIN_LANES))
+    packed = Packed(head, [d[i : i + most] for d in docs for i in range(0, len(d), most)], TRAIN_LANES)
     word_of = head.row % CLASS_WORDS
     lanes = packed.input.shape[1]
     windows = -(-len(packed.input) // TRAIN_STEPS)
@@ -330,12 +336,16 @@ def train_documents(net: Network, head: Head, docs: list[np.ndarray]) -> Network
             net.backward(kept, d_states.reshape(len(states), n, HIDDEN), packed.reset[t0 : t0 + len(states), :n], grads)
             update += 1
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-            rate = TRAIN_RATE * np.sqrt(1 - 0.999**update) / (1 - 0.9**update)
+            share = ok.sum() / (TRAIN_LANES * TRAIN_STEPS)
+            rate = share * TRAIN_RATE * np.sqrt(1 - 0.999**update) / (1 - 0.9**update)
             for k, g in grads.items():
                 g = g * min(1.0, 1.0 / (norm + 1e-9))
-                m[k] += 0.1 * (g - m[k])
-                v[k] += 0.001 * (g * g - v[k])
-                setattr(net, k, getattr(net, k) - (rate * m[k] / (np.sqrt(v[k]) + 1e-8)).astype(np.float32))
+                if k in ADAPTIVE:
+                    m[k] += 0.1 * (g - m[k])
+                    v[k] += 0.001 * (g * g - v[k])
+                    setattr(net, k, getattr(net, k) - (rate * m[k] / (np.sqrt(v[k]) + 1e-6)).astype(np.float32))
+                else:
+                    setattr(net, k, getattr(net, k) - np.float32(share * PLAIN_RATE) * g)
     return net
 
 
