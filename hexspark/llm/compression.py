@@ -141,6 +141,22 @@ def classify(
     return chosen.mapInArrow(run, schema)
 
 
+def kept(docs: DataFrame, labels: DataFrame, train: Column | None = None, key: str = "doc_id", text: str = "text", decision: float = DECISION) -> DataFrame:
+    """docs without the rows that score under `decision`; columns are unchanged and no row moves."""
+    sample = samples.labelled(docs, labels, "quality", SAMPLE_ROWS, SAMPLE_BYTES, train, key, text)
+    model = fit([t.encode() for t in sample.column("text").to_pylist()], np.asarray(sample.column("label").to_numpy()))
+    place = docs.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Sizes(model.good, model.bad)
+        for batch in batches:
+            raw, at = common.utf8_of(batch.column(place))
+            found = np.array([sizes.of(raw[a:b].tobytes()) for a, b in zip(at, at[1:], strict=False)]).reshape(-1, 5)
+            yield batch.filter(pa.array(model.scores(found) >= decision))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Rows that are never learned from."""
     return common.fold(key, 5) == 0
