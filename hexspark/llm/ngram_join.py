@@ -32,9 +32,9 @@ from hexspark.llm.components import components
 BLOCK_SHINGLES = 1_500_000
 #: A class table up to so many rows is broadcast to fetch texts.
 BROADCAST_ROWS = 1_000_000
-#: A shingle found in so many documents of a piece counts as a candidate for the very common, which are
+#: A shingle found so often among the shingles of a piece is a candidate for the very common, which are
 #: those of the greatest total; the number of them is bounded as they are broadcast.
-COMMON_IN_PIECE, COMMON_LEAST, COMMON_MOST = 4, 64, 100_000
+COMMON_PIECE, COMMON_IN_PIECE, COMMON_LEAST, COMMON_MOST = 4_000_000, 3, 32, 400_000
 BAND = 1.5
 BITS = 2048
 LEAF, FAN = 8, 8
@@ -142,19 +142,39 @@ def _emit(h, mixed, bounds, use, own, k, spare, salt, found, empty=False) -> tup
 def common_shingles(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
     """Hashes of the shingles found in very many documents, sorted; at most COMMON_MOST."""
 
+    def many(parts: list[np.ndarray]) -> pa.RecordBatch:
+        h = np.concatenate(parts)
+        h.sort()
+        edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        n = np.diff(np.append(edge, len(h)))
+        ok = n >= COMMON_IN_PIECE
+        return pa.RecordBatch.from_arrays([pa.array(h[edge[ok]].view(np.int64)), pa.array(n[ok])], ["h", "n"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
             raw, at = common.utf8_of(batch.column(0))
             for lo, hi in common.pieces(at):
-                h, _ = distinct_sets(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], like.n)
-                h.sort()
-                edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-                n = np.diff(np.append(edge, len(h)))
-                many = n >= COMMON_IN_PIECE
-                yield pa.RecordBatch.from_arrays([pa.array(h[edge[many]].view(np.int64)), pa.array(n[many])], ["h", "n"])
-
-    counts = docs.select(text).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= COMMON_LEAST).orderBy(F.desc("n"), "h").limit(COMMON_MOST).select("h").toArrow()
+                parts.append(distinct_sets(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], like.n)[0])
+                held += len(parts[-1])
+                if held > COMMON_PIECE:
+                    yield many(parts)
+                    parts, held = [], 0
+        if held:
+            yield many(parts)
+
+    counts = docs.select(text).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_LEAST)
+    counts = common.stored(counts, "common")
+    # The most frequent, by a histogram over eighths of an octave: no task ranks them all.
+    level = F.floor(F.log2("n") * 8).cast("int")
+    held, least = 0, None
+    for at, n in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        if held + n > COMMON_MOST:
+            break
+        held, least = held + n, at
+    if least is None:
+        return np.zeros(0, np.uint64)
+    top = counts.where(level >= least).select("h").toArrow()
     return np.sort(top.column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -192,26 +212,28 @@ class Tree:
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Batches of pairs of sets (i < j) that may be similar, by dual traversal from the root."""
+        # An entry holds pairs of nodes whose children are paired when its turn comes; children of one
+        # entry are few, so the stack stays small.
         top = len(self.levels) - 1
-        stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        root = np.zeros(1, np.int64)
+        ok = self.possible(top, root, root)
+        stack = [(top, root[ok], root[ok])]
         while stack:
             level, a, b = stack.pop()
             if level == 0:
-                ok = a < b
-                a, b = a[ok], b[ok]
-                ok = self.possible(0, a, b)
-                if ok.any():
-                    yield a[ok], b[ok]
+                if len(a):
+                    yield a, b
+                continue
+            if len(a) > 1024:
+                stack += [(level, a[s : s + 1024], b[s : s + 1024]) for s in range(0, len(a), 1024)]
                 continue
-            ok = self.possible(level, a, b)
-            a, b = a[ok], b[ok]
             fan, n = (LEAF if level == 1 else FAN), len(self.levels[level - 1][0])
-            for s in range(0, len(a), 4096):
-                x = a[s : s + 4096, None] * fan + np.arange(fan)
-                y = b[s : s + 4096, None] * fan + np.arange(fan)
-                x, y = np.repeat(x, fan, axis=1).ravel(), np.tile(y, (1, fan)).ravel()
-                ok = (x <= y) & (x < n) & (y < n)
-                stack.append((level - 1, x[ok], y[ok]))
+            x = np.repeat(a[:, None] * fan + np.arange(fan), fan, axis=1).ravel()
+            y = np.tile(b[:, None] * fan + np.arange(fan), (1, fan)).ravel()
+            ok = (x < y if level == 1 else x <= y) & (x < n) & (y < n)
+            x, y = x[ok], y[ok]
+            ok = self.possible(level - 1, x, y)
+            stack.append((level - 1, x[ok], y[ok]))
 
     def similar(self, i: int, j: int) -> bool:
         a, b = self.sets[i], self.sets[j]
@@ -242,9 +264,7 @@ def tree_links(sets: list[np.ndarray], group: list[int], side: list[int] | None,
     tree = Tree([sets[i] for i in order], like)
     links = []
     for a, b in tree.pairs():
-        roots = np.array([find(i) for i in order])
-        open_ = roots[a] != roots[b]
-        for i, j in zip(a[open_].tolist(), b[open_].tolist(), strict=True):
+        for i, j in zip(a.tolist(), b.tolist(), strict=True):
             x, y = order[i], order[j]
             if side is not None and side[x] == side[y]:
                 continue
