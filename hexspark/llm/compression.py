@@ -126,7 +126,7 @@ def classify(
     rows count as good.  A column named score is replaced.
     """
     sample = samples.labelled(docs, labels, "quality", rows, max_bytes, train, key, text)
-    model = fit([t.encode() for t in sample.column("text").to_pylist()], np.asarray(sample.column("label").to_numpy()))
+    model = samples.fitted(sample, fit)
     names = [c for c in (keep or (key,)) if c != "score"]
     chosen = docs.select(*names, F.col(text).alias("_text"))
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("score", T.DoubleType())])
@@ -144,7 +144,7 @@ def classify(
 def kept(docs: DataFrame, labels: DataFrame, train: Column | None = None, key: str = "doc_id", text: str = "text", decision: float = DECISION) -> DataFrame:
     """docs without the rows that score under `decision`; columns are unchanged and no row moves."""
     sample = samples.labelled(docs, labels, "quality", SAMPLE_ROWS, SAMPLE_BYTES, train, key, text)
-    model = fit([t.encode() for t in sample.column("text").to_pylist()], np.asarray(sample.column("label").to_numpy()))
+    model = samples.fitted(sample, fit)
     place = docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

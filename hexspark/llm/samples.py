@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,8 +15,8 @@ from pyspark.sql import functions as F
 
 def labelled(
     docs: DataFrame, labels: DataFrame, target: str, rows: int, max_bytes: int, where: Column | None = None, key: str = "doc_id", text: str = "text"
-) -> pa.Table:
-    """At most `rows` texts and `max_bytes` bytes of each class, as an Arrow table (text, label).
+) -> DataFrame:
+    """At most `rows` texts and `max_bytes` bytes of each class (text, label).
 
     Rows are taken in the order of a hash of their key, so a rerun takes the same ones.  Null labels and
     texts are left out; a key labelled twice counts once, with its smaller label.
@@ -22,18 +26,35 @@ def labelled(
         once = once.where(where)
     once = once.groupBy(F.col(key).alias("_key")).agg(F.min(target).cast("int").alias("_label"))
     order = F.xxhash64(F.lit(5), F.col("_key"))
+    # Only a hash range some times as wide as needed is ranked, so the ranking does not grow with the labels.
+    seen = dict(once.groupBy("_label").count().collect())
+    width = max([rows / max(1, seen.get(c, 0)) for c in (0, 1)], default=1.0)
+    if width < 0.25:
+        once = once.where(F.pmod(order, F.lit(1 << 30)) < int(2 * width * (1 << 30)))
     parts = [once.where(F.col("_label") == c).orderBy(order, "_key").limit(rows) for c in (0, 1)]
     ids = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * rows rows at most
     found = docs.select(key, text).where(F.col(text).isNotNull()).join(ids, F.col(key) == F.col("_key"))
     found = found.select(F.col("_label").alias("label"), F.col(text).alias("text"), order.alias("h"), F.col("_key"))
     upto = F.sum(F.octet_length("text").cast("long")).over(Window.partitionBy("label").orderBy("h", "_key", "text"))
-    return found.withColumn("upto", upto).where(F.col("upto") <= max_bytes).orderBy("label", "h", "_key", "text").select("text", "label").toArrow()
+    return found.withColumn("upto", upto).where(F.col("upto") <= max_bytes).select("text", "label", "h", "_key")
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[bytes], np.ndarray], object]) -> object:
+    """fit(texts, labels) over a sample, in one task: the driver holds the model alone."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels = [], []
+        for batch in batches:
+            texts += [t.encode() for t in batch.column(0).to_pylist()]
+            labels += batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, np.array(labels, np.int64)))], pa.binary())], ["model"])
+
+    ordered = sample.repartition(1).sortWithinPartitions("label", "h", "_key", "text").select("text", "label")
+    return pickle.loads(ordered.mapInArrow(run, "model binary").first()[0])
 
 
 def auc(scores, labels) -> float:
     """Area under the curve; ties count half."""
-    import numpy as np
-
     scores, labels = np.asarray(scores), np.asarray(labels)
     order = np.argsort(scores, kind="stable")
     _, inverse, counts = np.unique(scores[order], return_inverse=True, return_counts=True)
@@ -47,8 +68,6 @@ def auc(scores, labels) -> float:
 
 def logistic(x, y, l2: float = 1e-3, rounds: int = 50):
     """Weights (last: intercept) of a logistic fit by Newton steps."""
-    import numpy as np
-
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     ridge = l2 * len(x) * np.eye(x.shape[1])
