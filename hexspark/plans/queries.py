@@ -299,12 +299,13 @@ def _scratch(spark: SparkSession, tag: str) -> str:
     return f"{base}/hexspark-{tag}-{uuid.uuid4().hex}"
 
 
-_PRUNED = [f"{((1 << 59) + (2 << 52) + (b << 45) + (0 << 42) + ((1 << 39) - 1)):x}" for b in (0, 7, 14)]
+# Tiles by base cell here: 122 at most, where the keys made up above would give a parent each.
+_PRUNED = [f"{((1 << 59) + (b << 45) + ((1 << 45) - 1)):x}" for b in (0, 7, 14)]
 
 
-@_query(f"WITH p AS ({_PEOPLE}) SELECT h3, population, {_hex(_parent("CAST('0x' || h3 AS BIGINT)"))} AS h3_parent FROM p WHERE {_hex(_parent("CAST('0x' || h3 AS BIGINT)"))} IN ({', '.join(repr(p) for p in _PRUNED)})")
+@_query(f"WITH p AS ({_PEOPLE}) SELECT h3, population, {_hex(_parent("CAST('0x' || h3 AS BIGINT)", 0))} AS h3_parent FROM p WHERE {_hex(_parent("CAST('0x' || h3 AS BIGINT)", 0))} IN ({', '.join(repr(p) for p in _PRUNED)})")
 def tile_partition_pruning(spark: SparkSession, d: str) -> DataFrame:
-    rows = _people(spark, d).withColumn("h3_parent", scalar.cell_hex(scalar.cell_parent(scalar.hex_cell("h3"), 2)))
+    rows = _people(spark, d).withColumn("h3_parent", scalar.cell_hex(scalar.cell_parent(scalar.hex_cell("h3"), 0)))
     out = _scratch(spark, "tiles")
     tiles.write_tiles(rows, out)
     return tiles.read_pruned(spark, out, _PRUNED).select("h3", "population", F.col("h3_parent").cast("string").alias("h3_parent"))
