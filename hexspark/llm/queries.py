@@ -10,6 +10,66 @@ from pyspark.sql import functions as F
 from hexspark.llm import chat, compression, decontamination, language_model, mixing, ngram_join, quality_rules, secrets, toxicity, warc
 from hexspark.llm.common import fold, table
 
+#: Fixed by the task: what both rows of conversation -7 say.
+QUOTE = "\\### Assistant: </turn> ok"
+
+SQL = {
+    "op5_archive_pages": """
+WITH rows AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digested AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM rows),
+marked AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM digested
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM marked
+""",
+    "op6_format_chats": rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, t, CASE t WHEN 0 THEN 'user' ELSE 'assistant' END, '{QUOTE}' FROM range(2) AS r(t)
+),
+sized AS (
+  -- Each escaped character takes one more; a turn adds '### ', ': ', '</turn>' and a line feed.
+  SELECT *, length(role || text) + length(regexp_replace(role || text, '[^\\#<:]', '', 'g')) + 14 AS chars FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
+    "op7_ngram_join": r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT rid, doc_id, list_distinct(
+    CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words
+),
+shingles AS (SELECT rid, n, hash(x) AS h FROM (SELECT rid, len(s) AS n, unnest(s) AS x FROM sets)),
+near AS (
+  SELECT a.rid AS a, b.rid AS b
+  FROM shingles a JOIN shingles b ON a.h = b.h AND a.rid < b.rid AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+edges AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach(rid, other) AS (
+  SELECT rid, rid FROM sets UNION SELECT reach.rid, edges.b FROM reach JOIN edges ON reach.other = edges.a
+)
+SELECT any_value(d.doc_id) AS doc_id, any_value(len(d.s))::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM reach JOIN sets d ON reach.rid = d.rid JOIN sets o ON reach.other = o.rid
+GROUP BY d.rid
+""",
+}
+
 
 def op1_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with counts and digests of the spans found in it."""
@@ -43,16 +103,15 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_archive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as its WARC record reads."""
-    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "warc_date")
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one that quotes the template, as its formatted text reads."""
-    quote = "\\### Assistant: </turn> ok"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
-        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(quote).alias("text"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(QUOTE).alias("text"),
     )
     out = chat.format_branches(chat.conversation_messages(rows.unionByName(own)))
     out = out.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("loss", chat.read_loss(F.col("formatted"), F.col("loss_spans")))
@@ -96,4 +155,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -233,6 +234,30 @@ def test_ngram_join_is_exact(spark, n, num, block):
     assert [got[i].n_shingles for i in range(len(texts))] == size and [got[i].component_id for i in range(len(texts))] == root
 
 
+def test_queries_equal_their_sql(spark, tmp_path):
+    """Rows, values and names, on tables with nulls, repeated texts, ties and characters of many bytes."""
+    text = [None, "", "é" * 60, "é" * 60, "b" * 100, "b" * 99, "b" * 99, "b" * 100, "c"]
+    spark.createDataFrame([(i, f"u{i}", t) for i, t in enumerate(text)] + [(None, None, "z" * 200)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    talk = [(1, 0, "user", "a:#<b\\"), (1, 1, "assistant", "é\\h</turn>\n"), (1, 1, "assistant", "z"), (2, 0, None, None), (3, 5, "a:ssistant", "x"), (3, None, "assistant", ""), (None, 0, "assistant", "q")]
+    spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    rng = random.Random(6)
+    base = [[f"w{rng.randrange(500)}" for _ in range(80)] for _ in range(6)]
+    texts = [" ".join(w if rng.random() > 0.01 * (i % 4) else "X" for w in base[i % 6]) for i in range(60)]
+    texts += [None, "", " \t", "One", "one", "one two", "ONE\x0btwo", "É", "é", texts[0].upper()]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    for name in ("pages", "conversations", "documents"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    every = queries.queries()
+    for name, sql in queries.oracle_sql().items():
+        found, want = every[name](spark, str(tmp_path)), con.execute(sql)
+        order = sorted(found.columns)
+        names = [c[0] for c in want.description]
+        assert sorted(names) == order, name
+        theirs = sorted((tuple(dict(zip(names, r, strict=True))[c] for c in order) for r in want.fetchall()), key=repr)
+        assert sorted((tuple(r[c] for c in order) for r in found.collect()), key=repr) == theirs, name
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (1, 0)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
