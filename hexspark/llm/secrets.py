@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -87,14 +89,17 @@ def find(text: str, ranks: bytes, words: list[tuple[int, str]], threshold: float
             found += [("access", at + m.start(), at + m.end()) for m in ACCESS.finditer(word) if len(m[0]) >= ACCESS_LEAST]
         if len(word) >= HEX_LEAST:
             found += [("hex", at + m.start(), at + m.end()) for m in HEX.finditer(word) if len(m[0]) >= HEX_LEAST]
-    base = list(found)
+    # Base spans by start with the furthest end so far: one search tells whether a run meets any of them.
+    base = sorted((a, b) for _, a, b in found)
+    furthest = list(accumulate((b for _, b in base), max))
     for at, word in words:
         if len(word) < RANDOM_LEAST or word.isalpha() and (word[1:].islower() or word.isupper()):
             continue
         for m in _RUN.finditer(word):
             s, e = at + m.start(), at + m.end()
             run = m[0]
-            if known(run) or any(a < e and s < b for _, a, b in base):
+            before = bisect_left(base, (e,))
+            if known(run) or before and furthest[before - 1] > s:
                 continue
             if efficiency(run, ranks) < threshold:
                 found.append(("random", s, e))

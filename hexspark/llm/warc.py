@@ -10,12 +10,14 @@ leaves nothing behind, and reading takes whole files.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import io
 import re
 import uuid
-import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -143,21 +145,23 @@ def warc_bytes(record: ArcRecord, key: str, digest: str, refers_to: str | None =
     return b"WARC/1.1\r\n" + lines.encode("utf-8", "surrogateescape") + b"\r\n" + block
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record, by declared lengths."""
-    pos = 0
-    while pos < len(data):
-        end = data.find(END, pos)
-        lines = data[pos:end].decode("utf-8", "surrogateescape").split("\r\n")
-        if end < 0 or not lines[0].startswith("WARC/"):
-            raise ArchiveError(f"no WARC record at byte {pos}")
-        head = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}
-        start = end + 4
-        pos = start + int(head["content-length"])
-        if data[pos : pos + 4] != END:
-            raise ArchiveError(f"record at byte {start} does not end where it declares")
-        yield head, data[start:pos]
-        pos += 4
+def parse_warc(data: bytes | IO[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (names in lower case) and block of each record, by declared lengths; a stream is read record by record."""
+    stream = io.BytesIO(data) if isinstance(data, bytes) else data
+    while line := stream.readline():
+        if not line.startswith(b"WARC/"):
+            raise ArchiveError(f"no WARC record: {line[:60]!r}")
+        head = {}
+        while (line := stream.readline()) != b"\r\n":
+            name, colon, value = line.decode("utf-8", "surrogateescape").removesuffix("\r\n").partition(": ")
+            if not colon:
+                raise ArchiveError(f"no header line: {line[:60]!r}")
+            head[name.lower()] = value
+        declared = head.get("content-length", "")
+        block = stream.read(int(declared)) if declared.isdigit() else b""
+        if not declared.isdigit() or len(block) < int(declared) or stream.read(len(END)) != END:
+            raise ArchiveError(f"record {head.get('warc-record-id')} does not end where it declares")
+        yield head, block
 
 
 def _convert(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,9 +192,10 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data in batch.column(0):
             rows = []
-            raw = data.as_buffer()
-            text = zlib.decompress(raw, 31) if bytes(raw[:2]) == b"\x1f\x8b" else raw.to_pybytes()
-            for head, block in parse_warc(text):
+            # Decompressed as it is read: memory holds the compressed file and one record.
+            raw = io.BytesIO(data.as_buffer())
+            packed = raw.getbuffer()[:2] == b"\x1f\x8b"
+            for head, block in parse_warc(io.BufferedReader(gzip.GzipFile(fileobj=raw)) if packed else raw):
                 revisit = head["warc-type"] == "revisit"
                 digest = head["warc-payload-digest"].removeprefix("sha256:")
                 if not revisit and hashlib.sha256(block).hexdigest() != digest:
