@@ -16,7 +16,7 @@ blocks, so no task holds more than two blocks.  Nothing is capped or dropped.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +38,8 @@ COMMON_PIECE, COMMON_IN_PIECE, COMMON_LEAST, COMMON_MOST = 4_000_000, 3, 32, 400
 BAND = 1.5
 BITS = 2048
 LEAF, FAN = 8, 8
+#: Pairs of nodes opened at a time; links found in one step spare the next ones the pairs they connect.
+NODE_PAIRS = 128
 
 
 @dataclass(frozen=True)
@@ -210,8 +212,8 @@ class Tree:
             ok[part] &= shared + np.minimum(over[a[part]], over[b[part]]) >= need[part]
         return ok
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Batches of pairs of sets (i < j) that may be similar, by dual traversal from the root."""
+    def pairs(self, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Batches of pairs of sets (i < j) that are wanted and may be similar, by dual traversal from the root."""
         # An entry holds pairs of nodes whose children are paired when its turn comes; children of one
         # entry are few, so the stack stays small.
         top = len(self.levels) - 1
@@ -224,14 +226,17 @@ class Tree:
                 if len(a):
                     yield a, b
                 continue
-            if len(a) > 1024:
-                stack += [(level, a[s : s + 1024], b[s : s + 1024]) for s in range(0, len(a), 1024)]
+            if len(a) > NODE_PAIRS:
+                stack += [(level, a[s : s + NODE_PAIRS], b[s : s + NODE_PAIRS]) for s in range(0, len(a), NODE_PAIRS)]
                 continue
             fan, n = (LEAF if level == 1 else FAN), len(self.levels[level - 1][0])
             x = np.repeat(a[:, None] * fan + np.arange(fan), fan, axis=1).ravel()
             y = np.tile(b[:, None] * fan + np.arange(fan), (1, fan)).ravel()
             ok = (x < y if level == 1 else x <= y) & (x < n) & (y < n)
             x, y = x[ok], y[ok]
+            if level == 1:
+                ok = wanted(x, y)
+                x, y = x[ok], y[ok]
             ok = self.possible(level - 1, x, y)
             stack.append((level - 1, x[ok], y[ok]))
 
@@ -249,29 +254,34 @@ def tree_links(sets: list[np.ndarray], group: list[int], side: list[int] | None,
     With sides, only links between different sides are looked for.
     """
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    parent = list(range(len(sets)))
-    if len(set(group)) < len(group):
-        first: dict[int, int] = {}
-        for i, g in enumerate(group):
-            parent[i] = first.setdefault(g, i)
+    first: dict[int, int] = {}
+    parent = np.array([first.setdefault(group[x], i) for i, x in enumerate(order)], np.int64)
+    sides = None if side is None else np.array(side)[order]
+
+    def roots(x: np.ndarray) -> np.ndarray:
+        up = parent[x]
+        while (parent[up] != up).any():
+            up = parent[up]
+        parent[x] = up
+        return up
 
     def find(i: int) -> int:
         while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
+            parent[i] = i = int(parent[parent[i]])
         return i
 
+    def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        ok = roots(a) != roots(b)
+        return ok if sides is None else ok & (sides[a] != sides[b])
+
     tree = Tree([sets[i] for i in order], like)
     links = []
-    for a, b in tree.pairs():
+    for a, b in tree.pairs(apart):
         for i, j in zip(a.tolist(), b.tolist(), strict=True):
-            x, y = order[i], order[j]
-            if side is not None and side[x] == side[y]:
-                continue
-            rx, ry = find(x), find(y)
-            if rx != ry and tree.similar(i, j):
-                parent[ry] = rx
-                links.append((x, y))
+            ri, rj = find(i), find(j)
+            if ri != rj and tree.similar(i, j):
+                parent[rj] = ri
+                links.append((order[i], order[j]))
     return links
 
 
