@@ -3,7 +3,7 @@
 A byte-pair vocabulary made from ordinary text spends few tokens on words and many on random strings.
 Runs of 16 or more base64-like characters whose characters per token stay under a threshold are
 reported as random, unless they are digests of a known length, UUIDs, numbers, or identifiers (words
-joined by case, hyphens or underscores).
+joined by case, hyphens or underscores, which the vocabulary itself spends few tokens on).
 
 Only words of 12 bytes or more can hold a match of the fixed patterns, so each batch is scanned for
 these with numpy and the regular expressions see little of the text; results are the same as on whole
@@ -53,14 +53,8 @@ SPANS = T.ArrayType(T.StructType([
 
 
 def known(run: str) -> bool:
-    """Whether a run is a digest, a UUID, a number, or an identifier made of words."""
-    if run.isdigit() or _UUID.fullmatch(run) or (_HEX_ONLY.fullmatch(run) and len(run) in DIGESTS):
-        return True
-    parts = [m for piece in re.split(r"[-_+/=]+", run) for m in _WORDS.findall(piece)]
-    if sum(map(len, parts)) < sum(c not in "-_+/=" for c in run):
-        return False  # digits run into letters beyond a short number
-    letters = [p for p in parts if p[0].isalpha()]
-    return bool(letters) and sum(map(len, letters)) / len(letters) >= 3
+    """Whether a run is a digest, a UUID or a number."""
+    return run.isdigit() or bool(_UUID.fullmatch(run)) or (bool(_HEX_ONLY.fullmatch(run)) and len(run) in DIGESTS)
 
 
 @lru_cache(maxsize=2)
@@ -76,6 +70,16 @@ def efficiency(run: str, ranks: bytes) -> float:
     return len(run) / max(1, len(_encoder(ranks).encode_ordinary(run)))
 
 
+def identifier(run: str, ranks: bytes) -> bool:
+    """Whether the letters of a run, without marks and one short number at most, are words to the vocabulary."""
+    parts = _WORDS.findall(run)
+    letters = [p for p in parts if p[0].isalpha()]
+    if not letters or len(parts) - len(letters) > 1:
+        return False
+    encode = _encoder(ranks).encode_ordinary
+    return sum(map(len, letters)) >= EFFICIENCY * sum(len(encode(p)) for p in letters)
+
+
 def find(text: str, ranks: bytes, words: list[tuple[int, str]], threshold: float = EFFICIENCY) -> list[tuple[str, int, int]]:
     """Spans (kind, start, end) of one text in code points, by start, then kind.
 
@@ -93,7 +97,7 @@ def find(text: str, ranks: bytes, words: list[tuple[int, str]], threshold: float
     base = sorted((a, b) for _, a, b in found)
     furthest = list(accumulate((b for _, b in base), max))
     for at, word in words:
-        if len(word) < RANDOM_LEAST or word.isalpha() and (word[1:].islower() or word.isupper()):
+        if len(word) < RANDOM_LEAST:
             continue
         for m in _RUN.finditer(word):
             s, e = at + m.start(), at + m.end()
@@ -101,7 +105,7 @@ def find(text: str, ranks: bytes, words: list[tuple[int, str]], threshold: float
             before = bisect_left(base, (e,))
             if known(run) or before and furthest[before - 1] > s:
                 continue
-            if efficiency(run, ranks) < threshold:
+            if efficiency(run, ranks) < threshold and not identifier(run, ranks):
                 found.append(("random", s, e))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 

@@ -81,6 +81,15 @@ def test_secrets_spans():
     assert secrets._cut("abcdef", [("x", 1, 3), ("y", 2, 4)], "[{}]".format) == "a[x]ef"
 
 
+@pytest.mark.parametrize(("alphabet", "least"), [("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.98), ("abcdefghijklmnopqrstuvwxyz0123456789", 0.98), ("abcdefghijklmnopqrstuvwxyz", 0.88), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.98), ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.98)])
+def test_random_strings_are_found_in_every_alphabet(alphabet, least):
+    ranks, rng = secrets._ranks(secrets.RANKS_PATH), random.Random(4)
+    runs = ["".join(rng.choice(alphabet) for _ in range(32)) for _ in range(300)]
+    assert sum(secrets.find(x, ranks, [(0, x)]) == [("random", 0, 32)] for x in runs) >= least * len(runs)
+    for plain in ("getElementsByClassName", "org_eclipse_jdt_2", "CONSTANT_VALUE_OF_THING", "internationalization", "GOVERNMENTAL-AFFAIRS"):
+        assert not secrets.find(plain, ranks, [(0, plain)])
+
+
 def test_rule_statistics_equal_brute_force():
     rng = random.Random(1)
     texts = ["\n".join(" ".join(rng.choice(["a", "b#", "é", "C|"]) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 6))) for _ in range(200)]
