@@ -8,8 +8,8 @@ classes by the size of their count, in which they share by count; words beyond t
 class.  So every text has a proper probability, words never seen included.
 
 Training is by truncated backpropagation: state is carried from window to window of a document,
-gradients are not.  Partitions train alike from the same start on one in TRAIN_EVERY training documents
-and their weights are averaged by tokens, so what is learned from grows with the corpus.  Scoring packs
+gradients are not.  Partitions train alike from the same start on all their training documents and
+their weights are averaged by tokens, so every row is learned from.  Scoring packs
 whole documents into lanes and carries state across windows to their ends.
 """
 
@@ -32,7 +32,6 @@ HEAD = 1 << 18
 CLASSES, CLASS_WORDS = 32, 64
 BINS = 16
 HIDDEN = 24
-TRAIN_EVERY = 8
 TRAIN_LANES, TRAIN_STEPS, TRAIN_RATE = 64, 16, 0.004
 #: Weights with adaptive steps (Adam).  The others, of the outputs, take plain ones: adaptive steps would
 #: push down every word that a sample happens not to hold.
@@ -237,7 +236,11 @@ class Network:
             d_x.append(np.hstack([d_z, d_r, d_c]))
             carry = (d * z + d_g @ self.u.T) * ~resets[t][:, None]
         grads["u"], grads["wx"] = d_u, np.zeros_like(self.wx)
-        np.add.at(grads["wx"], np.concatenate(d_rows), np.concatenate(d_x))
+        rows = np.concatenate(d_rows)
+        order = np.argsort(rows, kind="stable")
+        rows = rows[order]
+        edges = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        grads["wx"][rows[edges]] = np.add.reduceat(np.concatenate(d_x)[order], edges)
 
 
 class Packed:
@@ -335,17 +338,27 @@ def train_documents(net: Network, head: Head, docs: list[np.ndarray]) -> Network
             d_states[ok] = d
             net.backward(kept, d_states.reshape(len(states), n, HIDDEN), packed.reset[t0 : t0 + len(states), :n], grads)
             update += 1
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-            share = ok.sum() / (TRAIN_LANES * TRAIN_STEPS)
-            rate = share * TRAIN_RATE * np.sqrt(1 - 0.999**update) / (1 - 0.9**update)
+            # Plain floats, so that the arrays stay in single precision; the steps work in place.
+            norm = sum(float(np.vdot(g, g)) for g in grads.values()) ** 0.5
+            share = float(ok.sum()) / (TRAIN_LANES * TRAIN_STEPS)
+            rate = share * TRAIN_RATE * (1 - 0.999**update) ** 0.5 / (1 - 0.9**update)
             for k, g in grads.items():
-                g = g * min(1.0, 1.0 / (norm + 1e-9))
+                g *= min(1.0, 1.0 / (norm + 1e-9))
                 if k in ADAPTIVE:
-                    m[k] += 0.1 * (g - m[k])
-                    v[k] += 0.001 * (g * g - v[k])
-                    setattr(net, k, getattr(net, k) - (rate * m[k] / (np.sqrt(v[k]) + 1e-6)).astype(np.float32))
+                    m[k] *= 0.9
+                    m[k] += 0.1 * g
+                    g *= g
+                    g *= 0.001
+                    v[k] *= 0.999
+                    v[k] += g
+                    np.sqrt(v[k], out=g)
+                    g += 1e-6
+                    np.divide(m[k], g, out=g)
+                    g *= rate
                 else:
-                    setattr(net, k, getattr(net, k) - np.float32(share * PLAIN_RATE) * g)
+                    g *= share * PLAIN_RATE
+                w = getattr(net, k)
+                w -= g
     return net
 
 
@@ -357,8 +370,8 @@ def _average(rows: list[tuple[float, bytes]]) -> tuple[float, bytes]:
     return total, pickle.dumps({k: sum(w * x[k] for w, x in nets).astype(np.float32) for k in Network.NAMES})
 
 
-def train(docs: DataFrame, head: Head, key: str = "doc_id", text: str = "text", every: int = TRAIN_EVERY) -> Network:
-    """Each partition trains on its sample of docs (one in `every` by hash of the key); weights are averaged by tokens in a tree."""
+def train(docs: DataFrame, head: Head, text: str = "text") -> Network:
+    """Each partition trains on all its rows; weights are averaged by tokens in a tree."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(head)
 
@@ -397,8 +410,7 @@ def train(docs: DataFrame, head: Head, key: str = "doc_id", text: str = "text",
         rows = [] if best is None else [best]
         yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.float64()), pa.array([b for _, b in rows], pa.binary())], ["n", "net"])
 
-    sample = docs.where(F.pmod(F.xxhash64(F.lit(21), F.col(key)), F.lit(every)) == 0).select(text)
-    nets = common.stored(sample.mapInArrow(run, "n double, net binary"), "nets")
+    nets = common.stored(docs.select(text).mapInArrow(run, "n double, net binary"), "nets")
     while (count := nets.count()) > AVERAGE_FAN:
         # The weights of a group of partitions meet in one task, one at a time in memory.
         nets = common.stored(nets.repartition(-(-count // AVERAGE_FAN)).mapInArrow(merge, "n double, net binary"), "nets")
@@ -430,7 +442,7 @@ def _commonest(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return ids[order].view(np.uint64), c[order]
 
 
-def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", every: int = TRAIN_EVERY) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs.
 
     held_out rows are never learned from.  base_score is the add-one unigram log10 probability, score
@@ -443,7 +455,7 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     n_tokens, n_types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ids, c = _commonest(counts, HEAD)
     head = Head(ids, c, n_tokens, n_types)
-    net = train(training, head, key, text, every)
+    net = train(training, head, text)
     sent = spark.sparkContext.broadcast((head, net))
     schema = T.StructType([
         T.StructField(key, docs.schema[key].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("row", T.LongType()),

@@ -136,6 +136,18 @@ def test_language_model_base_and_proper_probability(spark):
     assert np.exp(logp).sum() == pytest.approx(1.0, abs=1e-3)
 
 
+def test_network_learns_from_every_row(spark):
+    words = [f"r{i}" for i in range(40)]
+    docs = _docs(spark, [(i, " ".join(words[(i or 0) % 5 :] * 9), "a") for i in (None, *range(12))])
+    counts = language_model.token_counts(docs)
+    ids, c = language_model._commonest(counts, language_model.HEAD)
+    head = language_model.Head(ids, c, int(c.sum()), len(ids))
+    start = language_model.Network.new(head)
+    for i in (None, 1, 2, 3):
+        net = language_model.train(docs.where(F.col("doc_id").eqNullSafe(F.lit(i))), head)
+        assert not np.array_equal(net.wx, start.wx) and not np.array_equal(net.ww, start.ww)
+
+
 def test_network_gradient_and_state_across_windows():
     ids = np.arange(1, 200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     head = language_model.Head(ids, np.arange(199, 0, -1), 30000, 250)
