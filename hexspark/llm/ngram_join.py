@@ -7,8 +7,9 @@ K = d + 1 + e parts, at least e + 1 parts are equal.  Every set therefore emits
 than e empty parts emits further keys, so that each linked pair shares a key.  Sets joined by keys form
 small candidate clusters.  Inside a cluster a signature tree does the join: leaves hold token bitmaps,
 inner nodes the OR of their children's bitmaps and their range of sizes, and a dual traversal drops
-node pairs whose greatest possible overlap is too small.  Pairs that remain and are not connected yet
-are verified on the sets themselves; links go into connected components.
+node pairs whose greatest possible overlap is too small.  Pairs that remain are verified on the sets
+themselves; links go into connected components and are counted for each set, the rows of its class as its
+weight.  Where no counts are asked for, pairs connected already are passed over.
 
 Clusters above a block of shingles are cut into blocks by size and joined block by block and between
 blocks, so no task holds more than two blocks.  Nothing is capped or dropped.
@@ -40,6 +41,8 @@ BITS = 2048
 LEAF, FAN = 8, 8
 #: Pairs of nodes opened at a time; links found in one step spare the next ones the pairs they connect.
 NODE_PAIRS = 128
+#: Pairs of sets verified at a time when links are counted.
+SET_PAIRS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -285,27 +288,122 @@ def tree_links(sets: list[np.ndarray], group: list[int], side: list[int] | None,
     return links
 
 
-def _link_tasks(rows: DataFrame, like: Likeness) -> DataFrame:
-    """Links (a, b) of sets found in each task; rows: task, side, grp, sid, text, all rows of a task together."""
+class Verifier:
+    """Exact similarity of many pairs of sets: one set is marked, and the elements of its partners are looked up."""
 
-    def finish(parts: list[tuple]) -> list[tuple[int, int]]:
+    def __init__(self, sets: list[np.ndarray], like: Likeness) -> None:
+        self.like = like
+        self.size = np.array([len(s) for s in sets], np.int64)
+        self.bounds = np.concatenate([[0], np.cumsum(self.size)])
+        names, local = np.unique(np.concatenate(sets), return_inverse=True)
+        self.local = local.astype(np.int32)
+        self.mark = np.zeros(len(names), bool)
+
+    def similar(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the sets of each pair are similar."""
+        order = np.lexsort((b, a))
+        x, y = a[order], b[order]
+        edges = np.append(np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])), len(x))
+        shared = np.zeros(len(x), np.int64)
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            i, js = x[lo], y[lo:hi]
+            own = self.local[self.bounds[i] : self.bounds[i + 1]]
+            self.mark[own] = True
+            if js[-1] - js[0] == hi - lo - 1:
+                theirs = self.local[self.bounds[js[0]] : self.bounds[js[-1] + 1]]
+            else:
+                theirs = np.concatenate([self.local[s:e] for s, e in zip(self.bounds[js].tolist(), self.bounds[js + 1].tolist(), strict=True)])
+            size = self.size[js]
+            shared[lo:hi] = np.add.reduceat(self.mark[theirs], np.cumsum(size) - size, dtype=np.int64)
+            self.mark[own] = False
+        out = np.empty(len(x), bool)
+        out[order] = shared * self.like.den >= self.like.num * (self.size[x] + self.size[y] - shared)
+        return out
+
+
+def tree_counts(sets: list[np.ndarray], weight: list[int], side: list[int] | None, like: Likeness) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect all sets connected by links, and for each set the weight of all sets linked with it.
+
+    Every pair that the tree leaves is verified.  With sides, only pairs of different sides count.
+    """
+    order = np.array(sorted(range(len(sets)), key=lambda i: len(sets[i])))
+    sides = None if side is None else np.array(side)[order]
+    heavy = np.array(weight, np.int64)[order]
+    ranked = [sets[i] for i in order]
+    tree, verifier = Tree(ranked, like), Verifier(ranked, like)
+    parent = list(range(len(sets)))
+    total = np.zeros(len(sets), np.int64)
+    links = []
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    def wanted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.ones(len(a), bool) if sides is None else sides[a] != sides[b]
+
+    def verify(parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
+        ok = verifier.similar(a, b)
+        a, b = a[ok], b[ok]
+        np.add.at(total, a, heavy[b])
+        np.add.at(total, b, heavy[a])
+        roots = np.array([find(i) for i in range(len(parent))])
+        apart = roots[a] != roots[b]
+        for i, j in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
+            ri, rj = find(i), find(j)
+            if ri != rj:
+                parent[rj] = ri
+                links.append((int(order[i]), int(order[j])))
+
+    parts, held = [], 0
+    for a, b in tree.pairs(wanted):
+        parts.append((a, b))
+        held += len(a)
+        if held >= SET_PAIRS:
+            verify(parts)
+            parts, held = [], 0
+    if parts:
+        verify(parts)
+    out = np.zeros(len(sets), np.int64)
+    out[order] = total
+    return links, out
+
+
+def _link_tasks(rows: DataFrame, like: Likeness, count: bool = False) -> DataFrame:
+    """Links (a, b) of sets found in each task, and if count, rows (a, null, n): n rows in this task are linked with set a.
+
+    rows: task, side, grp, weight, sid, text, all rows of a task together.
+    """
+
+    def finish(parts: list[tuple]) -> list[tuple[int, int | None, int | None]]:
         seen: dict[int, int] = {}
-        sets, group, side, ids = [], [], [], []
-        for grp, sd, want, sid, s in parts:
+        sets, group, weight, side, ids = [], [], [], [], []
+        for grp, wt, sd, want, sid, s in parts:
             if want == sid and want not in seen:  # a key shared by rows of other texts brings those too
                 seen[want] = len(ids)
                 ids.append(want)
                 sets.append(s)
                 group.append(grp)
+                weight.append(wt)
                 side.append(sd)
         sides = side if len(set(side)) > 1 else None
-        return [(ids[a], ids[b]) for a, b in tree_links(sets, group, sides, like)] if len(ids) > 1 else []
+        if len(ids) < 2:
+            return []
+        if not count:
+            return [(ids[a], ids[b], None) for a, b in tree_links(sets, group, sides, like)]
+        links, total = tree_counts(sets, weight, sides, like)
+        return [(ids[a], ids[b], None) for a, b in links] + [(ids[i], None, n) for i, n in enumerate(total.tolist()) if n]
+
+    def as_batch(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], ["a", "b", "n"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
         for batch in batches:
-            raw, at = common.utf8_of(batch.column(4))
-            task, side, grp, sid = (batch.column(i).to_pylist() for i in range(4))
+            raw, at = common.utf8_of(batch.column(5))
+            task, side, grp, weight, sid = (batch.column(i).to_pylist() for i in range(5))
             out = []
             for lo, hi in common.pieces(at):
                 h, bounds = distinct_sets(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], like.n)
@@ -314,14 +412,14 @@ def _link_tasks(rows: DataFrame, like: Likeness) -> DataFrame:
                     if task[i] != now:
                         out += finish(parts)
                         now, parts = task[i], []
-                    parts.append((grp[i], side[i], sid[i], int(ids[i - lo]), h[bounds[i - lo] : bounds[i - lo + 1]].copy()))
+                    parts.append((grp[i], weight[i], side[i], sid[i], int(ids[i - lo]), h[bounds[i - lo] : bounds[i - lo + 1]].copy()))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+                yield as_batch(out)
         out = finish(parts)
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+        yield as_batch(out)
 
-    placed = rows.select("task", "side", "grp", "sid", "text").repartition("task").sortWithinPartitions("task")
-    return placed.mapInArrow(run, "a long, b long")
+    placed = rows.select("task", "side", "grp", "weight", "sid", "text").repartition("task").sortWithinPartitions("task")
+    return placed.mapInArrow(run, "a long, b long, n long")
 
 
 def shingle_table(docs: DataFrame, key: str, text: str, like: Likeness) -> DataFrame:
@@ -347,13 +445,14 @@ def shingle_table(docs: DataFrame, key: str, text: str, like: Likeness) -> DataF
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def link_components(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text", block: int = BLOCK_SHINGLES) -> DataFrame:
-    """key, n_shingles, component_id for every row of docs.
+def link_components(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text", block: int = BLOCK_SHINGLES, count: bool = True) -> DataFrame:
+    """key, n_shingles, component_id and, if count, n_links for every row of docs.
 
     component_id is the smallest key reachable by links of similarity num / den or more; texts without
     words (null, empty) are linked with nothing and have their own key.  Rows repeated with the same key
     and text are one class, each returned.  Sets are compared by 64-bit hashes of shingles: a pair of
-    different shingles or sets is taken for equal with a chance of 2^-64.
+    different shingles or sets is taken for equal with a chance of 2^-64.  n_links is the number of other
+    rows of that similarity or more, those of equal sets included; all pairs a tree leaves are verified for it.
     """
     sets = common.stored(shingle_table(docs, key, text, like), "sets")
     keyed = sets.where("sid is not null").select(F.explode("keys").alias("k"), "sid")
@@ -361,30 +460,53 @@ def link_components(docs: DataFrame, like: Likeness = Likeness(), key: str = "do
     near = keyed.withColumn("a", F.first("sid").over(run)).where(F.col("a") != F.col("sid")).select("a", F.col("sid").alias("b")).distinct()
     clusters = common.stored(components(near), "clusters")
 
-    classes = sets.where("sid is not null").groupBy("sid").agg(F.min(key).alias("rep"), F.first("n_shingles").alias("n"))
+    classes = sets.where("sid is not null").groupBy("sid").agg(F.min(key).alias("rep"), F.first("n_shingles").alias("n"), F.count("*").alias("weight"))
     upto = Window.partitionBy("root").orderBy("n", "sid")
     placed = clusters.join(classes, F.col("node") == F.col("sid")).select(
-        F.col("root").alias("cluster"), "sid", "rep", "n", F.floor((F.sum("n").over(upto) - F.col("n")) / block).cast("int").alias("block")
+        F.col("root").alias("cluster"), "sid", "rep", "n", "weight", F.floor((F.sum("n").over(upto) - F.col("n")) / block).cast("int").alias("block")
     )
     placed = common.stored(placed, "placed")
     side = F.broadcast(placed) if placed.count() <= BROADCAST_ROWS else placed
     members = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).where("text is not null")
-    members = members.join(side, F.col("_key").eqNullSafe(F.col("rep"))).select("cluster", "block", "sid", "n", "text")
+    members = members.join(side, F.col("_key").eqNullSafe(F.col("rep"))).select("cluster", "block", "sid", "n", "weight", "text")
     members = common.stored(members, "members")
 
     own = F.struct("cluster", "block")
-    links = common.stored(
-        _link_tasks(members.select(F.xxhash64(own).alias("task"), F.lit(0).alias("side"), F.col("sid").alias("grp"), "sid", "text"), like), "links"
-    )
+    tasks = members.select(F.xxhash64(own).alias("task"), F.lit(0).alias("side"), F.col("sid").alias("grp"), "weight", "sid", "text")
+    links = common.stored(_link_tasks(tasks, like, count), "links")
     large = placed.where("block > 0").select("cluster").distinct()
     if not large.isEmpty():
-        links = links.unionByName(_links_across(members, common.stored(large, "large"), links, like))
-    roots = components(links).withColumnsRenamed({"node": "_node", "root": "_root"})
+        large = common.stored(large, "large")
+        links = _counts_across(members, large, links, like) if count else _links_across(members, large, links, like)
+    roots = components(links.where("b is not null").select("a", "b")).select(F.col("node").alias("_node"), F.col("root").alias("_root"), F.lit(0).cast("long").alias("_n"))
+    if count:
+        none = F.lit(None).cast("long").alias("_root")
+        others = classes.select(F.col("sid").alias("_node"), none, (F.col("weight") - 1).alias("_n"))
+        roots = roots.unionByName(others).unionByName(links.where("b is null").select(F.col("a").alias("_node"), none, F.col("n").alias("_n")))
+        roots = roots.groupBy("_node").agg(F.max("_root").alias("_root"), F.sum("_n").alias("_n"))
     rooted = sets.select(key, "n_shingles", "sid").join(roots, F.col("sid") == F.col("_node"), "left")
-    rooted = common.stored(rooted.select(key, "n_shingles", F.coalesce("_root", "sid").alias("root")), "rooted")
+    rooted = rooted.select(key, "n_shingles", F.coalesce("_root", "sid").alias("root"), F.coalesce("_n", F.lit(0)).alias("n_links"))
+    rooted = common.stored(rooted, "rooted")
     first = rooted.where("root is not null").groupBy(F.col("root").alias("_r")).agg(F.min(key).alias("component_id"))
     out = rooted.join(first, F.col("root") == F.col("_r"), "left")
-    return out.select(key, "n_shingles", F.coalesce("component_id", F.col(key)).alias("component_id"))
+    return out.select(key, "n_shingles", F.coalesce("component_id", F.col(key)).alias("component_id"), *(["n_links"] if count else []))
+
+
+def _block_pairs(state: DataFrame, like: Likeness) -> DataFrame:
+    """Rows of tasks that join each two blocks of a cluster whose sizes allow a link."""
+    spans = state.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    right = spans.select(F.col("cluster").alias("c2"), F.col("block").alias("b2"), F.col("low").alias("low2"))
+    pairs = spans.join(right, (F.col("cluster") == F.col("c2")) & (F.col("block") < F.col("b2")) & (F.col("high") * like.den >= F.col("low2") * like.num))
+    pairs = pairs.select("cluster", "block", "b2").withColumn("task", F.xxhash64("cluster", "block", "b2"))
+    dealt = pairs.select("cluster", "task", F.explode(F.array(F.struct(F.col("block").alias("blk"), F.lit(0).alias("side")), F.struct(F.col("b2").alias("blk"), F.lit(1).alias("side")))).alias("x"))
+    dealt = dealt.select(F.col("cluster").alias("c3"), "task", "x.blk", "x.side")
+    return state.join(dealt, (F.col("cluster") == F.col("c3")) & (F.col("block") == F.col("blk"))).select("task", "side", "grp", "weight", "sid", "text")
+
+
+def _counts_across(members: DataFrame, large: DataFrame, links: DataFrame, like: Likeness) -> DataFrame:
+    """Links and counts of all pairs of different blocks of large clusters, besides those within blocks."""
+    rows = members.join(large.withColumnRenamed("cluster", "_c"), F.col("cluster") == F.col("_c")).drop("_c").withColumn("grp", F.col("sid"))
+    return common.stored(links.unionByName(_link_tasks(_block_pairs(rows, like), like, True)), "links")
 
 
 def _links_across(members: DataFrame, large: DataFrame, links: DataFrame, like: Likeness) -> DataFrame:
@@ -401,19 +523,12 @@ def _links_across(members: DataFrame, large: DataFrame, links: DataFrame, like:
         return rows.join(roots, F.col("sid") == F.col("_n"), "left").withColumn("grp", F.coalesce("_root", "sid")).drop("_n", "_root")
 
     heads = rooted(links).withColumn("rk", F.row_number().over(Window.partitionBy("cluster", "grp").orderBy("n", "sid"))).where("rk = 1")
-    met = heads.select(F.xxhash64("cluster", F.col("block") % 8).alias("task"), F.lit(0).alias("side"), "grp", "sid", "text")
+    met = heads.select(F.xxhash64("cluster", F.col("block") % 8).alias("task"), F.lit(0).alias("side"), "grp", "weight", "sid", "text")
     more = common.stored(links.unionByName(_link_tasks(met, like)), "links")
     state = common.stored(rooted(more), "state")
     several = state.groupBy("cluster").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select(F.col("cluster").alias("_c"))
     state = state.join(several, F.col("cluster") == F.col("_c")).drop("_c")
-    spans = state.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    right = spans.select(F.col("cluster").alias("c2"), F.col("block").alias("b2"), F.col("low").alias("low2"))
-    pairs = spans.join(right, (F.col("cluster") == F.col("c2")) & (F.col("block") < F.col("b2")) & (F.col("high") * like.den >= F.col("low2") * like.num))
-    pairs = pairs.select("cluster", "block", "b2").withColumn("task", F.xxhash64("cluster", "block", "b2"))
-    dealt = pairs.select("cluster", "task", F.explode(F.array(F.struct(F.col("block").alias("blk"), F.lit(0).alias("side")), F.struct(F.col("b2").alias("blk"), F.lit(1).alias("side")))).alias("x"))
-    dealt = dealt.select(F.col("cluster").alias("c3"), "task", "x.blk", "x.side")
-    both = state.join(dealt, (F.col("cluster") == F.col("c3")) & (F.col("block") == F.col("blk"))).select("task", "side", "grp", "sid", "text")
-    return common.stored(more.unionByName(_link_tasks(both, like)), "links")
+    return common.stored(more.unionByName(_link_tasks(_block_pairs(state, like), like)), "links")
 
 
 def deduplicated(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -421,7 +536,7 @@ def deduplicated(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_i
 
     A key repeated with one text is the same document and all its rows stay.  Columns are unchanged.
     """
-    found = link_components(docs, like, key, text).where(~F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_gone")).distinct()
+    found = link_components(docs, like, key, text, count=False).where(~F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_gone")).distinct()
     small = found.count() <= BROADCAST_ROWS
     kept = docs.join(F.broadcast(found) if small else found, F.col(key) == F.col("_gone"), "left_anti")
     return kept

@@ -128,7 +128,7 @@ def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the size of its set of 3-word shingles and its component under similarity 0.9."""
-    return ngram_join.link_components(table(spark, sf_dir, "documents"), ngram_join.Likeness(3, 90, 100))
+    return ngram_join.link_components(table(spark, sf_dir, "documents"), ngram_join.Likeness(3, 90, 100)).select("doc_id", "n_shingles", "component_id")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

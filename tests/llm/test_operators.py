@@ -255,6 +255,18 @@ def test_ngram_join_is_exact(spark, n, num, block):
     assert [got[i].n_shingles for i in range(len(texts))] == size and [got[i].component_id for i in range(len(texts))] == root
 
 
+@pytest.mark.parametrize("block", [1 << 20, 300])
+def test_ngram_join_counts_every_link(spark, block):
+    near = [f"n{i}" for i in range(60)]
+    texts = [" ".join(near[:i] + [f"c{i}"] + near[i + 1 :]) for i in range(60)] + [" ".join(near)] * 3 + ["a b c d e", "a b c d e", "x y", "", None]
+    w = [(t or "").split() for t in texts]
+    sets = [frozenset(zip(x, x[1:], x[2:], strict=False)) if len(x) > 2 else frozenset([tuple(x)] if x else []) for x in w]
+    want = [sum(100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets) if i != j and a and b) for i, a in enumerate(sets)]
+    docs = _docs(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    got = {r.doc_id: r.n_links for r in ngram_join.link_components(docs, ngram_join.Likeness(3, 80, 100), block=block).collect()}
+    assert [got[i] for i in range(len(texts))] == want and max(want) == 62
+
+
 def test_queries_equal_their_sql(spark, tmp_path):
     """Rows, values and names, on tables with nulls, repeated texts, ties and characters of many bytes."""
     text = [None, "", "é" * 60, "é" * 60, "b" * 100, "b" * 99, "b" * 99, "b" * 100, "c"]
