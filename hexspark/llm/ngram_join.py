@@ -532,11 +532,19 @@ def _links_across(members: DataFrame, large: DataFrame, links: DataFrame, like:
 
 
 def deduplicated(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without the rows that are linked, directly or not, with a row of a smaller key.
+    """docs with one row of each component: that of the smallest key, null keys last, ties broken by the text.
 
-    A key repeated with one text is the same document and all its rows stay.  Columns are unchanged.
+    Rows are told apart, not keys: repeated keys and null keys are rows like any other.  Rows without
+    words all stay.  Columns are unchanged.
     """
-    found = link_components(docs, like, key, text, count=False).where(~F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_gone")).distinct()
+    rows = common.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    linked = link_components(rows, like, "_row", text, count=False).select(F.col("_row").alias("_id"), F.col("component_id").alias("_component"))
+    several = linked.groupBy("_component").count().where("count > 1").select(F.col("_component").alias("_c"))
+    found = common.stored(linked.join(several, F.col("_component") == F.col("_c")).select("_id", "_component"), "linked")
     small = found.count() <= BROADCAST_ROWS
-    kept = docs.join(F.broadcast(found) if small else found, F.col(key) == F.col("_gone"), "left_anti")
-    return kept
+    side = F.broadcast(found) if small else found
+    rank = F.struct(F.col(key).isNull(), F.col(key), F.xxhash64(text), F.col("_row"))
+    ranked = rows.join(side, F.col("_row") == F.col("_id")).select("_component", "_row", rank.alias("_rank"))
+    first = ranked.groupBy("_component").agg(F.min("_rank")["_row"].alias("_first")).select("_first")
+    gone = common.stored(found.join(first, F.col("_id") == F.col("_first"), "left_anti").select("_id"), "gone")
+    return rows.join(F.broadcast(gone) if small else gone, F.col("_row") == F.col("_id"), "left_anti").drop("_row")

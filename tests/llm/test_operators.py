@@ -267,6 +267,15 @@ def test_ngram_join_counts_every_link(spark, block):
     assert [got[i] for i in range(len(texts))] == want and max(want) == 62
 
 
+def test_one_row_of_each_component_stays(spark):
+    copy, alone, other = ("a b c d e f g h", "k l m n o p q r", "s t u v w x y z")
+    rows = [(1, copy, "a"), (2, copy, "a"), (2, alone, "a"), (3, other, "a"), (3, other, "b"), (None, "one two three", "a"), (None, "one two three", "b"), (None, copy, "a"), (4, "", "a"), (4, None, "a")]
+    docs = _docs(spark, rows)
+    got = ngram_join.deduplicated(docs)
+    assert got.columns == docs.columns
+    assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == collections.Counter([(1, copy), (2, alone), (3, other), (None, "one two three"), (4, ""), (4, None)])
+
+
 def test_queries_equal_their_sql(spark, tmp_path):
     """Rows, values and names, on tables with nulls, repeated texts, ties and characters of many bytes."""
     text = [None, "", "é" * 60, "é" * 60, "b" * 100, "b" * 99, "b" * 99, "b" * 100, "c"]
