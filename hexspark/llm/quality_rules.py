@@ -1,8 +1,8 @@
 """Quality rules judged by an isolation forest.
 
-Rule statistics are counted for every whole text with numpy.  An isolation forest fitted on a bounded
-sample of them gives each document an anomaly score from the lengths of its paths over random splits;
-the threshold is calibrated on the scores of all labelled rows.
+Rule statistics are counted for every whole text with numpy and made rates.  An isolation forest fitted
+on a bounded sample of the rates gives each document an anomaly score from the lengths of its paths
+over random splits.  Labels set the threshold on that score and nothing else.
 """
 
 from __future__ import annotations
@@ -25,8 +25,13 @@ MOST_REPEATED = 50
 #: Rows of the fitting sample, trees, and rows of each tree.
 SAMPLE_ROWS = 20_000
 TREES, TREE_ROWS = 128, 64
-#: A rate counts as far as it exceeds this quantile of the rates of good labelled rows.
-TOLERANCE = 0.995
+#: Rates are drawn towards the corpus' rate as by so many units of it, so that a short text's chance
+#: does not make it odd.
+UNITS = {"n_words": 50, "n_lines": 10, "word_chars": 250}
+#: Rates are scaled by the distance of these quantiles, and distances from the middle raised to a power:
+#: uniform splits then fall far from the bulk more often.
+SPREAD = (0.05, 0.5, 0.95)
+POWER = 1.5
 #: Of the good labelled rows, at most this share may be rejected.
 MOST_LOST = 0.01
 BINS = 1000
@@ -107,17 +112,22 @@ def rule_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def rates() -> list[Column]:
-    """Rates that do not depend on a text's length, from the statistics."""
+#: What each rate counts and what it is a share of.
+RATES = (
+    ("word_chars", "n_words"), ("n_symbols", "n_words"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"),
+    ("n_upper", "word_chars"), ("n_digits", "word_chars"), ("n_marks", "n_words"),
+)
 
-    def rate(top: str, below: str, most: float) -> Column:
-        return F.least(F.lit(most), F.col(top) / F.greatest(F.col(below), F.lit(1)))
 
-    return [
-        rate("word_chars", "n_words", 40.0), rate("n_symbols", "n_words", 3.0), rate("n_dup_lines", "n_lines", 1.0),
-        rate("n_repeat_words", "n_words", 1.0), rate("n_upper", "word_chars", 1.0), rate("n_digits", "word_chars", 1.0),
-        rate("n_marks", "n_words", 3.0), F.lit(-1.0) * rate("word_chars", "n_words", 40.0),
-    ]
+def rates(totals: dict[str, int]) -> list[Column]:
+    """The rates of a row, given the totals of the statistics over all rows."""
+    return [(F.col(top) + UNITS[below] * totals[top] / max(1, totals[below])) / (F.col(below) + UNITS[below]) for top, below in RATES]
+
+
+def scaled(rate: Column, low: float, middle: float, high: float) -> Column:
+    """A rate's distance from the middle in spreads, with its sign, to the power."""
+    z = (rate - F.lit(middle)) / F.lit(max(high - low, 1e-3 * abs(middle), 1e-9))
+    return F.signum(z) * F.pow(F.abs(z), F.lit(POWER))
 
 
 class Forest:
@@ -196,23 +206,19 @@ def threshold_of(good: np.ndarray, bad: np.ndarray, most_lost: float = MOST_LOST
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """key, the statistics, base_failed, anomaly score and kept for every row of docs.
 
-    The statistics are made in one pass over the texts and kept as a table.  All labelled rows set the
-    tolerances of the rates and the threshold; the forest is fitted on at most sample_rows rows in hash
-    order.  Null or empty texts have no words and fail the base rules; without labels the tolerances are
-    those of all rows and the threshold is a fixed default.
+    The statistics are made in one pass over the texts and kept as a table.  Totals and quantiles are those
+    of all rows; the forest is fitted on at most sample_rows of those that pass the base rules, in hash
+    order; all labelled rows set the threshold.  Null or empty texts have no words and fail the base rules;
+    without labels of both kinds the threshold is a fixed default.  Repeated rows are each judged; a row
+    of null key has no label.
     """
     stats = common.stored(rule_table(docs, key, text), "rules")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     marks = labels.where(F.col("quality").isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min("quality").alias("_q"))
-    marked = stats.where(~failed).join(marks, F.col(key) == F.col("_key"))
-
-    def quantiles(rows: DataFrame) -> list | None:
-        return rows.agg(*[F.percentile_approx(r, TOLERANCE, 20000).alias(f"r{i}") for i, r in enumerate(rates())]).first()
-
-    bounds = quantiles(marked.where("_q = 1"))
-    if bounds[0] is None:
-        bounds = quantiles(stats.where(~failed))
-    over = [F.greatest(F.lit(0.0), r - F.lit(float(b or 0.0))).alias(f"x{i}") for i, (r, b) in enumerate(zip(rates(), bounds, strict=True))]
+    totals = stats.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS + EXTRA]).first().asDict()
+    per_row = rates(totals)
+    spread = stats.where(~failed).agg(*[F.percentile_approx(r, list(SPREAD), 20000) for r in per_row]).first()
+    over = [scaled(r, *(q or (0.0, 0.0, 0.0))).alias(f"x{i}") for i, (r, q) in enumerate(zip(per_row, spread, strict=True))]
     names = [f"x{i}" for i in range(len(over))]
 
     sample = stats.where(~failed).orderBy(F.xxhash64(F.lit(3), F.col(key)), *COUNTS).limit(sample_rows).select(*over).toArrow()
