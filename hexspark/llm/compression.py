@@ -1,15 +1,17 @@
 """Quality by compression: dictionaries of good and bad text, and the difference they make.
 
 Two zstandard dictionaries are trained on bounded samples of good and bad labelled texts.  Each whole
-text is compressed with either and with none; the difference of the two sizes over the plain size, the
-sizes per byte and the length go through a logistic fit, shifted so that the best cut lies at the
-decision threshold.
+text is compressed with either, piece by piece, so that a dictionary counts to the end of a long text and
+not only until the text has taught the compressor itself.  The difference of the two sizes, over the
+length, is the quality of the text; a logistic curve of it, fitted on differences made by dictionaries
+that had not seen the text, makes it the chance that the text is good.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +23,15 @@ from pyspark.sql import types as T
 from hexspark.llm import common, samples
 
 LEVEL = 3
-DICTIONARY_BYTES = 128 << 10
-CHUNK = 4096
+DICTIONARY_BYTES = 32 << 10
+#: Bytes of a text for the dictionary trainer, and bytes compressed at a time.
+CHUNK, PIECE = 4096, 1024
+#: Bytes added to a text's length, so that a few bytes make no extreme difference.
+LEAST_BYTES = 256
 #: The fitting sample: at most so many texts and bytes of each class.
 SAMPLE_ROWS, SAMPLE_BYTES = 6000, 24 << 20
-#: Share of the sample for the dictionaries; the rest fits the scores.
-FOR_DICTIONARIES = 0.5
-#: A good text lost counts as so many bad texts kept when the cut is chosen.
-GOOD_COUNTS = 3.0
+#: The sample is cut into so many parts; the differences of each are made by dictionaries of the others.
+PARTS = 2
 #: A score from here on predicts label 1.
 DECISION = 0.3
 
@@ -45,74 +48,75 @@ def dictionary(texts: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
     return b"".join(chunks)[-size:]
 
 
-class Sizes:
-    """Compressed sizes of a text with the good, the bad and no dictionary."""
+class Difference:
+    """The normalised compressed-size difference of a text under a good and a bad dictionary; positive is good."""
 
     def __init__(self, good: bytes, bad: bytes, level: int = LEVEL) -> None:
         bare = {"level": level, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.by = []
-        for d in (good, bad, b""):
+        for d in (good, bad):
             made = zstandard.ZstdCompressionDict(d) if len(d) >= 8 else None
             if made is not None:
                 made.precompute_compress(level=level)
             self.by.append(zstandard.ZstdCompressor(dict_data=made, **bare) if made is not None else zstandard.ZstdCompressor(**bare))
 
-    def of(self, text: bytes) -> tuple[float, float, float, float, float]:
-        good, bad, plain = (len(c.compress(text)) for c in self.by)
-        n = max(1, len(text))
-        return (good - bad) / plain, plain / n, good / n, bad / n, float(np.log(n))
+    def of(self, text: bytes) -> float:
+        pieces = [text[i : i + PIECE] for i in range(0, len(text), PIECE)]
+        good, bad = (sum(len(c.compress(p)) for p in pieces) for c in self.by)
+        return (bad - good) / (len(text) + LEAST_BYTES)
 
-
-def expand(x: np.ndarray) -> np.ndarray:
-    """The features and their products."""
-    n = x.shape[1]
-    return np.hstack([x] + [x[:, [i]] * x[:, [j]] for i in range(n) for j in range(i, n)])
+    def of_all(self, col: pa.Array) -> np.ndarray:
+        """Of each text of a column; null counts as empty, which has none."""
+        raw, at = common.utf8_of(col)
+        return np.array([self.of(raw[a:b].tobytes()) for a, b in zip(at, at[1:], strict=False)])
 
 
 @dataclass
 class Model:
     good: bytes
     bad: bytes
-    mean: np.ndarray
-    scale: np.ndarray
-    weights: np.ndarray
-    cut: float
-
-    def scores(self, sizes: np.ndarray) -> np.ndarray:
-        x = expand(np.clip((sizes - self.mean) / self.scale, -6, 6))
-        z = x @ self.weights[:-1] + self.weights[-1] - self.cut + np.log(DECISION / (1 - DECISION))
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-
-
-def fit(texts: list[bytes], labels: np.ndarray) -> Model:
-    """Dictionaries from one part of the sample, scores and cut from the rest; in a small sample, from all."""
-    rng = np.random.default_rng(9)
-    for_dict = rng.random(len(texts)) < FOR_DICTIONARIES
-    if min(np.sum(~for_dict & (labels == c)) for c in (0, 1)) < 100:
-        for_dict[:] = True
-        rest = for_dict
-    else:
-        rest = ~for_dict
-    good, bad = (dictionary([t for t, d, y in zip(texts, for_dict, labels, strict=True) if d and y == c]) for c in (1, 0))
-    use = np.flatnonzero(rest)
-    sizes = Sizes(good, bad)
-    x = np.array([sizes.of(texts[i]) for i in use]).reshape(-1, 5)
-    y = labels[use]
-    if len(set(y.tolist())) < 2:  # one class or none: predict it, or good
-        base = 8.0 if not len(y) or y[0] == 1 else -8.0
-        return Model(good, bad, np.zeros(5), np.ones(5), np.concatenate([np.zeros(20), [base]]), 0.0)
-    mean, scale = x.mean(0), x.std(0) + 1e-9
-    wide = expand(np.clip((x - mean) / scale, -6, 6))
-    w = samples.logistic(wide, y, 1e-4)
-    z = wide @ w[:-1] + w[-1]
-    cuts = np.quantile(z, np.linspace(0, 1, 2001))
-    kept, lost = np.sort(z[y == 0]), np.sort(z[y == 1])
-    cost = GOOD_COUNTS * np.searchsorted(lost, cuts) / len(lost) + 1 - np.searchsorted(kept, cuts) / len(kept)
-    best = np.flatnonzero(cost <= cost.min() + 1e-12)
-    # Between the rows on either side of the best cut.
-    at = cuts[best[len(best) // 2]]
-    below = z[z < at]
-    return Model(good, bad, mean, scale, w, float((at + (below.max() if len(below) else at)) / 2))
+    slope: float
+    shift: float
+
+    def scores(self, difference: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * difference + self.shift, -40, 40)))
+
+
+def _dictionaries(texts: list[bytes], labels: np.ndarray, use: np.ndarray) -> tuple[bytes, bytes]:
+    good, bad = (dictionary([texts[i] for i in np.flatnonzero(use & (labels == c))]) for c in (1, 0))
+    return good, bad
+
+
+def fit(texts: list[bytes], labels: np.ndarray, prior: float | None = None) -> Model:
+    """Dictionaries of all texts, and the curve from differences by dictionaries of the parts a text is not in.
+
+    prior: the share of good texts outside the sample, if the classes were not drawn alike.
+    """
+    every = np.ones(len(texts), bool)
+    if len(set(labels.tolist())) < 2:  # one class or none: predict it, or good
+        return Model(*_dictionaries(texts, labels, every), 0.0, 8.0 if not len(labels) or labels[0] == 1 else -8.0)
+    part = np.empty(len(texts), int)
+    for c in (0, 1):  # each class is spread over the parts
+        own = np.flatnonzero(labels == c)
+        part[own] = np.arange(len(own)) % PARTS
+    x = np.empty(len(texts))
+    for k in range(PARTS):
+        by = Difference(*_dictionaries(texts, labels, part != k))
+        for i in np.flatnonzero(part == k):
+            x[i] = by.of(texts[i])
+    unit = float(x.std()) or 1.0
+    slope, shift = samples.logistic(x[:, None] / unit, labels, 1e-4)
+    slope = max(0.0, slope)  # a higher difference is never worse
+    if prior is not None and 0 < prior < 1:
+        own = labels.mean()
+        shift += np.log(prior / (1 - prior)) - np.log(own / (1 - own))
+    return Model(*_dictionaries(texts, labels, every), float(slope / unit), float(shift))
+
+
+def trained(docs: DataFrame, labels: DataFrame, train: Column | None, key: str, text: str, rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> Model:
+    """The model of the labels that `train` admits."""
+    sample, prior = samples.labelled(docs, labels, "quality", rows, max_bytes, train, key, text)
+    return samples.fitted(sample, partial(fit, prior=prior))
 
 
 def classify(
@@ -125,34 +129,28 @@ def classify(
     and `max_bytes` bytes of each class.  Null texts count as empty and get a score; without labels all
     rows count as good.  A column named score is replaced.
     """
-    sample = samples.labelled(docs, labels, "quality", rows, max_bytes, train, key, text)
-    model = samples.fitted(sample, fit)
+    model = trained(docs, labels, train, key, text, rows, max_bytes)
     names = [c for c in (keep or (key,)) if c != "score"]
     chosen = docs.select(*names, F.col(text).alias("_text"))
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = Sizes(model.good, model.bad)
+        by = Difference(model.good, model.bad)
         for batch in batches:
-            raw, at = common.utf8_of(batch.column(batch.num_columns - 1))
-            found = np.array([sizes.of(raw[a:b].tobytes()) for a, b in zip(at, at[1:], strict=False)]).reshape(-1, 5)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.scores(found))], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.scores(by.of_all(batch.column(batch.num_columns - 1))))], schema.names)
 
     return chosen.mapInArrow(run, schema)
 
 
 def kept(docs: DataFrame, labels: DataFrame, train: Column | None = None, key: str = "doc_id", text: str = "text", decision: float = DECISION) -> DataFrame:
     """docs without the rows that score under `decision`; columns are unchanged and no row moves."""
-    sample = samples.labelled(docs, labels, "quality", SAMPLE_ROWS, SAMPLE_BYTES, train, key, text)
-    model = samples.fitted(sample, fit)
+    model = trained(docs, labels, train, key, text)
     place = docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = Sizes(model.good, model.bad)
+        by = Difference(model.good, model.bad)
         for batch in batches:
-            raw, at = common.utf8_of(batch.column(place))
-            found = np.array([sizes.of(raw[a:b].tobytes()) for a, b in zip(at, at[1:], strict=False)]).reshape(-1, 5)
-            yield batch.filter(pa.array(model.scores(found) >= decision))
+            yield batch.filter(pa.array(model.scores(by.of_all(batch.column(place))) >= decision))
 
     return docs.mapInArrow(run, docs.schema)
 

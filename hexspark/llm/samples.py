@@ -11,15 +11,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
-
 def labelled(
     docs: DataFrame, labels: DataFrame, target: str, rows: int, max_bytes: int, where: Column | None = None, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """At most `rows` texts and `max_bytes` bytes of each class (text, label).
+) -> tuple[DataFrame, float]:
+    """At most `rows` texts and `max_bytes` bytes of each class (text, label, h, _key); and the share of label 1.
 
-    Rows are taken in the order of a hash of their key, so a rerun takes the same ones.  Null labels and
-    texts are left out; a key labelled twice counts once, with its smaller label.
+    Keys are taken in the order of a hash, so a rerun takes the same ones; a text that does not fit into
+    the bytes left is passed over, the ones after it are not.  Null labels and texts are left out; a key
+    labelled twice counts once, with its smaller label; of a key on several rows one text counts.  The
+    share is that of all labels admitted.
     """
     once = labels.where(F.col(target).isNotNull() & F.col(key).isNotNull())
     if where is not None:
@@ -34,9 +34,19 @@ def labelled(
     parts = [once.where(F.col("_label") == c).orderBy(order, "_key").limit(rows) for c in (0, 1)]
     ids = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * rows rows at most
     found = docs.select(key, text).where(F.col(text).isNotNull()).join(ids, F.col(key) == F.col("_key"))
-    found = found.select(F.col("_label").alias("label"), F.col(text).alias("text"), order.alias("h"), F.col("_key"))
-    upto = F.sum(F.octet_length("text").cast("long")).over(Window.partitionBy("label").orderBy("h", "_key", "text"))
-    return found.withColumn("upto", upto).where(F.col("upto") <= max_bytes).select("text", "label", "h", "_key")
+    found = found.groupBy("_key", F.col("_label").alias("label")).agg(F.min_by(F.col(text), F.struct(F.xxhash64(text), text)).alias("text"))
+    found = common.stored(found.select("text", "label", order.alias("h"), "_key"), "sample")
+    # Sizes of 2 * rows texts at most decide on the driver which ones fit.
+    taken, held = [], {0: 0, 1: 0}
+    sizes = found.select("label", "h", "_key", F.octet_length("text").alias("n")).collect()
+    for label, _, k, n in sorted(sizes, key=lambda r: (r[0], r[1], r[2])):
+        if held[label] + n <= max_bytes:
+            held[label] += n
+            taken.append((k,))
+    if len(taken) < len(sizes):
+        fits = docs.sparkSession.createDataFrame(taken, T.StructType([T.StructField("_fits", found.schema["_key"].dataType)]))
+        found = found.join(F.broadcast(fits), F.col("_key") == F.col("_fits"), "left_semi")
+    return found, seen.get(1, 0) / max(1, seen.get(0, 0) + seen.get(1, 0))
 
 
 def fitted(sample: DataFrame, fit: Callable[[list[bytes], np.ndarray], object]) -> object:
@@ -49,7 +59,7 @@ def fitted(sample: DataFrame, fit: Callable[[list[bytes], np.ndarray], object])
             labels += batch.column(1).to_pylist()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, np.array(labels, np.int64)))], pa.binary())], ["model"])
 
-    ordered = sample.repartition(1).sortWithinPartitions("label", "h", "_key", "text").select("text", "label")
+    ordered = sample.repartition(1).sortWithinPartitions("label", "h", "_key").select("text", "label")
     row = ordered.mapInArrow(run, "model binary").first()
     return fit([], np.zeros(0, np.int64)) if row is None else pickle.loads(row[0])  # no row: an empty plan runs no task
 
@@ -80,6 +90,3 @@ def logistic(x, y, l2: float = 1e-3, rounds: int = 50):
         if np.abs(step).max() < 1e-8:
             break
     return w
-
-
-
