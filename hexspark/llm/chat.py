@@ -19,8 +19,6 @@ from hexspark.llm import common
 
 OPEN, CLOSE = "### ", "</turn>\n"
 ESCAPES = (("\\", "\\b"), ("#", "\\h"), ("<", "\\l"), (":", "\\c"))
-#: Doublings after which a message without a root must lie on a cycle: 2^40 messages in a chain.
-MOST_ROUNDS = 40
 
 
 def escape(text: Column) -> Column:
@@ -40,7 +38,8 @@ def branch_table(messages: DataFrame) -> DataFrame:
     """One row per leaf: tree, leaf, root, depth (messages on the branch), score (sum over the branch).
 
     messages: tree, node, parent, score; node is unique.  A parent that is null or not among the nodes
-    makes a root.  Messages on a cycle belong to no branch.
+    makes a root.  Messages on a cycle, and those that answer them, belong to no branch: after as many
+    doublings as the number of messages has bits, every other message has reached its root.
     """
     nodes = messages.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     ids = nodes.select(F.col("node").alias("p"))
@@ -50,7 +49,7 @@ def branch_table(messages: DataFrame) -> DataFrame:
     # reach: score and depth of the node and the ancestors before `up`; up is the next ancestor, null at a root.
     reach = nodes.select("tree", "node", F.col("parent").alias("up"), "score", F.lit(1).cast("long").alias("depth"), F.col("node").alias("top"))
     reach = common.stored(reach, "reach")
-    for _ in range(MOST_ROUNDS):
+    for _ in range(reach.count().bit_length()):
         if reach.where("up is not null").isEmpty():
             break
         far = reach.select(F.col("node").alias("n2"), F.col("up").alias("up2"), F.col("score").alias("s2"), F.col("depth").alias("d2"), F.col("top").alias("t2"))
@@ -159,11 +158,12 @@ def conversation_messages(conversations: DataFrame) -> DataFrame:
     """Linear conversations as reply trees: each turn answers the one before it.
 
     Turns go by turn number (nulls first), then role and text; repeated rows are turns of their own.
-    A null conv_id is a conversation like any other.
+    A null conv_id is a conversation like any other, and not that named "null".  The turns of one
+    conversation are numbered in one task, and its text is one value, 2 GB at most.
     """
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), F.lit("/"))
+    key = F.concat(F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")), F.lit("/"))
     rows = rows.withColumn("at", F.row_number().over(order))
     return rows.select(
         F.col("conv_id").alias("tree"),

@@ -7,18 +7,21 @@ from pyspark.sql import functions as F
 
 from hexspark.llm import common
 
+#: Rounds grow with the logarithm of the longest chain; more than these cannot be needed by edges that fit on disk.
 MOST_ROUNDS = 60
 
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    # Minima are written first: the join then reads two plain shuffles, and the rows of a node with very many
+    # edges are split among tasks.
+    least = common.stored(both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.min("a")).alias("m")), "least")
     return both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b").where("a <> b").distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     # Edges run from the smaller node a to the larger b.
-    least = e.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
+    least = common.stored(e.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")), "least")
     near = e.join(least, F.col("b") == F.col("u"))
     moved = near.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
     return moved.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
@@ -39,5 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = mark
         e = common.stored(_small_star(_large_star(e)), "edges")
+    else:
+        raise RuntimeError(f"components did not settle within {MOST_ROUNDS} rounds")
     roots = e.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
     return e.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(roots)

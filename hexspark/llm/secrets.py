@@ -3,7 +3,8 @@
 A byte-pair vocabulary made from ordinary text spends few tokens on words and many on random strings.
 Runs of 16 or more base64-like characters whose characters per token stay under a threshold are
 reported as random, unless they are digests of a known length, UUIDs, numbers, or identifiers (words
-joined by case, hyphens or underscores, which the vocabulary itself spends few tokens on).
+joined by case, hyphens or underscores, which the vocabulary itself spends few tokens on).  A run that
+lies within a span of a fixed pattern is not reported again; one that reaches beyond it is.
 
 Only words of 12 bytes or more can hold a match of the fixed patterns, so each batch is scanned for
 these with numpy and the regular expressions see little of the text; results are the same as on whole
@@ -13,8 +14,9 @@ texts, as no pattern but `assign` can cross white space, and that one runs on wh
 from __future__ import annotations
 
 import base64
+import os
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -40,6 +42,7 @@ EFFICIENCY = 1.9
 RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Lengths of hexadecimal digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512).
 DIGESTS = (32, 40, 56, 64, 96, 128)
+_NO_END = float("inf")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
@@ -93,7 +96,7 @@ def find(text: str, ranks: bytes, words: list[tuple[int, str]], threshold: float
             found += [("access", at + m.start(), at + m.end()) for m in ACCESS.finditer(word) if len(m[0]) >= ACCESS_LEAST]
         if len(word) >= HEX_LEAST:
             found += [("hex", at + m.start(), at + m.end()) for m in HEX.finditer(word) if len(m[0]) >= HEX_LEAST]
-    # Base spans by start with the furthest end so far: one search tells whether a run meets any of them.
+    # Base spans by start with the furthest end so far: one search tells whether a run lies within any of them.
     base = sorted((a, b) for _, a, b in found)
     furthest = list(accumulate((b for _, b in base), max))
     for at, word in words:
@@ -102,8 +105,8 @@ def find(text: str, ranks: bytes, words: list[tuple[int, str]], threshold: float
         for m in _RUN.finditer(word):
             s, e = at + m.start(), at + m.end()
             run = m[0]
-            before = bisect_left(base, (e,))
-            if known(run) or before and furthest[before - 1] > s:
+            before = bisect_right(base, (s, _NO_END))
+            if known(run) or before and furthest[before - 1] >= e:
                 continue
             if efficiency(run, ranks) < threshold and not identifier(run, ranks):
                 found.append(("random", s, e))
@@ -155,7 +158,10 @@ def scan_batch(col: pa.Array, ranks: bytes, threshold: float) -> Iterator[tuple[
 
 
 def _ranks(path: str) -> bytes:
-    with open(path, "rb") as f:  # a file of fixed size, read on the driver and sent along
+    """The vocabulary, a file of fixed size that the driver reads and sends along; it raises where there is none."""
+    if not os.path.isfile(path):
+        raise FileNotFoundError(f"no vocabulary at {path}; give its place as ranks_path")
+    with open(path, "rb") as f:
         return f.read()
 
 
@@ -187,7 +193,8 @@ def _cut(text: str, spans: list, mark: Callable[[str], str]) -> str:
 
 
 def redact(docs: DataFrame, text: str = "text", ranks_path: str = RANKS_PATH, threshold: float = EFFICIENCY) -> DataFrame:
-    """docs with every span replaced by ``[kind]``; overlapping spans become one mark, that of the first.
+    """docs with every span replaced by ``[kind]``; spans that overlap go whole
+    and become one mark, that of the first.
 
     All columns and rows stay; a null text stays null.
     """
