@@ -7,9 +7,12 @@ operations over pieces of a few megabytes, so memory does not depend on the batc
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +27,30 @@ _own_dir: list[str] = []
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir.  Where it is unset, a local session gets one of its own, which goes
+    when the driver ends; a cluster has no such folder to guess, so that raises."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="hexspark-"))
+            atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
         base = "file://" + _own_dir[0]
     return f"{base.rstrip('/')}/hexspark"
 
 
+def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted column names, each with underscores before it until no taken one is like it."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def new_path(spark: SparkSession, tag: str) -> str:
     return f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 

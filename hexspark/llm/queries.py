@@ -14,6 +14,39 @@ from hexspark.llm.common import fold, table
 QUOTE = "\\### Assistant: </turn> ok"
 
 SQL = {
+    "op4_mix_sources": r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         ('0x' || substr(md5(coalesce('=' || doc_id::VARCHAR, '') || '|' || coalesce('=' || source, '') || '|' || coalesce('=' || md5(text), '')), 1, 15))::BIGINT AS h
+  FROM documents
+),
+per AS (
+  SELECT source, source_size, 3.0::DOUBLE * source_size AS most, [5, 2, 1][1 + rk % 3]::DOUBLE AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk FROM rows GROUP BY source)
+),
+-- If all sources that fill up sooner than this one are full, the others share the rest by weight.
+shared AS (
+  SELECT most / weight AS ratio,
+         ((SELECT sum(source_size) FROM per) - coalesce((SELECT sum(o.most) FROM per o WHERE o.most / o.weight < p.most / p.weight), 0))
+         / (SELECT sum(o.weight) FROM per o WHERE o.most / o.weight >= p.most / p.weight) AS factor
+  FROM per p
+),
+targets AS (
+  SELECT *, least(most, coalesce(weight * (SELECT arg_min(factor, ratio) FROM shared WHERE ratio > factor), most)) AS target FROM per
+),
+budgets AS (
+  SELECT *, CASE WHEN target >= most THEN round(target / greatest(source_size, 1)) ELSE floor(target / greatest(source_size, 1)) END::BIGINT AS whole FROM targets
+),
+placed AS (
+  SELECT r.*, b.source_size, b.target, b.whole, greatest(0.0, b.target - b.whole * b.source_size) AS rest,
+         sum(r.size) OVER (PARTITION BY r.source ORDER BY r.h, r.rid ROWS UNBOUNDED PRECEDING) AS upto
+  FROM rows r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source
+)
+-- The row in which the budget ends is taken if that comes nearer.
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * least(3, whole + CASE WHEN upto <= rest OR (upto - size < rest AND upto - rest < rest - (upto - size)) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed
+""",
     "op5_archive_pages": """
 WITH rows AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 digested AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM rows),
