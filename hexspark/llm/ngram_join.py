@@ -4,15 +4,17 @@ Equal sets are one class from the start.  For two sets of similarity t or more t
 has at most d elements, d following from t and the sizes; so if both sets are dealt by hash into
 K = d + 1 + e parts, at least e + 1 parts are equal.  Every set therefore emits a key per non-empty part
 (shingles found in very many documents left aside, which leaves the bound intact), and a set with more
-than e empty parts emits further keys, so that each linked pair shares a key.  Sets joined by keys form
-small candidate clusters.  Inside a cluster a signature tree does the join: leaves hold token bitmaps,
-inner nodes the OR of their children's bitmaps and their range of sizes, and a dual traversal drops
-node pairs whose greatest possible overlap is too small.  Pairs that remain are verified on the sets
-themselves; links go into connected components and are counted for each set, the rows of its class as its
-weight.  Where no counts are asked for, pairs connected already are passed over.
+than e empty parts emits further keys, so that each linked pair shares a key.  Keys are sorted over
+ranges of key and set, so that no key lies in one task alone, and sets that share one are clusters.
+
+Clusters are packed together into blocks, and over each block a signature tree does the join: leaves hold
+token bitmaps, inner nodes the OR of their children's bitmaps and their range of sizes, and a dual
+traversal drops node pairs whose greatest possible overlap is too small.  Pairs that remain are verified
+on the sets themselves; links go into connected components and are counted for each set, the rows of its
+class as its weight.  Where no counts are asked for, pairs connected already are passed over.
 
 Clusters above a block of shingles are cut into blocks by size and joined block by block and between
-blocks, so no task holds more than two blocks.  Nothing is capped or dropped.
+blocks, so no task holds more than about two blocks.  Nothing is capped or dropped.
 """
 
 from __future__ import annotations
@@ -31,7 +33,9 @@ from hexspark.llm.components import components
 
 #: Shingles in one block of a cluster; a task holds one block, or two when joining across.
 BLOCK_SHINGLES = 1_500_000
-#: A class table up to so many rows is broadcast to fetch texts.
+#: Smaller clusters are packed into blocks of about so many shingles, a tree for each.
+PACK_SHINGLES = 100_000
+#: A table of two or three numbers a row is broadcast up to so many rows; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 #: A shingle found so often among the shingles of a piece is a candidate for the very common, which are
 #: those of the greatest total; the number of them is bounded as they are broadcast.
@@ -170,16 +174,18 @@ def common_shingles(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
 
     counts = docs.select(text).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_LEAST)
     counts = common.stored(counts, "common")
-    # The most frequent, by a histogram over eighths of an octave: no task ranks them all.
+    # The most frequent, by a histogram over eighths of an octave, and of the bin in which the number ends a share by hash.
     level = F.floor(F.log2("n") * 8).cast("int")
-    held, least = 0, None
+    held, least, share = 0, None, 0
     for at, n in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        least = at
         if held + n > COMMON_MOST:
+            share = 1000 * (COMMON_MOST - held) // n
             break
-        held, least = held + n, at
+        held, share = held + n, 1000
     if least is None:
         return np.zeros(0, np.uint64)
-    top = counts.where(level >= least).select("h").toArrow()
+    top = counts.where((level > least) | ((level == least) & (F.pmod("h", F.lit(1000)) < share))).select("h").toArrow()
     return np.sort(top.column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -422,74 +428,154 @@ def _link_tasks(rows: DataFrame, like: Likeness, count: bool = False) -> DataFra
     return placed.mapInArrow(run, "a long, b long, n long")
 
 
-def shingle_table(docs: DataFrame, key: str, text: str, like: Likeness) -> DataFrame:
-    """key, n_shingles, sid (null for empty sets) and keys of every row, in one pass over the texts."""
-    often = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text, like))
+def shingle_table(rows: DataFrame, passed: list[str], text: str, like: Likeness) -> DataFrame:
+    """The columns passed, _n (shingles), _sid (null for empty sets) and _keys of every row, in one pass over the texts.
+
+    Of rows of equal sets in a task the first alone has keys.
+    """
+    often = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text, like))
+    chosen = rows.select(*passed, text)
     schema = T.StructType([
-        T.StructField(key, docs.schema[key].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("sid", T.LongType()),
-        T.StructField("keys", T.ArrayType(T.LongType())),
+        *chosen.schema.fields[:-1], T.StructField("_n", T.LongType()), T.StructField("_sid", T.LongType()), T.StructField("_keys", T.ArrayType(T.LongType())),
     ])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            raw, at = common.utf8_of(batch.column(1))
+            raw, at = common.utf8_of(batch.column(batch.num_columns - 1))
             for lo, hi in common.pieces(at):
                 h, bounds = distinct_sets(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], like.n)
-                size = np.diff(bounds)
-                found, where = keys_of(h, bounds, often.value, like)
+                size, ids = np.diff(bounds), set_ids(h, bounds)
+                fresh = np.zeros(hi - lo, bool)
+                for i, x in enumerate(ids.tolist()):
+                    if x not in seen:
+                        seen.add(x)
+                        fresh[i] = True
+                mine = np.repeat(fresh, size)
+                found, where = keys_of(h[mine], np.concatenate([[0], np.cumsum(size * fresh)]), often.value, like)
                 keys = pa.ListArray.from_arrays(pa.array(where.astype(np.int32)), pa.array(found))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(size), pa.array(set_ids(h, bounds), mask=size == 0), keys], schema.names
+                    [*(batch.column(i).slice(lo, hi - lo) for i in range(len(passed))), pa.array(size), pa.array(ids, mask=size == 0), keys], schema.names
                 )
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return chosen.mapInArrow(run, schema)
 
 
-def link_components(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text", block: int = BLOCK_SHINGLES, count: bool = True) -> DataFrame:
-    """key, n_shingles, component_id and, if count, n_links for every row of docs.
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """a, b: each set that shares a key with another, and the first set of that key; from k, sid.
 
-    component_id is the smallest key reachable by links of similarity num / den or more; texts without
-    words (null, empty) are linked with nothing and have their own key.  Rows repeated with the same key
-    and text are one class, each returned.  Sets are compared by 64-bit hashes of shingles: a pair of
-    different shingles or sets is taken for equal with a chance of 2^-64.  n_links is the number of other
-    rows of that similarity or more, those of equal sets included; all pairs a tree leaves are verified for it.
+    Rows are sorted over ranges of key and set, so a key of very many sets is spread over tasks.  A key that
+    goes on from one task to the next is known by the ends of the tasks, two rows of each.
     """
-    sets = common.stored(shingle_table(docs, key, text, like), "sets")
-    keyed = sets.where("sid is not null").select(F.explode("keys").alias("k"), "sid")
-    run = Window.partitionBy("k").orderBy("sid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    near = keyed.withColumn("a", F.first("sid").over(run)).where(F.col("a") != F.col("sid")).select("a", F.col("sid").alias("b")).distinct()
-    clusters = common.stored(components(near), "clusters")
-
-    classes = sets.where("sid is not null").groupBy("sid").agg(F.min(key).alias("rep"), F.first("n_shingles").alias("n"), F.count("*").alias("weight"))
-    upto = Window.partitionBy("root").orderBy("n", "sid")
-    placed = clusters.join(classes, F.col("node") == F.col("sid")).select(
-        F.col("root").alias("cluster"), "sid", "rep", "n", "weight", F.floor((F.sum("n").over(upto) - F.col("n")) / block).cast("int").alias("block")
-    )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(a: np.ndarray, b: np.ndarray | None, k: np.ndarray | None) -> pa.RecordBatch:
+            none = pa.nulls(len(a), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(a), none if b is None else pa.array(b), none if k is None else pa.array(k)], ["a", "b", "k"])
+
+        hub = None  # key and first set of the run that goes on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, sid = (batch.column(i).to_numpy() for i in range(2))
+            begins = np.concatenate([[hub is None or k[0] != hub[0]], k[1:] != k[:-1]])
+            at = np.maximum.accumulate(np.where(begins, np.arange(len(k)), -1))
+            first = np.where(at >= 0, sid[at], 0 if hub is None else hub[1])
+            if hub is None:
+                yield out(first[:1].copy(), None, k[:1].copy())
+            other = first != sid
+            pairs = np.unique(np.stack([first[other], sid[other]]), axis=1)
+            yield out(pairs[0].copy(), pairs[1].copy(), None)
+            hub = int(k[-1]), int(first[-1])
+        if hub is not None:
+            yield out(np.array([hub[1]]), None, np.array([hub[0]]))
+
+    placed = keyed.select("k", "sid").repartitionByRange("k", "sid").sortWithinPartitions("k", "sid")
+    found = common.stored(placed.mapInArrow(run, "a long, b long, k long"), "shared")
+    ends = found.where("b is null")
+    ends = ends.select(F.first("a").over(Window.partitionBy("k").orderBy("a")).alias("a"), F.col("a").alias("b")).where("a <> b")
+    return found.where("b is not null").select("a", "b").unionByName(ends).distinct()
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """df, a written table of a few numbers a row, to be broadcast if its rows are few enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _placed(clusters: DataFrame, classes: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """cluster, sid, row, n, weight, block and task of every set of a cluster; and the clusters cut into several blocks."""
+    sets = clusters.join(classes, F.col("node") == F.col("sid")).select(F.col("root").alias("cluster"), "sid", "row", "n", "weight")
+    sets = common.stored(sets, "candidates")
+    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    large = common.stored(sets.groupBy("cluster").agg(F.sum("n").alias("all")).where(F.col("all") > block).select("cluster"), "large")
+    packs = max(1, total // min(PACK_SHINGLES, block))
+    whole = sets.withColumn("block", F.lit(0)).withColumn("task", F.xxhash64(F.lit(1), F.pmod(F.xxhash64("cluster"), F.lit(packs))))
+    if large.isEmpty():
+        return whole, large
+    side = _small(large.select(F.col("cluster").alias("_c")))
+    whole = whole.join(side, F.col("cluster") == F.col("_c"), "left_anti")
+    cut = sets.join(side, F.col("cluster") == F.col("_c"), "left_semi")
+    # Blocks by size: the sets of smaller sizes come first, those of one size in order of a hash.  Only sizes and their
+    # numbers are ranked, not sets.
+    sizes = cut.groupBy(F.col("cluster").alias("_c"), F.col("n").alias("_n")).agg((F.count("*") * F.col("n")).alias("_own"))
+    upto = F.sum("_own").over(Window.partitionBy("_c").orderBy("_n"))
+    sizes = common.stored(sizes.withColumn("_before", upto - F.col("_own")), "sizes")
+    at = F.col("_before") + F.pmod(F.xxhash64(F.lit(2), "sid"), F.lit(1 << 20)) / float(1 << 20) * F.col("_own")
+    cut = cut.join(_small(sizes), (F.col("cluster") == F.col("_c")) & (F.col("n") == F.col("_n"))).withColumn("block", F.floor(at / block).cast("int"))
+    cut = cut.select(*sets.columns, "block").withColumn("task", F.xxhash64(F.lit(3), "cluster", "block"))
+    return whole.unionByName(cut), large
+
+
+def linked_sets(rows: DataFrame, like: Likeness, row: str, key: str, text: str, block: int, count: bool, passed: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The set of every row, and an answer for every set that is linked or has several rows.
+
+    rows: a written table with a unique number in the column row.  Sets: row, key, the columns passed, _n, _sid.
+    Answers: node (a _sid), root (of its component), component_id (its smallest key), n_links (0 without count).
+    """
+    sets = common.stored(shingle_table(rows, [row, key, *passed], text, like), "sets")
+    full = sets.where("_sid is not null")
+    clusters = components(shared_keys(full.select(F.explode("_keys").alias("k"), F.col("_sid").alias("sid"))))
+    classes = full.groupBy(F.col("_sid").alias("sid")).agg(F.min(key).alias("rep"), F.min(row).alias("row"), F.first("_n").alias("n"), F.count("*").alias("weight"))
+    classes = common.stored(classes, "classes")
+    placed, large = _placed(clusters, classes, block)
     placed = common.stored(placed, "placed")
-    side = F.broadcast(placed) if placed.count() <= BROADCAST_ROWS else placed
-    members = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).where("text is not null")
-    members = members.join(side, F.col("_key").eqNullSafe(F.col("rep"))).select("cluster", "block", "sid", "n", "weight", "text")
+    side = _small(placed.withColumnRenamed("row", "_at"))
+    members = rows.select(F.col(row).alias("_row"), F.col(text).alias("text")).join(side, F.col("_row") == F.col("_at")).drop("_row", "_at")
     members = common.stored(members, "members")
 
-    own = F.struct("cluster", "block")
-    tasks = members.select(F.xxhash64(own).alias("task"), F.lit(0).alias("side"), F.col("sid").alias("grp"), "weight", "sid", "text")
+    tasks = members.select("task", F.lit(0).alias("side"), F.col("sid").alias("grp"), "weight", "sid", "text")
     links = common.stored(_link_tasks(tasks, like, count), "links")
-    large = placed.where("block > 0").select("cluster").distinct()
     if not large.isEmpty():
-        large = common.stored(large, "large")
-        links = _counts_across(members, large, links, like) if count else _links_across(members, large, links, like)
-    roots = components(links.where("b is not null").select("a", "b")).select(F.col("node").alias("_node"), F.col("root").alias("_root"), F.lit(0).cast("long").alias("_n"))
-    if count:
-        none = F.lit(None).cast("long").alias("_root")
-        others = classes.select(F.col("sid").alias("_node"), none, (F.col("weight") - 1).alias("_n"))
-        roots = roots.unionByName(others).unionByName(links.where("b is null").select(F.col("a").alias("_node"), none, F.col("n").alias("_n")))
-        roots = roots.groupBy("_node").agg(F.max("_root").alias("_root"), F.sum("_n").alias("_n"))
-    rooted = sets.select(key, "n_shingles", "sid").join(roots, F.col("sid") == F.col("_node"), "left")
-    rooted = rooted.select(key, "n_shingles", F.coalesce("_root", "sid").alias("root"), F.coalesce("_n", F.lit(0)).alias("n_links"))
-    rooted = common.stored(rooted, "rooted")
-    first = rooted.where("root is not null").groupBy(F.col("root").alias("_r")).agg(F.min(key).alias("component_id"))
-    out = rooted.join(first, F.col("root") == F.col("_r"), "left")
-    return out.select(key, "n_shingles", F.coalesce("component_id", F.col(key)).alias("component_id"), *(["n_links"] if count else []))
+        links = _counts_across(members, large, links, like) if count else _links_across(members, large, links, like, block)
+    roots = common.stored(components(links.where("b is not null").select("a", "b")), "roots")
+    least = roots.join(classes, F.col("node") == F.col("sid")).groupBy(F.col("root").alias("_r")).agg(F.min("rep").alias("_least"))
+    named = roots.join(_small(common.stored(least, "least")), F.col("root") == F.col("_r")).select(F.col("node").alias("_node"), "root", "_least")
+    counts = links.where("b is null").groupBy(F.col("a").alias("_a")).agg(F.sum("n").alias("_links"))
+    out = classes.join(named, F.col("sid") == F.col("_node"), "left").where((F.col("weight") > 1) | F.col("root").isNotNull())
+    out = out.join(counts, F.col("sid") == F.col("_a"), "left").select(
+        F.col("sid").alias("node"), F.coalesce("root", "sid").alias("root"), F.coalesce("_least", "rep").alias("component_id"),
+        (F.col("weight") - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"),
+    )
+    return sets, common.stored(out, "answers")
+
+
+def link_components(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text", block: int = BLOCK_SHINGLES, count: bool = True) -> DataFrame:
+    """key, n_shingles, component_id and, if count, n_links for every row of docs.
+
+    component_id is the smallest key reachable by links of similarity num / den or more; texts without
+    words (null, empty) are linked with nothing and have their own key.  Repeated rows and rows of one key or
+    of none are rows like any other: rows are told apart by a number they get when they are first written.
+    Sets are compared by 64-bit hashes of shingles: a pair of different shingles or sets is taken for equal
+    with a chance of 2^-64.  n_links is the number of other rows of that similarity or more, those of equal
+    sets included; all pairs a tree leaves are verified for it.
+    """
+    rows = common.stored(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row")), "rows")
+    sets, answers = linked_sets(rows, like, "_row", "_key", "_text", block, count)
+    out = sets.join(_small(answers), F.col("_sid") == F.col("node"), "left")
+    return out.select(
+        F.col("_key").alias(key), F.col("_n").alias("n_shingles"), F.coalesce("component_id", "_key").alias("component_id"),
+        *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if count else []),
+    )
 
 
 def _block_pairs(state: DataFrame, like: Likeness) -> DataFrame:
@@ -505,25 +591,28 @@ def _block_pairs(state: DataFrame, like: Likeness) -> DataFrame:
 
 def _counts_across(members: DataFrame, large: DataFrame, links: DataFrame, like: Likeness) -> DataFrame:
     """Links and counts of all pairs of different blocks of large clusters, besides those within blocks."""
-    rows = members.join(large.withColumnRenamed("cluster", "_c"), F.col("cluster") == F.col("_c")).drop("_c").withColumn("grp", F.col("sid"))
+    rows = members.join(large.withColumnRenamed("cluster", "_c"), F.col("cluster") == F.col("_c")).drop("_c", "task").withColumn("grp", F.col("sid"))
     return common.stored(links.unionByName(_link_tasks(_block_pairs(rows, like), like, True)), "links")
 
 
-def _links_across(members: DataFrame, large: DataFrame, links: DataFrame, like: Likeness) -> DataFrame:
+def _links_across(members: DataFrame, large: DataFrame, links: DataFrame, like: Likeness, block: int) -> DataFrame:
     """Links between the blocks of large clusters, given those within blocks.
 
     First the blocks' components meet through one set each.  Then blocks of clusters that are still in
     several components are joined pair by pair, where their sizes allow a link, looking only at pairs
     from different components.
     """
-    rows = members.join(large.withColumnRenamed("cluster", "_c"), F.col("cluster") == F.col("_c")).drop("_c")
+    rows = members.join(large.withColumnRenamed("cluster", "_c"), F.col("cluster") == F.col("_c")).drop("_c", "task")
 
     def rooted(found: DataFrame) -> DataFrame:
         roots = components(found).withColumnsRenamed({"node": "_n", "root": "_root"})
         return rows.join(roots, F.col("sid") == F.col("_n"), "left").withColumn("grp", F.coalesce("_root", "sid")).drop("_n", "_root")
 
-    heads = rooted(links).withColumn("rk", F.row_number().over(Window.partitionBy("cluster", "grp").orderBy("n", "sid"))).where("rk = 1")
-    met = heads.select(F.xxhash64("cluster", F.col("block") % 8).alias("task"), F.lit(0).alias("side"), "grp", "weight", "sid", "text")
+    heads = rooted(links).withColumn("rk", F.row_number().over(Window.partitionBy("cluster", "block", "grp").orderBy("n", "sid"))).where("rk = 1")
+    # One set of each component of a block meets those of other blocks, in tasks of about a block of shingles.
+    heads = common.stored(heads.drop("rk"), "heads")
+    tasks = max(1, -(-(heads.agg(F.sum("n")).first()[0] or 0) // block))
+    met = heads.select(F.xxhash64("cluster", F.pmod("block", F.lit(tasks))).alias("task"), F.lit(0).alias("side"), "grp", "weight", "sid", "text")
     more = common.stored(links.unionByName(_link_tasks(met, like)), "links")
     state = common.stored(rooted(more), "state")
     several = state.groupBy("cluster").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select(F.col("cluster").alias("_c"))
@@ -535,16 +624,14 @@ def deduplicated(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_i
     """docs with one row of each component: that of the smallest key, null keys last, ties broken by the text.
 
     Rows are told apart, not keys: repeated keys and null keys are rows like any other.  Rows without
-    words all stay.  Columns are unchanged.
+    words all stay.  Columns are unchanged, whatever their names.
     """
-    rows = common.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    linked = link_components(rows, like, "_row", text, count=False).select(F.col("_row").alias("_id"), F.col("component_id").alias("_component"))
-    several = linked.groupBy("_component").count().where("count > 1").select(F.col("_component").alias("_c"))
-    found = common.stored(linked.join(several, F.col("_component") == F.col("_c")).select("_id", "_component"), "linked")
-    small = found.count() <= BROADCAST_ROWS
-    side = F.broadcast(found) if small else found
-    rank = F.struct(F.col(key).isNull(), F.col(key), F.xxhash64(text), F.col("_row"))
-    ranked = rows.join(side, F.col("_row") == F.col("_id")).select("_component", "_row", rank.alias("_rank"))
-    first = ranked.groupBy("_component").agg(F.min("_rank")["_row"].alias("_first")).select("_first")
-    gone = common.stored(found.join(first, F.col("_id") == F.col("_first"), "left_anti").select("_id"), "gone")
-    return rows.join(F.broadcast(gone) if small else gone, F.col("_row") == F.col("_id"), "left_anti").drop("_row")
+    row, digest, gone_id = common.free_names([*docs.columns, "_n", "_sid", "_keys", "node", "root", "component_id", "n_links"], "row", "digest", "gone")
+    rows = common.stored(docs.withColumns({row: F.monotonically_increasing_id(), digest: F.xxhash64(text)}), "rows")
+    sets, answers = linked_sets(rows, like, row, key, text, BLOCK_SHINGLES, False, (digest,))
+    found = sets.join(_small(answers), F.col("_sid") == F.col("node")).select("root", F.struct(F.col(key).isNull(), F.col(key), F.col(digest), F.col(row)).alias("rank"))
+    found = common.stored(found, "found")
+    first = common.stored(found.groupBy(F.col("root").alias("_r")).agg(F.min("rank").alias("_first")), "first")
+    gone = found.join(_small(first), F.col("root") == F.col("_r")).where(F.col("rank")[row] != F.col("_first")[row]).select(F.col("rank")[row].alias(gone_id))
+    gone = common.stored(gone, "gone")
+    return rows.join(_small(gone), F.col(row) == F.col(gone_id), "left_anti").drop(row, digest)
