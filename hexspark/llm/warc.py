@@ -1,11 +1,14 @@
-"""ARC to WARC: parse legacy archives and write equivalent WARC records.
+"""ARC to WARC: parse legacy archives from a store and write equivalent WARC archives.
 
 An ARC file starts with a filedesc record whose second line names the version; version 1 header lines
 are ``url ip date type length`` and version 2 lines carry ``url ip date type code checksum location
 offset filename length``.  Lengths are declared, so bodies may hold anything.  Each record becomes a
 WARC record: an identifier derived from its content and place, the 14-digit date as a UTC timestamp, a
-type, and digests.  Archives are written through Spark's own writer, so any store works, a lost task
-leaves nothing behind, and reading takes whole files.
+type, and digests of its block and, for an HTTP response, of the payload after the HTTP header lines.
+
+Archives are read twice: first for digests, which alone are shuffled to find records of equal payload,
+then to be converted where they are.  They are written through Spark's own writer, one archive of bounded
+size a row, so any store works and a lost task leaves nothing behind.
 """
 
 from __future__ import annotations
@@ -15,12 +18,14 @@ import hashlib
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime, timedelta
 from typing import IO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexspark.llm import common
@@ -28,8 +33,10 @@ from hexspark.llm import common
 #: Records with payloads of fewer bytes are never revisits.
 LEAST_SHARED = 100
 END = b"\r\n\r\n"
-#: Texts are cut into archives of at most so many rows.
-ROWS_A_FILE = 20_000
+#: An archive is closed when it has so many bytes; a record is never cut.
+ARCHIVE_BYTES = 32 << 20
+#: Decisions are broadcast up to so many archives; beyond, archives and decisions meet in a shuffle by archive.
+BROADCAST_ARCHIVES = 20_000
 V1_FIELDS = "URL IP-address Archive-date Content-type Archive-length"
 V2_FIELDS = "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"
 
@@ -74,33 +81,44 @@ def arc_bytes(records: Iterable[ArcRecord], version: int, name: str = "part.arc"
     return b"".join(x if isinstance(x, bytes) else x.encode("utf-8", "surrogateescape") for x in out)
 
 
-def parse_arc(data: bytes) -> Iterator[ArcRecord]:
-    """The records of an ARC file after its filedesc record; the version decides how header lines are read."""
-    if not data:
+def parse_arc(data: bytes | IO[bytes]) -> Iterator[ArcRecord]:
+    """The records of an ARC file after its filedesc record, one at a time; the version decides how header lines are read."""
+    stream = io.BytesIO(data) if isinstance(data, bytes) else data
+    line = stream.readline()
+    if not line:
         return
-    end = data.find(b"\n")
-    line = data[:end].split(b" ")
-    if end < 0 or not line[0].startswith(b"filedesc://") or not line[-1].isdigit():
-        raise ArchiveError(f"no filedesc record: {data[:60]!r}")
-    pos = end + 1 + int(line[-1])
-    note = data[end + 1 : pos]
-    version = note[:1].decode("latin-1")
-    if version not in ("1", "2"):
+    first = line.rstrip(b"\r\n").split(b" ")
+    if not line.endswith(b"\n") or not first[0].startswith(b"filedesc://") or not first[-1].isdigit():
+        raise ArchiveError(f"no filedesc record: {line[:60]!r}")
+    note = stream.read(int(first[-1]))
+    fields = {b"1": 5, b"2": 10}.get(note[:1])
+    if fields is None:
         raise ArchiveError(f"unknown ARC version in {note[:20]!r}")
-    n = 5 if version == "1" else 10
-    while pos < len(data):
-        if data[pos : pos + 1] in (b"\n", b"\r"):  # between records
-            pos += 1
+    while line := stream.readline():
+        if not line.strip(b"\r\n"):  # between records
             continue
-        end = data.find(b"\n", pos)
-        line = data[pos : end if end >= 0 else len(data)].decode("utf-8", "surrogateescape").rstrip("\r").split(" ")
-        if end < 0 or len(line) != n or not line[-1].isdigit():
-            raise ArchiveError(f"header line of {len(line)} fields, version {version} has {n}: {line}")
-        pos = end + 1 + int(line[-1])
-        if pos > len(data):
-            raise ArchiveError(f"record of {line[-1]} bytes runs over the end of the archive")
-        url, ip, date, mime = line[:4]
-        yield ArcRecord(_unfield(url), _unfield(ip), date, _unfield(mime), data[end + 1 : pos], _unfield(line[4]) if n == 10 else "")
+        own = line.decode("utf-8", "surrogateescape").rstrip("\r\n").split(" ")
+        if not line.endswith(b"\n") or len(own) != fields or not own[-1].isdigit():
+            raise ArchiveError(f"header line of {len(own)} fields, this version has {fields}: {own}")
+        body = stream.read(int(own[-1]))
+        if len(body) < int(own[-1]):
+            raise ArchiveError(f"record of {own[-1]} bytes runs over the end of the archive")
+        url, ip, date, mime = own[:4]
+        yield ArcRecord(_unfield(url), _unfield(ip), date, _unfield(mime), body, _unfield(own[4]) if fields == 10 else "")
+
+
+def payload_at(body: bytes) -> int:
+    """Where the payload of a body begins: after the header lines of an HTTP response, else at once."""
+    if not body.startswith(b"HTTP/"):
+        return 0
+    end = body.find(END)
+    return len(body) if end < 0 else end + len(END)
+
+
+def http_fields(body: bytes) -> dict[str, str]:
+    """The HTTP header lines of a body by name in lower case."""
+    lines = body[: payload_at(body)].decode("utf-8", "surrogateescape").split("\r\n")[1:]
+    return {name.lower(): value for name, colon, value in (x.partition(": ") for x in lines) if colon}
 
 
 def warc_date(date: str) -> str:
@@ -117,29 +135,30 @@ def _line(value: str) -> str:
     return re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", value)
 
 
-def warc_bytes(record: ArcRecord, key: str, digest: str, refers_to: str | None = None, extra: dict[str, str] | None = None) -> bytes:
+def warc_bytes(record: ArcRecord, own_id: str, refers_to: str | None = None, extra: dict[str, str] | None = None) -> bytes:
     """One WARC record without its final two line ends.
 
-    key names the record; its identifier follows from it.  With refers_to, the key of the record first
-    holding the same payload, it is a revisit without a block that still declares the payload's length.
+    With refers_to, the identifier of the record that holds the same payload, it is a revisit whose block is
+    the HTTP header lines alone.
     """
-    revisit = refers_to is not None
-    block = b"" if revisit else record.body
+    revisit, http = refers_to is not None, record.body.startswith(b"HTTP/")
+    start = payload_at(record.body)
+    block = record.body[:start] if revisit else record.body
     head = {
-        "WARC-Type": "revisit" if revisit else "response",
-        "WARC-Record-ID": record_id(key),
+        "WARC-Type": "revisit" if revisit else "response" if http else "resource",
+        "WARC-Record-ID": own_id,
         "WARC-Date": warc_date(record.date),
         "WARC-Target-URI": record.url,
         "WARC-IP-Address": record.ip or "0.0.0.0",
-        "WARC-Payload-Digest": f"sha256:{digest}",
-        "WARC-Block-Digest": f"sha256:{hashlib.sha256(block).hexdigest() if revisit else digest}",
-        "X-Payload-Length": str(len(record.body)),
-        "Content-Type": record.mime or "application/octet-stream",
+        "WARC-Payload-Digest": f"sha256:{hashlib.sha256(memoryview(record.body)[start:]).hexdigest()}",
+        "WARC-Block-Digest": f"sha256:{hashlib.sha256(block).hexdigest()}",
+        "WARC-Identified-Payload-Type": record.mime or "application/octet-stream",
+        "Content-Type": "application/http; msgtype=response" if http else record.mime or "application/octet-stream",
         **(extra or {}),
     }
     if revisit:
         head["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        head["WARC-Refers-To"] = record_id(refers_to)
+        head["WARC-Refers-To"] = refers_to
     head["Content-Length"] = str(len(block))
     lines = "".join(f"{k}: {_line(v)}\r\n" for k, v in head.items())
     return b"WARC/1.1\r\n" + lines.encode("utf-8", "surrogateescape") + b"\r\n" + block
@@ -164,87 +183,188 @@ def parse_warc(data: bytes | IO[bytes]) -> Iterator[tuple[dict[str, str], bytes]
         yield head, block
 
 
-def _convert(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """ARC files in memory, of either version by turns, parsed and written again as WARC records."""
-    for turn, batch in enumerate(batches):
-        rows = batch.to_pydict()
-        legacy = [
-            ArcRecord(url or "", "", "20240101000000", "text/html", html) for url, html in zip(rows["url"], rows["payload"], strict=True)
-        ]
-        out = []
-        for record, pid, place, digest, first in zip(
-            parse_arc(arc_bytes(legacy, 1 + turn % 2)), rows["page_id"], rows["place"], rows["digest"], rows["refers_to"], strict=True
-        ):
-            extra = {"X-Page-ID": "" if pid is None else str(pid)}
-            if first is not None:
-                extra["X-Refers-To-Page"] = str(first)
-            out.append(warc_bytes(record, f"page:{pid}" if first is None else f"page:{pid}/{place}", digest, None if first is None else f"page:{first}", extra))
-        yield pa.RecordBatch.from_pydict({"record": pa.array(out, pa.binary())})
-
-
-def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "warc_date")
-    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
-
-    def flush(rows: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], list(names))
-
-    for batch in batches:
-        for data in batch.column(0):
-            rows = []
-            # Decompressed as it is read: memory holds the compressed file and one record.
-            raw = io.BytesIO(data.as_buffer())
-            packed = raw.getbuffer()[:2] == b"\x1f\x8b"
-            for head, block in parse_warc(io.BufferedReader(gzip.GzipFile(fileobj=raw)) if packed else raw):
-                revisit = head["warc-type"] == "revisit"
-                digest = head["warc-payload-digest"].removeprefix("sha256:")
-                if not revisit and hashlib.sha256(block).hexdigest() != digest:
-                    raise ArchiveError(f"{head['warc-record-id']}: the block does not have the digest it declares")
-                refers = head.get("x-refers-to-page")
-                pid = head["x-page-id"]
-                rows.append((
-                    int(pid) if pid else None, head["warc-target-uri"], int(head["x-payload-length"]) if revisit else len(block), digest,
-                    head["warc-type"], int(refers) if revisit and refers else None, head["warc-record-id"], head["warc-date"],
-                ))
-                if len(rows) >= 5000:
-                    yield flush(rows)
-                    rows = []
-            if rows:
-                yield flush(rows)
+def _opened(data: pa.Scalar) -> IO[bytes]:
+    """An archive as a stream, decompressed as it is read: memory holds the stored bytes and one record."""
+    raw = io.BytesIO(data.as_buffer())
+    packed = raw.getbuffer()[:2] == b"\x1f\x8b"
+    return io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 16) if packed else raw
+
+
+def _archives(records: Iterator[bytes], between: bytes) -> Iterator[bytes]:
+    """Records joined into archives of about ARCHIVE_BYTES; the writer adds what follows the last one."""
+    held, size = [], 0
+    for r in records:
+        held.append(r)
+        size += len(r)
+        if size >= ARCHIVE_BYTES:
+            yield between.join(held)
+            held, size = [], 0
+    if held:
+        yield between.join(held)
+
+
+def _write_archives(rows: DataFrame, path: str, end: bytes) -> None:
+    """Each row, an archive without its last line end, as a compressed file of its own."""
+    writer = rows.select(F.col("archive").cast("string").alias("value")).write.option("lineSep", end.decode()).option("compression", "gzip")
+    writer.option("maxRecordsPerFile", 1).text(path)
 
 
-def first_holders(pages: DataFrame) -> DataFrame:
-    """digest, first: the smallest page_id of each payload of 100 bytes or more that several rows hold."""
-    shared = pages.where(F.octet_length("payload") >= LEAST_SHARED).select("page_id", F.sha2("payload", 256).alias("digest"))
-    return shared.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+def _files(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path).select("path", "content")
 
 
-def write_archives(pages: DataFrame, path: str) -> None:
-    """Write pages (page_id, url, html) as gzip-compressed WARC files under path.
+def write_arc(pages: DataFrame, path: str) -> None:
+    """Write pages (page_id, url, html) as gzip-compressed ARC files of both versions under path.
 
-    A null html is an empty payload.  Rows equal in payload and page_id are all responses, as is a row
-    of null page_id unless another row holds its payload.
+    A record's body is an HTTP response whose header lines give the page_id, if there is one, and the length
+    of the payload, the html in UTF-8 (null: empty).  Pages have neither an address nor a date, so both follow
+    from the url.  An archive's version follows from its first record.
     """
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
-    firsts = first_holders(rows).withColumnRenamed("digest", "d2")
-    rows = rows.withColumn("digest", F.sha2("payload", 256)).join(firsts, F.col("digest") == F.col("d2"), "left")
-    refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    rows = rows.select("page_id", "url", "payload", "digest", refers.alias("refers_to"), F.monotonically_increasing_id().alias("place"))
-    records = rows.mapInArrow(_convert, "record binary")
-    writer = records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END.decode()).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", ROWS_A_FILE).text(path)
+    rows = pages.select(F.col("page_id").cast("string"), F.col("url").cast("string"), F.coalesce(F.col("html"), F.lit("")).cast("binary"))
+
+    def record(pid: str | None, url: str | None, payload: bytes) -> ArcRecord:
+        seed = zlib.crc32((url or "").encode())
+        date = datetime(2024, 1, 1, tzinfo=UTC) + timedelta(seconds=seed % 31_536_000)
+        own = "" if pid is None else f"X-Page-ID: {_field(pid)}\r\n"
+        head = f"HTTP/1.1 200 OK\r\n{own}Content-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
+        return ArcRecord(url or "", f"192.0.2.{seed % 254 + 1}", date.strftime("%Y%m%d%H%M%S"), "text/html", head.encode() + payload, "200")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def archive(held: list[ArcRecord]) -> pa.RecordBatch:
+            made = arc_bytes(held, 1 + zlib.crc32(held[0].url.encode()) % 2)
+            return pa.RecordBatch.from_arrays([pa.array([made[:-1]], pa.binary())], ["archive"])
+
+        held, size = [], 0
+        for batch in batches:
+            for pid, url, payload in zip(*batch.to_pydict().values(), strict=True):
+                held.append(record(pid, url, payload))
+                size += len(held[-1].body)
+                if size >= ARCHIVE_BYTES:
+                    yield archive(held)
+                    held, size = [], 0
+        if held:
+            yield archive(held)
+
+    _write_archives(rows.mapInArrow(run, "archive binary"), path, b"\n")
+
+
+def _place_id(record: ArcRecord, digest: str, place: int) -> str:
+    """A record's identifier, from its content and place."""
+    return record_id(f"{record.url} {record.date} {http_fields(record.body).get('x-page-id', '')} {digest} {place}")
+
+
+def _digest(record: ArcRecord) -> str:
+    return hashlib.sha256(memoryview(record.body)[payload_at(record.body) :]).hexdigest()
+
+
+def describe_arc(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """A row per ARC record under path: archive, place in it, url, ip, date, mime, page_id (text, of the HTTP header), payload_bytes, digest, record_id."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("archive", "place", "url", "ip", "date", "mime", "page_id", "payload_bytes", "digest", "record_id")
+        kinds = (pa.string(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.string())
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                rows = []
+                for place, r in enumerate(parse_arc(_opened(data))):
+                    digest, pid = _digest(r), http_fields(r.body).get("x-page-id")
+                    rows.append((
+                        name, place, r.url, r.ip, r.date, r.mime, None if pid is None else _unfield(pid), len(r.body) - payload_at(r.body), digest,
+                        _place_id(r, digest, place),
+                    ))
+                cols = zip(*rows, strict=True) if rows else ([],) * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], list(names))
+
+    schema = "archive string, place long, url string, ip string, date string, mime string, page_id string, payload_bytes long, digest string, record_id string"
+    return _files(spark, path, pattern).mapInArrow(run, schema)
+
+
+def revisits(described: DataFrame, kind: str = "long") -> DataFrame:
+    """archive, place, first (a page_id as text) and first_id of every record that revisits another.
+
+    Of records with equal payloads of 100 bytes or more, that with the smallest page_id is kept; those of
+    other page_ids, or of none, revisit it.  Digests and numbers alone are shuffled, and only digests that
+    several records have are joined.
+    """
+    pid = F.col("page_id").cast(kind)
+    shared = described.where(F.col("payload_bytes") >= LEAST_SHARED)
+    least = shared.groupBy(F.col("digest").alias("_d")).agg(F.min(F.when(pid.isNotNull(), F.struct(pid.alias("pid"), "record_id"))).alias("_first"), F.count("*").alias("_n"))
+    least = common.stored(least.where("_n > 1 and _first is not null").select("_d", "_first"), "firsts")
+    found = shared.join(least, F.col("digest") == F.col("_d")).where(~pid.eqNullSafe(F.col("_first.pid")))
+    return found.select("archive", "place", F.col("_first.pid").cast("string").alias("first"), F.col("_first.record_id").alias("first_id"))
+
 
+def convert(spark: SparkSession, arc_path: str, warc_path: str, kind: str = "long", pattern: str | None = None) -> None:
+    """Write a WARC record for every record of the ARC files under arc_path, compressed or not, to archives under warc_path.
 
-def read_archives(spark, path: str) -> DataFrame:
-    """A row per WARC record under path, read by declared lengths; digests of blocks are checked."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
-    return files.mapInArrow(
-        _read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, warc_date string"
-    )
+    Url, address, date, type, code and body come from the archive.  kind: the type of page_ids, which tells
+    which one is smallest.
+    """
+    described = common.stored(describe_arc(spark, arc_path, pattern).select("archive", "place", "page_id", "payload_bytes", "digest", "record_id"), "described")
+    by_archive = revisits(described, kind).groupBy(F.col("archive").alias("_a")).agg(F.collect_list(F.struct("place", "first", "first_id")).alias("again"))
+    by_archive = common.stored(by_archive, "revisits")  # a row holds no more than an archive's records
+    few = by_archive.count() <= BROADCAST_ARCHIVES
+    files = _files(spark, arc_path, pattern)
+    joined = files.join(F.broadcast(by_archive) if few else by_archive, F.col("path") == F.col("_a"), "left").select("content", "again")
+
+    def records(batches: Iterable[pa.RecordBatch]) -> Iterator[bytes]:
+        for batch in batches:
+            for data, again in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                of = {x["place"]: (x["first"], x["first_id"]) for x in again or ()}
+                for place, r in enumerate(parse_arc(_opened(data))):
+                    first, first_id = of.get(place, (None, None))
+                    yield warc_bytes(r, _place_id(r, _digest(r), place), first_id, {} if first is None else {"X-Refers-To-Page": _field(first)})
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for archive in _archives(records(batches), END):
+            yield pa.RecordBatch.from_arrays([pa.array([archive], pa.binary())], ["archive"])
+
+    _write_archives(joined.mapInArrow(run, "archive binary"), warc_path, END)
+
+
+def read_archives(spark: SparkSession, path: str, kind: str = "long", pattern: str | None = None) -> DataFrame:
+    """A row per WARC record under path, read by declared lengths; digests of blocks and payloads are checked."""
+    names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "warc_date", "ip")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if n == "payload_bytes" else pa.string()) for c, n in zip(zip(*rows, strict=True), names, strict=True)], list(names))
+
+        for batch in batches:
+            for data in batch.column(1):
+                rows = []
+                for head, block in parse_warc(_opened(data)):
+                    own, digest, start = head["warc-record-id"], head["warc-payload-digest"].removeprefix("sha256:"), payload_at(block)
+                    if hashlib.sha256(block).hexdigest() != head["warc-block-digest"].removeprefix("sha256:"):
+                        raise ArchiveError(f"{own}: the block does not have the digest it declares")
+                    revisit, http = head["warc-type"] == "revisit", http_fields(block)
+                    if not revisit and hashlib.sha256(memoryview(block)[start:]).hexdigest() != digest:
+                        raise ArchiveError(f"{own}: the payload does not have the digest it declares")
+                    pid, first = http.get("x-page-id"), head.get("x-refers-to-page")
+                    rows.append((
+                        None if pid is None else _unfield(pid), head["warc-target-uri"], int(http["content-length"]) if revisit else len(block) - start, digest,
+                        head["warc-type"], _unfield(first) if revisit and first is not None else None, own, head["warc-date"], head["warc-ip-address"],
+                    ))
+                    if len(rows) >= 5000:
+                        yield flush(rows)
+                        rows = []
+                if rows:
+                    yield flush(rows)
+
+    schema = ", ".join(f"{n} {'long' if n == 'payload_bytes' else 'string'}" for n in names)
+    out = _files(spark, path, pattern).mapInArrow(run, schema)
+    return out.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write pages as WARC to the shared folder and read the archives back."""
-    path = common.new_path(pages.sparkSession, "warc")
-    write_archives(pages, path)
-    return read_archives(pages.sparkSession, path)
+    """Write pages (page_id of any type, url, html; other columns are not read) as ARC files to the shared folder, convert them to WARC, and read that back.
+
+    Null pages are pages of an empty payload; rows equal in payload and page_id are all responses, as are rows
+    of null page_id unless a row with one holds their payload; an empty table gives no rows.
+    """
+    spark, kind = pages.sparkSession, pages.schema["page_id"].dataType.simpleString()
+    legacy, path = common.new_path(spark, "arc"), common.new_path(spark, "warc")
+    write_arc(pages, legacy)
+    convert(spark, legacy, path, kind)
+    return read_archives(spark, path, kind)
