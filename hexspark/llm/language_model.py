@@ -3,19 +3,22 @@
 Tokens are the words of a text in small letters and one end.  Their counts over all training documents
 are a distributed table; its head, a bounded number of the commonest, goes to every executor.  The
 network (a GRU in numpy) predicts the class of the next token and then the token in its class.  Classes
-are ranges of the common words by frequency, each with a softmax of its own; less common words form
-classes by the size of their count, in which they share by count; words beyond the head form the last
-class.  So every text has a proper probability, words never seen included.
+are ranges of the common words by frequency, each with a softmax of its own; their number grows with the
+square root of the vocabulary.  Less common words form classes by the size of their count, in which they
+share by count; words beyond the head form the last class.  So every text has a proper probability, words
+never seen included.
 
 Training is by truncated backpropagation: state is carried from window to window of a document,
-gradients are not.  Partitions train alike from the same start on all their training documents and
-their weights are averaged by tokens, so every row is learned from.  Scoring packs
-whole documents into lanes and carries state across windows to their ends.
+gradients are not.  All training documents are dealt by a hash into shards of a fixed number of tokens,
+whatever the partitions of the input; a shard is trained in order of the hash, from the same start, with
+one optimiser from its first token to its last, and the weights of all shards are averaged by tokens.
+Scoring packs whole documents into lanes and carries state across windows to their ends.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import pickle
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -29,20 +32,23 @@ from pyspark.sql import types as T
 from hexspark.llm import common
 
 HEAD = 1 << 18
-CLASSES, CLASS_WORDS = 32, 64
+#: Learned classes for each unit of the square root of the vocabulary, least and most; words of each class.
+CLASSES_A_ROOT, CLASSES_LEAST, CLASSES_MOST, CLASS_WORDS = 0.05, 8, 40, 64
 BINS = 16
 HIDDEN = 24
-TRAIN_LANES, TRAIN_STEPS, TRAIN_RATE = 64, 16, 0.004
+TRAIN_LANES, TRAIN_STEPS, TRAIN_RATE = 256, 16, 0.02
 #: Weights with adaptive steps (Adam).  The others, of the outputs, take plain ones: adaptive steps would
 #: push down every word that a sample happens not to hold.
-ADAPTIVE = ("wx", "u", "wc")
-PLAIN_RATE = 0.5
-#: A partition with little to train on passes over it again, up to so often, towards so many updates.
-LEAST_UPDATES, MOST_PASSES = 200, 3
-LANES, STEPS = 256, 32
-#: Tokens scored together, and tokens a partition trains on together.
+PLAIN_RATE = 2.0
+#: Tokens of a shard, and tokens of it that are packed into lanes together.
+SHARD_TOKENS, PACK_TOKENS = 4_000_000, 1_000_000
+#: A document longer than a lane goes on in another one, which begins with so many tokens from before the
+#: cut: they set the state and are not learned from again.
+LEAD = 32
+LANES, STEPS = 512, 32
+#: Tokens counted or scored together.
 CHUNK_TOKENS = 2_000_000
-AVERAGE_FAN = 32
+AVERAGE_FAN = 16
 END = np.uint64(0x9D5C0FB2E1A64C37)
 
 
@@ -93,16 +99,19 @@ class Head:
         """ids by falling count; tokens and types: of the whole table."""
         self.tokens, self.types = tokens, types
         n = len(ids)
-        top = min(n, CLASSES * CLASS_WORDS)
+        self.classes = int(min(CLASSES_MOST, max(CLASSES_LEAST, CLASSES_A_ROOT * types**0.5)))
+        top = min(n, self.classes * CLASS_WORDS)
+        #: Rows of the input table: common words, bins, beyond the head, start of a text.
+        self.rows = self.classes * CLASS_WORDS + BINS + 2
         rank = np.arange(n)
         level = np.clip(np.log2(np.maximum(counts, 1)).astype(int), 0, BINS - 1)
-        self.n_classes = CLASSES + BINS + 1
-        cls = np.where(rank < top, rank // CLASS_WORDS, CLASSES + level).astype(np.int32)
+        self.n_classes = self.classes + BINS + 1
+        cls = np.where(rank < top, rank // CLASS_WORDS, self.classes + level).astype(np.int32)
         mass = np.bincount(cls, counts + 1.0, self.n_classes)
         self.rest = float(tokens - counts.sum() + (types - n) + 1)  # of the last class
         mass[-1] = self.rest
         self.class_bias = np.where(mass > 0, np.log(np.maximum(mass, 1e-30) / mass.sum()), -30.0).astype(np.float32)
-        self.word_bias = np.full((CLASSES, CLASS_WORDS), -30.0, np.float32)
+        self.word_bias = np.full((self.classes, CLASS_WORDS), -30.0, np.float32)
         self.word_bias[cls[:top], rank[:top] % CLASS_WORDS] = np.log(counts[:top] + 1.0)
         inside = np.log((counts + 1.0) / mass[cls])
         inside[:top] = 0.0
@@ -112,14 +121,11 @@ class Head:
         self.log_count = np.append(np.log10(counts[order] + 1.0), 0.0)
         self.cls = np.append(cls[order], self.n_classes - 1).astype(np.int32)
         self.inside = np.append(inside[order], 0.0).astype(np.float32)  # natural log within the class, where no softmax is
-        self.row = np.append(np.where(rank < top, rank, CLASSES * CLASS_WORDS + level)[order], CLASSES * CLASS_WORDS + BINS).astype(np.int32)
+        self.row = np.append(np.where(rank < top, rank, self.classes * CLASS_WORDS + level)[order], self.classes * CLASS_WORDS + BINS).astype(np.int32)
         self.bits = max(1, min(20, n.bit_length()))
         self.start = np.searchsorted(self.ids >> np.uint64(64 - self.bits), np.arange((1 << self.bits) + 1, dtype=np.uint64)).astype(np.int32)
         self.deepest = int(np.diff(self.start).max()) if n else 0
 
-    #: Rows of the input table: common words, bins, beyond the head, start of a text.
-    ROWS = CLASSES * CLASS_WORDS + BINS + 2
-
     def places(self, tokens: np.ndarray) -> np.ndarray:
         """The place of each token in order of id, or the number of places if it is not in the head."""
         n = len(self.ids)
@@ -146,6 +152,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _softmax(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits, their exponentials and the sums of these; moved by their maxima only if they would leave the range."""
+    y = h @ w
+    y += b
+    e = np.exp(y)
+    total = e.sum(1)
+    if not (total.min() > 1e-30 and total.max() < 1e30):
+        y -= y.max(1, keepdims=True)
+        e = np.exp(y)
+        total = e.sum(1)
+    return y, e, total
+
+
 @dataclass
 class Network:
     wx: np.ndarray  # input rows x 3 hidden: update, reset, candidate
@@ -164,90 +183,60 @@ class Network:
         def small(*shape: int, scale: float) -> np.ndarray:
             return rng.normal(0, scale, shape).astype(np.float32)
 
-        wx = small(Head.ROWS, 3 * HIDDEN, scale=0.2)
+        wx = small(head.rows, 3 * HIDDEN, scale=0.2)
         return Network(
             wx, small(HIDDEN, 3 * HIDDEN, scale=0.15), small(HIDDEN, head.n_classes, scale=0.05), head.class_bias.copy(),
-            small(CLASSES, HIDDEN, CLASS_WORDS, scale=0.05), head.word_bias.copy(),
+            small(head.classes, HIDDEN, CLASS_WORDS, scale=0.05), head.word_bias.copy(),
         )
 
-    def step(self, rows: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
+    def step(self, rows: np.ndarray, h: np.ndarray) -> np.ndarray:
         x = self.wx[rows]
         g = h @ self.u
         zr = _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        gn = g[:, 2 * HIDDEN :]
-        c = np.tanh(x[:, 2 * HIDDEN :] + r * gn)
-        if keep is not None:
-            keep.append((rows, h, z, r, gn, c))
-        return c + z * (h - c)
+        c = np.tanh(x[:, 2 * HIDDEN :] + zr[:, HIDDEN:] * g[:, 2 * HIDDEN :])
+        return c + zr[:, :HIDDEN] * (h - c)
 
     def outputs(self, h: np.ndarray, cls: np.ndarray, word: np.ndarray, inside: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log probability of each target given its state; with grads, also the gradient of the mean loss on the states."""
-        n = len(h)
-        z = h @ self.wc
-        z += self.bc
-        z -= z.max(1, keepdims=True)
-        at = z[np.arange(n), cls].astype(np.float64)
-        np.exp(z, out=z)
-        total = z.sum(1)
-        out = at - np.log(total) + inside
+        """Natural log probability of each target given its state; with grads, also the gradient of the mean loss on the states.
+
+        Gradients of the words' outputs are kept by class, for the classes met.
+        """
+        n, classes = len(h), len(self.ww)
+        every = np.arange(n)
+        z, e, total = _softmax(h, self.wc, self.bc)
+        out = z[every, cls].astype(np.float64) - np.log(total) + inside
         d_h = None
         if grads is not None:
-            z /= total[:, None]
-            z[np.arange(n), cls] -= 1
-            z /= n
-            grads["wc"], grads["bc"] = h.T @ z, z.sum(0)
-            d_h = z @ self.wc.T
-            grads["ww"], grads["bw"] = np.zeros_like(self.ww), np.zeros_like(self.bw)
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for k in np.flatnonzero(np.diff(edges)):
-            rows = order[edges[k] : edges[k + 1]]
-            y = h[rows] @ self.ww[k]
-            y += self.bw[k]
-            y -= y.max(1, keepdims=True)
-            w = word[rows]
-            at = y[np.arange(len(rows)), w].astype(np.float64)
-            np.exp(y, out=y)
-            total = y.sum(1)
-            out[rows] += at - np.log(total)
+            e *= (1 / n / total)[:, None]
+            e[every, cls] -= 1 / n
+            grads["wc"], grads["bc"], grads["words"] = h.T @ e, e.sum(0), {}
+            d_h = e @ self.wc.T
+        order = np.argsort(cls.astype(np.int16), kind="stable")
+        edges = np.searchsorted(cls[order], np.arange(classes + 1))
+        ranked, words = h[order[: edges[-1]]], word[order[: edges[-1]]]
+        found = np.empty(edges[-1])
+        back = np.empty_like(ranked)
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            lo, hi = edges[k], edges[k + 1]
+            own, w, rows = ranked[lo:hi], words[lo:hi], every[: hi - lo]
+            y, e, total = _softmax(own, self.ww[k], self.bw[k])
+            found[lo:hi] = y[rows, w] - np.log(total)
             if grads is not None:
-                y /= total[:, None]
-                y[np.arange(len(rows)), w] -= 1
-                y /= n
-                grads["ww"][k], grads["bw"][k] = h[rows].T @ y, y.sum(0)
-                d_h[rows] += y @ self.ww[k].T
+                e *= (1 / n / total)[:, None]
+                e[rows, w] -= 1 / n
+                grads["words"][k] = own.T @ e, e.sum(0)
+                np.matmul(e, self.ww[k].T, out=back[lo:hi])
+        out[order[: edges[-1]]] += found
+        if grads is not None:
+            d_h[order[: edges[-1]]] += back
         return out, d_h
 
-    def backward(self, kept: list, d_states: np.ndarray, resets: np.ndarray, grads: dict) -> None:
-        """Through the steps of one window; d_states: steps x lanes x hidden."""
-        d_u = np.zeros_like(self.u)
-        d_rows, d_x = [], []
-        carry = np.zeros_like(d_states[0])
-        for t in range(len(kept) - 1, -1, -1):
-            rows, h, z, r, gn, c = kept[t]
-            d = d_states[t] + carry
-            d_c = d * (1 - z) * (1 - c * c)
-            d_z = d * (h - c) * z * (1 - z)
-            d_r = d_c * gn * r * (1 - r)
-            d_g = np.hstack([d_z, d_r, d_c * r])
-            d_u += h.T @ d_g
-            d_rows.append(rows)
-            d_x.append(np.hstack([d_z, d_r, d_c]))
-            carry = (d * z + d_g @ self.u.T) * ~resets[t][:, None]
-        grads["u"], grads["wx"] = d_u, np.zeros_like(self.wx)
-        rows = np.concatenate(d_rows)
-        order = np.argsort(rows, kind="stable")
-        rows = rows[order]
-        edges = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        grads["wx"][rows[edges]] = np.add.reduceat(np.concatenate(d_x)[order], edges)
-
 
 class Packed:
     """Whole documents end to end in lanes of like length, the longest lane first."""
 
-    def __init__(self, head: Head, docs: list[np.ndarray], lanes: int) -> None:
-        """docs: places of the tokens of each document."""
+    def __init__(self, head: Head, docs: list[np.ndarray], lanes: int, lead: list[int] | None = None) -> None:
+        """docs: places of the tokens of each document; lead: first tokens of each that count for nothing."""
         length = np.array([len(d) for d in docs])
         heap = [(0, i, []) for i in range(min(lanes, len(docs)))]
         for d in np.argsort(-length, kind="stable").tolist():
@@ -261,14 +250,18 @@ class Packed:
         self.target = np.full(shape, len(head.ids), np.int32)
         self.doc = np.zeros(shape, np.int32)
         self.reset = np.zeros(shape, bool)
+        self.counts = np.zeros(shape, bool)
         for lane, (load, _, own) in enumerate(runs):
             places = np.concatenate([docs[d] for d in own])
             starts = np.concatenate([[0], np.cumsum(length[own])])[:-1]
             self.target[:load, lane] = places
             self.input[1:load, lane] = head.row[places[:-1]]
-            self.input[starts, lane] = Head.ROWS - 1
+            self.input[starts, lane] = head.rows - 1
             self.reset[starts, lane] = True
             self.doc[:load, lane] = np.repeat(own, length[own])
+            self.counts[:load, lane] = True
+            for d, s in zip(own, starts.tolist(), strict=True) if lead else ():
+                self.counts[s : s + lead[d], lane] = False
 
     def open_at(self, t: int) -> int:
         """Lanes that go on at step t."""
@@ -290,6 +283,7 @@ def score_documents(net: Network, head: Head, docs: list[np.ndarray]) -> np.ndar
             h = h[:n]
             begin = packed.reset[t, :n]
             if begin.any():
+                h = h.copy()  # the state before is still to predict the end of its document
                 h[begin] = 0
             h = net.step(packed.input[t, :n], h)
             states.append(h)
@@ -301,142 +295,208 @@ def score_documents(net: Network, head: Head, docs: list[np.ndarray]) -> np.ndar
     return total
 
 
-def train_documents(net: Network, head: Head, docs: list[np.ndarray]) -> Network:
-    """Gradient steps over windows of TRAIN_STEPS tokens in TRAIN_LANES lanes; state is carried, gradients are not."""
-    if not docs:
-        return net
-    # Long documents go in segments, so that lanes end together and no update hangs on a few texts.
-    most = max(16 * TRAIN_STEPS, -(-sum(map(len, docs)) // TRAIN_LANES))
-    packed = Packed(head, [d[i : i + most] for d in docs for i in range(0, len(d), most)], TRAIN_LANES)
-    word_of = head.row % CLASS_WORDS
-    lanes = packed.input.shape[1]
-    windows = -(-len(packed.input) // TRAIN_STEPS)
-    passes = min(MOST_PASSES, max(1, -(-LEAST_UPDATES // windows)))
-    m = {k: np.zeros_like(getattr(net, k)) for k in Network.NAMES}
-    v = {k: np.zeros_like(getattr(net, k)) for k in Network.NAMES}
-    update = 0
-    for _ in range(passes):
-        h = np.zeros((lanes, HIDDEN), np.float32)
+class Trainer:
+    """Gradient steps over windows of TRAIN_STEPS tokens in TRAIN_LANES lanes; state is carried, gradients are not.
+
+    The optimiser goes on from one call to the next.
+    """
+
+    ADAPTIVE = ("wx", "u", "wc")
+
+    def __init__(self, net: Network, head: Head) -> None:
+        self.net, self.head, self.updates = net, head, 0
+        self.mean = {k: np.zeros_like(getattr(net, k)) for k in self.ADAPTIVE}
+        self.square = {k: np.zeros_like(getattr(net, k)) for k in self.ADAPTIVE}
+
+    def fit(self, docs: list[np.ndarray]) -> None:
+        """One pass over documents, given as places of their tokens."""
+        if not docs:
+            return
+        head, net = self.head, self.net
+        most = max(16 * TRAIN_STEPS, -(-sum(map(len, docs)) // TRAIN_LANES))
+        cuts = [(d, i) for d in docs for i in range(0, len(d), most)]
+        packed = Packed(head, [d[max(0, i - LEAD) : i + most] for d, i in cuts], TRAIN_LANES, [min(i, LEAD) for _, i in cuts])
+        word_of = head.row % CLASS_WORDS
+        h = np.zeros((packed.input.shape[1], HIDDEN), np.float32)
         for t0 in range(0, len(packed.input), TRAIN_STEPS):
+            span = slice(t0, t0 + TRAIN_STEPS)
             n = packed.open_at(t0)
-            h = h[:n]
-            kept, states, valid = [], [], []
-            steps = range(t0, min(t0 + TRAIN_STEPS, len(packed.input)))
-            for t in steps:
-                begin = packed.reset[t, :n]
-                if begin.any():
-                    h = h.copy()
-                    h[begin] = 0
-                h = net.step(packed.input[t, :n], h, kept)
-                states.append(h)
-                valid.append(np.arange(n) < packed.open_at(t))
-            ok = np.concatenate(valid)
-            target = packed.target[t0 : t0 + len(states), :n].ravel()[ok]
+            rows, reset, counts = packed.input[span, :n], packed.reset[span, :n], packed.counts[span, :n]
+            states, kept = self.forward(rows, reset, h[:n])
+            h = states[-1]
+            if not counts.any():
+                continue
+            target = packed.target[span, :n][counts]
             grads: dict = {}
-            _, d = net.outputs(np.concatenate(states)[ok], head.cls[target], word_of[target], head.inside[target].astype(np.float64), grads)
-            d_states = np.zeros((len(states) * n, HIDDEN), np.float32)
-            d_states[ok] = d
-            net.backward(kept, d_states.reshape(len(states), n, HIDDEN), packed.reset[t0 : t0 + len(states), :n], grads)
-            update += 1
-            # Plain floats, so that the arrays stay in single precision; the steps work in place.
-            norm = sum(float(np.vdot(g, g)) for g in grads.values()) ** 0.5
-            share = float(ok.sum()) / (TRAIN_LANES * TRAIN_STEPS)
-            rate = share * TRAIN_RATE * (1 - 0.999**update) ** 0.5 / (1 - 0.9**update)
-            for k, g in grads.items():
-                g *= min(1.0, 1.0 / (norm + 1e-9))
-                if k in ADAPTIVE:
-                    m[k] *= 0.9
-                    m[k] += 0.1 * g
-                    g *= g
-                    g *= 0.001
-                    v[k] *= 0.999
-                    v[k] += g
-                    np.sqrt(v[k], out=g)
-                    g += 1e-6
-                    np.divide(m[k], g, out=g)
-                    g *= rate
-                else:
-                    g *= share * PLAIN_RATE
-                w = getattr(net, k)
-                w -= g
-    return net
-
-
-def _average(rows: list[tuple[float, bytes]]) -> tuple[float, bytes]:
+            d_states = np.zeros_like(states)
+            _, d_states[counts] = net.outputs(states[counts], head.cls[target], word_of[target], head.inside[target].astype(np.float64), grads)
+            self.backward(rows, reset, kept, d_states, grads)
+            self.apply(grads, float(counts.sum()) / (TRAIN_LANES * TRAIN_STEPS))
+
+    def forward(self, rows: np.ndarray, reset: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """States after each step of a window, and what the way back needs."""
+        net, (steps, n) = self.net, rows.shape
+        x = net.wx[rows]
+        before, states = np.empty((steps, n, HIDDEN), np.float32), np.empty((steps, n, HIDDEN), np.float32)
+        gates, inner, cand = np.empty((steps, n, 2 * HIDDEN), np.float32), np.empty_like(states), np.empty_like(states)
+        for t in range(steps):
+            before[t] = h
+            if reset[t].any():
+                before[t][reset[t]] = 0
+            h = before[t]
+            g = h @ net.u
+            gates[t] = _sigmoid(x[t, :, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
+            inner[t] = g[:, 2 * HIDDEN :]
+            c = gates[t, :, HIDDEN:] * inner[t]
+            c += x[t, :, 2 * HIDDEN :]
+            np.tanh(c, out=cand[t])
+            c = cand[t]
+            h = states[t] = c + gates[t, :, :HIDDEN] * (h - c)
+        return states, (before, gates, inner, cand)
+
+    def backward(self, rows: np.ndarray, reset: np.ndarray, kept: tuple, d_states: np.ndarray, grads: dict) -> None:
+        """Gradients of u and of the input rows met, through the steps of one window."""
+        before, gates, inner, cand = kept
+        z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        # All that does not hang on later steps is made for the whole window.
+        by_cand = (1 - z) * (1 - cand * cand)
+        by_update = (before - cand) * z * (1 - z)
+        by_reset = inner * r * (1 - r)
+        d_x = np.empty((*rows.shape, 3 * HIDDEN), np.float32)
+        d_g = np.empty_like(d_x)
+        carry = np.zeros_like(d_states[0])
+        back = np.ascontiguousarray(self.net.u.T)
+        for t in range(len(rows) - 1, -1, -1):
+            d = d_states[t] + carry
+            d_c = d * by_cand[t]
+            np.multiply(d, by_update[t], out=d_g[t, :, :HIDDEN])
+            np.multiply(d_c, by_reset[t], out=d_g[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(d_c, r[t], out=d_g[t, :, 2 * HIDDEN :])
+            d_x[t, :, 2 * HIDDEN :] = d_c
+            carry = d * z[t]
+            carry += d_g[t] @ back
+            if reset[t].any():
+                carry[reset[t]] = 0
+        d_x[:, :, : 2 * HIDDEN] = d_g[:, :, : 2 * HIDDEN]
+        grads["u"] = before.reshape(-1, HIDDEN).T @ d_g.reshape(-1, 3 * HIDDEN)
+        flat = rows.ravel()
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        edges = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        grads["rows"], grads["wx"] = flat[edges], np.add.reduceat(d_x.reshape(-1, 3 * HIDDEN)[order], edges)
+
+    def apply(self, grads: dict, share: float) -> None:
+        """One step against the gradients, clipped together; share: how full the window was."""
+        net, words, met = self.net, grads["words"], grads["rows"]
+        parts = [grads["wx"], grads["u"], grads["wc"], grads["bc"], *(g for pair in words.values() for g in pair)]
+        norm = sum(float(np.vdot(g, g)) for g in parts) ** 0.5
+        clip = min(1.0, 1.0 / (norm + 1e-9))
+        self.updates += 1
+        # Plain floats, so that the arrays stay in single precision.
+        rate = share * TRAIN_RATE * (1 - 0.999**self.updates) ** 0.5 / (1 - 0.9**self.updates)
+        for k in self.ADAPTIVE:
+            g = grads[k]
+            g *= clip
+            m, v = self.mean[k], self.square[k]
+            own = met if k == "wx" else slice(None)
+            mean = m[own] * 0.9 + 0.1 * g
+            square = v[own] * 0.999 + 0.001 * (g * g)
+            m[own], v[own] = mean, square
+            getattr(net, k)[own] -= rate * mean / (np.sqrt(square) + 1e-6)
+        plain = share * PLAIN_RATE * clip
+        net.bc -= plain * grads["bc"]
+        for k, (g_w, g_b) in words.items():
+            net.ww[k] -= plain * g_w
+            net.bw[k] -= plain * g_b
+
+
+def _average(rows: list[tuple[float, bytes]]) -> bytes:
+    """Weights averaged by tokens, in the order given."""
     total = sum(n for n, _ in rows)
-    nets = [(n / max(total, 1e-9), pickle.loads(blob)) for n, blob in rows if n > 0]
-    if not nets:
-        return 0.0, rows[0][1]
-    return total, pickle.dumps({k: sum(w * x[k] for w, x in nets).astype(np.float32) for k in Network.NAMES})
+    out: dict[str, np.ndarray] = {}
+    for n, blob in rows:
+        for k, w in pickle.loads(blob).items():
+            out[k] = out.get(k, 0.0) + w.astype(np.float64) * (n / total)
+    return pickle.dumps({k: w.astype(np.float32) for k, w in out.items()})
 
 
-def train(docs: DataFrame, head: Head, text: str = "text") -> Network:
-    """Each partition trains on all its rows; weights are averaged by tokens in a tree."""
+def train(docs: DataFrame, head: Head, key: str = "doc_id", text: str = "text") -> Network:
+    """All rows are learned from once: dealt into shards by a hash of key and text, and trained in its order.
+
+    Rows equal in both lie in one shard; the result hangs on the rows alone, not on their partitions.
+    """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(head)
+    shards = max(1, -(-head.tokens // SHARD_TOKENS))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = sent.value
-        held, seen = [], 0
-        done: list[tuple[float, bytes]] = []
-        net = Network.new(head)
+        now, trainer, held, since, seen = None, None, [], 0, 0
 
-        def finish() -> None:
-            nonlocal net
-            net = train_documents(net, head, held)
-            held.clear()
+        def finish() -> pa.RecordBatch:
+            trainer.fit(held)
+            blob = pickle.dumps({k: getattr(trainer.net, k) for k in Network.NAMES})
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([float(seen)]), pa.array([blob], pa.binary())], ["shard", "n", "net"])
 
-        since = 0
         for batch in batches:
-            for lo, hi, ids, bounds in _tokens(batch.column(0)):
+            of = batch.column(0).to_pylist()
+            for lo, hi, ids, bounds in _tokens(batch.column(1)):
                 places = head.places(ids)
-                held.extend(places[bounds[i] : bounds[i + 1]] for i in range(hi - lo))
-                seen += len(ids)
-                since += len(ids)
-                if since > CHUNK_TOKENS // 4:
-                    finish()
-                    since = 0
-        if held:
-            finish()
-        if seen:
-            done = [(float(seen), pickle.dumps({k: getattr(net, k) for k in Network.NAMES}))]
-        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.float64()), pa.array([b for _, b in done], pa.binary())], ["n", "net"])
+                for i in range(hi - lo):
+                    if of[lo + i] != now:
+                        if now is not None:
+                            yield finish()
+                        now, trainer, held, since, seen = of[lo + i], Trainer(Network.new(head), head), [], 0, 0
+                    held.append(places[bounds[i] : bounds[i + 1]])
+                    since += len(held[-1])
+                    seen += len(held[-1])
+                    if since >= PACK_TOKENS:
+                        trainer.fit(held)
+                        held, since = [], 0
+        if now is not None:
+            yield finish()
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = None
-        for batch in batches:
-            for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                best = (n, blob) if best is None else _average([best, (n, blob)])
-        rows = [] if best is None else [best]
-        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.float64()), pa.array([b for _, b in rows], pa.binary())], ["n", "net"])
-
-    nets = common.stored(docs.select(text).mapInArrow(run, "n double, net binary"), "nets")
+        rows = [r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)]
+        for group, own in itertools.groupby(rows, lambda r: r[0]):
+            own = [(n, blob) for _, _, n, blob in own]
+            yield pa.RecordBatch.from_arrays([pa.array([group], pa.int64()), pa.array([sum(n for n, _ in own)]), pa.array([_average(own)], pa.binary())], ["shard", "n", "net"])
+
+    h = F.xxhash64(F.lit(21), F.col(text), F.col(key))
+    dealt = docs.select(F.pmod(h, F.lit(shards)).alias("shard"), F.col(text).alias("text"), h.alias("h"), F.col(key).alias("key"))
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "h", "key", "text").select("shard", "text")
+    nets = common.stored(dealt.mapInArrow(run, "shard long, n double, net binary"), "nets")
     while (count := nets.count()) > AVERAGE_FAN:
-        # The weights of a group of partitions meet in one task, one at a time in memory.
-        nets = common.stored(nets.repartition(-(-count // AVERAGE_FAN)).mapInArrow(merge, "n double, net binary"), "nets")
-    rows = [(r[0], bytes(r[1])) for r in nets.collect()]
+        # The weights of AVERAGE_FAN shards meet in one task.
+        groups = -(-count // AVERAGE_FAN)
+        placed = nets.select(F.floor(F.col("shard") / AVERAGE_FAN).alias("group"), "shard", "n", "net")
+        placed = placed.repartitionById(groups, F.pmod("group", F.lit(groups)).cast("int")).sortWithinPartitions("group", "shard")
+        nets = common.stored(placed.mapInArrow(merge, "shard long, n double, net binary"), "nets")
+    rows = [(r[1], bytes(r[2])) for r in sorted(nets.collect())]
     net = Network.new(head)
     if rows:
-        for k, value in pickle.loads(_average(rows)[1]).items():
+        for k, value in pickle.loads(_average(rows)).items():
             setattr(net, k, value)
     return net
 
 
 def _commonest(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and counts, by falling count, of the tokens above a count that at most `most` tokens exceed.
+    """Ids and counts, by falling count, of at most `most` of the commonest tokens.
 
-    The bound comes from a histogram of counts by sixteenths of an octave, so no task ranks the tokens.
+    The bound comes from a histogram of counts by sixteenths of an octave, so no task ranks the tokens; of the
+    bin in which the number ends a share by id is taken.
     """
     level = F.floor(F.log2("c") * 16).cast("int")
-    bins = sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True)
-    held, least = 0, None
-    for at, n in bins:
+    held, least, share = 0, None, 0
+    for at, n in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        least = at
         if held + n > most:
+            share = 1000 * (most - held) // n
             break
-        held, least = held + n, at
+        held, share = held + n, 1000
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    top = counts.where(level >= least).select("id", "c").toArrow()
+    top = counts.where((level > least) | ((level == least) & (F.pmod(F.xxhash64("id"), F.lit(1000)) < share))).select("id", "c").toArrow()
     ids, c = top.column("id").to_numpy().astype(np.int64), top.column("c").to_numpy().astype(np.int64)
     order = np.lexsort((ids, -c))
     return ids[order].view(np.uint64), c[order]
@@ -455,7 +515,7 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     n_tokens, n_types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ids, c = _commonest(counts, HEAD)
     head = Head(ids, c, n_tokens, n_types)
-    net = train(training, head, text)
+    net = train(training, head, key, text)
     sent = spark.sparkContext.broadcast((head, net))
     schema = T.StructType([
         T.StructField(key, docs.schema[key].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("row", T.LongType()),
