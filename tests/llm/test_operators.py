@@ -1,6 +1,7 @@
 """The text operators against brute force on small tables, and on odd rows."""
 
 import collections
+import gzip
 import hashlib
 import json
 import math
@@ -23,7 +24,8 @@ LONG = " ".join(f"w{i % 977}x{i}" for i in range(30000))
 def _docs(spark, rows):
     """Rows (doc_id, text, source) with extra columns whose names the operators use themselves."""
     data = [(i, t, "en", s, None if t is None else len(t)) for i, t, s in rows]
-    return spark.createDataFrame(data, SCHEMA).withColumns({"score": F.lit("s"), "size": F.lit(1), "spans": F.lit(2), "sid": F.lit(3), "mix_copies": F.lit(4)})
+    clashing = "score size spans sid mix_copies row digest gone root node n_links component_id at s2 whole low low2 h _row _gone _s2 _sid task salt".split()
+    return spark.createDataFrame(data, SCHEMA).withColumns({name: F.lit(i) for i, name in enumerate(clashing)})
 
 
 ODD = [(1, None, None), (2, "", "b"), (3, " \t\n", "a"), (4, "one", "a"), (4, "one", "a"), (None, "a b c d", "c"), (5, LONG, "b"), (6, "É x é", "a")]
@@ -47,6 +49,9 @@ def test_odd_rows_pass_everywhere(spark, labels, rows):
     if rows:
         assert found[1].n_shingles == found[2].n_shingles == 0 and found[4].n_shingles == 1 and found[2].component_id == 2
     assert decontamination.contaminated(docs, bench).count() == 0 and decontamination.decontaminated(docs, bench).count() == n
+    kept = ngram_join.deduplicated(docs)
+    assert kept.columns == docs.columns and kept.count() == max(0, n - 1)
+    assert compression.kept(docs, labels).columns == docs.columns
     for scored in (compression.classify(docs, labels), toxicity.classify(docs, labels)):
         assert scored.where("score between 0 and 1").count() == n
 
@@ -90,6 +95,40 @@ def test_random_strings_are_found_in_every_alphabet(alphabet, least):
         assert not secrets.find(plain, ranks, [(0, plain)])
 
 
+def test_spans_equal_brute_force_over_whole_texts(spark):
+    rng = random.Random(11)
+    token = lambda: "".join(rng.choice("abcdef0123456789" if rng.random() < 0.5 else "ABCxyz019+/_.=-") for _ in range(rng.randint(1, 30)))
+    words = ["password", "Api_Key", "apikey", "TOKEN", "secret", ":", "=", "'", '"', "AKIA" + "Q7" * 9, "AKIA", "é", "\n", "\t", "plain", "words"]
+    texts = ["".join(rng.choice([rng.choice(words), token(), " ", "=", ": "]) for _ in range(rng.randint(0, 60))) for _ in range(300)] + [None, ""]
+    docs = _docs(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    got = {r.doc_id: [tuple(x) for x in r.spans] for r in secrets.scan(docs).collect()}
+    ranks = secrets._ranks(secrets.RANKS_PATH)
+    redacted = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for i, t in enumerate(texts):
+        t = t or ""
+        want = [("assign", m.start(), m.end()) for m in secrets.ASSIGN.finditer(t) if len(m[2]) >= 12]
+        want += [("access", m.start(), m.end()) for m in secrets.ACCESS.finditer(t) if len(m[0]) >= 18]
+        want += [("hex", m.start(), m.end()) for m in secrets.HEX.finditer(t) if len(m[0]) >= 16]
+        for m in secrets._RUN.finditer(t):
+            within = any(s <= m.start() and m.end() <= e for _, s, e in want if _ != "random")
+            if not within and not secrets.known(m[0]) and secrets.efficiency(m[0], ranks) < secrets.EFFICIENCY and not secrets.identifier(m[0], ranks):
+                want.append(("random", m.start(), m.end()))
+        assert sorted(got[i]) == sorted(want)
+        if t:  # what is left between the marks is what no span holds
+            covered = {k for _, a, b in want for k in range(a, b)}
+            marks = secrets.re.sub(r"\[(assign|access|hex|random)\]", "", redacted[i])
+            assert marks == "".join(c for k, c in enumerate(t) if k not in covered)
+    with pytest.raises(FileNotFoundError, match="ranks_path"):
+        secrets.scan(docs, ranks_path="/nowhere")
+
+
+def test_a_random_run_around_a_fixed_pattern_goes_whole():
+    ranks = secrets._ranks(secrets.RANKS_PATH)
+    run = "Zk3QvT9xLw2RbN8sS5d0123456789abcdef01S5gYpK4mXz7Qw"
+    spans = secrets.find(f"note {run}", ranks, [(5, run)])
+    assert [k for k, _, _ in spans] == ["random", "hex"] and secrets._cut(f"note {run} end", spans, "[{}]".format) == "note [random] end"
+
+
 def test_rule_statistics_equal_brute_force():
     rng = random.Random(1)
     texts = ["\n".join(" ".join(rng.choice(["a", "b#", "é", "C|"]) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 6))) for _ in range(200)]
@@ -113,6 +152,19 @@ def test_isolation_forest_and_threshold():
     assert (s[980:] >= cut).mean() > 0.8 and (s[:980] >= cut).mean() <= 0.011
 
 
+def test_rules_judge_by_the_forest_and_labels_by_threshold(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = quality_rules.judge(docs, labels).toPandas()
+    passed = got[~got.base_failed]
+    assert passed.anomaly.nunique() > 0.5 * len(passed) and not got.kept[got.base_failed].any()
+    cut = passed.anomaly[~passed.kept].min()
+    assert (passed.anomaly[passed.kept] < cut).all()  # one threshold on the score decides
+    marks = labels.toPandas().set_index("doc_id").quality
+    good = passed[passed.doc_id.map(marks) == 1]
+    assert good.kept.mean() >= 0.98
+
+
 def test_language_model_base_and_proper_probability(spark):
     rng = random.Random(3)
     texts = [" ".join(rng.choice("the of And to in xq yz".split() + [f"r{rng.randint(0, 300)}"]) for _ in range(rng.randint(0, 80))) for _ in range(150)]
@@ -157,8 +209,57 @@ def test_network_gradient_and_state_across_windows():
     one = language_model.score_documents(net, head, docs)
     assert one == pytest.approx([language_model.score_documents(net, head, [d])[0] for d in docs], rel=1e-4)
     before = one.sum()
-    trained = language_model.train_documents(net, head, docs * 4)
-    assert language_model.score_documents(trained, head, docs).sum() > before
+    trainer = language_model.Trainer(net, head)
+    for _ in range(3):
+        trainer.fit(docs * 4)
+    assert trainer.updates > 3 and language_model.score_documents(net, head, docs).sum() > before
+
+
+def test_gradients_equal_differences():
+    ids = np.arange(1, 900, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    head = language_model.Head(ids, np.arange(899, 0, -1), 500_000, 1000)
+    rng = np.random.default_rng(5)
+    steps, lanes = 5, 6
+    rows, reset = rng.integers(0, head.rows, (steps, lanes)), np.zeros((steps, lanes), bool)
+    reset[0], reset[3, 2] = True, True
+    target = rng.integers(0, 900, steps * lanes)
+    net = language_model.Network.new(head)
+    trainer = language_model.Trainer(net, head)
+    start = np.zeros((lanes, language_model.HIDDEN), np.float32)
+    place = head.cls[target], head.row[target] % language_model.CLASS_WORDS, head.inside[target].astype(float)
+
+    def loss() -> float:
+        states, _ = trainer.forward(rows, reset, start)
+        return -float(net.outputs(states.reshape(-1, language_model.HIDDEN), *place)[0].mean())
+
+    states, kept = trainer.forward(rows, reset, start)
+    grads = {}
+    _, d = net.outputs(states.reshape(-1, language_model.HIDDEN), *place, grads)
+    trainer.backward(rows, reset, kept, d.reshape(states.shape), grads)
+    full = {k: grads[k] for k in ("u", "wc", "bc")} | {k: np.zeros_like(getattr(net, k)) for k in ("wx", "ww", "bw")}
+    full["wx"][grads["rows"]] = grads["wx"]
+    for k, (w, b) in grads["words"].items():
+        full["ww"][k], full["bw"][k] = w, b
+    for name, grad in full.items():
+        way = grad / np.linalg.norm(grad)
+        weights, eps = getattr(net, name), 0.02
+        old = weights.copy()
+        weights += eps * way
+        up = loss()
+        weights[...] = old - eps * way
+        down = loss()
+        weights[...] = old
+        assert (up - down) / (2 * eps) == pytest.approx(float(np.linalg.norm(grad)), rel=0.02), name
+
+
+def test_scores_do_not_follow_partitions(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "SHARD_TOKENS", 2000)  # several shards
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 3000")
+    scores = []
+    for n in (1, 4, 32):
+        got = language_model.score(docs.repartition(n), common.fold("doc_id", 7) == 2).toPandas()
+        scores.append(got.sort_values("doc_id").score.to_numpy())
+    assert scores[1] == pytest.approx(scores[0], rel=1e-6) and scores[2] == pytest.approx(scores[0], rel=1e-6)
 
 
 def test_mix_meets_targets(spark):
@@ -188,6 +289,22 @@ def test_mix_meets_targets(spark):
     assert (again.sort_index() == out.set_index("doc_id").taken.sort_index()).all()
 
 
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_mix_divides_rows_of_one_id_and_equal_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", most)  # 0: joined by source and salt
+    rows = [(7, f"w {i}", "a") for i in range(40)] + [(7, "same words", s) for s in ("b", None) for _ in range(100)]
+    docs = _docs(spark, rows)
+    out = mixing.mix(docs).groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert len(out) == 3 - (len({r.source_size for r in out}) < 2) and all(abs(r.taken - r.target) <= 2 for r in out if r.source_size == 80)
+    taken = mixing.mixed(docs)
+    assert taken.columns == [c for c in docs.columns if c != "mix_copies"] + ["mix_copies"]
+    by = {r.source: r.n for r in taken.groupBy("source").agg(F.sum(F.col("mix_copies") * 2).alias("n")).collect()}
+    target = {80: 240.0}
+    total = 480
+    target = {"a": 240.0, "b": (total - 240) * 2 / 3, None: (total - 240) / 3}
+    assert all(abs(by[s] - t) <= 2 for s, t in target.items())
+
+
 def test_archives(spark):
     big = "x" * 200 + "WARC/1.1\r\n\r\n"
     rows = [(5, "http://a/ b%", big), (3, "u", big), (9, None, "<p>"), (2, "u", "<p>"), (7, "u", None), (8, "é", big + "é"), (3, "u", big)]
@@ -198,6 +315,8 @@ def test_archives(spark):
         r = got[i, hashlib.sha256(raw).hexdigest()]
         assert r.payload_bytes == len(raw) and (r.record_type, r.refers_to) == (("revisit", 3) if i == 5 else ("response", None))
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    named = spark.createDataFrame([("b c", "u", big, 1), ("a%", "u", big, 2), (None, "u", "x", 3)], "page_id string, url string, html string, record_id int")
+    assert {(r.page_id, r.refers_to) for r in warc.round_trip(named).collect()} == {("b c", "a%"), ("a%", None), (None, None)}
     for version in (1, 2):
         old = [warc.ArcRecord("http://x/a b", "1.2.3.4", "1999", "text/html", b"a\nfiledesc:// 5\n"), warc.ArcRecord("u", "", "20010203040506", "", b"")]
         read = list(warc.parse_arc(warc.arc_bytes(old, version)))
@@ -207,6 +326,33 @@ def test_archives(spark):
     assert warc.warc_date("1999") == "1999-01-01T00:00:00Z" and list(warc.parse_arc(b"")) == []
 
 
+@pytest.mark.parametrize("packed", [False, True])
+def test_legacy_archives_in_a_store(spark, tmp_path, packed):
+    """ARC files of both versions as they lie in a store: every field of a WARC record comes from them."""
+    body = b"HTTP/1.0 200 OK\r\nX-Page-ID: 4\r\nContent-Length: 300\r\n\r\n" + b"p" * 300
+    old = [warc.ArcRecord("http://x/a b", "1.2.3.4", "19990203", "text/html", body), warc.ArcRecord("dns:x", "", "20010203040506", "text/dns", b"plain\nfiledesc://\n")]
+    (tmp_path / "arc").mkdir()
+    for version in (1, 2):
+        data = warc.arc_bytes([*old, warc.ArcRecord("u", "5.6.7.8", "2002", "t", body.replace(b"ID: 4", b"ID: %d" % (4 + version)))], version)
+        (tmp_path / "arc" / f"v{version}.arc").write_bytes(gzip.compress(data[:99]) + gzip.compress(data[99:]) if packed else data)
+    (tmp_path / "arc" / "note.txt").write_text("no archive")
+    warc.convert(spark, f"file://{tmp_path}/arc", f"file://{tmp_path}/warc", "int", "*.arc")
+    got = sorted((r.page_id, r.url, r.warc_date, r.ip, r.record_type, r.payload_bytes, r.refers_to) for r in warc.read_archives(spark, f"file://{tmp_path}/warc", "int").where("page_id is not null").collect())
+    first = (4, "http://x/a b", "1999-02-03T00:00:00Z", "1.2.3.4", "response", 300, None)
+    assert got == [first, first, (5, "u", "2002-01-01T00:00:00Z", "5.6.7.8", "revisit", 300, 4), (6, "u", "2002-01-01T00:00:00Z", "5.6.7.8", "revisit", 300, 4)]
+    plain = warc.read_archives(spark, f"file://{tmp_path}/warc").where("page_id is null").collect()
+    assert [(r.url, r.record_type, r.payload_bytes) for r in plain] == [("dns:x", "resource", 18)] * 2
+    ids = [r.record_id for r in warc.read_archives(spark, f"file://{tmp_path}/warc").collect()]
+    assert len(ids) == 6 and all(x.startswith("<urn:uuid:") for x in ids)
+
+
+def test_conversations_without_an_id(spark):
+    rows = [(None, 0, "user", "a"), ("null", 0, "user", "b"), ("null", 1, "assistant", "c")]
+    docs = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").withColumns({"score": F.lit("x"), "tree": F.lit(1), "node": F.lit(2)})
+    got = {r.tree: [t.text for t in r.turns] for r in chat.format_branches(chat.conversation_messages(docs)).withColumn("turns", chat.read_turns(F.col("formatted"))).collect()}
+    assert got == {None: ["a"], "null": ["b", "c"]}
+
+
 def test_reply_trees(spark):
     nodes = [("t", "r", None, 0.0, "user", "q \\h<#:"), ("t", "a", "r", 1.0, "assistant", "A </turn>\n"), ("t", "b", "r", 5.0, "assistant", "B"), ("t", "c", "a", 9.0, "x:y", None), ("u", "z", "gone", 1.0, None, ""), ("v", "m", "n", 1.0, "user", "x"), ("v", "n", "m", 1.0, "user", "y")]
     m = spark.createDataFrame(nodes, "tree string, node string, parent string, score double, role string, text string")
@@ -286,7 +432,9 @@ def test_queries_equal_their_sql(spark, tmp_path):
     base = [[f"w{rng.randrange(500)}" for _ in range(80)] for _ in range(6)]
     texts = [" ".join(w if rng.random() > 0.01 * (i % 4) else "X" for w in base[i % 6]) for i in range(60)]
     texts += [None, "", " \t", "One", "one", "one two", "ONE\x0btwo", "É", "é", texts[0].upper()]
-    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    source = lambda i: rng.choice(["a", "a", "É", "z", "", None])
+    rows = [(i, t, source(i)) for i, t in enumerate(texts)] + [(900, "alike twice", "a")] * 3
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     con = duckdb.connect()
     for name in ("pages", "conversations", "documents"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
@@ -319,9 +467,54 @@ def test_decontamination(spark):
         found = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench, per_block=block).collect()}
         assert found == {(1, 0), (2, 1), (3, 3), (5, 2), (5, 4)}
         assert sorted(r.doc_id for r in decontamination.decontaminated(docs, bench, per_block=block).collect()) == [0, 4]
+    masks = decontamination.near_masks(decontamination.RADIUS // decontamination.BLOCKS)
     for a in (0, 2**64 - 1, 12345):
-        b = a ^ sum(1 << k for k in rng.sample(range(64), 20))
-        assert any(x == y for x, y in zip(decontamination.blocks_of(a, 20), decontamination.blocks_of(b, 20), strict=True))
+        b = a ^ sum(1 << k for k in rng.sample(range(64), decontamination.RADIUS))
+        assert any(x ^ y in m.tolist() for x, y, m in zip(decontamination.block_values(a), decontamination.block_values(b), masks, strict=True))
+
+
+def _best_windows(doc, items, n=5, least=0.8):
+    """item -> best weighted Jaccard similarity, start and end word, over all windows of the item's size."""
+    out, words = {}, doc.lower().split()
+    for k, item in enumerate(items):
+        own = item.lower().split()
+        m, size = min(n, len(own)), len(own)
+        if not own or len(words) < m:
+            continue
+        shingles = lambda w: {tuple(w[j : j + m]) for j in range(len(w) - m + 1)}
+        heavy = lambda x: sum(len(w.encode()) + 1 for t in x for w in t)
+        a = shingles(own)
+        for s in range(max(1, len(words) - size + 1)):
+            b = shingles(words[s : s + size])
+            shared = heavy(a & b)
+            similar = shared / (heavy(a) + heavy(b) - shared)
+            if similar >= least and (k not in out or similar > out[k][0]):
+                out[k] = similar, s, min(len(words), s + size)
+    return out
+
+
+def test_decontamination_equals_all_windows(spark):
+    rng = random.Random(3)
+    common_words = "the of and to heer esersh tion anor thinti lytiat onrend enble".split()
+    word = lambda: rng.choice(common_words) + str(rng.randint(0, 60))
+    items = [" ".join(word() for _ in range(rng.choice([1, 2, 3, 4, 5, 9, 14, 20, 36, 59]))) for _ in range(120)]
+    texts = []
+    for _ in range(250):
+        w = rng.choice(items).split()
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+            i = rng.randrange(len(w))
+            rng.choice([lambda: w.__setitem__(i, "edit"), lambda: w.insert(i, "more"), lambda: len(w) > 1 and w.pop(i)])()
+        fill = lambda: [f"f{rng.randint(0, 999)}" for _ in range(rng.choice([0, 0, 3, 30]))]
+        texts.append(" ".join(fill() + w + fill()))
+    want = {(i, k): m for i, t in enumerate(texts) for k, m in _best_windows(t, items).items()}
+    bench = spark.createDataFrame([(f"item {k}", t) for k, t in enumerate(items)], "item_id string, text string")
+    docs = _docs(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    for radius, least in ((None, 1.0), (decontamination.RADIUS, 0.99)):
+        rows = decontamination.contaminated(docs, bench, radius=radius).collect()
+        got = {(r.doc_id, int(r.item_id[5:])): (r.similarity, r.start_word, r.end_word) for r in rows}
+        assert len(got) == len(rows) and set(got) <= set(want) and len(got) >= least * len(want)
+        if radius is None:
+            assert all(got[x][1:] == want[x][1:] and got[x][0] == pytest.approx(want[x][0]) for x in want)
 
 
 def test_classifiers_learn():
@@ -331,10 +524,11 @@ def test_classifiers_learn():
     good = [" ".join(text()).encode() for _ in range(150)]
     bad = [" ".join(w + "###" for w in text()).encode() for _ in range(150)]
     model = compression.fit(good + bad, np.array([1] * 150 + [0] * 150))
-    sizes = compression.Sizes(model.good, model.bad)
+    by = compression.Difference(model.good, model.bad)
     fresh = [[" ".join(text()).encode() for _ in range(50)], [" ".join(w + "###" for w in text()).encode() for _ in range(50)]]
-    s = [model.scores(np.array([sizes.of(t) for t in part])) for part in fresh]
+    s = [model.scores(np.array([by.of(t) for t in part])) for part in fresh]
     assert (s[0] >= compression.DECISION).mean() > 0.9 and (s[1] < compression.DECISION).mean() > 0.9
+    assert model.scores(np.array([-1.0, 0.0, 1.0])).tolist() == sorted(model.scores(np.array([-1.0, 0.0, 1.0])))
     rude = []
     for _ in range(150):
         t = text()
@@ -346,6 +540,55 @@ def test_classifiers_learn():
     assert got[:40].mean() < 0.1 and got[40:].mean() > 0.9
 
 
+def test_quality_scores_are_calibrated():
+    """Held-out rows of the 0.1 tables: order, and the share of good rows near each score."""
+    con = duckdb.connect()
+    d = "/root/testdata/sf0.1"
+    rows = con.execute(f"SELECT doc_id, coalesce(text, ''), quality FROM '{d}/documents.parquet' JOIN '{d}/labels.parquet' USING (doc_id) WHERE quality IS NOT NULL ORDER BY doc_id").fetchall()
+    held = np.array([zlib.crc32(str(r[0]).encode()) % 5 == 0 for r in rows])
+    texts, y = [r[1].encode() for r in rows], np.array([r[2] for r in rows])
+    model = compression.fit([t for t, h in zip(texts, held, strict=True) if not h], y[~held])
+    by = compression.Difference(model.good, model.bad)
+    p, y = model.scores(np.array([by.of(t) for t, h in zip(texts, held, strict=True) if h])), y[held]
+    assert samples.auc(p, y) > 0.98 and (p[y == 1] >= compression.DECISION).mean() > 0.98
+    for low, high in ((0, 0.1), (0.1, 0.5), (0.5, 0.9), (0.9, 1.01)):
+        own = (p >= low) & (p < high)
+        assert abs(y[own].mean() - p[own].mean()) < 0.15
+
+
+def test_samples_pass_over_what_does_not_fit(spark):
+    docs = _docs(spark, [(i, "x" * (5000 if i in (1, 3) else 10), "a") for i in range(20)] + [(2, "y" * 10, "a")] * 30)
+    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")
+    sample, share = samples.labelled(docs, labels, "quality", 100, 1000)
+    assert {r._key for r in sample.collect()} == set(range(20)) - {1, 3} and sample.count() == 18 and share == 1.0
+
+
+def test_languages_are_told_from_words_and_letters():
+    texts = ["the cat of a house", "der Hund und die Katze", "le chat et la maison des amis", "el gato y los perros que", "", "xx yy"]
+    raw, at = common.utf8_of(pa.array(texts))
+    assert [toxicity.NAMES[i] for i in toxicity.languages(raw, at, *toxicity.word_ids(raw, at))] == ["en", "de", "fr", "es", "en", "en"]
+    z, y = np.array([0.0, 1.0, 2.0, 3.0] * 40), np.array([0, 0, 1, 1] * 40)
+    cuts = toxicity.calibrated(z, y, np.zeros(160, int))
+    assert 1.3 < cuts[0] < 1.6 and len(set(cuts[1:])) == 1  # languages without texts take the common cut
+
+
+def test_convolution_equals_a_plain_loop():
+    model = toxicity.new_model()
+    raw, at = common.utf8_of(pa.array(["one two three, four", "", "five"]))
+    ids, first = toxicity.word_ids(raw, at)
+    e = model.embed(ids)
+    for d in range(3):
+        own = e[first[d] : first[d + 1]]
+        pooled = np.full(len(model.out), -np.inf) if len(own) else np.zeros(len(model.out))
+        for k, span in enumerate(toxicity.SPANS):
+            for f in range(toxicity.FILTERS):
+                for p in range(len(own)):
+                    x = sum(float(own[p + i] @ model.conv[:, model.places(span, i)][:, f]) for i in range(span) if p + i < len(own))
+                    pooled[k * toxicity.FILTERS + f] = max(pooled[k * toxicity.FILTERS + f], x)
+        active = np.maximum(pooled + model.shift, 0) if len(own) else np.zeros(len(model.out))
+        assert model.logits(ids, first)[d] == pytest.approx(float(active @ model.out) + model.bias, abs=1e-4)
+
+
 def test_classifier_scores_use_the_text_alone(spark, labels):
     docs = _docs(spark, [(i, "good words here" if i % 2 else "### $$$", "a") for i in range(60)])
     a = compression.classify(docs, labels, ~compression.held_out("doc_id")).toPandas()
@@ -353,16 +596,39 @@ def test_classifier_scores_use_the_text_alone(spark, labels):
     assert json.loads(a.to_json()) == json.loads(b.to_json()) and set(queries.queries()) >= {f"op{n}_" + s for n, s in ((1, "find_secrets"), (10, "toxicity"))}
 
 
-def test_pipeline(spark):
+def test_pipeline_equals_brute_force(spark):
+    """Every stage on what its predecessor kept, against a plain version over all rows, windows and pairs."""
     import corpus_pipeline
 
-    docs, d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), "/root/testdata/sf0.001"
+    d = "/root/testdata/sf0.001"
+    docs, after = spark.read.parquet(f"{d}/documents.parquet"), {}
     for name, stage in corpus_pipeline.STAGES:
         out = common.stored(stage(spark, docs, d), name)
-        assert out.count() <= docs.count()
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == docs.columns
-        if name == "secret_spans":
-            assert out.where("n_chars <> length(text)").isEmpty()
+        after[name] = docs.toPandas().set_index("doc_id"), out.toPandas().set_index("doc_id")
         docs = out
-    assert docs.count() > 0 and "mix_copies" in docs.columns
+    before, left = after["quality"]
+    scored = compression.classify(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"), ~compression.held_out("doc_id")).toPandas()
+    assert set(left.index) == set(scored.doc_id[scored.score >= compression.DECISION]) and 0 < len(left) < len(before)
+    before, left = after["near_duplicates"]
+    order = sorted(before.index)
+    _, root = _brute_components([before.text[i] for i in order], 5, 80, 100)
+    assert set(left.index) == {order[i] for i in set(root)}
+    before, left = after["benchmark_passages"]
+    items = [r.text for r in spark.read.parquet(f"{d}/benchmark.parquet").collect()]
+    bare = lambda t: " ".join(w for w in (x.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for x in (t or "").split()) if True)
+    hit = {i for i in before.index if _best_windows(bare(before.text[i]), [bare(x) for x in items])}
+    assert set(left.index) == set(before.index) - hit
+    before, left = after["secret_spans"]
+    ranks = secrets._ranks(secrets.RANKS_PATH)
+    for i, t in before.text.items():
+        words = [(m.start(), m[0]) for m in secrets.re.finditer(common.WORD, t or "")]
+        assert left.text[i] == secrets._cut(t, secrets.find(t, ranks, words), "[{}]".format) and left.n_chars[i] == len(left.text[i])
+    before, left = after["source_mix"]
+    numbers = mixing.mix(spark.read.parquet(f"{d}/documents.parquet").where(F.col("doc_id").isin(list(map(int, before.index))))).count()
+    size = {i: len((t or "").encode().split()) for i, t in before.text.items()}
+    assert numbers == len(before) and set(left.index) <= set(before.index) and left.mix_copies.between(1, 3).all()
+    for source, own in before.groupby("source"):
+        taken = sum(size[i] * left.mix_copies[i] for i in own.index if i in left.index)
+        assert taken <= 3 * sum(size[i] for i in own.index)
