@@ -8,11 +8,12 @@ operations over pieces of a few megabytes, so memory does not depend on the batc
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 #: Fixed by the task: what separates words, as a regular expression class.
 WORD = r"[^\x20\x09-\x0D]+"
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _own_dir: list[str] = []
 
@@ -63,6 +64,27 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+Batches = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def freed(run: Batches) -> Batches:
+    """run, which gives its freed memory back to the system when a task ends: workers live on and would keep it."""
+
+    def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -142,7 +142,7 @@ def classify(
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.scores(by.of_all(batch.column(batch.num_columns - 1))))], schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(common.freed(run), schema)
 
 
 def kept(docs: DataFrame, labels: DataFrame, train: Column | None = None, key: str = "doc_id", text: str = "text", decision: float = DECISION) -> DataFrame:
@@ -155,7 +155,7 @@ def kept(docs: DataFrame, labels: DataFrame, train: Column | None = None, key: s
         for batch in batches:
             yield batch.filter(pa.array(model.scores(by.of_all(batch.column(place))) >= decision))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.freed(run), docs.schema)
 
 
 def held_out(key: str = "doc_id") -> Column:

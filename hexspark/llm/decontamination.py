@@ -248,7 +248,7 @@ def contaminated(
                 at, *cols = zip(*rows, strict=True) if rows else ([],) * 5
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], schema.names)
 
-        part = docs.select(key, text).mapInArrow(run, schema)
+        part = docs.select(key, text).mapInArrow(common.freed(run), schema)
         if several:  # one index at a time on the executors
             part = common.stored(part, "found")
             sent.destroy()
@@ -282,4 +282,4 @@ def decontaminated(
             keep[[i for i, _ in sent.value.search(batch.column(at))]] = False
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.freed(run), docs.schema)

@@ -89,7 +89,7 @@ def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         if parts:
             yield counted(parts)
 
-    return docs.select(text).mapInArrow(run, "id long, c long").groupBy("id").agg(F.sum("c").alias("c"))
+    return docs.select(text).mapInArrow(common.freed(run), "id long, c long").groupBy("id").agg(F.sum("c").alias("c"))
 
 
 class Head:
@@ -465,13 +465,13 @@ def train(docs: DataFrame, head: Head, key: str = "doc_id", text: str = "text")
     h = F.xxhash64(F.lit(21), F.col(text), F.col(key))
     dealt = docs.select(F.pmod(h, F.lit(shards)).alias("shard"), F.col(text).alias("text"), h.alias("h"), F.col(key).alias("key"))
     dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "h", "key", "text").select("shard", "text")
-    nets = common.stored(dealt.mapInArrow(run, "shard long, n double, net binary"), "nets")
+    nets = common.stored(dealt.mapInArrow(common.freed(run), "shard long, n double, net binary"), "nets")
     while (count := nets.count()) > AVERAGE_FAN:
         # The weights of AVERAGE_FAN shards meet in one task.
         groups = -(-count // AVERAGE_FAN)
         placed = nets.select(F.floor(F.col("shard") / AVERAGE_FAN).alias("group"), "shard", "n", "net")
         placed = placed.repartitionById(groups, F.pmod("group", F.lit(groups)).cast("int")).sortWithinPartitions("group", "shard")
-        nets = common.stored(placed.mapInArrow(merge, "shard long, n double, net binary"), "nets")
+        nets = common.stored(placed.mapInArrow(common.freed(merge), "shard long, n double, net binary"), "nets")
     rows = [(r[1], bytes(r[2])) for r in sorted(nets.collect())]
     net = Network.new(head)
     if rows:
@@ -569,7 +569,7 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
                 yield flush(batch.num_rows)
 
     rows = docs.select(key, held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"), text)
-    scored = common.stored(rows.mapInArrow(run, schema), "scored")
+    scored = common.stored(rows.mapInArrow(common.freed(run), schema), "scored")
     seen = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("rid"), F.col("x.rare_n").alias("n"))
     seen = seen.join(counts, F.col("rid") == F.col("id"), "left")
     tail = seen.groupBy(F.col("row").alias("_row")).agg(

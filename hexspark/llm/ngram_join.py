@@ -172,7 +172,7 @@ def common_shingles(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
         if held:
             yield many(parts)
 
-    counts = docs.select(text).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_LEAST)
+    counts = docs.select(text).mapInArrow(common.freed(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_LEAST)
     counts = common.stored(counts, "common")
     # The most frequent, by a histogram over eighths of an octave, and of the bin in which the number ends a share by hash.
     level = F.floor(F.log2("n") * 8).cast("int")
@@ -425,7 +425,7 @@ def _link_tasks(rows: DataFrame, like: Likeness, count: bool = False) -> DataFra
         yield as_batch(out)
 
     placed = rows.select("task", "side", "grp", "weight", "sid", "text").repartition("task").sortWithinPartitions("task")
-    return placed.mapInArrow(run, "a long, b long, n long")
+    return placed.mapInArrow(common.freed(run), "a long, b long, n long")
 
 
 def shingle_table(rows: DataFrame, passed: list[str], text: str, like: Likeness) -> DataFrame:
@@ -458,7 +458,7 @@ def shingle_table(rows: DataFrame, passed: list[str], text: str, like: Likeness)
                     [*(batch.column(i).slice(lo, hi - lo) for i in range(len(passed))), pa.array(size), pa.array(ids, mask=size == 0), keys], schema.names
                 )
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(common.freed(run), schema)
 
 
 def shared_keys(keyed: DataFrame) -> DataFrame:
@@ -491,7 +491,7 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
             yield out(np.array([hub[1]]), None, np.array([hub[0]]))
 
     placed = keyed.select("k", "sid").repartitionByRange("k", "sid").sortWithinPartitions("k", "sid")
-    found = common.stored(placed.mapInArrow(run, "a long, b long, k long"), "shared")
+    found = common.stored(placed.mapInArrow(common.freed(run), "a long, b long, k long"), "shared")
     ends = found.where("b is null")
     ends = ends.select(F.first("a").over(Window.partitionBy("k").orderBy("a")).alias("a"), F.col("a").alias("b")).where("a <> b")
     return found.where("b is not null").select("a", "b").unionByName(ends).distinct()

@@ -109,7 +109,7 @@ def rule_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             found = statistics(*common.utf8_of(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[c]) for c in COUNTS + EXTRA)], schema.names)
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(common.freed(run), schema)
 
 
 #: What each rate counts and what it is a share of.
@@ -230,7 +230,7 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             score = forest.score(_matrix(batch, names)) if forest else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[: -len(names)], pa.array(score)], schema.names)
 
-    scored = common.stored(stats.select("*", *over).mapInArrow(run, schema), "scored")
+    scored = common.stored(stats.select("*", *over).mapInArrow(common.freed(run), schema), "scored")
     level = F.floor(F.col("anomaly") * BINS).cast("int")
     bins = scored.where(~failed).join(marks, F.col(key) == F.col("_key")).groupBy(level.alias("bin"), "_q").count()
     good, bad = np.zeros(BINS + 1), np.zeros(BINS + 1)

@@ -63,7 +63,7 @@ def fitted(sample: DataFrame, fit: Callable[[list[bytes], np.ndarray], object])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, np.array(labels, np.int64)))], pa.binary())], ["model"])
 
     ordered = sample.repartition(1).sortWithinPartitions("label", "h", "_key").select("text", "label")
-    row = ordered.mapInArrow(run, "model binary").first()
+    row = ordered.mapInArrow(common.freed(run), "model binary").first()
     return fit([], np.zeros(0, np.int64)) if row is None else pickle.loads(row[0])  # no row: an empty plan runs no task
 
 

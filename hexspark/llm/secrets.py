@@ -180,7 +180,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks_path: s
             as_arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, as_arrow)], [key, "spans"])
 
-    return docs.select(key, text).mapInArrow(run, T.StructType([T.StructField(key, kind), T.StructField("spans", SPANS)]))
+    return docs.select(key, text).mapInArrow(common.freed(run), T.StructType([T.StructField(key, kind), T.StructField("spans", SPANS)]))
 
 
 def _cut(text: str, spans: list, mark: Callable[[str], str]) -> str:
@@ -208,4 +208,4 @@ def redact(docs: DataFrame, text: str = "text", ranks_path: str = RANKS_PATH, th
             new = [_cut(x, spans, "[{}]".format) if spans else y for y, (x, spans) in zip(old, scan_batch(col, ranks, threshold), strict=True)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, col.type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.freed(run), docs.schema)

@@ -246,7 +246,7 @@ def write_arc(pages: DataFrame, path: str) -> None:
         if held:
             yield archive(held)
 
-    _write_archives(rows.mapInArrow(run, "archive binary"), path, b"\n")
+    _write_archives(rows.mapInArrow(common.freed(run), "archive binary"), path, b"\n")
 
 
 def _place_id(record: ArcRecord, digest: str, place: int) -> str:
@@ -277,7 +277,7 @@ def describe_arc(spark: SparkSession, path: str, pattern: str | None = None) ->
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], list(names))
 
     schema = "archive string, place long, url string, ip string, date string, mime string, page_id string, payload_bytes long, digest string, record_id string"
-    return _files(spark, path, pattern).mapInArrow(run, schema)
+    return _files(spark, path, pattern).mapInArrow(common.freed(run), schema)
 
 
 def revisits(described: DataFrame, kind: str = "long") -> DataFrame:
@@ -320,7 +320,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, kind: str = "lon
         for archive in _archives(records(batches), END):
             yield pa.RecordBatch.from_arrays([pa.array([archive], pa.binary())], ["archive"])
 
-    _write_archives(joined.mapInArrow(run, "archive binary"), warc_path, END)
+    _write_archives(joined.mapInArrow(common.freed(run), "archive binary"), warc_path, END)
 
 
 def read_archives(spark: SparkSession, path: str, kind: str = "long", pattern: str | None = None) -> DataFrame:
@@ -353,7 +353,7 @@ def read_archives(spark: SparkSession, path: str, kind: str = "long", pattern: s
                     yield flush(rows)
 
     schema = ", ".join(f"{n} {'long' if n == 'payload_bytes' else 'string'}" for n in names)
-    out = _files(spark, path, pattern).mapInArrow(run, schema)
+    out = _files(spark, path, pattern).mapInArrow(common.freed(run), schema)
     return out.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
 
 
