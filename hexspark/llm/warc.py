@@ -135,8 +135,8 @@ def _line(value: str) -> str:
     return re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", value)
 
 
-def warc_bytes(record: ArcRecord, own_id: str, refers_to: str | None = None, extra: dict[str, str] | None = None) -> bytes:
-    """One WARC record without its final two line ends.
+def warc_bytes(record: ArcRecord, own_id: str, digest: str, refers_to: str | None = None, extra: dict[str, str] | None = None) -> bytes:
+    """One WARC record without its final two line ends; digest: of its payload.
 
     With refers_to, the identifier of the record that holds the same payload, it is a revisit whose block is
     the HTTP header lines alone.
@@ -150,7 +150,7 @@ def warc_bytes(record: ArcRecord, own_id: str, refers_to: str | None = None, ext
         "WARC-Date": warc_date(record.date),
         "WARC-Target-URI": record.url,
         "WARC-IP-Address": record.ip or "0.0.0.0",
-        "WARC-Payload-Digest": f"sha256:{hashlib.sha256(memoryview(record.body)[start:]).hexdigest()}",
+        "WARC-Payload-Digest": f"sha256:{digest}",
         "WARC-Block-Digest": f"sha256:{hashlib.sha256(block).hexdigest()}",
         "WARC-Identified-Payload-Type": record.mime or "application/octet-stream",
         "Content-Type": "application/http; msgtype=response" if http else record.mime or "application/octet-stream",
@@ -205,7 +205,8 @@ def _archives(records: Iterator[bytes], between: bytes) -> Iterator[bytes]:
 
 def _write_archives(rows: DataFrame, path: str, end: bytes) -> None:
     """Each row, an archive without its last line end, as a compressed file of its own."""
-    writer = rows.select(F.col("archive").cast("string").alias("value")).write.option("lineSep", end.decode()).option("compression", "gzip")
+    writer = rows.select(F.col("archive").cast("string").alias("value")).write.option("lineSep", end.decode())
+    writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
     writer.option("maxRecordsPerFile", 1).text(path)
 
 
@@ -313,8 +314,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, kind: str = "lon
             for data, again in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 of = {x["place"]: (x["first"], x["first_id"]) for x in again or ()}
                 for place, r in enumerate(parse_arc(_opened(data))):
-                    first, first_id = of.get(place, (None, None))
-                    yield warc_bytes(r, _place_id(r, _digest(r), place), first_id, {} if first is None else {"X-Refers-To-Page": _field(first)})
+                    digest, (first, first_id) = _digest(r), of.get(place, (None, None))
+                    yield warc_bytes(r, _place_id(r, digest, place), digest, first_id, {} if first is None else {"X-Refers-To-Page": _field(first)})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for archive in _archives(records(batches), END):
