@@ -32,7 +32,7 @@ from hexspark.llm import common
 from hexspark.llm.components import components
 
 #: Shingles in one block of a cluster; a task holds one block, or two when joining across.
-BLOCK_SHINGLES = 500_000
+BLOCK_SHINGLES = 200_000
 #: Smaller clusters are packed into blocks of about so many shingles, a tree for each.
 PACK_SHINGLES = 100_000
 #: A table of two or three numbers a row is broadcast up to so many rows; beyond, the join shuffles.
