@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -17,14 +18,12 @@ from hexspark.sources.gpkg import read_gpkg
 
 
 def named_paths(pairs: list[str] | None) -> dict[str, str]:
-    """NAME=PATH pairs as a mapping; the first = splits and a later pair of a name wins."""
-    out = {}
-    for pair in pairs or []:
-        name, _, path = pair.partition("=")
-        if not name or not path:
-            raise ValueError(f"expected NAME=PATH, not {pair!r}")
-        out[name] = path
-    return out
+    """Sources by name from texts like kontur=/data/people: all after the first = is the path, the last of a name counts."""
+    found = [re.fullmatch(r"([^=]+)=(.+)", pair, re.DOTALL) for pair in pairs or ()]
+    wrong = [pair for pair, m in zip(pairs or (), found, strict=True) if m is None]
+    if wrong:
+        raise ValueError(f"a source is given as name=path; these are not: {wrong}")
+    return dict(m.groups() for m in found)
 
 
 def _write_people(rows, out: str) -> tuple[int, float]:
@@ -77,29 +76,43 @@ def series(spark: SparkSession, a: argparse.Namespace) -> str:
     return f"wrote {n} cells for years {years[0]}-{years[-1]}"
 
 
+def _published(spark: SparkSession, folder: str, to: str, prune: str | None) -> str:
+    store = catalog.Store(spark, to)
+    n = catalog.publish(store, folder, prune)
+    catalog.verify(store, folder)
+    return f"published {n} files to {to}"
+
+
 def publish(spark: SparkSession, a: argparse.Namespace) -> str:
-    to = catalog.FolderPublisher(Path(a.to))
-    n = catalog.publish(Path(a.tiles), to, a.prune)
-    catalog.verify(Path(a.tiles), to)
-    return f"published {n} files to {a.to}"
+    return _published(spark, a.tiles, a.to, a.prune)
 
 
 def refresh_plan(spark: SparkSession, a: argparse.Namespace) -> str:
-    found = [tuple(x) for x in json.loads(Path(a.assets).read_text())]
-    manifest = catalog.published_manifest(catalog.FolderPublisher(Path(a.published)))
-    plan = catalog.Plan(catalog.checked(spark, found), manifest.get("release"), manifest.get("years", []))
-    catalog.write_plan(plan, Path(a.out))
-    return json.dumps({"release": plan.catalog.release, "years": plan.catalog.years, "needs_update": plan.needs_update})
+    """Ask the service, or read a listing from a JSON file, and write the plan."""
+    if a.assets:
+        rows = spark.createDataFrame([tuple(x) for x in json.loads(Path(a.assets).read_text())], "iso string, year int, release string, href string")
+    else:
+        rows = catalog.listing(spark, catalog.WebClient(), a.service)
+    plan = catalog.refresh_plan(rows, catalog.Store(spark, a.published).manifest())
+    catalog.save_plan(spark, plan, a.out)
+    return json.dumps({k: plan[k] for k in ("release", "years", "needs_update")})
+
+
+def refresh_year(spark: SparkSession, a: argparse.Namespace) -> str:
+    """Bring a year's rasters, if a plan is given, and bin them."""
+    if a.plan:
+        plan = catalog.load_plan(spark, a.plan)
+        n = catalog.fetch(catalog.WebClient(), plan["assets"][str(a.year)].values(), Path(a.rasters))
+        print(f"{n} rasters of {a.year}")
+    return f"{write_year(spark, a.rasters, a.out_dir, int(a.year))} cells"
 
 
 def refresh_publish(spark: SparkSession, a: argparse.Namespace) -> str:
-    plan = catalog.read_plan(Path(a.plan))
-    n = timeseries.write_series(spark, a.scratch_dir, a.tiles, plan.catalog.years, plan.catalog.release)
+    plan = catalog.load_plan(spark, a.plan)
+    n = timeseries.write_series(spark, a.scratch_dir, a.tiles, plan["years"], plan["release"])
     if a.to:
-        to = catalog.FolderPublisher(Path(a.to))
-        catalog.publish(Path(a.tiles), to, "h3_parent=*/*")
-        catalog.verify(Path(a.tiles), to)
-    return f"built {n} cells, release {plan.catalog.release}"
+        _published(spark, a.tiles, a.to, "h3_parent=*/*")
+    return f"built {n} cells, release {plan['release']}"
 
 
 def parser() -> argparse.ArgumentParser:
@@ -127,8 +140,8 @@ def parser() -> argparse.ArgumentParser:
     command("raster", people_raster, "tif-dir", "out", year=config.SERIES_YEAR)
     command("series", series, "tif-dir", "out", "scratch-dir", year_min=2015, year_max=2030)
     command("publish", publish, "tiles", "to", prune=None)
-    command("refresh-plan", refresh_plan, "assets", "published", "out")
-    p = command("refresh-year", lambda spark, a: f"{write_year(spark, a.rasters, a.out_dir, int(a.year))} cells", "rasters", "out-dir", "year")
+    command("refresh-plan", refresh_plan, "published", "out", assets=None, service=config.STAC)
+    command("refresh-year", refresh_year, "rasters", "out-dir", "year", plan=None)
     command("refresh-publish", refresh_publish, "plan", "scratch-dir", "tiles", to=None)
     return top
 

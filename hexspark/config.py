@@ -18,7 +18,11 @@ PLANET = {"lon_min": -180.0, "lon_max": 180.0, "lat_min": -60.0, "lat_max": 84.0
 MOST_VIEW_KM2 = 40_000
 
 
-def feature_paths(release: str = RELEASE) -> tuple[str, str]:
+#: The theme and type under which buildings and road segments are kept.
+FEATURES = (("buildings", "building"), ("transportation", "segment"))
+STAC = "https://api.stac.worldpop.org"
+
+
+def feature_paths(release: str = RELEASE) -> tuple[str, ...]:
     """Globs of buildings and road segments of one release."""
-    base = f"{FEATURE_BUCKET}/{release}"
-    return f"{base}/theme=buildings/type=building/*.parquet", f"{base}/theme=transportation/type=segment/*.parquet"
+    return tuple("/".join((FEATURE_BUCKET, release, f"theme={theme}", f"type={kind}", "*.parquet")) for theme, kind in FEATURES)

@@ -257,22 +257,25 @@ def centres_of(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lat, lon
 
 
-def boundary_of(cell: int) -> list[list[float]]:
-    """The corners of a cell as a closed ring of longitude and latitude."""
-    res = (cell >> 52) & 15
-    face, x, y = _placed(np.array([cell]), res)
-    angle = np.pi / 6 + np.pi / 3 * np.arange(6)
-    lat, lon = _globe(x + np.cos(angle) / np.sqrt(3), y + np.sin(angle) / np.sqrt(3), np.repeat(face, 6), res)
-    ring = [[float(a), float(b)] for a, b in zip(np.degrees(lon), np.degrees(lat), strict=True)]
-    return [*ring, ring[0]]
+def boundaries_of(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Longitudes and latitudes of the seven points of each cell's closed ring."""
+    lon, lat = np.zeros((len(cells), 7)), np.zeros((len(cells), 7))
+    angle = np.pi / 6 + np.pi / 3 * np.arange(7)
+    resolution = (cells >> 52) & 15
+    for res in np.unique(resolution):
+        rows = np.flatnonzero(resolution == res)
+        face, x, y = _placed(cells[rows], int(res))
+        ring_x, ring_y = x[:, None] + np.cos(angle) / np.sqrt(3), y[:, None] + np.sin(angle) / np.sqrt(3)
+        a, b = _globe(ring_x.ravel(), ring_y.ravel(), np.repeat(face, 7), int(res))
+        lat[rows], lon[rows] = np.degrees(a).reshape(-1, 7), np.degrees(b).reshape(-1, 7)
+    lat[:, 6], lon[:, 6] = lat[:, 0], lon[:, 0]
+    return lon, lat
 
 
-def _kernel(lat: np.ndarray, lon: np.ndarray, res: int) -> np.ndarray:
-    try:
-        import h3
-    except ImportError:
-        return cells_of(lat, lon, res)
-    return np.array([int(h3.latlng_to_cell(a, b, res), 16) if np.isfinite(a) and np.isfinite(b) else 0 for a, b in zip(lat, lon, strict=True)], np.int64)
+def boundary_of(cell: int) -> list[list[float]]:
+    """The corners of a cell as a closed ring of longitude and latitude."""
+    lon, lat = boundaries_of(np.array([cell]))
+    return [[float(a), float(b)] for a, b in zip(lon[0], lat[0], strict=True)]
 
 
 def latlng_to_cell(lat: Column, lon: Column, resolution: int) -> Column:
@@ -283,7 +286,7 @@ def latlng_to_cell(lat: Column, lon: Column, resolution: int) -> Column:
     @F.arrow_udf("long")
     def run(a: pa.Array, b: pa.Array) -> pa.Array:
         lat, lon = (c.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False) for c in (a, b))
-        found = _kernel(lat, lon, resolution)
+        found = cells_of(lat, lon, resolution)
         return pa.array(found, mask=found == 0)
 
     return run(lat, lon)
@@ -294,7 +297,13 @@ def cell_boundary(cell: Column | str) -> Column:
 
     @F.arrow_udf("array<array<double>>")
     def run(cells: pa.Array) -> pa.Array:
-        return pa.array([None if c is None else boundary_of(c) for c in cells.to_pylist()], pa.list_(pa.list_(pa.float64())))
+        known = np.flatnonzero(~cells.is_null().to_numpy(zero_copy_only=False))
+        lon, lat = boundaries_of(cells.take(pa.array(known)).to_numpy(zero_copy_only=False))
+        pairs = pa.ListArray.from_arrays(np.arange(0, 14 * len(known) + 1, 2, dtype=np.int32), pa.array(np.stack([lon, lat], axis=2).ravel()))
+        rings = pa.ListArray.from_arrays(np.arange(0, 7 * len(known) + 1, 7, dtype=np.int32), pairs)
+        place = np.full(len(cells), -1)
+        place[known] = np.arange(len(known))
+        return rings.take(pa.array(place, mask=place < 0))
 
     return run(cell)
 
@@ -320,11 +329,11 @@ def polygon_cells(rings: list[list[list[float]]], resolution: int) -> np.ndarray
     for chunk in np.array_split(lats, max(1, len(lats) // 256)):
         wide = step / max(0.05, np.cos(np.radians(min(89.0, np.abs(chunk).max()))))
         lon, lat = np.meshgrid(np.arange(low[0], high[0] + wide, wide), chunk)
-        found.append(np.unique(_kernel(lat.ravel(), lon.ravel(), resolution)))
+        found.append(np.unique(cells_of(lat.ravel(), lon.ravel(), resolution)))
     cells = np.unique(np.concatenate(found))
     lat, lon = centres_of(cells)
     cells = cells[in_rings(lat, lon, rings)]
-    return cells if len(cells) else np.unique(_kernel(outer[:, 1], outer[:, 0], resolution))
+    return cells if len(cells) else np.unique(cells_of(outer[:, 1], outer[:, 0], resolution))
 
 
 def cells_in(polygons: DataFrame, resolution: int, rings: str = "rings") -> DataFrame:

@@ -6,7 +6,8 @@ import hashlib
 import json
 from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hexspark import config
 from hexspark.functions.scalar import in_closed_box, in_half_open_box
@@ -74,7 +75,7 @@ def run_planet(
         target = f"{chunk_dir}/chunk_{n:04d}.parquet"
         print_of = hashlib.sha256(json.dumps([astuple(box), resolution, parent, buildings, segments]).encode()).hexdigest()
         marker = f"{chunk_dir}/done_{n:04d}.json"
-        if tiles.exists(spark, f"{target}/_SUCCESS") and tiles.read_text(spark, marker) in (None, print_of):
+        if tiles.exists(spark, f"{target}/_SUCCESS") and tiles.read_text(spark, marker) == print_of:
             continue
         try:
             rows = completeness.cell_counts(spark.read.parquet(buildings), spark.read.parquet(segments), in_half_open_box(*astuple(box)), resolution)
@@ -91,9 +92,18 @@ def run_planet(
 
 
 def _is_input_error(error: Exception) -> bool:
-    return any(x in str(error) for x in ("IOException", "PATH_NOT_FOUND", "FileNotFound", "SocketTimeout", "UnknownHost", "FAILED_READ_FILE"))
+    """Whether a path or a store could not be read; a broken shuffle or a full disk is none of these."""
+    return any(x in str(error) for x in ("PATH_NOT_FOUND", "FileNotFoundException", "SocketTimeoutException", "UnknownHostException", "FAILED_READ_FILE"))
 
 
-def chunked(features: DataFrame, boxes: list[BoundingBox]) -> list[DataFrame]:
-    """The features of each box; a feature is in one box at most."""
-    return [features.where(in_half_open_box(*astuple(b))) for b in boxes]
+def numbered(features: DataFrame, boxes: list[BoundingBox], name: str = "chunk") -> DataFrame:
+    """The features in any of the boxes of chunk_boxes, each with the number of its box, in one pass."""
+    wests, souths = sorted({b.west for b in boxes}), sorted({b.south for b in boxes})
+    east, north = max(b.east for b in boxes), max(b.north for b in boxes)
+    x, y = F.col("bbox.xmin"), F.col("bbox.ymin")
+
+    def place(c: Column, edges: list[float]) -> Column:
+        return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= c)) - 1
+
+    inside = features.where(in_half_open_box(wests[0], souths[0], east, north))
+    return inside.withColumn(name, place(y, souths) * len(wests) + place(x, wests))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from hexspark import config
 from hexspark.functions import geodesy, grid, scalar
 from hexspark.operators import assess, catalog, completeness, population, tiles, timeseries
-from hexspark.operators.chunks import chunk_boxes, chunked
+from hexspark.operators.chunks import chunk_boxes, numbered
 
 YEARS = [1995, 1996, 1997, 1998]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,11 +117,8 @@ def closed_bbox_filter(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"WITH b0 AS ({_B}) SELECT CAST(floor(x / 10) AS INTEGER) AS col, CAST(floor(y / 25) AS INTEGER) AS line, count(*) AS n FROM b0 WHERE x >= 0 AND x < 55 AND y >= 0 AND y < 100 GROUP BY 1, 2")
 def half_open_chunks(spark: SparkSession, d: str) -> DataFrame:
     boxes = chunk_boxes(0, 55, 0, 100, 10, 25)
-    parts = [p.select(F.lit(int(b.west // 10)).alias("col"), F.lit(int(b.south // 25)).alias("line")) for b, p in zip(boxes, chunked(_features(spark, d), boxes), strict=True)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("col", "line").agg(F.count("*").alias("n"))
+    counts = numbered(_features(spark, d), boxes).groupBy("chunk").agg(F.count("*").alias("n"))
+    return counts.select((F.col("chunk") % 6).alias("col"), F.floor(F.col("chunk") / 6).cast("int").alias("line"), "n")
 
 
 @_query(f"WITH {_MERGED} SELECT {_hex('cell')} AS h3, {_hex(_parent('cell'))} AS h3_parent, bld_count, bld_osm, road_count, road_osm, {_rnd('road_len_m', 2)} AS road_len_m FROM m")
@@ -141,11 +138,21 @@ def merge_chunks(spark: SparkSession, d: str) -> DataFrame:
     return completeness.shares(_two_chunks(spark, d))
 
 
-@_query("SELECT CAST(0 AS BIGINT) AS differing")
+def _side(where_b: str, where_r: str) -> str:
+    return f"""SELECT coalesce(b.cell, r.cell) AS cell, coalesce(bld_count, 0) AS bld_count, coalesce(bld_osm, 0) AS bld_osm, coalesce(road_count, 0) AS road_count, coalesce(road_osm, 0) AS road_osm
+FROM (SELECT cell, count(*) AS bld_count, count(*) FILTER (WHERE own) AS bld_osm FROM b0 WHERE {where_b} GROUP BY 1) b
+FULL OUTER JOIN (SELECT cell, count(*) AS road_count, count(*) FILTER (WHERE own) AS road_osm FROM r0 WHERE subtype = 'road' AND {where_r} GROUP BY 1) r ON b.cell = r.cell"""
+
+
+@_query(f"""WITH b0 AS ({_B}), r0 AS ({_R}), one AS ({_side('true', 'true')}),
+two AS (SELECT cell, sum(bld_count) AS bld_count, sum(bld_osm) AS bld_osm, sum(road_count) AS road_count, sum(road_osm) AS road_osm
+ FROM ({_side('x < 25', 'length_m < 100000')} UNION ALL {_side('x >= 25', 'length_m >= 100000')}) GROUP BY 1)
+SELECT {_hex('cell')} AS h3, CAST(one.bld_count AS BIGINT) AS single, CAST(two.bld_count + 0 AS BIGINT) AS chunked, one.bld_osm = two.bld_osm AND one.road_count = two.road_count AND one.road_osm = two.road_osm AS same
+FROM one FULL OUTER JOIN two USING (cell)""")
 def chunked_equals_single(spark: SparkSession, d: str) -> DataFrame:
-    names = ["h3", "bld_count", "bld_osm", "road_count", "road_osm"]
-    one, two = completeness.partials(_merged(spark, d)).select(names), _two_chunks(spark, d).select(names)
-    return one.exceptAll(two).unionByName(two.exceptAll(one)).agg(F.count("*").alias("differing"))
+    one, two = (x.select("h3", *(F.col(c).alias(f"{c}{n}") for c in ("bld_count", "bld_osm", "road_count", "road_osm"))) for n, x in (("_1", completeness.partials(_merged(spark, d))), ("_2", _two_chunks(spark, d))))
+    same = (F.col("bld_osm_1") == F.col("bld_osm_2")) & (F.col("road_count_1") == F.col("road_count_2")) & (F.col("road_osm_1") == F.col("road_osm_2"))
+    return one.join(two, "h3", "full").select("h3", F.col("bld_count_1").alias("single"), F.col("bld_count_2").alias("chunked"), same.alias("same"))
 
 
 @_query(f"WITH b0 AS ({_B}) SELECT cell, count(*) AS bld_count, count(*) FILTER (WHERE own) AS bld_osm, {_rnd('count(*) FILTER (WHERE own) * 100.0::DOUBLE / nullif(count(*), 0)')} AS osm_pct FROM b0 GROUP BY cell")
@@ -183,9 +190,9 @@ def positive_population(spark: SparkSession, d: str) -> DataFrame:
     return timeseries.positive(_table(spark, d, "customer").select(_key_cell(F.col("c_nationkey").cast("long")).alias("cell"), _exact("c_acctbal").alias("pop")))
 
 
-@_query(f"SELECT {_hex(_cell('l_suppkey'))} AS h3 FROM lineitem UNION SELECT {_hex(_cell('c_custkey'))} FROM customer")
+@_query(f"SELECT {_hex(_cell('l_suppkey'))} AS h3 FROM lineitem UNION SELECT {_hex(_cell('o_custkey'))} FROM orders WHERE o_orderpriority <> '5-LOW' UNION SELECT {_hex(_cell('c_custkey'))} FROM customer")
 def union_keys(spark: SparkSession, d: str) -> DataFrame:
-    return completeness.partials(completeness.merged(completeness.buildings_by_cell(_features(spark, d)), completeness.roads_by_cell(_segments(spark, d).limit(0)))).select("h3").union(_people(spark, d).select("h3")).distinct()
+    return completeness.partials(_merged(spark, d)).select("h3").union(_people(spark, d).select("h3")).distinct()
 
 
 def _gap(pop: str) -> str:
@@ -269,11 +276,11 @@ def year_change(spark: SparkSession, d: str) -> DataFrame:
     return assess.year_change(unpivot_year_totals(spark, d))
 
 
-_COVERED = f"(SELECT {_hex(_cell('s_suppkey * 3'))} AS h3 FROM supplier)"
+_COVERED = f"(SELECT {_hex(_cell('s_suppkey * 37'))} AS h3 FROM supplier)"
 
 
 def _area(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "supplier").select(scalar.cell_hex(_key_cell(F.col("s_suppkey") * 3)).alias("h3"))
+    return _table(spark, d, "supplier").select(scalar.cell_hex(_key_cell(F.col("s_suppkey") * 37)).alias("h3"))
 
 
 @_query(f"WITH y0 AS ({_YEARS}), w AS ({_WIDE}) SELECT h3, coalesce(pop_{YEARS[0]}, 0) AS first_year FROM w WHERE h3 IN {_COVERED}")
@@ -295,17 +302,21 @@ def _scratch(spark: SparkSession, tag: str) -> str:
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.gettempdir()
     return f"{base}/hexspark-{tag}-{uuid.uuid4().hex}"
 
 
-# Tiles by base cell here: 122 at most, where the keys made up above would give a parent each.
-_PRUNED = [f"{((1 << 59) + (b << 45) + ((1 << 45) - 1)):x}" for b in (0, 7, 14)]
+# People by nation: 25 cells, each with a parent of its own.
+_PRUNED = [f"{(1 << 59) + (config.PARENT_RESOLUTION << 52) + (n % 122 << 45) + ((n % 7) << 42) + ((n % 49 // 7) << 39) + ((1 << 39) - 1):x}" for n in (0, 7, 14)]
 
 
-@_query(f"WITH p AS ({_PEOPLE}) SELECT h3, population, {_hex(_parent("CAST('0x' || h3 AS BIGINT)", 0))} AS h3_parent FROM p WHERE {_hex(_parent("CAST('0x' || h3 AS BIGINT)", 0))} IN ({', '.join(repr(p) for p in _PRUNED)})")
+@_query(f"WITH p AS ({_NATION}) SELECT h3, population, {_hex(_parent("CAST('0x' || h3 AS BIGINT)"))} AS h3_parent FROM p WHERE {_hex(_parent("CAST('0x' || h3 AS BIGINT)"))} IN ({', '.join(repr(p) for p in _PRUNED)})")
 def tile_partition_pruning(spark: SparkSession, d: str) -> DataFrame:
-    rows = _people(spark, d).withColumn("h3_parent", scalar.cell_hex(scalar.cell_parent(scalar.hex_cell("h3"), 0)))
+    rows = _people(spark, d, "c_nationkey").withColumn("h3_parent", scalar.cell_hex(scalar.cell_parent(scalar.hex_cell("h3"), config.PARENT_RESOLUTION)))
     out = _scratch(spark, "tiles")
     tiles.write_tiles(rows, out)
     return tiles.read_pruned(spark, out, _PRUNED).select("h3", "population", F.col("h3_parent").cast("string").alias("h3_parent"))
@@ -425,10 +436,10 @@ def first_missing(spark: SparkSession, d: str) -> DataFrame:
     return empty_cells_anti_join(spark, d).orderBy("h3").limit(3)
 
 
-@_query()
+@_query(f"SELECT year, iso, max('https://example.org/' || id || '.tif') AS href FROM ({_ASSETS}) GROUP BY year, iso")
 def year_map(spark: SparkSession, d: str) -> DataFrame:
-    """A map cannot be compared by SQL here; see the tests."""
-    return catalog.hrefs_by_year(_assets(spark, d).withColumn("href", F.concat(F.lit("https://example.org/"), "id", F.lit(".tif"))))
+    maps = catalog.hrefs_by_year(_assets(spark, d).withColumn("href", F.concat(F.lit("https://example.org/"), "id", F.lit(".tif"))))
+    return maps.select("year", F.explode("hrefs").alias("iso", "href"))
 
 
 def _points(spark: SparkSession, d: str) -> DataFrame:
@@ -441,10 +452,31 @@ def latlng_to_cell(spark: SparkSession, d: str) -> DataFrame:
     return _points(spark, d).select("event_id", grid.latlng_to_cell(F.col("lat"), F.col("lon"), 8).alias("cell"))
 
 
-@_query()
+def _inverse_sql(rounds: int = 6) -> str:
+    """The inverse formula on the spheroid, a step of its iteration a table; short lines settle in three."""
+    f, a = "(1.0::DOUBLE / 298.257223563::DOUBLE)", "6378137.0::DOUBLE"
+    out = f"""WITH p AS (SELECT event_id, (event_id * 37) % 170 - 85.0::DOUBLE + value / 1000.0::DOUBLE AS lat, (event_id * 101) % 360 - 180.0::DOUBLE AS lon FROM events),
+u AS (SELECT event_id, radians((lon + 0.01::DOUBLE) - lon) AS l, atan((1 - {f}) * tan(radians(lat))) AS u1, atan((1 - {f}) * tan(radians(lat + 0.01::DOUBLE))) AS u2 FROM p),
+t0 AS (SELECT *, l AS lam FROM u)"""
+    for i in range(rounds):
+        out += f""",
+s{i} AS (SELECT *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM t{i}),
+c{i} AS (SELECT *, atan2(ss, cs) AS sigma, cos(u1) * cos(u2) * sin(lam) / ss AS sa FROM s{i}),
+m{i} AS (SELECT *, 1 - sa * sa AS ca, CASE WHEN 1 - sa * sa = 0 THEN 0 ELSE cs - 2 * sin(u1) * sin(u2) / (1 - sa * sa) END AS cm FROM c{i}),
+k{i} AS (SELECT *, {f} / 16 * ca * (4 + {f} * (4 - 3 * ca)) AS c FROM m{i}),
+t{i + 1} AS (SELECT event_id, l, u1, u2, l + (1 - c) * {f} * sa * (sigma + c * ss * (cm + c * cs * (-1 + 2 * cm * cm))) AS lam{", ss, cs, sigma, ca, cm" if i == rounds - 1 else ""} FROM k{i})"""
+    b = f"({a} * (1 - {f}))"
+    out += f""",
+g AS (SELECT *, ca * ({a} * {a} - {b} * {b}) / ({b} * {b}) AS k FROM t{rounds}),
+h AS (SELECT *, 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))) AS big, k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))) AS small FROM g)
+SELECT event_id, {_rnd(f'{b} * big * (sigma - small * ss * (cm + small / 4 * (cs * (-1 + 2 * cm * cm) - small / 6 * cm * (-3 + 4 * ss * ss) * (-3 + 4 * cm * cm))))', 1)} AS metres FROM h"""
+    return out
+
+
+@_query(_inverse_sql())
 def geodesic_length(spark: SparkSession, d: str) -> DataFrame:
-    line = _points(spark, d).select("event_id", F.udf(lambda a, b: geodesy.line_wkb([(b, a), (b + 0.01, a + 0.01)]), "binary")("lat", "lon").alias("g"))
-    return line.select("event_id", geodesy.spheroid_length("g").alias("metres"))
+    line = geodesy.segment_wkb(F.col("lon"), F.col("lat"), F.col("lon") + 0.01, F.col("lat") + 0.01)
+    return _points(spark, d).select("event_id", scalar.rnd(geodesy.spheroid_length(line), 1).alias("metres"))
 
 
 AREA = {"type": "Polygon", "coordinates": [[[85.29, 27.67], [85.37, 27.67], [85.37, 27.74], [85.29, 27.74], [85.29, 27.67]]]}

@@ -1,11 +1,19 @@
-"""Single-band GeoTIFF rasters as pixels with people: north-up, strips or tiles, plain or deflated."""
+"""Single-band GeoTIFF rasters as pixels with people: north-up, classic or BigTIFF, strips or tiles; plain, deflated or LZW,
+with or without differences between neighbours.
+
+Rasters on a local disk are read block by block, runs of blocks in parallel; those in another store come through Spark's own
+reader, a file a row.
+"""
 
 from __future__ import annotations
 
+import io
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -17,34 +25,69 @@ _SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 8: 2, 9: 4, 11: 4, 12: 8, 16: 8}
 _CODE = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q"}
 
 
+_PLAIN, _LZW, _DEFLATED = 1, 5, (8, 32946)
+
+
+def unpacked_lzw(data: bytes) -> bytes:
+    """Variable-width codes as TIFF packs them: highest bit first, and one code wider one code early."""
+    clear, end = 256, 257
+    table = [bytes([i]) for i in range(256)] + [b"", b""]
+    out, width, held, bits, last = [], 9, 0, 0, b""
+    for byte in data:
+        held, bits = (held << 8) | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code, held = held >> bits, held & ((1 << bits) - 1)
+        if code == end:
+            break
+        if code == clear:
+            del table[258:]
+            width, last = 9, b""
+            continue
+        if code > len(table) or (code == len(table) and not last):
+            raise ValueError(f"LZW code {code} beyond the table of {len(table)}")
+        text = table[code] if code < len(table) else last + last[:1]
+        out.append(text)
+        if last:
+            table.append(last + text[:1])
+        last = text
+        if len(table) + 1 >= 1 << width and width < 12:
+            width += 1
+    return b"".join(out)
+
+
 class Raster:
     """Header of a TIFF and its blocks."""
 
-    def __init__(self, path: str) -> None:
-        self.path = path
-        with open(path, "rb") as f:
-            head = f.read(8)
+    def __init__(self, path: str, source: BinaryIO | None = None) -> None:
+        self.path, self.source = path, source
+        with self._open() as f:
+            f.seek(0)
+            head = f.read(16)
             self.order = {b"II": "<", b"MM": ">"}.get(head[:2])
-            if self.order is None or struct.unpack(self.order + "H", head[2:4])[0] != 42:
-                raise ValueError(f"{path} is not a classic TIFF")
-            f.seek(struct.unpack(self.order + "I", head[4:])[0])
+            version = struct.unpack(self.order + "H", head[2:4])[0] if self.order else 0
+            if version not in (42, 43):
+                raise ValueError(f"{path} is not a TIFF")
+            # Both kinds have the same tags; in the big one offsets and numbers have eight bytes.
+            word, number = ("Q", "Q") if version == 43 else ("I", "H")
+            width = struct.calcsize(word)
+            f.seek(struct.unpack(self.order + word, head[8:16] if version == 43 else head[4:8])[0])
             self.tags = {}
-            for _ in range(struct.unpack(self.order + "H", f.read(2))[0]):
-                tag, kind, n, value = struct.unpack(self.order + "HHI4s", f.read(12))
+            for _ in range(struct.unpack(self.order + number, f.read(struct.calcsize(number)))[0]):
+                tag, kind, n, value = struct.unpack(f"{self.order}HH{word}{width}s", f.read(4 + 2 * width))
                 size = _SIZE.get(kind, 1) * n
-                if size > 4:
+                if size > width:
                     back = f.tell()
-                    f.seek(struct.unpack(self.order + "I", value)[0])
+                    f.seek(struct.unpack(self.order + word, value)[0])
                     value = f.read(size)
                     f.seek(back)
                 self.tags[tag] = value[:size].rstrip(b"\0").decode() if kind == 2 else struct.unpack(self.order + _CODE[kind] * n, value[:size]) if kind in _CODE else value
         one = lambda t, d=None: self.tags[t][0] if t in self.tags else d
         self.width, self.height = one(256), one(257)
-        if one(259, 1) not in (1, 8, 32946) or one(277, 1) != 1 or one(317, 1) not in (1, 3):
-            raise ValueError(f"{path}: only plain or deflated single-band rasters without horizontal differences are read")
-        if one(317, 1) == 3:
-            raise ValueError(f"{path}: floating-point predictors are not read")
-        self.packed = one(259, 1) != 1
+        self.packing, self.predictor = one(259, 1), one(317, 1)
+        if self.packing not in (_PLAIN, _LZW, *_DEFLATED) or one(277, 1) != 1 or self.predictor not in (1, 2, 3):
+            raise ValueError(f"{path}: only plain, LZW or deflated single-band rasters are read")
         kind = {1: "u", 2: "i", 3: "f"}[one(339, 1)]
         self.dtype = np.dtype(f"{self.order}{kind}{one(258, 8) // 8}")
         self.tiled = 322 in self.tags
@@ -61,16 +104,30 @@ class Raster:
             self.a, self.e = sx, -sy
             self.c, self.f = x - i * sx, y + j * sy
 
+    def _open(self):
+        return open(self.path, "rb") if self.source is None else io.BufferedReader(_Kept(self.source))
+
+    def band(self, data: bytes) -> np.ndarray:
+        """The values of a block, row by row."""
+        data = unpacked_lzw(data) if self.packing == _LZW else zlib.decompress(data) if self.packing in _DEFLATED else data
+        across, size = self.block[0], self.dtype.itemsize
+        data = data[: len(data) // (across * size) * across * size]
+        if self.predictor == 3:  # differences of bytes, the highest bytes of a row first
+            rows = np.cumsum(np.frombuffer(data, np.uint8).reshape(-1, across * size), axis=1, dtype=np.uint8)
+            return np.ascontiguousarray(rows.reshape(-1, size, across).transpose(0, 2, 1)).view(f">f{size}")[:, :, 0]
+        if self.predictor == 2:  # differences of values, as whole numbers of their width
+            whole = np.frombuffer(data, f"{self.order}u{size}").reshape(-1, across)
+            return np.cumsum(whole, axis=1, dtype=f"u{size}").view(self.dtype.newbyteorder("="))
+        return np.frombuffer(data, self.dtype).reshape(-1, across)
+
     def pixels(self, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Longitude, latitude and value of a block's pixels with people."""
         across = -(-self.width // self.block[0])
         col, row = number % across * self.block[0], number // across * self.block[1]
-        with open(self.path, "rb") as f:
+        with self._open() as f:
             f.seek(self.offsets[number])
             data = f.read(self.counts[number])
-        band = np.frombuffer(zlib.decompress(data) if self.packed else data, self.dtype)
-        band = band[: len(band) // self.block[0] * self.block[0]].reshape(-1, self.block[0])
-        band = band[: self.height - row, : self.width - col]
+        band = self.band(data)[: self.height - row, : self.width - col]
         ok = np.isfinite(band) & (band > 0)
         if self.nodata is not None:
             ok &= band != self.nodata
@@ -78,9 +135,39 @@ class Raster:
         return self.c + (c + col + 0.5) * self.a, self.f + (r + row + 0.5) * self.e, band[r, c].astype(np.float64)
 
 
+class _Kept(io.RawIOBase):
+    """A source that stays open when its reader closes."""
+
+    def __init__(self, source: BinaryIO) -> None:
+        self.source = source
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def seek(self, at: int, how: int = 0) -> int:
+        return self.source.seek(at, how)
+
+    def readinto(self, into) -> int:
+        data = self.source.read(len(into))
+        into[: len(data)] = data
+        return len(data)
+
+
+def remote(folder: str) -> bool:
+    """Whether a path is in a store that only Spark reads."""
+    return bool(re.match(r"[a-z][a-z0-9+.-]*:", folder)) and not folder.startswith("file:")
+
+
+def local(path: str) -> str:
+    return re.sub(r"^file:/*", "/", path)
+
+
 def rasters_of(folder: str, year: int) -> list[str]:
-    """Rasters of one year under a folder, by name (<iso>_pop_<year>_...), sorted."""
-    named = ((p, p.stem.split("_")) for p in Path(folder).rglob("*.tif"))
+    """Rasters of one year under a local folder, by name (<iso>_pop_<year>_...), sorted."""
+    named = ((p, p.stem.split("_")) for p in Path(local(folder)).rglob("*.tif"))
     return sorted(str(p) for p, parts in named if len(parts) > 2 and parts[1] == "pop" and parts[2] == str(year))
 
 
@@ -124,7 +211,26 @@ def read_rasters(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.format("geotiff").option("paths", "\n".join(paths)).load()
 
 
+def read_stored(files: DataFrame) -> DataFrame:
+    """lon, lat, pop of all pixels with people of rasters given as rows (path, content)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raster = Raster(path, io.BytesIO(content.as_buffer()))
+                for n in range(len(raster.offsets)):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in raster.pixels(n)], ["lon", "lat", "pop"])
+
+    return files.select("path", "content").mapInArrow(run, "lon double, lat double, pop double")
+
+
 def read_year(spark: SparkSession, folder: str, year: int) -> DataFrame:
+    """lon, lat, pop of a year's rasters under a folder of any store."""
+    if remote(folder):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*_pop_{year}_*.tif").load(folder)
+        if files.select("path").isEmpty():
+            raise FileNotFoundError(f"no rasters of {year} under {folder}")
+        return read_stored(files)
     paths = rasters_of(folder, year)
     if not paths:
         raise FileNotFoundError(f"no rasters of {year} under {folder}")

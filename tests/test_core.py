@@ -1,12 +1,15 @@
 """Functions, operators and sources of the core on small inputs with known results."""
 
+import http.server
 import json
 import sqlite3
 import struct
+import threading
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +56,26 @@ def test_geodesic_length():
     assert geodesy.inverse_m(*(np.array([x]) for x in (0.0, 0.0, 0.0, 90.0)))[0] == pytest.approx(10001965.729, abs=1e-2)
 
 
+def test_length_of_every_kind_of_shape():
+    a, b = [(85.31, 27.71), (85.3105, 27.71)], [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]
+    plain = [geodesy.line_wkb(a), geodesy.line_wkb(b), None, geodesy.line_wkb(a[:1])]
+    multi = struct.pack("<BII", 1, 5, 2) + plain[0] + plain[1]
+    high = struct.pack("<BII", 1, 1002, 2) + b"".join(struct.pack("<ddd", *p, 9.0) for p in a)
+    swapped = struct.pack(">BII", 0, 2, 2) + b"".join(struct.pack(">dd", *p) for p in a)
+    got = geodesy.length_m(pa.array([*plain, multi, high, swapped, struct.pack("<BIdd", 1, 1, 1.0, 2.0)], pa.binary()).slice(0)).to_pylist()
+    first, second = got[0], got[1]
+    assert first == pytest.approx(49.29, abs=0.05) and second == pytest.approx(111319.49 + 110574.39, abs=0.1)
+    assert got[2:] == [None, 0.0, pytest.approx(first + second), pytest.approx(first), pytest.approx(first), 0.0]
+    assert geodesy.length_m(pa.array([None, plain[0]], pa.binary()).slice(1)).to_pylist() == [pytest.approx(first, abs=1e-5)]
+
+
+def test_boundaries_of_many_cells(spark):
+    cells = grid.cells_of(np.array([27.7, 52.5, -33.9]), np.array([85.3, 13.4, 151.2]), 8)
+    rows = spark.createDataFrame([(int(c),) for c in cells] + [(None,)], "cell long")
+    got = [r.ring for r in rows.coalesce(1).select(grid.cell_boundary("cell").alias("ring")).collect()]
+    assert got == [grid.boundary_of(int(c)) for c in cells] + [None]
+
+
 def test_rounding_is_by_scaled_doubles(spark):
     x = spark.createDataFrame([(997988.0499999999,), (None,), (2.25,)], "x double")
     con = duckdb.connect()
@@ -114,30 +137,90 @@ def test_gap_and_duplicates(spark):
     assert population.duplicates(people).collect() == [("a1", 2)]
 
 
-def _tiff(path, value, order="<", packed=False):
-    data = struct.pack(order + "f", value)
-    data = zlib.compress(data) if packed else data
-    tags = [(256, 3, 1, 1), (257, 3, 1, 1), (258, 3, 1, 32), (259, 3, 1, 8 if packed else 1), (273, 4, 1, 0), (277, 3, 1, 1), (278, 3, 1, 1), (279, 4, 1, len(data)), (339, 3, 1, 3), (33550, 12, 3, (0.01, 0.01, 0)), (33922, 12, 6, (0, 0, 0, 85.30, 27.72, 0)), (42113, 2, 7, b"-99999\0")]
-    at = 8 + 2 + 12 * len(tags) + 4
+def _lzw(data):
+    """Codes as TIFF packs them, made the plain way: a growing table, highest bit first, widths one code early."""
+    bits, table, width, text = "", {bytes([i]): i for i in range(256)}, 9, b""
+    bits += f"{256:09b}"
+    size = 258
+    for byte in data:
+        more = text + bytes([byte])
+        if more in table:
+            text = more
+            continue
+        bits += f"{table[text]:0{width}b}"
+        table[more], size = size, size + 1
+        if size + 1 > 1 << width:
+            width += 1
+        if size >= 4094:
+            bits += f"{256:0{width}b}"
+            table, width, size = {bytes([i]): i for i in range(256)}, 9, 258
+        text = bytes([byte])
+    if text:
+        bits += f"{table[text]:0{width}b}"
+        size += 1
+        if size + 1 > 1 << width and width < 12:
+            width += 1
+    bits += f"{257:0{width}b}"
+    bits += "0" * (-len(bits) % 8)
+    return bytes(int(bits[i : i + 8], 2) for i in range(0, len(bits), 8))
+
+
+def _tiff(path, value, order="<", packing=1, big=False, predictor=1):
+    """A raster of one row; value: a number or a row of them."""
+    row = np.atleast_1d(np.array(value, order + "f4"))
+    data = row.tobytes()
+    if predictor == 2:
+        whole = row.view(order + "u4").astype(np.uint32)
+        data = np.diff(whole, prepend=np.uint32(0)).astype(order + "u4").tobytes()
+    if predictor == 3:
+        planes = np.frombuffer(row.astype(">f4").tobytes(), np.uint8).reshape(-1, 4).T.ravel()
+        data = np.diff(planes, prepend=np.uint8(0)).tobytes()
+    data = zlib.compress(data) if packing == 8 else _lzw(data) if packing == 5 else data
+    tags = [(256, 3, 1, len(row)), (257, 3, 1, 1), (258, 3, 1, 32), (259, 3, 1, packing), (273, 4, 1, 0), (277, 3, 1, 1), (278, 3, 1, 1), (279, 4, 1, len(data)), (317, 3, 1, predictor), (339, 3, 1, 3), (33550, 12, 3, (0.01, 0.01, 0)), (33922, 12, 6, (0, 0, 0, 85.30, 27.72, 0)), (42113, 2, 7, b"-99999\0")]
+    word, number, start = ("Q", "Q", 16) if big else ("I", "H", 8)
+    width = struct.calcsize(word)
+    at = start + struct.calcsize(number) + (4 + 2 * width) * len(tags) + width
     body, entries = b"", []
+    place = at + sum(len(v) if kind == 2 else 8 * n for _, kind, n, v in tags if kind in (2, 12) and (len(v) if kind == 2 else 8 * n) > width)
     for tag, kind, n, v in tags:
-        if kind == 12 or kind == 2:
-            raw = v if kind == 2 else struct.pack(order + "d" * n, *v)
-            entries.append(struct.pack(order + "HHII", tag, kind, n, at + len(body)))
-            body += raw
-        elif tag == 273:
-            entries.append(None)
-        else:
-            entries.append(struct.pack(order + "HHI", tag, kind, n) + struct.pack(order + ("HH" if kind == 3 else "I"), *((v, 0) if kind == 3 else (v,))))
-    entries = [struct.pack(order + "HHII", 273, 4, 1, at + len(body)) if e is None else e for e in entries]
-    path.write_bytes((b"II" if order == "<" else b"MM") + struct.pack(order + "HI", 42, 8) + struct.pack(order + "H", len(tags)) + b"".join(entries) + struct.pack(order + "I", 0) + body + data)
+        raw = v if kind == 2 else struct.pack(order + {12: "d", 3: "H", 4: "I"}[kind] * n, *(v if kind == 12 else (place if tag == 273 else v,)))
+        if len(raw) > width:
+            raw, body = struct.pack(order + word, at + len(body)), body + raw
+        entries.append(struct.pack(order + "HH" + word, tag, kind, n) + raw.ljust(width, b"\0"))
+    head = struct.pack(order + "HHHQ", 43, 8, 0, 16) if big else struct.pack(order + "HI", 42, 8)
+    path.write_bytes((b"II" if order == "<" else b"MM") + head + struct.pack(order + number, len(tags)) + b"".join(entries) + struct.pack(order + word, 0) + body + data)
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+@pytest.mark.parametrize("packing", [1, 5, 8])
+@pytest.mark.parametrize("predictor", [1, 2, 3])
+@pytest.mark.parametrize("big", [False, True])
+def test_kinds_of_rasters(tmp_path, order, packing, predictor, big):
+    row = np.array([1.5, 2.25, -99999.0, 0.0, 7.0, 7.0] * 40, "f4")
+    _tiff(tmp_path / "a.tif", row, order, packing, big, predictor)
+    lon, lat, value = geotiff.Raster(str(tmp_path / "a.tif")).pixels(0)
+    assert value.tolist() == row[row > 0].tolist() and lon[0] == pytest.approx(85.305) and lat[0] == pytest.approx(27.715)
+    with (tmp_path / "a.tif").open("rb") as source:
+        raster = geotiff.Raster("a", source)
+        assert [raster.pixels(0)[2].tolist() for _ in range(2)] == [value.tolist()] * 2
+
+
+def test_lzw_of_long_and_random_data():
+    rng = np.random.default_rng(1)
+    for data in (b"", b"a", b"ab" * 9000, rng.integers(0, 256, 20000, dtype=np.uint8).tobytes(), rng.integers(0, 3, 60000, dtype=np.uint8).tobytes()):
+        assert geotiff.unpacked_lzw(_lzw(data)) == data
+    with pytest.raises(ValueError):
+        geotiff.unpacked_lzw(b"\xff\xff\xff\xff")
 
 
 def test_rasters_to_series(spark, tmp_path):
     for n, (iso, year, v) in enumerate([("aaa", 2025, 100.0), ("bbb", 2025, 40.0), ("aaa", 2024, 999.0), ("ccc", 2025, -99999.0)]):
-        _tiff(tmp_path / f"{iso}_pop_{year}_CN_1km_R2025A_UA_v1.tif", v, "<>"[n % 2], bool(n % 2))
+        _tiff(tmp_path / f"{iso}_pop_{year}_CN_1km_R2025A_UA_v1.tif", v, "<>"[n % 2], 8 if n % 2 else 1)
     cells = timeseries.year_cells(geotiff.read_year(spark, str(tmp_path), 2025), 2025)
     assert [(r.year, r.pop) for r in cells.collect()] == [(2025, 140.0)]
+    stored = spark.read.format("binaryFile").option("pathGlobFilter", "*_pop_2025_*.tif").load(f"file://{tmp_path}")
+    assert sorted(r.pop for r in geotiff.read_stored(stored).collect()) == [40.0, 100.0]
+    assert geotiff.read_year(spark, f"file://{tmp_path}", 2024).count() == 1 and geotiff.remote("s3a://x/y") and not geotiff.remote("/x")
     with pytest.raises(FileNotFoundError):
         geotiff.read_year(spark, str(tmp_path), 1999)
     scratch, out = f"file://{tmp_path}/scratch", f"file://{tmp_path}/wide"
@@ -183,68 +266,139 @@ def _asset(iso, year, release="R2025A"):
     return iso, year, release, f"https://x.org/{iso}_pop_{year}_CN_1km_{release}_UA_v1.tif"
 
 
+LISTING = "iso string, year int, release string, href string"
+
+
 def test_catalogue_checks(spark, tmp_path):
-    ok = catalog.checked(spark, [_asset(i, y) for i in ("npl", "btn") for y in (2025, 2026)] + [_asset("npl", 2020, "R2024A")])
-    assert (ok.release, ok.years, sorted(ok.assets[2025])) == ("R2025A", [2025, 2026], ["btn", "npl"])
+    rows = spark.createDataFrame([_asset(i, y) for i in ("npl", "btn") for y in (2025, 2026)] + [_asset("npl", 2020, "R2024A")], LISTING)
+    plan = catalog.refresh_plan(rows, {"release": "R2025A", "years": [2025, 2026]})
+    assert (plan["release"], plan["years"], list(plan["assets"]["2025"]), plan["needs_update"]) == ("R2025A", [2025, 2026], ["btn", "npl"], False)
+    for before in ({"release": "R2025A", "years": [2025]}, {"release": "R2024A", "years": [2025, 2026]}, {}):
+        assert catalog.refresh_plan(rows, before)["needs_update"]
     for found, why in (([], "listed"), ([_asset("npl", 2025, "R2026A"), _asset("btn", 2025)], "R2026A"), ([_asset("npl", 2025), _asset("npl", 2026), _asset("btn", 2025)], "every year")):
         with pytest.raises(RuntimeError, match=why):
-            catalog.checked(spark, found)
-    plan = catalog.Plan(ok, "R2025A", [2025, 2026])
-    assert not plan.needs_update and catalog.Plan(ok, "R2025A", [2025]).needs_update and catalog.Plan(ok, None, []).needs_update
-    catalog.write_plan(plan, tmp_path / "plan.json")
-    assert catalog.read_plan(tmp_path / "plan.json") == plan
-
+            catalog.refresh_plan(spark.createDataFrame(found, LISTING), {})
+    catalog.save_plan(spark, plan, f"file://{tmp_path}/plan.json")
+    assert catalog.load_plan(spark, f"file://{tmp_path}/plan.json") == plan
+    with pytest.raises(FileNotFoundError):
+        catalog.load_plan(spark, f"file://{tmp_path}/none.json")
 
-class _Http:
-    def __init__(self, pages, data=b"x"):
-        self.pages, self.data, self.bodies, self.fails = pages, data, [], 1
 
-    def get_json(self, url):
-        return {"collections": [{"id": "npl"}], "numberReturned": 1, "numberMatched": self.pages}
+class _Service(http.server.BaseHTTPRequestHandler):
+    """A small catalogue: one country, two pages; the first search of all is dropped."""
 
-    def post_json(self, url, body):
-        self.bodies.append(body)
-        if self.fails:
-            self.fails -= 1
-            raise OSError("dropped")
-        item = {"id": f"npl_pop_{2024 + len(self.bodies)}_CN_1km_R2025A_UA_v1", "assets": {"data": {"href": "h"}}}
-        links = [{"rel": "next", "body": {"page": 2}}] if body.get("page") is None else []
-        return {"features": [item, {"id": "npl_pop_2025_CN_100m_R2025A_v1"}], "links": links}
-
-    def stream(self, url):
-        yield self.data
-
-
-def test_sweep_pages_and_downloads(tmp_path, monkeypatch):
-    monkeypatch.setattr(catalog.time, "sleep", lambda s: None)
-    http = _Http(1)
-    assert [a[1] for a in catalog.country_assets(http, "b", "npl")] == [2026, 2027] and http.bodies[-1] == {"page": 2}
-    with pytest.raises(RuntimeError, match="part of the"):
-        catalog.collection_ids(_Http(2), "b")
-    good = catalog.Catalog("R2025A", {2025: {"npl": _asset("npl", 2025)[3]}})
-    assert catalog.download_year(http, good, 2025, tmp_path) == 1 and not list(tmp_path.glob("*.part"))
-    with pytest.raises(ValueError):
-        catalog.download_year(http, catalog.Catalog("r", {1: {"a": "https://x.org/evil.tif"}}), 1, tmp_path)
+    dropped, bodies = [], []
 
+    def _say(self, answer):
+        data = answer if isinstance(answer, bytes) else json.dumps(answer).encode()
+        self.send_response(200)
+        self.send_header("Content-Length", str(len(data)))
+        self.end_headers()
+        self.wfile.write(data)
 
-def test_publishing(tmp_path):
+    def do_GET(self):
+        if self.path.endswith(".tif"):
+            self._say(b"x" * 3_000_000)
+        elif self.path == "/part/collections":
+            self._say({"collections": [{"id": "npl"}], "numberReturned": 1, "numberMatched": 2})
+        elif self.path == "/collections":
+            self._say({"collections": [{"id": "npl"}], "numberReturned": 1, "numberMatched": 1})
+        else:
+            self.send_error(404)
+
+    def do_POST(self):
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        if not self.dropped:
+            self.dropped.append(1)
+            self.connection.close()
+            return
+        self.bodies.append(body)
+        second = body.get("page") == 2
+        item = {"id": f"npl_pop_{2026 if second else 2025}_CN_1km_R2025A_UA_v1", "assets": {"data": {"href": "h"}}}
+        links = [] if second else [{"rel": "self"}, {"rel": "next", "body": {"page": 2}}]
+        self._say({"features": [item, {"id": "npl_pop_2025_CN_100m_R2025A_v1", "assets": {}}], "links": links})
+
+    def log_message(self, *_):
+        pass
+
+
+def test_service_is_listed_and_fetched(spark, tmp_path):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), _Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base, client = f"http://127.0.0.1:{server.server_port}", catalog.WebClient(5)
+    try:
+        rows = catalog.listing(spark, client, base)
+        assert sorted(map(tuple, rows.collect())) == [("npl", 2025, "R2025A", "h"), ("npl", 2026, "R2025A", "h")]
+        assert _Service.bodies[0]["collections"] == ["npl"] and _Service.bodies[1] == {"page": 2} and len(_Service.bodies) == 2
+        with pytest.raises(RuntimeError, match="part of the"):
+            catalog.countries(client, f"{base}/part")
+        with pytest.raises(RuntimeError, match="404"):
+            client.ask(f"{base}/none")
+        name = "npl_pop_2025_CN_1km_R2025A_UA_v1.tif"
+        assert catalog.fetch(client, [f"{base}/{name}"], tmp_path / "in") == 1 and [p.name for p in (tmp_path / "in").iterdir()] == [name]
+        assert (tmp_path / "in" / name).stat().st_size == 3_000_000
+        for bad in (f"{base}/evil.tif", f"{base}/{name}.sh"):
+            with pytest.raises(ValueError):
+                catalog.fetch(client, [bad], tmp_path / "out")
+        assert not (tmp_path / "out").exists()
+    finally:
+        server.shutdown()
+
+
+def test_attempts_end():
+    tries = []
+
+    def broken():
+        tries.append(1)
+        raise OSError("dropped")
+
+    with pytest.raises(OSError):
+        catalog.patiently(broken, (0.0, 0.0))
+    assert len(tries) == 3 and catalog.patiently(lambda: 5) == 5
+
+
+def test_publishing(spark, tmp_path):
     a, b = tmp_path / "a", tmp_path / "b"
     (a / "h3_parent=82").mkdir(parents=True)
     (a / "h3_parent=82/x.parquet").write_text("1")
-    to = catalog.FolderPublisher(b)
+    (a / "_SUCCESS").write_text("")
+    tiles_at, store = f"file://{a}", catalog.Store(spark, f"file://{b}/within/it/")
     with pytest.raises(FileNotFoundError):
-        catalog.publish(a, to)
-    (a / "manifest.json").write_text('{"release": "r"}')
-    (b / "h3_parent=83").mkdir(parents=True)
-    (b / "h3_parent=83/old.parquet").write_text("0")
-    assert catalog.published_manifest(to) == {}
-    with pytest.raises(RuntimeError):
-        catalog.verify(a, to)
-    catalog.publish(a, to, "h3_parent=*/*")
-    catalog.verify(a, to)
-    assert to.files() == {"manifest.json", "h3_parent=82/x.parquet"} and catalog.published_manifest(to) == {"release": "r"}
+        catalog.publish(store, tiles_at)
     with pytest.raises(FileNotFoundError):
-        catalog.published_manifest(catalog.FolderPublisher(tmp_path / "none"))
+        store.manifest()
+    (a / "manifest.json").write_text('{"release": "r"}')
+    (b / "within/it/h3_parent=83").mkdir(parents=True)
+    (b / "within/it/h3_parent=83/old.parquet").write_text("0")
+    (b / "within/it/readme").write_text("stays")
+    assert store.manifest() == {}
+    with pytest.raises(RuntimeError, match="2 files"):
+        catalog.verify(store, tiles_at)
+    assert catalog.publish(store, tiles_at, "h3_parent=*/*") == 2
+    catalog.verify(store, tiles_at)
+    assert store.files() == {"manifest.json", "readme", "h3_parent=82/x.parquet"} and store.manifest() == {"release": "r"}
+
+
+def test_commands(spark, tmp_path):
+    """A refresh from a listing to published tiles, as a user would run it."""
+    from hexspark import cli
+
+    rasters = tmp_path / "in"
+    rasters.mkdir()
+    for iso, value in (("aaa", 100.0), ("bbb", 40.0)):
+        _tiff(rasters / f"{iso}_pop_2025_CN_1km_R2025A_UA_v1.tif", value)
+    (tmp_path / "assets.json").write_text(json.dumps([_asset("aaa", 2025), _asset("bbb", 2025)]))
+    (tmp_path / "published").mkdir()
+    (tmp_path / "scratch").mkdir()
+    at = f"file://{tmp_path}"
+    parse = cli.parser().parse_args
+    run = lambda *args: (lambda a: a.run(spark, a))(parse(list(args)))
+    said = json.loads(run("refresh-plan", "--published", f"{at}/published", "--out", f"{at}/plan.json", "--assets", f"{tmp_path}/assets.json"))
+    assert said == {"release": "R2025A", "years": [2025], "needs_update": True}
+    assert run("refresh-year", "--rasters", str(rasters), "--out-dir", f"{at}/scratch", "--year", "2025") == "1 cells"
+    assert run("refresh-publish", "--plan", f"{at}/plan.json", "--scratch-dir", f"{at}/scratch", "--tiles", f"{at}/tiles", "--to", f"{at}/published") == "built 1 cells, release R2025A"
+    again = json.loads(run("refresh-plan", "--published", f"{at}/published", "--out", f"{at}/plan.json", "--assets", f"{tmp_path}/assets.json"))
+    assert again["needs_update"] is False and spark.read.parquet(f"{at}/published").count() == 1
 
 
 def test_named_paths():
