@@ -237,7 +237,9 @@ def test_geopackage(spark, tmp_path):
     with sqlite3.connect(path) as db:
         db.executescript("CREATE TABLE gpkg_contents (table_name TEXT); INSERT INTO gpkg_contents VALUES ('people'); CREATE TABLE people (fid INTEGER PRIMARY KEY, h3 TEXT, population REAL);")
         db.executemany("INSERT INTO people (h3, population) VALUES (?, ?)", [("a", 1.4), ("a", 1.2), ("b", None)])
-    assert sorted(map(tuple, population.by_cell(gpkg.read_gpkg(spark, path)).collect())) == [("a", 3.0), ("b", None)]
+    stored = gpkg.read_stored(spark.read.format("binaryFile").load(f"file://{path}"))
+    for rows in (gpkg.read_gpkg(spark, path), gpkg.read_gpkg(spark, f"file://{path}", "people"), stored):
+        assert sorted(map(tuple, population.by_cell(rows).collect())) == [("a", 3.0), ("b", None)]
 
 
 AREA = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": None}, {"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": [[[[85.29, 27.67], [85.37, 27.67], [85.37, 27.74], [85.29, 27.74], [85.29, 27.67]]]]}}]}
