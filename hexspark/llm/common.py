@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed by the task: what separates words, as a regular expression class.
@@ -64,6 +64,14 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, tag: str, *marks: Column) -> tuple[DataFrame, tuple]:
+    """stored, and aggregates over the rows, observed while they are written."""
+    seen, spark, path = Observation(), df.sparkSession, new_path(df.sparkSession, tag)
+    df.observe(seen, *(m.alias(f"m{i}") for i, m in enumerate(marks))).write.parquet(path)
+    got = seen.get
+    return spark.read.schema(df.schema).parquet(path), tuple(got.get(f"m{i}") for i in range(len(marks)))
+
+
 Batches = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 

@@ -33,15 +33,17 @@ def components(edges: DataFrame) -> DataFrame:
     Each round writes its edges to the shared folder; rounds end when the edges are stars that no longer
     change, after about the logarithm of the longest chain.  Loops and repeated edges do no harm.
     """
-    e = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    e = common.stored(e, "edges")
-    before = None
+    def written(e: DataFrame) -> tuple[DataFrame, tuple]:
+        return common.observed(e, "edges", F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+
+    e, mark = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     for _ in range(MOST_ROUNDS):
-        mark = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before or not mark[0]:
+        if not mark[0]:
             break
         before = mark
-        e = common.stored(_small_star(_large_star(e)), "edges")
+        e, mark = written(_small_star(_large_star(e)))
+        if mark == before:
+            break
     else:
         raise RuntimeError(f"components did not settle within {MOST_ROUNDS} rounds")
     roots = e.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
