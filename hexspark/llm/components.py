@@ -11,18 +11,26 @@ from hexspark.llm import common
 MOST_ROUNDS = 60
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+#: Edges up to so many have their nodes' minima broadcast; of more, these are written, so that joins read plain
+#: shuffles and the rows of a node with very many edges are split among tasks.
+BROADCAST_EDGES = 1_000_000
+
+
+def _side(least: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(least) if few else common.stored(least, "least")
+
+
+def _large_star(e: DataFrame, few: bool) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    # Minima are written first: the join then reads two plain shuffles, and the rows of a node with very many
-    # edges are split among tasks.
-    least = common.stored(both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.min("a")).alias("m")), "least")
+    least = _side(both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.min("a")).alias("m")), few)
     return both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b").where("a <> b").distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, few: bool) -> DataFrame:
     # Edges run from the smaller node a to the larger b.
-    least = common.stored(e.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")), "least")
-    near = e.join(least, F.col("b") == F.col("u"))
+    least = e.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
+    least = least if few else common.stored(least, "least")
+    near = e.join(F.broadcast(least) if few else least, F.col("b") == F.col("u"))
     moved = near.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
     return moved.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
 
@@ -41,7 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
         if not mark[0]:
             break
         before = mark
-        e, mark = written(_small_star(_large_star(e)))
+        few = mark[0] <= BROADCAST_EDGES
+        e, mark = written(_small_star(_large_star(e, few), few))
         if mark == before:
             break
     else:

@@ -448,10 +448,17 @@ def test_queries_equal_their_sql(spark, tmp_path):
         assert sorted((tuple(r[c] for c in order) for r in found.collect()), key=repr) == theirs, name
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_components_of_chains_and_stars(spark, monkeypatch, most):
+    import hexspark.llm.components as module
+
+    monkeypatch.setattr(module, "BROADCAST_EDGES", most)
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (1, 0)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(201)) and all(got[i] == 1000 for i in range(1000, 1100))
+    monkeypatch.setattr(module, "MOST_ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="settle"):
+        components(spark.createDataFrame(edges, "a long, b long"))
 
 
 def test_decontamination(spark):
