@@ -560,7 +560,8 @@ def test_quality_scores_are_calibrated():
     assert samples.auc(p, y) > 0.98 and (p[y == 1] >= compression.DECISION).mean() > 0.98
     for low, high in ((0, 0.1), (0.1, 0.5), (0.5, 0.9), (0.9, 1.01)):
         own = (p >= low) & (p < high)
-        assert abs(y[own].mean() - p[own].mean()) < 0.15
+        error = (p[own] * (1 - p[own])).sum() ** 0.5 / own.sum()  # by chance, in a bin of so many rows
+        assert abs(y[own].mean() - p[own].mean()) < 0.05 + 3 * error
 
 
 def test_samples_pass_over_what_does_not_fit(spark):
