@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,20 +18,17 @@ MOST_ROUNDS = 60
 BROADCAST_EDGES = 1_000_000
 
 
-def _side(least: DataFrame, few: bool) -> DataFrame:
-    return F.broadcast(least) if few else common.stored(least, "least")
-
-
-def _large_star(e: DataFrame, few: bool) -> DataFrame:
+def _large_star(e: DataFrame, few: bool, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = _side(both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.min("a")).alias("m")), few)
+    least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.min("a")).alias("m"))
+    least = F.broadcast(least) if few else keep(least)
     return both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b").where("a <> b").distinct()
 
 
-def _small_star(e: DataFrame, few: bool) -> DataFrame:
+def _small_star(e: DataFrame, few: bool, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     # Edges run from the smaller node a to the larger b.
     least = e.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
-    least = least if few else common.stored(least, "least")
+    least = least if few else keep(least)
     near = e.join(F.broadcast(least) if few else least, F.col("b") == F.col("u"))
     moved = near.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
     return moved.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
@@ -38,19 +37,27 @@ def _small_star(e: DataFrame, few: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of edges (columns a, b): root is the smallest node of its component.
 
-    Each round writes its edges to the shared folder; rounds end when the edges are stars that no longer
+    Each round writes its edges to the shared folder, where they stay until the next round is written; rounds end when the edges are stars that no longer
     change, after about the logarithm of the longest chain.  Loops and repeated edges do no harm.
     """
+    scratch, sides = common.Scratch(edges.sparkSession), []
+
+    def keep(least: DataFrame) -> DataFrame:
+        sides.append(scratch.stored(least, "least"))
+        return sides[-1]
+
     def written(e: DataFrame) -> tuple[DataFrame, tuple]:
-        return common.observed(e, "edges", F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+        return scratch.observed(e, "edges", F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
 
     e, mark = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     for _ in range(MOST_ROUNDS):
         if not mark[0]:
             break
-        before = mark
+        last, before = e, mark
         few = mark[0] <= BROADCAST_EDGES
-        e, mark = written(_small_star(_large_star(e, few), few))
+        e, mark = written(_small_star(_large_star(e, few, keep), few, keep))
+        scratch.drop(last, *sides)
+        sides.clear()
         if mark == before:
             break
     else:

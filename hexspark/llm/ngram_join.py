@@ -5,7 +5,9 @@ has at most d elements, d following from t and the sizes; so if both sets are de
 K = d + 1 + e parts, at least e + 1 parts are equal.  Every set therefore emits a key per non-empty part
 (shingles found in very many documents left aside, which leaves the bound intact), and a set with more
 than e empty parts emits further keys, so that each linked pair shares a key.  Keys are sorted over
-ranges of key and set, so that no key lies in one task alone, and sets that share one are clusters.
+ranges of key and set, so that no key lies in one task alone, and sets that share one are clusters.  Many
+keys are shuffled list by list, a list holding the keys of one range, and scratch tables go when they
+have been read, so that the disk holds a copy of the texts, the keys and the shuffle of one list at most.
 
 Clusters are packed together into blocks, and over each block a signature tree does the join: leaves hold
 token bitmaps, inner nodes the OR of their children's bitmaps and their range of sizes, and a dual
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +37,8 @@ from hexspark.llm.components import components
 BLOCK_SHINGLES = 1_500_000
 #: Smaller clusters are packed into blocks of about so many shingles, a tree for each.
 PACK_SHINGLES = 100_000
+#: Lists a set's keys are dealt into, by their first bits; so many keys in all are shuffled at once, or one list.
+KEY_BITS, KEYS_AT_ONCE = 3, 8_000_000
 #: A table of two or three numbers a row is broadcast up to so many rows; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 #: A shingle found so often among the shingles of a piece is a candidate for the very common, which are
@@ -148,7 +152,19 @@ def _emit(h, mixed, bounds, use, own, k, spare, salt, found, empty=False) -> tup
     return own, own[bare > spare]
 
 
-def common_shingles(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
+def key_lists(keys: np.ndarray, bounds: np.ndarray) -> list[pa.ListArray]:
+    """The keys of all sets in a row as a list a set for each value of the first KEY_BITS bits."""
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    first = (keys.view(np.uint64) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+    out = []
+    for part in range(1 << KEY_BITS):
+        own = first == part
+        upto = np.concatenate([[0], np.cumsum(np.bincount(doc[own], minlength=len(bounds) - 1))])
+        out.append(pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(keys[own])))
+    return out
+
+
+def common_shingles(docs: DataFrame, text: str, like: Likeness, scratch: common.Scratch) -> np.ndarray:
     """Hashes of the shingles found in very many documents, sorted; at most COMMON_MOST."""
 
     def many(parts: list[np.ndarray]) -> pa.RecordBatch:
@@ -173,7 +189,7 @@ def common_shingles(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
             yield many(parts)
 
     counts = docs.select(text).mapInArrow(common.freed(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_LEAST)
-    counts = common.stored(counts, "common")
+    counts = scratch.stored(counts, "common")
     # The most frequent, by a histogram over eighths of an octave, and of the bin in which the number ends a share by hash.
     level = F.floor(F.log2("n") * 8).cast("int")
     held, least, share = 0, None, 0
@@ -184,8 +200,10 @@ def common_shingles(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
             break
         held, share = held + n, 1000
     if least is None:
+        scratch.drop(counts)
         return np.zeros(0, np.uint64)
     top = counts.where((level > least) | ((level == least) & (F.pmod("h", F.lit(1000)) < share))).select("h").toArrow()
+    scratch.drop(counts)
     return np.sort(top.column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -428,15 +446,19 @@ def _link_tasks(rows: DataFrame, like: Likeness, count: bool = False) -> DataFra
     return placed.mapInArrow(common.freed(run), "a long, b long, n long")
 
 
-def shingle_table(rows: DataFrame, passed: list[str], text: str, like: Likeness) -> DataFrame:
-    """The columns passed, _n (shingles), _sid (null for empty sets) and _keys of every row, in one pass over the texts.
+#: Columns of a set's keys, a list for each value of their first bits.
+KEY_LISTS = [f"_keys{i}" for i in range(1 << KEY_BITS)]
+
+
+def shingle_table(rows: DataFrame, passed: list[str], text: str, like: Likeness, scratch: common.Scratch) -> DataFrame:
+    """The columns passed, _n (shingles), _sid (null for empty sets) and the KEY_LISTS of every row, in one pass over the texts.
 
     Of rows of equal sets in a task the first alone has keys.
     """
-    often = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text, like))
+    often = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text, like, scratch))
     chosen = rows.select(*passed, text)
     schema = T.StructType([
-        *chosen.schema.fields[:-1], T.StructField("_n", T.LongType()), T.StructField("_sid", T.LongType()), T.StructField("_keys", T.ArrayType(T.LongType())),
+        *chosen.schema.fields[:-1], T.StructField("_n", T.LongType()), T.StructField("_sid", T.LongType()), *(T.StructField(c, T.ArrayType(T.LongType())) for c in KEY_LISTS),
     ])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,19 +475,19 @@ def shingle_table(rows: DataFrame, passed: list[str], text: str, like: Likeness)
                         fresh[i] = True
                 mine = np.repeat(fresh, size)
                 found, where = keys_of(h[mine], np.concatenate([[0], np.cumsum(size * fresh)]), often.value, like)
-                keys = pa.ListArray.from_arrays(pa.array(where.astype(np.int32)), pa.array(found))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(lo, hi - lo) for i in range(len(passed))), pa.array(size), pa.array(ids, mask=size == 0), keys], schema.names
+                    [*(batch.column(i).slice(lo, hi - lo) for i in range(len(passed))), pa.array(size), pa.array(ids, mask=size == 0), *key_lists(found, where)], schema.names
                 )
 
     return chosen.mapInArrow(common.freed(run), schema)
 
 
-def shared_keys(keyed: DataFrame) -> DataFrame:
-    """a, b: each set that shares a key with another, and the first set of that key; from k, sid.
+def shared_keys(keyed: DataFrame, total: int, scratch: common.Scratch) -> DataFrame:
+    """A written table of what shared_pairs needs, from _sid and the KEY_LISTS of every set, `total` keys in all.
 
-    Rows are sorted over ranges of key and set, so a key of very many sets is spread over tasks.  A key that
-    goes on from one task to the next is known by the ends of the tasks, two rows of each.
+    Keys are taken a few lists at a time.  Their rows are sorted over ranges of key and set, so a key of very many
+    sets is spread over tasks.  A key that goes on from one task to the next is known by the ends of the tasks, two
+    rows of each.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -490,8 +512,17 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
         if hub is not None:
             yield out(np.array([hub[1]]), None, np.array([hub[0]]))
 
-    placed = keyed.select("k", "sid").repartitionByRange("k", "sid").sortWithinPartitions("k", "sid")
-    found = common.stored(placed.mapInArrow(common.freed(run), "a long, b long, k long"), "shared")
+    found = []
+    step = -(-len(KEY_LISTS) // min(len(KEY_LISTS), max(1, -(-total // KEYS_AT_ONCE))))
+    for at in range(0, len(KEY_LISTS), step):
+        keys = keyed.select(F.explode(F.concat(*KEY_LISTS[at : at + step])).alias("k"), F.col("_sid").alias("sid"))
+        placed = keys.repartitionByRange("k", "sid").sortWithinPartitions("k", "sid")
+        found.append(scratch.stored(placed.mapInArrow(common.freed(run), "a long, b long, k long"), "shared"))
+    return scratch.joined(found)
+
+
+def shared_pairs(found: DataFrame) -> DataFrame:
+    """a, b: each set that shares a key with another, and the first set of that key; from a table of shared_keys."""
     ends = found.where("b is null")
     ends = ends.select(F.first("a").over(Window.partitionBy("k").orderBy("a")).alias("a"), F.col("a").alias("b")).where("a <> b")
     return found.where("b is not null").select("a", "b").unionByName(ends).distinct()
@@ -502,12 +533,28 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _placed(clusters: DataFrame, classes: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+def _members(rows: DataFrame, placed: DataFrame, row: str, text: str, scratch: common.Scratch) -> DataFrame:
+    """placed with the text of each of its rows.  Of many rows the numbers are broadcast range by range, so that texts are never shuffled."""
+    ranges = max(1, -(-placed.count() // BROADCAST_ROWS))
+    cuts = sorted({int(x) for x in placed.approxQuantile("row", [i / ranges for i in range(1, ranges)], 0.1 / ranges)}) if ranges > 1 else []
+    out = []
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+
+        def within(name: str, low: int | None = low, high: int | None = high) -> Column:
+            return (F.lit(True) if low is None else F.col(name) >= low) & (F.lit(True) if high is None else F.col(name) < high)
+
+        side = F.broadcast(placed.where(within("row")).withColumnRenamed("row", "_at"))
+        texts = rows.select(F.col(row).alias("_row"), F.col(text).alias("text")).where(within("_row"))
+        out.append(scratch.stored(texts.join(side, F.col("_row") == F.col("_at")).drop("_row", "_at"), "members", True))
+    return scratch.joined(out)
+
+
+def _placed(clusters: DataFrame, classes: DataFrame, block: int, scratch: common.Scratch) -> tuple[DataFrame, DataFrame]:
     """cluster, sid, row, n, weight, block and task of every set of a cluster; and the clusters cut into several blocks."""
     sets = clusters.join(classes, F.col("node") == F.col("sid")).select(F.col("root").alias("cluster"), "sid", "row", "n", "weight")
-    sets = common.stored(sets, "candidates")
+    sets = scratch.stored(sets, "candidates")
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    large = common.stored(sets.groupBy("cluster").agg(F.sum("n").alias("all")).where(F.col("all") > block).select("cluster"), "large")
+    large = scratch.stored(sets.groupBy("cluster").agg(F.sum("n").alias("all")).where(F.col("all") > block).select("cluster"), "large")
     packs = max(1, total // min(PACK_SHINGLES, block))
     whole = sets.withColumn("block", F.lit(0)).withColumn("task", F.xxhash64(F.lit(1), F.pmod(F.xxhash64("cluster"), F.lit(packs))))
     if large.isEmpty():
@@ -519,44 +566,46 @@ def _placed(clusters: DataFrame, classes: DataFrame, block: int) -> tuple[DataFr
     # numbers are ranked, not sets.
     sizes = cut.groupBy(F.col("cluster").alias("_c"), F.col("n").alias("_n")).agg((F.count("*") * F.col("n")).alias("_own"))
     upto = F.sum("_own").over(Window.partitionBy("_c").orderBy("_n"))
-    sizes = common.stored(sizes.withColumn("_before", upto - F.col("_own")), "sizes")
+    sizes = scratch.stored(sizes.withColumn("_before", upto - F.col("_own")), "sizes")
     at = F.col("_before") + F.pmod(F.xxhash64(F.lit(2), "sid"), F.lit(1 << 20)) / float(1 << 20) * F.col("_own")
     cut = cut.join(_small(sizes), (F.col("cluster") == F.col("_c")) & (F.col("n") == F.col("_n"))).withColumn("block", F.floor(at / block).cast("int"))
     cut = cut.select(*sets.columns, "block").withColumn("task", F.xxhash64(F.lit(3), "cluster", "block"))
     return whole.unionByName(cut), large
 
 
-def linked_sets(rows: DataFrame, like: Likeness, row: str, key: str, text: str, block: int, count: bool, passed: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def linked_sets(rows: DataFrame, like: Likeness, row: str, key: str, text: str, block: int, count: bool, scratch: common.Scratch, passed: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """The set of every row, and an answer for every set that is linked or has several rows.
 
     rows: a written table with a unique number in the column row.  Sets: row, key, the columns passed, _n, _sid.
     Answers: node (a _sid), root (of its component), component_id (its smallest key), n_links (0 without count).
     """
-    sets = common.stored(shingle_table(rows, [row, key, *passed], text, like), "sets")
+    keyed, (total,) = scratch.observed(shingle_table(rows, [row, key, *passed], text, like, scratch), "keys", F.sum(sum(F.size(c) for c in KEY_LISTS)))
+    sets = scratch.stored(keyed.drop(*KEY_LISTS), "sets")
+    shared = shared_keys(keyed.where("_sid is not null"), total or 0, scratch)
+    scratch.drop(keyed)
+    clusters = components(shared_pairs(shared))
+    scratch.drop(shared)
     full = sets.where("_sid is not null")
-    clusters = components(shared_keys(full.select(F.explode("_keys").alias("k"), F.col("_sid").alias("sid"))))
     classes = full.groupBy(F.col("_sid").alias("sid")).agg(F.min(key).alias("rep"), F.min(row).alias("row"), F.first("_n").alias("n"), F.count("*").alias("weight"))
-    classes = common.stored(classes, "classes")
-    placed, large = _placed(clusters, classes, block)
-    placed = common.stored(placed, "placed")
-    side = _small(placed.withColumnRenamed("row", "_at"))
-    members = rows.select(F.col(row).alias("_row"), F.col(text).alias("text")).join(side, F.col("_row") == F.col("_at")).drop("_row", "_at")
-    members = common.stored(members, "members")
+    classes = scratch.stored(classes, "classes")
+    placed, large = _placed(clusters, classes, block, scratch)
+    members = _members(rows, scratch.stored(placed, "placed"), row, text, scratch)
 
     tasks = members.select("task", F.lit(0).alias("side"), F.col("sid").alias("grp"), "weight", "sid", "text")
-    links = common.stored(_link_tasks(tasks, like, count), "links")
+    links = scratch.stored(_link_tasks(tasks, like, count), "links")
     if not large.isEmpty():
-        links = _counts_across(members, large, links, like) if count else _links_across(members, large, links, like, block)
-    roots = common.stored(components(links.where("b is not null").select("a", "b")), "roots")
+        links = _counts_across(members, large, links, like, scratch) if count else _links_across(members, large, links, like, block, scratch)
+    scratch.drop(members)
+    roots = scratch.stored(components(links.where("b is not null").select("a", "b")), "roots")
     least = roots.join(classes, F.col("node") == F.col("sid")).groupBy(F.col("root").alias("_r")).agg(F.min("rep").alias("_least"))
-    named = roots.join(_small(common.stored(least, "least")), F.col("root") == F.col("_r")).select(F.col("node").alias("_node"), "root", "_least")
+    named = roots.join(_small(scratch.stored(least, "least")), F.col("root") == F.col("_r")).select(F.col("node").alias("_node"), "root", "_least")
     counts = links.where("b is null").groupBy(F.col("a").alias("_a")).agg(F.sum("n").alias("_links"))
     out = classes.join(named, F.col("sid") == F.col("_node"), "left").where((F.col("weight") > 1) | F.col("root").isNotNull())
     out = out.join(counts, F.col("sid") == F.col("_a"), "left").select(
         F.col("sid").alias("node"), F.coalesce("root", "sid").alias("root"), F.coalesce("_least", "rep").alias("component_id"),
         (F.col("weight") - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"),
     )
-    return sets, common.stored(out, "answers")
+    return sets, scratch.stored(out, "answers")
 
 
 def link_components(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text", block: int = BLOCK_SHINGLES, count: bool = True) -> DataFrame:
@@ -569,8 +618,10 @@ def link_components(docs: DataFrame, like: Likeness = Likeness(), key: str = "do
     with a chance of 2^-64.  n_links is the number of other rows of that similarity or more, those of equal
     sets included; all pairs a tree leaves are verified for it.
     """
-    rows = common.stored(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row")), "rows")
-    sets, answers = linked_sets(rows, like, "_row", "_key", "_text", block, count)
+    scratch = common.Scratch(docs.sparkSession)
+    rows = scratch.stored(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row")), "rows", True)
+    sets, answers = linked_sets(rows, like, "_row", "_key", "_text", block, count, scratch)
+    scratch.drop(rows)
     out = sets.join(_small(answers), F.col("_sid") == F.col("node"), "left")
     return out.select(
         F.col("_key").alias(key), F.col("_n").alias("n_shingles"), F.coalesce("component_id", "_key").alias("component_id"),
@@ -589,13 +640,13 @@ def _block_pairs(state: DataFrame, like: Likeness) -> DataFrame:
     return state.join(dealt, (F.col("cluster") == F.col("c3")) & (F.col("block") == F.col("blk"))).select("task", "side", "grp", "weight", "sid", "text")
 
 
-def _counts_across(members: DataFrame, large: DataFrame, links: DataFrame, like: Likeness) -> DataFrame:
+def _counts_across(members: DataFrame, large: DataFrame, links: DataFrame, like: Likeness, scratch: common.Scratch) -> DataFrame:
     """Links and counts of all pairs of different blocks of large clusters, besides those within blocks."""
     rows = members.join(large.withColumnRenamed("cluster", "_c"), F.col("cluster") == F.col("_c")).drop("_c", "task").withColumn("grp", F.col("sid"))
-    return common.stored(links.unionByName(_link_tasks(_block_pairs(rows, like), like, True)), "links")
+    return scratch.stored(links.unionByName(_link_tasks(_block_pairs(rows, like), like, True)), "links")
 
 
-def _links_across(members: DataFrame, large: DataFrame, links: DataFrame, like: Likeness, block: int) -> DataFrame:
+def _links_across(members: DataFrame, large: DataFrame, links: DataFrame, like: Likeness, block: int, scratch: common.Scratch) -> DataFrame:
     """Links between the blocks of large clusters, given those within blocks.
 
     First the blocks' components meet through one set each.  Then blocks of clusters that are still in
@@ -610,14 +661,17 @@ def _links_across(members: DataFrame, large: DataFrame, links: DataFrame, like:
 
     heads = rooted(links).withColumn("rk", F.row_number().over(Window.partitionBy("cluster", "block", "grp").orderBy("n", "sid"))).where("rk = 1")
     # One set of each component of a block meets those of other blocks, in tasks of about a block of shingles.
-    heads = common.stored(heads.drop("rk"), "heads")
+    heads = scratch.stored(heads.drop("rk"), "heads", True)
     tasks = max(1, -(-(heads.agg(F.sum("n")).first()[0] or 0) // block))
     met = heads.select(F.xxhash64("cluster", F.pmod("block", F.lit(tasks))).alias("task"), F.lit(0).alias("side"), "grp", "weight", "sid", "text")
-    more = common.stored(links.unionByName(_link_tasks(met, like)), "links")
-    state = common.stored(rooted(more), "state")
-    several = state.groupBy("cluster").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select(F.col("cluster").alias("_c"))
-    state = state.join(several, F.col("cluster") == F.col("_c")).drop("_c")
-    return common.stored(more.unionByName(_link_tasks(_block_pairs(state, like), like)), "links")
+    more = scratch.stored(links.unionByName(_link_tasks(met, like)), "links")
+    scratch.drop(heads)
+    held = scratch.stored(rooted(more), "state", True)
+    several = held.groupBy("cluster").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select(F.col("cluster").alias("_c"))
+    state = held.join(several, F.col("cluster") == F.col("_c")).drop("_c")
+    out = scratch.stored(more.unionByName(_link_tasks(_block_pairs(state, like), like)), "links")
+    scratch.drop(held)
+    return out
 
 
 def deduplicated(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -626,12 +680,15 @@ def deduplicated(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_i
     Rows are told apart, not keys: repeated keys and null keys are rows like any other.  Rows without
     words all stay.  Columns are unchanged, whatever their names.
     """
-    row, digest, gone_id = common.free_names([*docs.columns, "_n", "_sid", "_keys", "node", "root", "component_id", "n_links"], "row", "digest", "gone")
-    rows = common.stored(docs.withColumns({row: F.monotonically_increasing_id(), digest: F.xxhash64(text)}), "rows")
-    sets, answers = linked_sets(rows, like, row, key, text, BLOCK_SHINGLES, False, (digest,))
+    row, digest, gone_id = common.free_names([*docs.columns, "_n", "_sid", *KEY_LISTS, "node", "root", "component_id", "n_links"], "row", "digest", "gone")
+    scratch = common.Scratch(docs.sparkSession)
+    rows = scratch.stored(docs.withColumns({row: F.monotonically_increasing_id(), digest: F.xxhash64(text)}), "rows", True)
+    sets, answers = linked_sets(rows, like, row, key, text, BLOCK_SHINGLES, False, scratch, (digest,))
     found = sets.join(_small(answers), F.col("_sid") == F.col("node")).select("root", F.struct(F.col(key).isNull(), F.col(key), F.col(digest), F.col(row)).alias("rank"))
-    found = common.stored(found, "found")
-    first = common.stored(found.groupBy(F.col("root").alias("_r")).agg(F.min("rank").alias("_first")), "first")
+    found = scratch.stored(found, "found")
+    scratch.drop(sets, answers)
+    first = scratch.stored(found.groupBy(F.col("root").alias("_r")).agg(F.min("rank").alias("_first")), "first")
     gone = found.join(_small(first), F.col("root") == F.col("_r")).where(F.col("rank")[row] != F.col("_first")[row]).select(F.col("rank")[row].alias(gone_id))
-    gone = common.stored(gone, "gone")
+    gone = scratch.stored(gone, "gone")
+    scratch.drop(found, first)
     return rows.join(_small(gone), F.col(row) == F.col(gone_id), "left_anti").drop(row, digest)

@@ -6,6 +6,7 @@ import hashlib
 import json
 import math
 import random
+import time
 import zlib
 
 import duckdb
@@ -422,6 +423,39 @@ def test_one_row_of_each_component_stays(spark):
     assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == collections.Counter([(1, copy), (2, alone), (3, other), (None, "one two three"), (4, ""), (4, None)])
 
 
+def test_ngram_join_frees_its_scratch(spark, tmp_path, monkeypatch):
+    """The same rows with keys shuffled list by list and numbers broadcast range by range; tables that were read are gone."""
+    monkeypatch.setattr(ngram_join, "KEYS_AT_ONCE", 1)
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 7)
+    monkeypatch.setattr(common, "work_dir", lambda spark: f"file://{tmp_path}")
+    rng = random.Random(11)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(rng.choice([6, 30, 80]))] for _ in range(12)]
+    texts = [" ".join(w if rng.random() > 0.02 * (i % 4) else f"x{i}" for w in base[i % 12]) for i in range(60)] + [None, "", "one", "One"]
+    _, root = _brute_components(texts, 5, 80, 100)
+    assert 12 < len(set(root)) < 64
+    docs = _docs(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    assert {r.doc_id for r in ngram_join.deduplicated(docs).collect()} == set(root)
+    left = {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+    assert {"rows", "gone"} <= left and not left & {"common", "keys", "sets", "shared", "members", "heads", "state", "answers", "found"}
+    got = {r.doc_id: r.component_id for r in ngram_join.link_components(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == root
+
+
+def test_scratch_leaves_no_shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {x for x in blocks.getAllFiles().mkString(" ").split() if "shuffle_" in x}
+    scratch, earlier, before = common.Scratch(spark), held(), spark.conf.get(common.Scratch.CLEANUP)
+    mixed = spark.range(1000).select(F.xxhash64("id").alias("k")).repartitionByRange(4, "k")
+    table = scratch.stored(mixed, "mixed")
+    for _ in range(50):
+        if held() <= earlier:
+            break
+        time.sleep(0.1)
+    assert held() <= earlier and table.count() == 1000 and spark.conf.get(common.Scratch.CLEANUP) == before
+    scratch.drop(table)
+    assert not scratch.paths
+
+
 def test_queries_equal_their_sql(spark, tmp_path):
     """Rows, values and names, on tables with nulls, repeated texts, ties and characters of many bytes."""
     text = [None, "", "é" * 60, "é" * 60, "b" * 100, "b" * 99, "b" * 99, "b" * 100, "c"]
