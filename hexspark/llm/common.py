@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Fixed by the task: what separates words, as a regular expression class.
@@ -123,6 +123,22 @@ class Scratch:
                 at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+def placed(scratch: Scratch, rows: DataFrame, group: str, order: list[Column], tag: str) -> tuple[DataFrame, DataFrame]:
+    """The stored rows with _nth and _run, and the runs (group, _run, _before, _total): the place in the group from 0 is
+    _nth + _before, of _total.
+
+    The rows are sorted over ranges, so a group of any size spreads over many tasks.  A run is the part of a group in one
+    range; a join on group and _run, which no group can fill alone, places the rows.  The group must not be null, and the
+    columns have none of these four names.  Rows equal in `order` lie in one range, so the order should tell them apart.
+    """
+    sorted_ = rows.repartitionByRange(F.col(group), *order).sortWithinPartitions(F.col(group), *order)
+    kept = scratch.stored(sorted_.withColumn("_nth", F.monotonically_increasing_id()).withColumn("_run", F.shiftright("_nth", 33)), tag)
+    by = Window.partitionBy(group)
+    runs = kept.groupBy(group, "_run").agg(F.count("*").alias("_n"), F.min("_nth").alias("_first"))
+    upto = F.sum("_n").over(by.orderBy("_run").rowsBetween(Window.unboundedPreceding, 0))
+    return kept, scratch.stored(runs.select(group, "_run", (upto - F.col("_n") - F.col("_first")).alias("_before"), F.sum("_n").over(by).alias("_total")), f"{tag}-runs")
+
+
 Batches = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 

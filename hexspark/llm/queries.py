@@ -7,13 +7,99 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexspark.llm import chat, compression, decontamination, language_model, mixing, ngram_join, quality_rules, secrets, toxicity, warc
-from hexspark.llm.common import fold, table
+from hexspark.llm import chat, compression, decontamination, language_model, merkle, mixing, ngram_join, quality_rules, secrets, toxicity, trie, url_filter, warc
+from hexspark.llm.common import Scratch, fold, table
 
 #: Fixed by the task: what both rows of conversation -7 say.
 QUOTE = "\\### Assistant: </turn> ok"
+#: Fixed by the task: host, path and verdict of the rules.
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned checksum of an ASCII text, bit by bit."""
+    bits = "list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1)))"
+    codes = f"list_prepend(4294967295::BIGINT, list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT))"
+    return f"xor(list_reduce({codes}, lambda a, b: {bits}), 4294967295::BIGINT)"
+
+
+def _said(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join([*map(_said, ('doc_id', 'source', 'lang', 'n_chars')), _said(text)])})"
+
 
 SQL = {
+    "op12_merkle_manifest": rf"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS grp, {_leaf('text')} AS leaf,
+         CASE WHEN {_crc32("coalesce(doc_id::VARCHAR, '')")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS start
+  FROM documents
+),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS place, count(*) OVER (PARTITION BY grp) AS n FROM docs),
+tree(grp, level, place, n, node) AS (
+  SELECT grp, 0, place, n, leaf FROM leaves
+  UNION ALL
+  SELECT grp, level + 1, place // 3, any_value((n + 2) // 3), sha256(string_agg(node, '' ORDER BY place)) FROM tree WHERE n > 1 GROUP BY grp, level, place // 3
+),
+subroots AS (SELECT grp, node, row_number() OVER (ORDER BY grp) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1),
+crown(level, place, n, node) AS (
+  SELECT 0, place, n, node FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 3, any_value((n + 2) // 3), sha256(string_agg(node, '' ORDER BY place)) FROM crown WHERE n > 1 GROUP BY level, place // 3
+),
+steps AS (
+  SELECT l.rid, t.level, t.place, t.node, t.place < l.place // (3 ** t.level)::BIGINT AS before
+  FROM leaves l JOIN tree t ON l.grp = t.grp AND t.place // 3 = l.place // (3 ** (t.level + 1))::BIGINT AND t.place <> l.place // (3 ** t.level)::BIGINT AND t.n > 1
+  UNION ALL
+  SELECT l.rid, 1000 + c.level, c.place, c.node, c.place < s.place // (3 ** c.level)::BIGINT
+  FROM leaves l JOIN subroots s ON l.grp = s.grp JOIN crown c ON c.place // 3 = s.place // (3 ** (c.level + 1))::BIGINT AND c.place <> s.place // (3 ** c.level)::BIGINT AND c.n > 1
+),
+-- Every level is a step, also that of a node alone in its run.
+sides AS (
+  SELECT v.rid, row_number() OVER (PARTITION BY v.rid ORDER BY v.level) AS step,
+         coalesce(string_agg(s.node, '' ORDER BY s.place) FILTER (WHERE s.before), '') AS lefts, coalesce(string_agg(s.node, '' ORDER BY s.place) FILTER (WHERE NOT s.before), '') AS rights
+  FROM (SELECT l.rid, t.level FROM leaves l JOIN (SELECT DISTINCT grp, level FROM tree WHERE n > 1) t USING (grp)
+        UNION ALL SELECT l.rid, 1000 + c.level FROM leaves l, (SELECT DISTINCT level FROM crown WHERE n > 1) c) v LEFT JOIN steps s ON v.rid = s.rid AND v.level = s.level
+  GROUP BY v.rid, v.level
+),
+fold(rid, step, node) AS (
+  SELECT rid, 0::BIGINT, start FROM leaves
+  UNION ALL
+  SELECT f.rid, s.step, sha256(s.lefts || f.node || s.rights) FROM fold f JOIN sides s ON f.rid = s.rid AND s.step = f.step + 1
+),
+ends AS (SELECT rid, arg_max(node, step) AS folded_root FROM fold GROUP BY rid),
+proofs AS (SELECT rid, sha256(string_agg(node, '' ORDER BY level, place)) AS proof_sha256 FROM steps GROUP BY rid)
+SELECT l.doc_id, l.leaf, s.node AS subroot, r.node AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, e.folded_root, e.folded_root = r.node AS verified
+FROM leaves l JOIN subroots s ON l.grp = s.grp JOIN ends e ON l.rid = e.rid LEFT JOIN proofs p ON l.rid = p.rid, (SELECT node FROM crown WHERE n = 1) r
+""",
+    "op13_prefix_trie": rf"""
+WITH own AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+placed AS (SELECT conv_id, t, length(text) AS tok, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, t) AS pos FROM own),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+begun AS (SELECT c.conv_id, p.pos AS depth, p.t, p.tok FROM convs c JOIN placed p ON p.conv_id = c.base AND p.pos <= c.h),
+moved AS (SELECT c.conv_id, c.h, count(b.depth) AS k FROM convs c LEFT JOIN begun b ON b.conv_id = c.conv_id GROUP BY c.conv_id, c.h),
+turns AS (
+  SELECT * FROM begun UNION ALL SELECT p.conv_id, p.pos - m.h + m.k, p.t, p.tok FROM placed p JOIN moved m ON p.conv_id = m.conv_id AND p.pos > m.h
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+),
+members AS (SELECT conv_id, depth, tok, string_agg(t, '') OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM turns),
+nodes AS (SELECT key, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(tok) AS tok FROM members GROUP BY key),
+kids AS (SELECT left(key, -64) AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+ends AS (SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS d FROM (SELECT conv_id, arg_max(key, depth) AS key FROM members GROUP BY conv_id) GROUP BY key),
+below AS (
+  SELECT m.key, sum((n.n_convs - 1) * n.tok) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves
+  FROM nodes n JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth LEFT JOIN kids k ON k.key = n.key GROUP BY m.key
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens, coalesce(e.d, sha256('')) AS ends_sha256
+FROM nodes n JOIN below b USING (key) LEFT JOIN kids k USING (key) LEFT JOIN ends e USING (key) LEFT JOIN nodes p ON n.depth > 0 AND p.key = left(n.key, -64)
+""",
     "op4_mix_sources": r"""
 WITH rows AS (
   SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -183,8 +269,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its verdict: the rule's that fits best, else the model's."""
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    known = spark.createDataFrame(url_filter.labelled(), "url string, label int")
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules, known)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its leaf and proof, and the root that the proof gives for a text that lost its line feeds."""
+    even = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2 == 0
+    start = F.when(even, merkle.tampered("text", F.replace("text", F.lit("\n"), F.lit("")))).otherwise(merkle.tampered("text", F.col("text")))
+    found = merkle.prove(table(spark, sf_dir, "documents"), start=start).withColumn("folded_root", merkle.folded(F.col("start"), F.col("path")))
+    proof = F.sha2(F.array_join(merkle.proof(F.col("path")), ""), 256)
+    return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, which begin with turns of the conversation a hundred begins with."""
+    conv = F.col("conv")
+    kept, runs = trie.numbered(table(spark, sf_dir, "conversations"), Scratch(spark))
+    turns, convs = trie.with_shared_starts(kept, runs, (F.crc32(conv.cast("string")) % 6).cast("int"), conv - conv % 100, 5)
+    return trie.build(turns, convs)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_find_secrets, op2_quality_rules, op3_language_model, op4_mix_sources, op5_archive_pages, op6_format_chats, op7_ngram_join, op8_decontaminate, op9_quality_classifier, op10_toxicity)}
+    every = (
+        op1_find_secrets, op2_quality_rules, op3_language_model, op4_mix_sources, op5_archive_pages, op6_format_chats, op7_ngram_join, op8_decontaminate,
+        op9_quality_classifier, op10_toxicity, op11_filter_urls, op12_merkle_manifest, op13_prefix_trie,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
