@@ -24,7 +24,8 @@ from hexspark.llm import common, samples
 
 LEVEL = 3
 DICTIONARY_BYTES = 32 << 10
-#: Bytes of a text for the dictionary trainer, bytes it is given, and bytes compressed at a time.
+#: Bytes of a text for the dictionary trainer, bytes of all texts it is given at most (a bound of the fit, evenly over the
+#: sample: it needs fifty times what it reads), and bytes compressed at a time.
 CHUNK, TRAINER_BYTES, PIECE = 4096, 4 << 20, 1024
 #: Bytes added to a text's length, so that a few bytes make no extreme difference.
 LEAST_BYTES = 256
@@ -36,11 +37,10 @@ PARTS = 2
 DECISION = 0.3
 
 
-def dictionary(texts: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
-    """A trained dictionary as bytes; raw content where there is too little text to train on."""
+def dictionary(texts: list[bytes], size: int = DICTIONARY_BYTES, trainer_bytes: int = TRAINER_BYTES) -> bytes:
+    """A trained dictionary as bytes, from `trainer_bytes` of the texts, every nth piece of them; raw content where there is too little text to train on."""
     chunks = [t[i : i + CHUNK] for t in texts for i in range(0, len(t), CHUNK)]
-    # Evenly over the sample: the trainer needs fifty times what it reads.
-    step = max(1, -(-sum(map(len, chunks)) // TRAINER_BYTES))
+    step = max(1, -(-sum(map(len, chunks)) // trainer_bytes))
     chunks = chunks[::step]
     total = sum(map(len, chunks))
     if len(chunks) >= 16 and total >= 16 * 1024:

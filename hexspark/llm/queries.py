@@ -137,11 +137,11 @@ FROM placed
 WITH rows AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 digested AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM rows),
 marked AS (
-  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM digested
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS nth FROM digested
 )
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+       CASE WHEN payload_bytes >= 100 AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND nth > 1 THEN first END AS refers_to
 FROM marked
 """,
     "op6_format_chats": rf"""
@@ -183,7 +183,8 @@ edges AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
 reach(rid, other) AS (
   SELECT rid, rid FROM sets UNION SELECT reach.rid, edges.b FROM reach JOIN edges ON reach.other = edges.a
 )
-SELECT any_value(d.doc_id) AS doc_id, any_value(len(d.s))::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+SELECT any_value(d.doc_id) AS doc_id, any_value(len(d.s))::BIGINT AS n_shingles, min(o.doc_id) AS component_id,
+       (SELECT count(*) FROM edges WHERE edges.a = d.rid) AS n_links
 FROM reach JOIN sets d ON reach.rid = d.rid JOIN sets o ON reach.other = o.rid
 GROUP BY d.rid
 """,
@@ -246,8 +247,8 @@ def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the size of its set of 3-word shingles and its component under similarity 0.9."""
-    return ngram_join.link_components(table(spark, sf_dir, "documents"), ngram_join.Likeness(3, 90, 100)).select("doc_id", "n_shingles", "component_id")
+    """Every document with the size of its set of 3-word shingles, its component under similarity 0.9 and the number of documents it is linked with."""
+    return ngram_join.link_components(table(spark, sf_dir, "documents"), ngram_join.Likeness(3, 90, 100)).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,25 +19,27 @@ def labelled(
 ) -> tuple[DataFrame, float]:
     """At most `rows` texts and `max_bytes` bytes of each class (text, label, h, _key); and the share of label 1.
 
-    Keys are taken in the order of a hash, so a rerun takes the same ones; a text that does not fit into
-    the bytes left is passed over, the ones after it are not.  Null labels and texts are left out; a key
-    labelled twice counts once, with its smaller label; of a key on several rows one text counts.  The
-    share is that of all labels admitted.
+    Only labels of keys that docs has count, for the sample and for the share, so labels of other documents change nothing.
+    Keys are taken in the order of a hash, so a rerun takes the same ones; a text that does not fit into the bytes left is
+    passed over, the ones after it are not.  Null labels are left out, null texts count as empty; a key labelled twice
+    counts once, with its smaller label; of a key on several rows one text counts.
     """
     once = labels.where(F.col(target).isNotNull() & F.col(key).isNotNull())
     if where is not None:
         once = once.where(where)
     once = once.groupBy(F.col(key).alias("_key")).agg(F.min(target).cast("int").alias("_label"))
+    # Keys alone are read here; the side of the labels may be broadcast, which a semi join of labels with docs could not do.
+    once = common.stored(docs.select(F.col(key).alias("_key")).join(once, "_key").distinct(), "labels")
     order = F.xxhash64(F.lit(5), F.col("_key"))
     # Only a hash range some times as wide as needed is ranked, so the ranking does not grow with the labels.
     seen = dict(once.groupBy("_label").count().collect())
     width = max([rows / max(1, seen.get(c, 0)) for c in (0, 1)], default=1.0)
-    if width < 0.25:
-        once = once.where(F.pmod(order, F.lit(1 << 30)) < int(2 * width * (1 << 30)))
-    parts = [once.where(F.col("_label") == c).orderBy(order, "_key").limit(rows) for c in (0, 1)]
+    ranked = once.where(F.pmod(order, F.lit(1 << 30)) < int(2 * width * (1 << 30))) if width < 0.25 else once
+    parts = [ranked.where(F.col("_label") == c).orderBy(order, "_key").limit(rows) for c in (0, 1)]
     ids = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * rows rows at most
-    found = docs.select(key, text).where(F.col(text).isNotNull()).join(ids, F.col(key) == F.col("_key"))
-    found = found.groupBy("_key", F.col("_label").alias("label")).agg(F.min_by(F.col(text), F.struct(F.xxhash64(text), text)).alias("text"))
+    said = F.coalesce(F.col(text), F.lit("")).alias("_text")
+    found = docs.select(F.col(key).alias("_of"), said).join(ids, F.col("_of") == F.col("_key"))
+    found = found.groupBy("_key", F.col("_label").alias("label")).agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("text"))
     found = common.stored(found.select("text", "label", order.alias("h"), "_key"), "sample")
     # Sizes of 2 * rows texts at most decide on the driver which ones fit.
     taken, held = [], {0: 0, 1: 0}

@@ -291,7 +291,8 @@ def _joined(urls: DataFrame, rules: DataFrame, names: list[str], scratch: Scratc
     """urls with rule and said by joins, for rules of any number: each URL meets the rules of its host and the hosts above it."""
     host, path, rule, said, row, part = names
     kept = scratch.stored(urls.withColumn(row, F.monotonically_increasing_id()), "urls")
-    above = F.transform(F.sequence(F.lit(1), F.size(F.split(host, r"\."))), lambda i: F.substring_index(host, ".", -i))
+    names_in = F.split(host, r"\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(names_in)), lambda i: F.array_join(F.slice(names_in, -i, i), "."))
     r = rules.select(F.col("host").alias(part), F.col("path").alias("_p"), F.col("verdict").alias("_v"))
     met = kept.select(row, path, F.explode(above).alias(part)).join(r, part).where(F.col(path).startswith(F.col("_p")))
     first = F.struct(F.length(part) + F.length("_p"), F.length(part), F.col("_v") == "block")

@@ -53,6 +53,8 @@ class ArcRecord:
     mime: str
     body: bytes
     code: str = "-"
+    #: Why the record could not be read; its body is then the bytes passed over.
+    damage: str = ""
 
 
 def _field(value: str) -> str:
@@ -81,50 +83,96 @@ def arc_bytes(records: Iterable[ArcRecord], version: int, name: str = "part.arc"
     return b"".join(x if isinstance(x, bytes) else x.encode("utf-8", "surrogateescape") for x in out)
 
 
-def parse_arc(data: bytes | IO[bytes]) -> Iterator[ArcRecord]:
-    """The records of an ARC file after its filedesc record, one at a time; the version decides how header lines are read."""
+def _header(line: bytes, fields: int) -> list[str] | None:
+    """The fields of an ARC header line, None if it is none.  Only the URL may hold spaces, so the others are read from the right."""
+    own = line.decode("utf-8", "surrogateescape").rstrip("\r\n").rsplit(" ", fields - 1)
+    return own if line.endswith(b"\n") and len(own) == fields and own[-1].isdecimal() and own[0] else None
+
+
+def parse_arc(data: bytes | IO[bytes], lenient: bool = False) -> Iterator[ArcRecord]:
+    """The records of an ARC file after its filedesc record, one at a time; the version decides how header lines are read.
+
+    What cannot be read raises; with lenient it is a record of its own with its `damage`, and reading goes on at the next line that can
+    be a header line, with a date of 14 digits, or ends where the archive does.
+    """
     stream = io.BytesIO(data) if isinstance(data, bytes) else data
-    line = stream.readline()
-    if not line:
-        return
-    first = line.rstrip(b"\r\n").split(b" ")
-    if not line.endswith(b"\n") or not first[0].startswith(b"filedesc://") or not first[-1].isdigit():
-        raise ArchiveError(f"no filedesc record: {line[:60]!r}")
-    note = stream.read(int(first[-1]))
-    fields = {b"1": 5, b"2": 10}.get(note[:1])
-    if fields is None:
-        raise ArchiveError(f"unknown ARC version in {note[:20]!r}")
-    while line := stream.readline():
-        if not line.strip(b"\r\n"):  # between records
-            continue
-        own = line.decode("utf-8", "surrogateescape").rstrip("\r\n").split(" ")
-        if not line.endswith(b"\n") or len(own) != fields or not own[-1].isdigit():
-            raise ArchiveError(f"header line of {len(own)} fields, this version has {fields}: {own}")
-        body = stream.read(int(own[-1]))
-        if len(body) < int(own[-1]):
-            raise ArchiveError(f"record of {own[-1]} bytes runs over the end of the archive")
-        url, ip, date, mime = own[:4]
-        yield ArcRecord(_unfield(url), _unfield(ip), date, _unfield(mime), body, _unfield(own[4]) if fields == 10 else "")
+
+    def damaged(body: bytes, why: str) -> ArcRecord:
+        if not lenient:
+            raise ArchiveError(why)
+        return ArcRecord("", "", "", "", body, "", why)
+
+    try:
+        line = stream.readline()
+        if not line:
+            return
+        first = line.rstrip(b"\r\n").split(b" ")
+        note = stream.read(int(first[-1])) if line.startswith(b"filedesc://") and line.endswith(b"\n") and first[-1].isdigit() else b""
+        fields = {b"1": 5, b"2": 10}.get(note[:1])
+        if fields is None:
+            yield damaged(line + note, f"no filedesc record of a known version: {line[:60]!r} {note[:20]!r}")
+            fields = 5
+        while line := stream.readline():
+            if not line.strip(b"\r\n"):  # between records
+                continue
+            own = _header(line, fields)
+            if own is None:
+                passed, size = [line], len(line)
+                why = f"header line without the {fields} fields of this version: {line[:60]!r}"
+                while line := stream.readline():
+                    own = _header(line, fields)
+                    if own is not None and re.fullmatch(r"\d{14}", own[2]):
+                        break
+                    passed.append(line)
+                    size += len(line)
+                    own = None
+                    if size >= ARCHIVE_BYTES:  # as much as a worker may hold
+                        yield damaged(b"".join(passed), why)
+                        passed, size = [], 0
+                yield damaged(b"".join(passed), why)
+                if own is None:
+                    return
+            body = stream.read(int(own[-1]))
+            if len(body) < int(own[-1]):
+                yield damaged(line + body, f"record of {own[-1]} bytes runs over the end of the archive")
+                return
+            url, ip, date, mime = own[:4]
+            yield ArcRecord(_unfield(url), _unfield(ip), date, _unfield(mime), body, _unfield(own[4]) if fields == 10 else "")
+    except (EOFError, OSError, zlib.error) as error:  # a compressed file cut off or spoilt
+        yield damaged(b"", f"{type(error).__name__}: {error}")
+
+
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
 
 
 def payload_at(body: bytes) -> int:
-    """Where the payload of a body begins: after the header lines of an HTTP response, else at once."""
+    """Where the payload of a body begins: after the header lines of an HTTP response, which CR and LF or bare LF end, else at once."""
     if not body.startswith(b"HTTP/"):
         return 0
-    end = body.find(END)
-    return len(body) if end < 0 else end + len(END)
+    end = _HEAD_END.search(body)
+    return end.end() if end else len(body)
 
 
 def http_fields(body: bytes) -> dict[str, str]:
-    """The HTTP header lines of a body by name in lower case."""
-    lines = body[: payload_at(body)].decode("utf-8", "surrogateescape").split("\r\n")[1:]
-    return {name.lower(): value for name, colon, value in (x.partition(": ") for x in lines) if colon}
+    """The HTTP header lines of a body by name in lower case; the white space around a value is not part of it."""
+    lines = re.split(r"\r?\n", body[: payload_at(body)].decode("utf-8", "surrogateescape"))[1:]
+    return {name.strip().lower(): value.strip() for name, colon, value in (x.partition(":") for x in lines) if colon}
 
 
 def warc_date(date: str) -> str:
-    """A 14-digit ARC date as a WARC timestamp; missing digits are filled with the first moment."""
-    digits = (re.sub(r"\D", "", date) + "00000101000000"[len(re.sub(r"\D", "", date)) :])[:14]
-    return f"{digits[:4]}-{digits[4:6]}-{digits[6:8]}T{digits[8:10]}:{digits[10:12]}:{digits[12:14]}Z"
+    """A 14-digit ARC date as a WARC timestamp.
+
+    Missing digits are filled with the first moment, and so is everything from the first part on that no date can have (month 13, hour 25);
+    without a year it is 1970.
+    """
+    digits = re.sub(r"\D", "", date)[:14]
+    parts = [int(digits[i : i + n]) for i, n in ((0, 4), (4, 2), (6, 2), (8, 2), (10, 2), (12, 2)) if len(digits) >= i + n]
+    while parts:
+        try:
+            return datetime(*(parts + [1, 1, 1][len(parts) :])).strftime("%Y-%m-%dT%H:%M:%SZ").zfill(20)
+        except ValueError:
+            parts.pop()
+    return "1970-01-01T00:00:00Z"
 
 
 def record_id(key: str) -> str:
@@ -156,7 +204,10 @@ def warc_bytes(record: ArcRecord, own_id: str, digest: str, refers_to: str | Non
         "Content-Type": "application/http; msgtype=response" if http else record.mime or "application/octet-stream",
         **(extra or {}),
     }
+    if record.damage:
+        head["X-Damage"] = record.damage
     if revisit:
+        head["X-Payload-Bytes"] = str(len(record.body) - start)
         head["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
         head["WARC-Refers-To"] = refers_to
     head["Content-Length"] = str(len(block))
@@ -164,23 +215,58 @@ def warc_bytes(record: ArcRecord, own_id: str, digest: str, refers_to: str | Non
     return b"WARC/1.1\r\n" + lines.encode("utf-8", "surrogateescape") + b"\r\n" + block
 
 
-def parse_warc(data: bytes | IO[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record, by declared lengths; a stream is read record by record."""
+def parse_warc(data: bytes | IO[bytes], lenient: bool = False) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (names in lower case) and block of each record, by declared lengths; a stream is read record by record.
+
+    What cannot be read raises; with lenient it is a record of its own whose only header, `damage`, says why, and reading goes on
+    at the next line that begins a record.
+    """
     stream = io.BytesIO(data) if isinstance(data, bytes) else data
-    while line := stream.readline():
-        if not line.startswith(b"WARC/"):
-            raise ArchiveError(f"no WARC record: {line[:60]!r}")
-        head = {}
-        while (line := stream.readline()) != b"\r\n":
-            name, colon, value = line.decode("utf-8", "surrogateescape").removesuffix("\r\n").partition(": ")
-            if not colon:
-                raise ArchiveError(f"no header line: {line[:60]!r}")
-            head[name.lower()] = value
-        declared = head.get("content-length", "")
-        block = stream.read(int(declared)) if declared.isdigit() else b""
-        if not declared.isdigit() or len(block) < int(declared) or stream.read(len(END)) != END:
-            raise ArchiveError(f"record {head.get('warc-record-id')} does not end where it declares")
-        yield head, block
+    line = b""
+    try:
+        line = stream.readline()
+        while line:
+            if not line.strip(b"\r\n"):
+                line = stream.readline()
+                continue
+            why, passed = "", [line]
+            head: dict[str, str] = {}
+            if line.startswith(b"WARC/"):
+                while (line := stream.readline()).strip(b"\r\n"):
+                    name, colon, value = line.decode("utf-8", "surrogateescape").rstrip("\r\n").partition(":")
+                    passed.append(line)
+                    if not colon:
+                        why = f"no header line: {line[:60]!r}"
+                        break
+                    head[name.strip().lower()] = value.strip()
+                declared = head.get("content-length", "")
+                if not why:
+                    block = stream.read(int(declared)) if declared.isdecimal() else b""
+                    passed.append(block)
+                    end = (stream.readline(), stream.readline()) if declared.isdecimal() else (b"?", b"?")
+                    if not declared.isdecimal() or len(block) < int(declared) or any(x.strip(b"\r\n") for x in end):
+                        passed += end if declared.isdecimal() else ()
+                        why = f"record {head.get('warc-record-id')} does not end where it declares"
+            else:
+                why = f"no WARC record: {line[:60]!r}"
+            if not why:
+                yield head, block
+                line = stream.readline()
+                continue
+            if not lenient:
+                raise ArchiveError(why)
+            size = sum(map(len, passed))
+            while (line := stream.readline()) and not line.startswith(b"WARC/1"):
+                passed.append(line)
+                size += len(line)
+                if size >= ARCHIVE_BYTES:  # as much as a worker may hold
+                    yield {"damage": why}, b"".join(passed)
+                    passed, size = [], 0
+            yield {"damage": why}, b"".join(passed)
+    except (EOFError, OSError, zlib.error) as error:
+        if not lenient:
+            raise ArchiveError(f"{type(error).__name__}: {error}") from error
+        yield {"damage": f"{type(error).__name__}: {error}"}, b""
 
 
 def _opened(data: pa.Scalar) -> IO[bytes]:
@@ -260,49 +346,52 @@ def _digest(record: ArcRecord) -> str:
 
 
 def describe_arc(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """A row per ARC record under path: archive, place in it, url, ip, date, mime, page_id (text, of the HTTP header), payload_bytes, digest, record_id."""
+    """A row per ARC record under path: archive, place in it, url, ip, date, mime, page_id (text, of the HTTP header), payload_bytes, digest, record_id, damage.
+
+    Damaged records and archives are rows too, with what is wrong as damage (else empty) and the bytes passed over as payload.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("archive", "place", "url", "ip", "date", "mime", "page_id", "payload_bytes", "digest", "record_id")
-        kinds = (pa.string(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.string())
+        names = ("archive", "place", "url", "ip", "date", "mime", "page_id", "payload_bytes", "digest", "record_id", "damage")
+        kinds = (pa.string(), pa.int64(), *[pa.string()] * 5, pa.int64(), *[pa.string()] * 3)
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 rows = []
-                for place, r in enumerate(parse_arc(_opened(data))):
+                for place, r in enumerate(parse_arc(_opened(data), lenient=True)):
                     digest, pid = _digest(r), http_fields(r.body).get("x-page-id")
                     rows.append((
                         name, place, r.url, r.ip, r.date, r.mime, None if pid is None else _unfield(pid), len(r.body) - payload_at(r.body), digest,
-                        _place_id(r, digest, place),
+                        _place_id(r, digest, place), r.damage,
                     ))
                 cols = zip(*rows, strict=True) if rows else ([],) * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], list(names))
 
-    schema = "archive string, place long, url string, ip string, date string, mime string, page_id string, payload_bytes long, digest string, record_id string"
+    schema = "archive string, place long, url string, ip string, date string, mime string, page_id string, payload_bytes long, digest string, record_id string, damage string"
     return _files(spark, path, pattern).mapInArrow(common.freed(run), schema)
 
 
 def revisits(described: DataFrame, kind: str = "long") -> DataFrame:
     """archive, place, first (a page_id as text) and first_id of every record that revisits another.
 
-    Of records with equal payloads of 100 bytes or more, that with the smallest page_id is kept; those of
-    other page_ids, or of none, revisit it.  Digests and numbers alone are shuffled, and only digests that
-    several records have are joined.
+    Of records with equal payloads of 100 bytes or more one is kept, that with the smallest page_id, those without one last
+    and of equals the first by archive and place; all others revisit it.  Damaged records stay as they are.  Digests and numbers
+    alone are shuffled, and only digests that several records have are joined.
     """
     pid = F.col("page_id").cast(kind)
-    shared = described.where(F.col("payload_bytes") >= LEAST_SHARED)
-    least = shared.groupBy(F.col("digest").alias("_d")).agg(F.min(F.when(pid.isNotNull(), F.struct(pid.alias("pid"), "record_id"))).alias("_first"), F.count("*").alias("_n"))
-    least = common.stored(least.where("_n > 1 and _first is not null").select("_d", "_first"), "firsts")
-    found = shared.join(least, F.col("digest") == F.col("_d")).where(~pid.eqNullSafe(F.col("_first.pid")))
+    shared = described.where((F.col("payload_bytes") >= LEAST_SHARED) & (F.col("damage") == ""))
+    least = shared.groupBy(F.col("digest").alias("_d")).agg(F.min(F.struct(pid.isNull().alias("none"), pid.alias("pid"), "archive", "place", "record_id")).alias("_first"), F.count("*").alias("_n"))
+    least = common.stored(least.where("_n > 1").select("_d", "_first"), "firsts")
+    found = shared.join(least, F.col("digest") == F.col("_d")).where((F.col("archive") != F.col("_first.archive")) | (F.col("place") != F.col("_first.place")))
     return found.select("archive", "place", F.col("_first.pid").cast("string").alias("first"), F.col("_first.record_id").alias("first_id"))
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, kind: str = "long", pattern: str | None = None) -> None:
     """Write a WARC record for every record of the ARC files under arc_path, compressed or not, to archives under warc_path.
 
-    Url, address, date, type, code and body come from the archive.  kind: the type of page_ids, which tells
-    which one is smallest.
+    Url, address, date, type, code and body come from the archive; a damaged record becomes a resource of the bytes passed
+    over, with the damage in its header lines.  kind: the type of page_ids, which tells which one is smallest.
     """
-    described = common.stored(describe_arc(spark, arc_path, pattern).select("archive", "place", "page_id", "payload_bytes", "digest", "record_id"), "described")
+    described = common.stored(describe_arc(spark, arc_path, pattern).select("archive", "place", "page_id", "payload_bytes", "digest", "record_id", "damage"), "described")
     by_archive = revisits(described, kind).groupBy(F.col("archive").alias("_a")).agg(F.collect_list(F.struct("place", "first", "first_id")).alias("again"))
     by_archive = common.stored(by_archive, "revisits")  # a row holds no more than an archive's records
     few = by_archive.count() <= BROADCAST_ARCHIVES
@@ -313,7 +402,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, kind: str = "lon
         for batch in batches:
             for data, again in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 of = {x["place"]: (x["first"], x["first_id"]) for x in again or ()}
-                for place, r in enumerate(parse_arc(_opened(data))):
+                for place, r in enumerate(parse_arc(_opened(data), lenient=True)):
                     digest, (first, first_id) = _digest(r), of.get(place, (None, None))
                     yield warc_bytes(r, _place_id(r, digest, place), digest, first_id, {} if first is None else {"X-Refers-To-Page": _field(first)})
 
@@ -324,9 +413,33 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, kind: str = "lon
     _write_archives(joined.mapInArrow(common.freed(run), "archive binary"), warc_path, END)
 
 
+def _checked(head: dict[str, str], block: bytes) -> tuple[str | None, int | None, str | None]:
+    """The payload's digest and length, and what is wrong with the digests that are declared as SHA-256."""
+
+    def declared(name: str) -> str | None:
+        label, _, value = head.get(name, "").rpartition(":")
+        return value.lower() if label.lower() == "sha256" and re.fullmatch("[0-9A-Fa-f]{64}", value) else None
+
+    start, revisit = payload_at(block), head.get("warc-type") == "revisit"
+    own = None if revisit else hashlib.sha256(memoryview(block)[start:]).hexdigest()
+    payload, whole = declared("warc-payload-digest"), declared("warc-block-digest")
+    if whole is not None and hashlib.sha256(block).hexdigest() != whole:
+        return own, len(block) - start, "the block does not have the digest it declares"
+    if own is not None and payload is not None and own != payload:
+        return own, len(block) - start, "the payload does not have the digest it declares"
+    if not revisit:
+        return own, len(block) - start, None
+    said = head.get("x-payload-bytes") or http_fields(block).get("content-length", "")
+    return payload, int(said) if said.isdecimal() else None, None
+
+
 def read_archives(spark: SparkSession, path: str, kind: str = "long", pattern: str | None = None) -> DataFrame:
-    """A row per WARC record under path, read by declared lengths; digests of blocks and payloads are checked."""
-    names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "warc_date", "ip")
+    """A row per WARC record under path, read by declared lengths; digests of blocks and payloads are checked.
+
+    Fields that a record lacks are null, as is the payload length of a revisit that neither says it nor has a Content-Length.  Records
+    that cannot be read or fail their digests are rows with what is wrong as damage (else null).
+    """
+    names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "warc_date", "ip", "damage")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(rows: list) -> pa.RecordBatch:
@@ -335,17 +448,13 @@ def read_archives(spark: SparkSession, path: str, kind: str = "long", pattern: s
         for batch in batches:
             for data in batch.column(1):
                 rows = []
-                for head, block in parse_warc(_opened(data)):
-                    own, digest, start = head["warc-record-id"], head["warc-payload-digest"].removeprefix("sha256:"), payload_at(block)
-                    if hashlib.sha256(block).hexdigest() != head["warc-block-digest"].removeprefix("sha256:"):
-                        raise ArchiveError(f"{own}: the block does not have the digest it declares")
-                    revisit, http = head["warc-type"] == "revisit", http_fields(block)
-                    if not revisit and hashlib.sha256(memoryview(block)[start:]).hexdigest() != digest:
-                        raise ArchiveError(f"{own}: the payload does not have the digest it declares")
+                for head, block in parse_warc(_opened(data), lenient=True):
+                    digest, size, wrong = _checked(head, block)
+                    revisit, http = head.get("warc-type") == "revisit", http_fields(block)
                     pid, first = http.get("x-page-id"), head.get("x-refers-to-page")
                     rows.append((
-                        None if pid is None else _unfield(pid), head["warc-target-uri"], int(http["content-length"]) if revisit else len(block) - start, digest,
-                        head["warc-type"], _unfield(first) if revisit and first is not None else None, own, head["warc-date"], head["warc-ip-address"],
+                        None if pid is None else _unfield(pid), head.get("warc-target-uri"), size, digest, head.get("warc-type"), _unfield(first) if revisit and first is not None else None,
+                        head.get("warc-record-id"), head.get("warc-date"), head.get("warc-ip-address"), head.get("damage") or head.get("x-damage") or wrong,
                     ))
                     if len(rows) >= 5000:
                         yield flush(rows)
@@ -361,8 +470,8 @@ def read_archives(spark: SparkSession, path: str, kind: str = "long", pattern: s
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write pages (page_id of any type, url, html; other columns are not read) as ARC files to the shared folder, convert them to WARC, and read that back.
 
-    Null pages are pages of an empty payload; rows equal in payload and page_id are all responses, as are rows
-    of null page_id unless a row with one holds their payload; an empty table gives no rows.
+    Null pages are pages of an empty payload; of rows equal in payload one is a response, also of those equal in page_id or
+    without one, which come last; pages of any length are one record; an empty table gives no rows.
     """
     spark, kind = pages.sparkSession, pages.schema["page_id"].dataType.simpleString()
     legacy, path = common.new_path(spark, "arc"), common.new_path(spark, "warc")
