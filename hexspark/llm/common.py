@@ -191,29 +191,22 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 SEP, _CODE, _CODE_LOWER = _tables()
 _BASE = 0x9E3779B97F4A7C15 | 5
-_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-class _Powers:
-    """Powers of the hash base and of its inverse, extended as longer pieces come."""
+class _Places:
+    """An odd number for each place in a word, extended as longer words come."""
 
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
+        self.by = np.zeros(0, np.uint64)
 
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = 1 << max(16, (n - 1).bit_length())
+    def of(self, n: int) -> np.ndarray:
+        if len(self.by) < n:
+            size = 1 << max(12, (n - 1).bit_length())
+            self.by = mix64(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
+        return self.by
 
-            def run(base: int) -> np.ndarray:
-                out = np.full(size, base, np.uint64)
-                out[0] = 1
-                return np.multiply.accumulate(out)
 
-            self.up, self.down = run(_BASE), run(_INVERSE)
-        return self.up[:n], self.down
-
-
-_powers = _Powers()
+_places = _Places()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -288,7 +281,11 @@ def bare_bounds(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of each byte range; with lower, A-Z count as a-z."""
+    """A 64-bit hash of each byte range, which follow each other; with lower, A-Z count as a-z.
+
+    The sum over bytes of the byte's number times the place's, both odd and without a pattern, so that no structure of a
+    word makes it collide with another.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
     out = np.empty(len(starts), np.uint64)
@@ -297,11 +294,12 @@ def hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool =
     while lo < len(starts):  # by ranges of bytes, as a text may be very long
         hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + PIECE_BYTES, "right")))
         first, last = int(starts[lo]), int(ends[hi - 1])
-        up, down = _powers.of(last - first + 1)
-        total = np.zeros(last - first + 1, np.uint64)
-        np.cumsum(code[raw[first:last]] * up[: last - first], out=total[1:])
         s, e = starts[lo:hi] - first, ends[lo:hi] - first
-        out[lo:hi] = mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        n = last - first
+        place = np.arange(n) - np.repeat(s, np.diff(np.append(s, n)))
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(code[raw[first:last]] * _places.of(int(place.max(initial=0)) + 1)[place], out=total[1:])
+        out[lo:hi] = mix64(total[e] - total[s] + (e - s).astype(np.uint64))
         lo = hi
     return out
 

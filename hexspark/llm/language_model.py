@@ -420,10 +420,26 @@ def _average(rows: list[tuple[float, bytes]]) -> bytes:
     return pickle.dumps({k: w.astype(np.float32) for k, w in out.items()})
 
 
+def _dealt(rows: DataFrame, shards: int) -> DataFrame:
+    """rows (h, key, text) with shard and copies, how often the shard has the row."""
+    alone = rows.withColumns({"shard": F.pmod("h", F.lit(shards)), "copies": F.lit(1).cast("long")})
+    if shards == 1:
+        return alone
+    sizes = rows.groupBy("h").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    # Two bytes a token at least, so these are all that hold a quarter of a shard; most have more.
+    hot = common.stored(sizes.where((F.col("n") > 1) & (F.col("bytes") >= SHARD_TOKENS // 2)).select("h"), "hot")
+    many = rows.join(hot, "h", "left_semi").groupBy("h", "key", "text").agg(F.count("*").alias("n"))
+    spread = many.select("h", "key", "text", "n", F.explode(F.sequence(F.lit(0), F.least("n", F.lit(shards)).cast("int") - 1)).alias("i"))
+    copies = (F.col("n") - F.pmod("n", F.lit(shards))) / shards + F.when(F.col("i") < F.pmod("n", F.lit(shards)), 1).otherwise(0)
+    spread = spread.select("h", "key", "text", F.pmod(F.pmod("h", F.lit(shards)) + F.col("i"), F.lit(shards)).alias("shard"), copies.cast("long").alias("copies"))
+    return alone.join(hot, "h", "left_anti").unionByName(spread)
+
+
 def train(docs: DataFrame, head: Head, key: str = "doc_id", text: str = "text") -> Network:
     """All rows are learned from once: dealt into shards by a hash of key and text, and trained in its order.
 
-    Rows equal in both lie in one shard; the result hangs on the rows alone, not on their partitions.
+    Rows equal in both that together would fill a good part of a shard are divided evenly over the shards; they are
+    shuffled once a shard, with their number.  The result hangs on the rows alone, not on their partitions.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(head)
@@ -439,7 +455,7 @@ def train(docs: DataFrame, head: Head, key: str = "doc_id", text: str = "text")
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([float(seen)]), pa.array([blob], pa.binary())], ["shard", "n", "net"])
 
         for batch in batches:
-            of = batch.column(0).to_pylist()
+            of, copies = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for lo, hi, ids, bounds in _tokens(batch.column(1)):
                 places = head.places(ids)
                 for i in range(hi - lo):
@@ -447,12 +463,13 @@ def train(docs: DataFrame, head: Head, key: str = "doc_id", text: str = "text")
                         if now is not None:
                             yield finish()
                         now, trainer, held, since, seen = of[lo + i], Trainer(Network.new(head), head), [], 0, 0
-                    held.append(places[bounds[i] : bounds[i + 1]])
-                    since += len(held[-1])
-                    seen += len(held[-1])
-                    if since >= PACK_TOKENS:
-                        trainer.fit(held)
-                        held, since = [], 0
+                    for _ in range(copies[lo + i]):
+                        held.append(places[bounds[i] : bounds[i + 1]])
+                        since += len(held[-1])
+                        seen += len(held[-1])
+                        if since >= PACK_TOKENS:
+                            trainer.fit(held)
+                            held, since = [], 0
         if now is not None:
             yield finish()
 
@@ -463,8 +480,8 @@ def train(docs: DataFrame, head: Head, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([pa.array([group], pa.int64()), pa.array([sum(n for n, _ in own)]), pa.array([_average(own)], pa.binary())], ["shard", "n", "net"])
 
     h = F.xxhash64(F.lit(21), F.col(text), F.col(key))
-    dealt = docs.select(F.pmod(h, F.lit(shards)).alias("shard"), F.col(text).alias("text"), h.alias("h"), F.col(key).alias("key"))
-    dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "h", "key", "text").select("shard", "text")
+    dealt = _dealt(docs.select(h.alias("h"), F.col(key).alias("key"), F.col(text).alias("text")), shards)
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "h", "key", "text").select("shard", "text", "copies")
     nets = common.stored(dealt.mapInArrow(common.freed(run), "shard long, n double, net binary"), "nets")
     while (count := nets.count()) > AVERAGE_FAN:
         # The weights of AVERAGE_FAN shards meet in one task.

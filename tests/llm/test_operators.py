@@ -201,6 +201,17 @@ def test_network_learns_from_every_row(spark):
         assert not np.array_equal(net.wx, start.wx) and not np.array_equal(net.ww, start.ww)
 
 
+def test_equal_rows_are_divided_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "SHARD_TOKENS", 200)
+    rows = [(F_, 7, "same words here") for F_ in [11] * 1003] + [(i, i, f"text {i}") for i in range(100)] + [(12, None, None)] * 3
+    dealt = language_model._dealt(spark.createDataFrame(rows, "h long, key long, text string"), 16).collect()
+    per, every = collections.Counter(), collections.Counter()
+    for r in dealt:
+        per[r.shard] += r.copies if r.key == 7 and r.text == "same words here" else 0
+        every[r.h, r.key, r.text] += r.copies
+    assert every == collections.Counter(rows) and set(per.values()) == {62, 63} and len(dealt) < 130
+
+
 def test_network_gradient_and_state_across_windows():
     ids = np.arange(1, 200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     head = language_model.Head(ids, np.arange(199, 0, -1), 30000, 250)
