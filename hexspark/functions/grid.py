@@ -1,4 +1,4 @@
-"""The hexagonal grid: points to cells, cells to centres and boundaries, and areas to cells.
+"""The hexagonal grid: points to cells, and cells to centres and boundaries.
 
 A point is projected from the centre of the globe onto the nearest face of an icosahedron, rounded to a
 hexagon there, and addressed by its ancestors: a base cell and one digit (0 to 6) per resolution, each
@@ -13,7 +13,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Latitude, longitude and azimuth of the first axis of each face, in radians.
@@ -306,42 +306,3 @@ def cell_boundary(cell: Column | str) -> Column:
         return rings.take(pa.array(place, mask=place < 0))
 
     return run(cell)
-
-
-def in_rings(lat: np.ndarray, lon: np.ndarray, rings: list[list[list[float]]]) -> np.ndarray:
-    """Whether points lie in a polygon by the even-odd rule; holes are further rings."""
-    inside = np.zeros(len(lat), bool)
-    for ring in rings:
-        for (x1, y1, *_), (x2, y2, *_) in zip(ring, ring[1:] + ring[:1], strict=True):
-            crosses = (y1 > lat) != (y2 > lat)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                inside ^= crosses & (lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1)
-    return inside
-
-
-def polygon_cells(rings: list[list[list[float]]], resolution: int) -> np.ndarray:
-    """Cells with their middle in a polygon; the cells of the outer ring's corners if there are none."""
-    outer = np.array([p[:2] for p in rings[0]], float)
-    step = np.degrees(_UNIT / np.sqrt(7.0) ** resolution) * 0.35
-    low, high = outer.min(0) - step, outer.max(0) + step
-    lats = np.arange(low[1], high[1] + step, step)
-    found = []
-    for chunk in np.array_split(lats, max(1, len(lats) // 256)):
-        wide = step / max(0.05, np.cos(np.radians(min(89.0, np.abs(chunk).max()))))
-        lon, lat = np.meshgrid(np.arange(low[0], high[0] + wide, wide), chunk)
-        found.append(np.unique(cells_of(lat.ravel(), lon.ravel(), resolution)))
-    cells = np.unique(np.concatenate(found))
-    lat, lon = centres_of(cells)
-    cells = cells[in_rings(lat, lon, rings)]
-    return cells if len(cells) else np.unique(cells_of(outer[:, 1], outer[:, 0], resolution))
-
-
-def cells_in(polygons: DataFrame, resolution: int, rings: str = "rings") -> DataFrame:
-    """h3 of every cell covered by the polygons of a column array<array<array<double>>>, each once."""
-
-    def run(batches):
-        for batch in batches:
-            cells = [polygon_cells(p, resolution) for p in batch.column(0).to_pylist() if p]
-            yield pa.RecordBatch.from_arrays([pa.array([f"{c:x}" for x in cells for c in x.tolist()], pa.string())], ["h3"])
-
-    return polygons.select(rings).mapInArrow(run, "h3 string").distinct()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hexspark import config
 from hexspark.functions import geodesy, grid, scalar
-from hexspark.operators import assess, catalog, completeness, population, tiles, timeseries
+from hexspark.operators import assess, catalog, completeness, cover, population, tiles, timeseries
 from hexspark.operators.chunks import chunk_boxes, numbered
 
 YEARS = [1995, 1996, 1997, 1998]
@@ -479,14 +479,65 @@ def geodesic_length(spark: SparkSession, d: str) -> DataFrame:
     return _points(spark, d).select("event_id", scalar.rnd(geodesy.spheroid_length(line), 1).alias("metres"))
 
 
-AREA = {"type": "Polygon", "coordinates": [[[85.29, 27.67], [85.37, 27.67], [85.37, 27.74], [85.29, 27.74], [85.29, 27.67]]]}
+def _polygons(spark: SparkSession, d: str) -> DataFrame:
+    """An area for each supplier: a box, a triangle, or a box with a hole; some lie across the antimeridian, others around a pole."""
+    k = F.col("s_suppkey")
+    size = 0.2 + F.abs(F.col("s_acctbal")) / 8000.0
+    w, s = (k * 37) % 360 - 180.0 - 0.3, (k * 17) % 150 - 75.0
+
+    def ring(*points: tuple[Column, Column]) -> Column:
+        return F.array(*(F.array(F.pmod(x + 180.0, F.lit(360.0)) - 180.0, y) for x, y in points))
+
+    box = ring((w, s), (w + size, s), (w + size, s + size), (w, s + size), (w, s))
+    hole = ring((w + size * 0.25, s + size * 0.25), (w + size * 0.5, s + size * 0.25), (w + size * 0.5, s + size * 0.75))
+    cap = ring(*((F.lit(x * 1.0), 86.0 + size) for x in (-150, -60, 30, 120)))
+    shape = F.when(k % 50 == 0, F.array(cap)).when(k % 3 == 0, F.array(box, hole)).when(k % 3 == 1, F.array(ring((w, s), (w + size, s), (w, s + size)))).otherwise(F.array(box))
+    return _table(spark, d, "supplier").select(k.cast("long").alias("polygon"), shape.alias("rings"))
 
 
 @_query()
 def polygon_cells(spark: SparkSession, d: str) -> DataFrame:
-    return assess.covered(spark, AREA)
+    spans = cover.intervals(cover.compact_cover(_polygons(spark, d), 5), 5, "polygon")
+    return cover.expanded(spans, 5, "polygon").select(F.col("polygon").alias("s_suppkey"), scalar.cell_hex("cell").alias("h3"))
+
+
+@_query()
+def area_cells(spark: SparkSession, d: str) -> DataFrame:
+    return cover.cells_in(_polygons(spark, d), 5)
+
+
+_BARE = ", ".join(map(str, (4, 14, 24, 38, 49, 58, 63, 72, 83, 97, 107, 117)))  # base cells that are pentagons
+
+
+def _coarse(spark: SparkSession, d: str, least: int, kinds: int) -> DataFrame:
+    """Cells of several resolutions, none below a pentagon."""
+    k = F.col("s_suppkey") * 37
+    cells = _table(spark, d, "supplier").where(f"(s_suppkey * 37) % 122 NOT IN ({_BARE})").select("s_suppkey", _key_cell(k).alias("fine"))
+    res = F.col("s_suppkey") % kinds
+    cell = F.coalesce(*(F.when(res == i, scalar.cell_parent("fine", least + i)) for i in range(kinds)))
+    return cells.select(cell.alias("cell"))
+
+
+def _coarse_sql(least: int, kinds: int) -> str:
+    cases = " ".join(f"WHEN {i} THEN {_parent(_cell('s_suppkey * 37'), least + i)}" for i in range(kinds))
+    return f"SELECT DISTINCT CASE s_suppkey % {kinds} {cases} END AS cell FROM supplier WHERE (s_suppkey * 37) % 122 NOT IN ({_BARE})"
+
+
+@_query(f"""WITH c AS ({_coarse_sql(2, 4)}), o AS (SELECT {_cell('o_custkey')} AS cell, o_orderkey FROM orders)
+SELECT o_orderkey, {_hex('cell')} AS h3 FROM o WHERE {' OR '.join(f"{_parent('o.cell', r)} IN (SELECT cell FROM c)" for r in range(2, 6))}""")
+def interval_semi_join(spark: SparkSession, d: str) -> DataFrame:
+    spans = cover.intervals(_coarse(spark, d, 2, 4), 8)
+    rows = _table(spark, d, "orders").select("o_orderkey", _key_cell(F.col("o_custkey")).alias("cell"))
+    return cover.inside(rows, spans, 8).select("o_orderkey", scalar.cell_hex("cell").alias("h3"))
+
+
+@_query(f"""WITH c AS ({_coarse_sql(3, 3)}), f AS (
+ SELECT (cell & CAST({~(15 << 52)} AS BIGINT) & CAST({~(7 << 33)} AS BIGINT) & CAST({~(7 << 30)} AS BIGINT)) | CAST({5 << 52} AS BIGINT) AS bare, (cell >> 52) & 15 AS res, (cell >> 33) & 7 AS d4, (cell >> 30) & 7 AS d5 FROM c)
+SELECT DISTINCT {_hex("bare | (CAST(CASE WHEN res >= 4 THEN d4 ELSE a END AS BIGINT) << 33) | (CAST(CASE WHEN res >= 5 THEN d5 ELSE b END AS BIGINT) << 30)")} AS h3 FROM f, range(7) AS x(a), range(7) AS y(b)""")
+def union_of_covers(spark: SparkSession, d: str) -> DataFrame:
+    return cover.expanded(cover.intervals(_coarse(spark, d, 3, 3), 5), 5).select(scalar.cell_hex("cell").alias("h3"))
 
 
 @_query()
 def geojson_features(spark: SparkSession, d: str) -> DataFrame:
-    return assess.features(assess.covered(spark, AREA).withColumn("bld_count", F.lit(1)))
+    return assess.features(polygon_cells(spark, d))

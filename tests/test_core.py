@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hexspark.functions import geodesy, grid, scalar
-from hexspark.operators import assess, catalog, chunks, completeness, population, tiles, timeseries
+from hexspark.operators import assess, catalog, chunks, completeness, cover, population, tiles, timeseries
 from hexspark.sources import geotiff, gpkg
 
 FEATURE = "bbox struct<xmin:double,xmax:double,ymin:double,ymax:double>, sources array<struct<dataset:string>>"
@@ -40,16 +40,91 @@ def test_boundary_holds_the_middle():
     cell = grid.cells_of(np.array([27.7]), np.array([85.3]), 8)
     ring = grid.boundary_of(int(cell[0]))
     lat, lon = grid.centres_of(cell)
-    assert len(ring) == 7 and grid.in_rings(lat, lon, [ring])[0]
+    assert len(ring) == 7 and cover.holds(lat, lon, cover.edges_of([ring])[0])[0]
 
 
-def test_small_polygon_falls_back_to_its_corners():
+def _polygons(spark, shapes):
+    floats = [(i, [[[float(v) for v in p] for p in ring] for ring in rings]) for i, rings in enumerate(shapes)]
+    return spark.createDataFrame(floats, "polygon long, rings array<array<array<double>>>")
+
+
+def test_small_polygon_falls_back_to_its_corners(spark):
     ring = [[85.3, 27.7], [85.30001, 27.7], [85.30001, 27.70001], [85.3, 27.7]]
-    assert len(grid.polygon_cells([ring], 8)) >= 1
+    want = f"{grid.cells_of(np.array([27.7]), np.array([85.3]), 8)[0]:x}"
+    assert [r.h3 for r in cover.cells_in(_polygons(spark, [[ring]]), 8).collect()] == [want]
     with pytest.raises(ValueError):
         grid.cells_of(np.zeros(1), np.zeros(1), 16)
 
 
+def _every(res):
+    cells = cover._top()
+    for _ in range(res):
+        cells = cover.children_of(cells)
+    return cells
+
+
+SHAPES = {
+    "box": [[[10, 40], [20, 40], [20, 50], [10, 50], [10, 40]]],
+    "across the antimeridian": [[[179.5, -0.5], [-179.5, -0.5], [-179.5, 0.5], [179.5, 0.5]]],
+    "large, with a hole": [[[-20, -30], [100, -40], [60, 70]], [[20, 0], [30, 0], [30, 10], [20, 10]]],
+    "hole across": [[[160, -20], [-160, -20], [-160, 20], [160, 20]], [[175, -5], [-175, -5], [-175, 5], [175, 5]]],
+    "pole": [[[0, 70], [90, 75], [180, 70], [-90, 65]]],
+    "south pole": [[[0, -60], [-120, -80], [120, -70]]],
+    "world": [[[-180, -60], [180, -60], [180, 84], [-180, 84]]],
+    "many corners": [[[30 + (8 + (i % 2)) * np.cos(i / 200), 10 + (8 + (i % 2)) * np.sin(i / 200)] for i in range(1256)]],
+}
+
+
+@pytest.mark.parametrize("res", [1, 4])
+def test_covers_equal_middles_in_polygons(spark, res):
+    assert [len(_every(r)) for r in range(4)] == [2 + 120 * 7**r for r in range(4)]
+    cells = _every(res)
+    lat, lon = grid.centres_of(cells)
+    want = {}
+    for i, rings in enumerate(SHAPES.values()):
+        edges, middle = cover.edges_of(rings)
+        inside = np.zeros(len(cells), bool)
+        x = (lon - middle + 180) % 360 - 180 + middle
+        for x1, y1, x2, y2 in edges:  # edge by edge
+            if y1 != y2:
+                inside ^= ((y1 > lat) != (y2 > lat)) & (x < (x2 - x1) * (lat - y1) / (y2 - y1) + x1)
+        want[i] = set(cells[inside].tolist())
+    spans = cover.intervals(cover.compact_cover(_polygons(spark, SHAPES.values()), res), res, "polygon")
+    got = {i: set() for i in want}
+    for r in cover.expanded(spans, res, "polygon").collect():
+        assert r.cell not in got[r.polygon]
+        got[r.polygon].add(r.cell)
+    assert got == want
+    # The degree at the antimeridian is about as many cells as one elsewhere.
+    assert res == 1 or 0 < len(want[1]) < 20
+    if res > 1:  # every shape holds a middle, so none falls back to its corners
+        assert sorted(r.h3 for r in cover.cells_in(_polygons(spark, SHAPES.values()), res).collect()) == sorted({f"{c:x}" for i in want for c in want[i]})
+
+
+def test_odd_polygons_cover_nothing(spark):
+    nan = float("nan")
+    rows = [(1, None), (2, []), (3, [[]]), (4, [None]), (5, [[[nan, 1.0], [2.0, nan]]]), (6, [[None, [1.0]]]), (None, [[[0.0, 0.0], [9.0, 0.0], [0.0, 9.0]]])]
+    odd = spark.createDataFrame(rows, "polygon long, rings array<array<array<double>>>")
+    assert cover.compact_cover(odd, 3).count() == 0
+    line = cover.compact_cover(_polygons(spark, [[[[0, 0], [50, 0]]]]), 3)
+    assert line.count() == 0 and cover.expanded(cover.intervals(line, 3), 3).count() == 0
+
+
+@pytest.mark.parametrize("most", [cover.MOST_INTERVALS, 0])
+@pytest.mark.parametrize("res", [2, 5])
+def test_interval_join_equals_the_semi_join(spark, most, res):
+    polygons = _polygons(spark, [SHAPES["across the antimeridian"], SHAPES["large, with a hole"], SHAPES["pole"], SHAPES["box"]])
+    spans = cover.intervals(cover.compact_cover(polygons, res), res)
+    cells = cover.expanded(spans, res)
+    rng = np.random.default_rng(res)
+    points = grid.cells_of(np.degrees(np.arcsin(rng.uniform(-1, 1, 3000))), rng.uniform(-180, 180, 3000), res).tolist()
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(points)] + [(-1, None), (-2, points[0] & ~(15 << 52) | (9 << 52)), (-3, points[0])], "lo long, cell long")
+    want = rows.join(cells, "cell", "left_semi").select("lo", "cell").collect()
+    got = cover.inside(rows, spans, res, most=most)
+    assert got.columns == ["lo", "cell"] and sorted(got.collect()) == sorted(want) and len(want) > 100
+    assert cover.inside(rows, spans.limit(0), res, most=most).count() == 0
+
+
 def test_geodesic_length():
     # One degree of the equator and of a meridian, from the spheroid's closed forms.
     assert geodesy.inverse_m(*(np.array([x]) for x in (0.0, 0.0, 1.0, 0.0)))[0] == pytest.approx(111319.4908, abs=1e-3)
