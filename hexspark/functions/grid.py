@@ -257,25 +257,131 @@ def centres_of(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lat, lon
 
 
-def boundaries_of(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Longitudes and latitudes of the seven points of each cell's closed ring."""
-    lon, lat = np.zeros((len(cells), 7)), np.zeros((len(cells), 7))
-    angle = np.pi / 6 + np.pi / 3 * np.arange(7)
+#: Places of a face's corners, in order around it.
+_CORNERS = ((2, 0), (0, 2), (-2, -2))
+
+
+@cache
+def _across():
+    """For each face and side (from a corner to the next) the face beyond, and the turn and shift, as complex numbers, that unfold it:
+    a point z on the plane of the one is turn * z + shift on that of the other, at resolution 0."""
+    base = _bases()[0]
+    at = np.array([complex(*_point(i, j)) for i, j in _CORNERS])
+    corner = np.array([[base[f, i + 3, j + 3] for i, j in _CORNERS] for f in range(20)])
+    beyond, turn, shift = np.zeros((20, 3), np.int64), np.zeros((20, 3), complex), np.zeros((20, 3), complex)
+    for f in range(20):
+        for k in range(3):
+            a, b = corner[f, k], corner[f, (k + 1) % 3]
+            (g,) = (g for g in range(20) if g != f and a in corner[g] and b in corner[g])
+            za, zb = (at[int(np.flatnonzero(corner[g] == c)[0])] for c in (a, b))
+            beyond[f, k] = g
+            turn[f, k] = (zb - za) / (at[(k + 1) % 3] - at[k])
+            shift[f, k] = za - turn[f, k] * at[k]
+    return beyond, turn, shift
+
+
+def _scale(res: int) -> complex:
+    """What takes a plane of resolution 0 to one of `res`."""
+    return np.sqrt(7.0) ** res * np.exp(-1j * (res % 2) * _TURN)
+
+
+def _beyond(z: np.ndarray, res: int) -> np.ndarray:
+    """How far points of a face's plane lie outside each of its three sides."""
+    corners = np.array([complex(*_point(i, j)) for i, j in _CORNERS]) * _scale(res)
+    along = np.roll(corners, -1) - corners
+    return -((z[..., None] - corners) * np.conj(along / np.abs(along))).imag
+
+
+def _ring(face: int, z: np.ndarray, faces: np.ndarray, own: np.ndarray, sides: np.ndarray, res: int) -> list[tuple[int, complex]]:
+    """Corners (face, place on its plane) in order, with one more where an edge of an odd resolution goes from a face to another.
+
+    z: corners on the plane of `face`; faces and own: the face each lies on and its place there; sides: the side it lies beyond, or -1.
+    """
+    corners = np.array([complex(*_point(i, j)) for i, j in _CORNERS]) * _scale(res)
+    out = []
+    for i in range(len(z)):
+        n = (i + 1) % len(z)
+        out.append((int(faces[i]), own[i]))
+        if res % 2 and faces[i] != faces[n]:
+            side = int(sides[i] if sides[i] >= 0 else sides[n])
+            a, b = corners[side], corners[(side + 1) % 3]
+            d, e = z[n] - z[i], b - a
+            t = ((a - z[i]) * np.conj(e)).imag / (d * np.conj(e)).imag
+            if 1e-9 < t < 1 - 1e-9:
+                out.append((face, z[i] + t * d))
+    return out
+
+
+def _pentagon(base: int, res: int) -> list[tuple[int, complex]]:
+    """The ring of a pentagon, its corners one to a face, in order around it."""
+    _, _, _, _, spots = _bases()
+    beyond, turn, shift = _across()
+    scale = _scale(res)
+    around = [(f, _CORNERS.index((i, j))) for f, i, j in spots[base] if (i, j) in _CORNERS]
+    angle = np.exp(1j * (np.pi / 6 + np.pi / 3 * np.arange(6))) / np.sqrt(3)
+    corner = {}
+    for f, k in around:
+        z = complex(*_point(*_CORNERS[k])) * scale + angle
+        out_by = _beyond(z, res)
+        inside = np.flatnonzero(out_by.max(1) < 1e-7)  # one, or at even resolutions the two on its sides
+        corner[f] = (k, z[inside[out_by[inside, (k + 2) % 3].argmax()]])
+    out: list[tuple[int, complex]] = []
+    f = around[0][0]
+    for _ in range(5):  # to the face beyond the side that begins at the corner, which follows in order
+        k, z = corner[f]
+        side = (k + 2) % 3
+        g = int(beyond[f, side])
+        back = (corner[g][1] - shift[f, side] * scale) / turn[f, side]
+        out += _ring(f, np.array([z, back]), np.array([f, g]), np.array([z, 0]), np.array([-1, side]), res)[: 2 if res % 2 else 1]
+        f = g
+    return out
+
+
+def boundaries_of(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Longitudes and latitudes of the closed rings of cells, one after the other, and the bounds of each.
+
+    A corner lies on the face that holds it, so neighbours share it.  Pentagons have five; at odd resolutions an edge that goes from one
+    face to another has a point where it crosses, as it bends there.
+    """
+    rings: list[list[tuple[int, complex]]] = [[] for _ in range(len(cells))]
     resolution = (cells >> 52) & 15
-    for res in np.unique(resolution):
+    beyond, turn, shift = _across()
+    angle = np.exp(1j * (np.pi / 6 + np.pi / 3 * np.arange(6))) / np.sqrt(3)
+    for r in np.unique(resolution):
+        res = int(r)
         rows = np.flatnonzero(resolution == res)
-        face, x, y = _placed(cells[rows], int(res))
-        ring_x, ring_y = x[:, None] + np.cos(angle) / np.sqrt(3), y[:, None] + np.sin(angle) / np.sqrt(3)
-        a, b = _globe(ring_x.ravel(), ring_y.ravel(), np.repeat(face, 7), int(res))
-        lat[rows], lon[rows] = np.degrees(a).reshape(-1, 7), np.degrees(b).reshape(-1, 7)
-    lat[:, 6], lon[:, 6] = lat[:, 0], lon[:, 0]
-    return lon, lat
+        base = (cells[rows] >> 45) & 127
+        whole = _bases()[3][base] & (((cells[rows] & ((1 << 45) - 1)) >> (3 * (15 - res))) == 0)
+        for n in rows[whole]:
+            rings[n] = _pentagon(int((cells[n] >> 45) & 127), res)
+        rows = rows[~whole]
+        if not len(rows):
+            continue
+        face, x, y = _placed(cells[rows], res)
+        z = (x + 1j * y)[:, None] + angle
+        out = _beyond(z, res)
+        side = np.where(out.max(2) > 1e-7, out.argmax(2), -1)
+        f = np.repeat(face[:, None], 6, 1)
+        faces = np.where(side >= 0, beyond[f, side], f)
+        own = np.where(side >= 0, turn[f, side] * z + shift[f, side] * _scale(res), z)
+        for n, i in zip(rows, range(len(rows)), strict=True):
+            rings[n] = list(zip(faces[i].tolist(), own[i].tolist(), strict=True)) if (side[i] < 0).all() or res % 2 == 0 else _ring(int(face[i]), z[i], faces[i], own[i], side[i], res)
+    bounds = np.concatenate([[0], np.cumsum([len(r) + 1 for r in rings])])
+    points = [p for r in rings for p in [*r, r[0]]]
+    lon, lat = np.zeros(len(points)), np.zeros(len(points))
+    f, place = np.array([p[0] for p in points], np.int64), np.array([p[1] for p in points], complex)
+    of = np.repeat(resolution, np.diff(bounds))
+    for r in np.unique(resolution):
+        rows = np.flatnonzero(of == r)
+        a, b = _globe(place[rows].real, place[rows].imag, f[rows], int(r))
+        lat[rows], lon[rows] = np.degrees(a), np.degrees(b)
+    return lon, lat, bounds
 
 
 def boundary_of(cell: int) -> list[list[float]]:
     """The corners of a cell as a closed ring of longitude and latitude."""
-    lon, lat = boundaries_of(np.array([cell]))
-    return [[float(a), float(b)] for a, b in zip(lon[0], lat[0], strict=True)]
+    lon, lat, _ = boundaries_of(np.array([cell]))
+    return [[float(a), float(b)] for a, b in zip(lon, lat, strict=True)]
 
 
 def latlng_to_cell(lat: Column, lon: Column, resolution: int) -> Column:
@@ -298,9 +404,9 @@ def cell_boundary(cell: Column | str) -> Column:
     @F.arrow_udf("array<array<double>>")
     def run(cells: pa.Array) -> pa.Array:
         known = np.flatnonzero(~cells.is_null().to_numpy(zero_copy_only=False))
-        lon, lat = boundaries_of(cells.take(pa.array(known)).to_numpy(zero_copy_only=False))
-        pairs = pa.ListArray.from_arrays(np.arange(0, 14 * len(known) + 1, 2, dtype=np.int32), pa.array(np.stack([lon, lat], axis=2).ravel()))
-        rings = pa.ListArray.from_arrays(np.arange(0, 7 * len(known) + 1, 7, dtype=np.int32), pairs)
+        lon, lat, bounds = boundaries_of(cells.take(pa.array(known)).to_numpy(zero_copy_only=False))
+        pairs = pa.ListArray.from_arrays(np.arange(0, 2 * len(lon) + 1, 2, dtype=np.int32), pa.array(np.stack([lon, lat], axis=1).ravel()))
+        rings = pa.ListArray.from_arrays(bounds.astype(np.int32), pairs)
         place = np.full(len(cells), -1)
         place[known] = np.arange(len(known))
         return rings.take(pa.array(place, mask=place < 0))

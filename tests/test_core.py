@@ -1,5 +1,6 @@
 """Functions, operators and sources of the core on small inputs with known results."""
 
+import collections
 import http.server
 import json
 import sqlite3
@@ -144,6 +145,27 @@ def test_length_of_every_kind_of_shape():
     assert geodesy.length_m(pa.array([None, plain[0]], pa.binary()).slice(1)).to_pylist() == [pytest.approx(first, abs=1e-5)]
 
 
+@pytest.mark.parametrize("res", [0, 1, 2, 3])
+def test_boundaries_share_their_corners_and_fill_the_globe(res):
+    cells = _every(res)
+    lon, lat, bounds = grid.boundaries_of(cells)
+    points, middle = grid._xyz(np.radians(lat), np.radians(lon)), grid._xyz(*(np.radians(x) for x in grid.centres_of(cells)))
+    at, area = collections.Counter(), 0.0
+    for i in range(len(cells)):
+        ring = points[bounds[i] : bounds[i + 1]]
+        a, b, m = ring[:-1], ring[1:], middle[i]
+        assert (ring[0] == ring[-1]).all()
+        part = 2 * np.arctan2(np.einsum("ij,j->i", np.cross(a, b), m), 1 + (a * b).sum(1) + a @ m + b @ m)
+        assert (part > 0).all()  # the middle lies within
+        area += part.sum()
+        at.update(map(tuple, np.round(a, 9) + 0.0))
+    assert area == pytest.approx(4 * np.pi, rel=1e-12)
+    # Three cells meet at a corner, two at a point where an edge goes from face to face.
+    assert set(at.values()) == ({2, 3} if res % 2 else {3})
+    sizes = collections.Counter((np.diff(bounds) - 1).tolist())
+    assert sizes[10 if res % 2 else 5] == 12 and (res % 2 or sizes[6] == len(cells) - 12)
+
+
 def test_boundaries_of_many_cells(spark):
     cells = grid.cells_of(np.array([27.7, 52.5, -33.9]), np.array([85.3, 13.4, 151.2]), 8)
     rows = spark.createDataFrame([(int(c),) for c in cells] + [(None,)], "cell long")
