@@ -28,10 +28,54 @@ def is_finite(x: Column | str) -> Column:
     return ~F.isnan(x) & (F.abs(x) < float("inf"))
 
 
+#: Fixed-point digits of exact_sum: so many bits each, so many of them, the topmost counting whole multiples of 2 to the TOP.
+DIGIT_BITS, DIGITS, TOP = 24, 9, 96
+
+
+def exact_sum(x: Column | str) -> Column:
+    """Sum of doubles that is the same to the last bit however the rows are divided or ordered; nulls are passed over, null where nothing else is.
+
+    Every value is split into nine whole numbers of 24 bits with its sign, from 2^119 down to 2^-96, which doubles hold exactly; their
+    sums are longs, exact for 2^39 rows a group.  The carries are settled once at the end, so the result depends on the exact sum alone,
+    of which it is one of the two nearest doubles.  Infinities and NaN give what they give in any sum.  A finite value of 2^119 or more
+    raises; bits below 2^-96 are cut off, of each value alike.
+    """
+    x = _col(x)
+    number = is_finite(x)
+    size = F.when(number & (F.abs(x) >= 2.0 ** (TOP + DIGIT_BITS - 1)), F.raise_error(F.lit("exact_sum: a value is beyond its range")).cast("double")).when(number, F.abs(x))
+    sums = []
+    for i in range(DIGITS):
+        digit = F.floor(size * 2.0 ** (DIGIT_BITS * i - TOP) % float(1 << DIGIT_BITS))
+        sums.append(F.coalesce(F.sum(F.when(x < 0, -digit).otherwise(digit)), F.lit(0).cast("long")))
+    return F.when(F.count(x) > 0, F.coalesce(F.sum(F.when(~number, x)), _settled(sums)))
+
+
+def _settled(sums: list[Column]) -> Column:
+    """The double that sums of the digits stand for."""
+
+    def digits(signed: list[Column]) -> tuple[Column, list[Column]]:
+        carry, out = F.lit(0).cast("long"), []
+        for s in reversed(signed[1:]):
+            total = s + carry
+            carry = F.shiftright(total, DIGIT_BITS)
+            out.append(total.bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)))
+        return signed[0] + carry, out
+
+    def value(signed: list[Column]) -> Column:
+        top, low = digits(signed)
+        out = F.lit(0.0)
+        for i, d in enumerate([*low, top]):  # from the least
+            out = out + d.cast("double") * 2.0 ** (TOP - DIGIT_BITS * (DIGITS - 1 - i))
+        return out
+
+    # The digits of a negative sum would cancel, so it is turned round.
+    return F.when(digits(sums)[0] < 0, -value([-s for s in sums])).otherwise(value(sums))
+
+
 def finite_sum(x: Column | str) -> Column:
-    """Sum of the finite values; a null counts as 0."""
+    """exact_sum of the finite values; a null counts as 0."""
     x = _col(x)
-    return F.sum(F.when(is_finite(x), x).otherwise(0.0))
+    return exact_sum(F.when(is_finite(x), x).otherwise(0.0))
 
 
 def has_source(name: str, sources: str = "sources") -> Column:

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexspark import config
-from hexspark.functions.scalar import cell_hex, cell_parent, gap, hex_cell, rnd
+from hexspark.functions.scalar import cell_hex, cell_parent, exact_sum, gap, hex_cell, rnd
 from hexspark.operators.completeness import shares
 
 
 def by_cell(people: DataFrame) -> DataFrame:
-    """h3, population: rounded sums."""
-    return people.groupBy("h3").agg(rnd(F.sum("population")).alias("population"))
+    """h3, population: rounded sums, which do not depend on the partitions."""
+    return people.groupBy("h3").agg(rnd(exact_sum("population")).alias("population"))
 
 
 def attach(cells: DataFrame, sources: dict[str, DataFrame], parent: int = config.PARENT_RESOLUTION) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hexspark import config
 from hexspark.functions.grid import latlng_to_cell
-from hexspark.functions.scalar import cell_hex, cell_parent, is_finite, rnd
+from hexspark.functions.scalar import cell_hex, cell_parent, exact_sum, is_finite, rnd
 from hexspark.operators import tiles
 
 
@@ -24,9 +24,9 @@ def bin_pixels(pixels: DataFrame, resolution: int = config.CELL_RESOLUTION) -> D
 
 
 def positive(cells: DataFrame, *keys: str) -> DataFrame:
-    """Rounded sums by cell where the sum is above 0; a rounded 0 may remain."""
+    """Rounded sums by cell where the sum is above 0, the same under any partitioning; a rounded 0 may remain."""
     keys = keys or ("cell",)
-    return cells.groupBy(*keys).agg(F.sum("pop").alias("s")).where("s > 0").select(*keys, rnd("s").alias("pop"))
+    return cells.groupBy(*keys).agg(exact_sum("pop").alias("s")).where("s > 0").select(*keys, rnd("s").alias("pop"))
 
 
 def year_cells(pixels: DataFrame, year: int, resolution: int = config.CELL_RESOLUTION) -> DataFrame:

@@ -160,6 +160,17 @@ def osm_share(spark: SparkSession, d: str) -> DataFrame:
     return completeness.buildings_by_cell(_features(spark, d)).withColumn("osm_pct", scalar.share("bld_osm", "bld_count"))
 
 
+# Prices are whole cents as doubles: their exact sum is that of the cents but for less than half a cent.
+@_query("SELECT l_suppkey, CAST(round(sum(CAST(round(l_extendedprice * 100) AS HUGEINT)) / 100.0, 2) AS DOUBLE) AS total, CAST(1 AS BIGINT) AS sums FROM lineitem GROUP BY 1")
+def exact_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Sums of plain doubles under several partitionings, and how many different ones there are."""
+    rows = _table(spark, d, "lineitem").select("l_suppkey", "l_partkey", F.col("l_extendedprice").alias("x"))
+    ways = [rows, rows.repartition(1), rows.repartition(4, "l_partkey").sortWithinPartitions("x"), rows.repartition(211, "x")]
+    sums = [w.groupBy("l_suppkey").agg(scalar.exact_sum("x").alias("s")) for w in ways]
+    every = sums[0].unionByName(sums[1]).unionByName(sums[2]).unionByName(sums[3])
+    return every.groupBy("l_suppkey").agg(F.round(F.max("s"), 2).alias("total"), F.count_distinct("s").alias("sums"))
+
+
 _ODD = "CASE o_orderkey % 5 WHEN 0 THEN 'nan'::DOUBLE WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN NULL ELSE floor(o_totalprice * 8.0::DOUBLE) / 8.0::DOUBLE END"
 
 

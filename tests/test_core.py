@@ -3,6 +3,7 @@
 import collections
 import http.server
 import json
+import math
 import sqlite3
 import struct
 import threading
@@ -145,6 +146,26 @@ def test_length_of_every_kind_of_shape():
     assert geodesy.length_m(pa.array([None, plain[0]], pa.binary()).slice(1)).to_pylist() == [pytest.approx(first, abs=1e-5)]
 
 
+def test_exact_sums_equal_exact_arithmetic_under_any_partitioning(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(g), float(x * 10.0 ** rng.integers(-12, 18))) for g, x in zip(rng.integers(0, 40, 4000), rng.normal(size=4000), strict=True)]
+    rows += [(90, None), (91, None), (91, -0.1), (92, 1e20), (92, 1.0), (92, -1e20), (93, 5e-20), (94, -1e-40), (95, float("inf")), (95, 1.0), (96, float("inf")), (96, float("-inf")), (97, float("nan"))]
+    df = spark.createDataFrame(rows, "g int, x double")
+    found = set()
+    for way in (df.coalesce(1), df.repartition(4), df.repartition(211), df.orderBy("x"), df.orderBy(F.desc("x"))):
+        got = {r.g: r.s for r in way.groupBy("g").agg(scalar.exact_sum("x").alias("s")).collect()}
+        found.add(repr(sorted(got.items())))
+    assert len(found) == 1
+    for g in range(40):
+        want = math.fsum(x for k, x in rows if k == g)
+        assert abs(got[g] - want) <= np.spacing(abs(want))
+    assert got[90] is None and got[91] == -0.1 and got[92] == 1.0 and got[93] == pytest.approx(5e-20) and got[94] == 0 and got[95] == float("inf")
+    assert math.isnan(got[96]) and math.isnan(got[97])
+    assert df.where("g = 90").agg(scalar.finite_sum("x")).first()[0] == 0.0
+    with pytest.raises(Exception, match="range"):
+        spark.createDataFrame([(1e36,)], "x double").agg(scalar.exact_sum("x")).collect()
+
+
 @pytest.mark.parametrize("res", [0, 1, 2, 3])
 def test_boundaries_share_their_corners_and_fill_the_globe(res):
     cells = _every(res)
