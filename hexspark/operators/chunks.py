@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import astuple, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,59 +52,100 @@ def area_tiles(spark: SparkSession, box: BoundingBox, buildings: str, segments:
 
 def merge_tiles(spark: SparkSession, chunk_dir: str, out: str, resolution: int, parent: int, sources: dict[str, str] | None = None, release: str = config.RELEASE) -> int:
     """Sum the partials under chunk_dir and write tiles with the given populations; number of cells."""
-    parts = spark.read.parquet(f"{chunk_dir}/chunk_*.parquet")
+    found = [p for pattern in ("chunk=*", "chunk_*.parquet") for p in tiles.matching(spark, f"{chunk_dir}/{pattern}")]
+    parts = spark.read.schema(PARTIALS).parquet(*found) if found else spark.createDataFrame([], PARTIALS)
     people = {n: spark.read.parquet(p).select("h3", "population") for n, p in (sources or {}).items()}
     count = tiles.write_tiles(population.attach(completeness.merge_partials(parts), people, parent), out)
     tiles.write_manifest(spark, out, resolution, parent, release, list(people))
     return count
 
 
+PARTIALS = "h3 string, h3_parent string, bld_count long, bld_osm long, road_count long, road_osm long, road_len_m double"
+
+
 def run_planet(
     spark: SparkSession, buildings: str, segments: str, out: str, chunk_dir: str, resolution: int = config.CELL_RESOLUTION, parent: int = config.PARENT_RESOLUTION,
     sources: dict[str, str] | None = None, release: str = config.RELEASE, **area: float,
 ) -> int:
-    """Partials chunk by chunk, then tiles.
+    """Partials of all chunks in one scan, a partition of chunk_dir each, then tiles.
 
-    A chunk with a success marker and the same parameters is done and skipped on a rerun.  Chunks whose
-    input cannot be read are counted and the rest goes on; if any failed nothing is merged, as tiles of a
-    part would look whole.
+    A chunk whose marker tells of the same box, parameters and input files is done and skipped on a rerun; the others are computed together.
+    If input cannot be read, the chunks are halved until those that need it stand alone, so that the rest are done; if any
+    failed nothing is merged, as tiles of a part would look whole.  A partition is replaced whole by Spark's own commit; a chunk without features has
+    a marker alone.
     """
-    area = {**config.PLANET, **area}
-    boxes = chunk_boxes(**area)
-    failed = []
-    for n, box in enumerate(boxes):
-        target = f"{chunk_dir}/chunk_{n:04d}.parquet"
-        print_of = hashlib.sha256(json.dumps([astuple(box), resolution, parent, buildings, segments]).encode()).hexdigest()
-        marker = f"{chunk_dir}/done_{n:04d}.json"
-        if tiles.exists(spark, f"{target}/_SUCCESS") and tiles.read_text(spark, marker) == print_of:
-            continue
+    boxes = chunk_boxes(**{**config.PLANET, **area})
+    inputs = [tiles.signature(spark, path) for path in (buildings, segments)]
+    prints = [hashlib.sha256(json.dumps([astuple(box), resolution, parent, buildings, segments, *inputs]).encode()).hexdigest() for box in boxes]
+
+    def marker(n: int) -> str:
+        return f"{chunk_dir}/done_{n:04d}.json"
+
+    def attempt(todo: list[int]) -> list[int]:
+        """The chunks of todo that failed."""
         try:
-            rows = completeness.cell_counts(spark.read.parquet(buildings), spark.read.parquet(segments), in_half_open_box(*astuple(box)), resolution)
-            completeness.partials(rows, parent).write.mode("overwrite").option("compression", "zstd").parquet(target)
+            _write_chunks(spark, buildings, segments, chunk_dir, boxes, todo, resolution, parent)
         except Exception as error:  # an input that cannot be read; anything else is raised
             if not _is_input_error(error):
                 raise
-            failed.append(n)
-            continue
-        tiles.write_text(spark, marker, print_of)
+            half = len(todo) // 2
+            return attempt(todo[:half]) + attempt(todo[half:]) if half else todo
+        for n in todo:
+            tiles.write_text(spark, marker(n), prints[n])
+        return []
+
+    todo = [n for n, p in enumerate(prints) if tiles.read_text(spark, marker(n)) != p]
+    for n in todo:  # of other parameters
+        tiles.remove(spark, marker(n))
+        tiles.remove(spark, f"{chunk_dir}/chunk={n}")
+    failed = attempt(todo) if todo else []
     if failed:
         raise RuntimeError(f"{len(failed)} of {len(boxes)} chunks failed and were not merged; a rerun resumes with them")
     return merge_tiles(spark, chunk_dir, out, resolution, parent, sources, release)
 
 
+def _write_chunks(spark: SparkSession, buildings: str, segments: str, chunk_dir: str, boxes: list[BoundingBox], todo: list[int], resolution: int, parent: int) -> None:
+    """The partials of some chunks by one scan of their features."""
+    chunk = chunk_of(boxes)
+    # Neighbouring boxes of a row make one box, so the filter that reaches the scan stays short.
+    spans: list[BoundingBox] = []
+    for n in todo:
+        box = boxes[n]
+        if spans and (spans[-1].east, spans[-1].south, spans[-1].north) == (box.west, box.south, box.north):
+            box = BoundingBox(spans.pop().west, box.south, box.east, box.north)
+        spans.append(box)
+    where = reduce(Column.__or__, (in_half_open_box(*astuple(s)) for s in spans))
+    rows = completeness.cell_counts(spark.read.parquet(buildings), spark.read.parquet(segments), where, resolution, chunk=chunk)
+    out = completeness.partials(rows, parent, "chunk")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("chunk").parquet(chunk_dir)
+
+
+#: Error conditions, and causes, that tell of input which cannot be read; a broken shuffle or a full disk is none of these.
+_UNREADABLE = ("PATH_NOT_FOUND", "FAILED_READ_FILE", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER")
+_CAUSES = ("java.net.SocketTimeoutException", "java.net.UnknownHostException", "java.net.ConnectException")
+
+
 def _is_input_error(error: Exception) -> bool:
-    """Whether a path or a store could not be read; a broken shuffle or a full disk is none of these."""
-    return any(x in str(error) for x in ("PATH_NOT_FOUND", "FileNotFoundException", "SocketTimeoutException", "UnknownHostException", "FAILED_READ_FILE"))
+    """Whether a path or a store could not be read, by the condition of the error or of one it comes from."""
+    condition = getattr(error, "getCondition", lambda: None)() or ""
+    if condition.startswith(_UNREADABLE):
+        return True
+    # A failed stage reports its tasks' error in its text alone: the condition stands in brackets, a cause by its class.
+    said = str(error)
+    return any(f"[{c}" in said for c in _UNREADABLE) or any(f"{c}:" in said for c in _CAUSES)
 
 
-def numbered(features: DataFrame, boxes: list[BoundingBox], name: str = "chunk") -> DataFrame:
-    """The features in any of the boxes of chunk_boxes, each with the number of its box, in one pass."""
+def chunk_of(boxes: list[BoundingBox]) -> Column:
+    """The number of the box of chunk_boxes that a feature inside one of them lies in, by its least corner."""
     wests, souths = sorted({b.west for b in boxes}), sorted({b.south for b in boxes})
-    east, north = max(b.east for b in boxes), max(b.north for b in boxes)
-    x, y = F.col("bbox.xmin"), F.col("bbox.ymin")
 
     def place(c: Column, edges: list[float]) -> Column:
         return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= c)) - 1
 
-    inside = features.where(in_half_open_box(wests[0], souths[0], east, north))
-    return inside.withColumn(name, place(y, souths) * len(wests) + place(x, wests))
+    return place(F.col("bbox.ymin"), souths) * len(wests) + place(F.col("bbox.xmin"), wests)
+
+
+def numbered(features: DataFrame, boxes: list[BoundingBox], name: str = "chunk") -> DataFrame:
+    """The features in any of the boxes of chunk_boxes, each with the number of its box, in one pass."""
+    area = (min(b.west for b in boxes), min(b.south for b in boxes), max(b.east for b in boxes), max(b.north for b in boxes))
+    return features.where(in_half_open_box(*area)).withColumn(name, chunk_of(boxes))

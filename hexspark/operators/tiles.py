@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from datetime import UTC, datetime
 
@@ -24,6 +25,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern matches, sorted."""
+    p, fs = _path(spark, pattern)
+    return sorted(x.getPath().toString() for x in fs.globStatus(p) or ())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def signature(spark: SparkSession, pattern: str) -> str:
+    """Changes when a file that a pattern matches does: a digest of their paths, lengths and times of change; empty if there is none."""
+    out = []
+    p, fs = _path(spark, pattern)
+    for found in fs.globStatus(p) or ():
+        files = fs.listFiles(found.getPath(), True)
+        while files.hasNext():
+            f = files.next()
+            out.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(out)).encode()).hexdigest() if out else ""
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small file's text; None if there is none."""
     p, fs = _path(spark, path)

@@ -232,6 +232,76 @@ def test_area_and_planet_agree(spark, tmp_path):
     assert tiles.read_tiles(spark, out, list(manifest["tiles"]) + ["none"]).count() == n
 
 
+def _scans(spark, run):
+    """How many scans of Parquet files the jobs of run() have."""
+    seen, write = [], chunks._write_chunks
+
+    def counted(*args):
+        seen.append(list(args[5]))
+        return write(*args)
+
+    chunks._write_chunks = counted
+    try:
+        run()
+    finally:
+        chunks._write_chunks = write
+    return seen
+
+
+def test_planet_in_one_scan_resumes_and_does_not_merge_a_part(spark, tmp_path):
+    b, r = _features(spark)
+    far = b.withColumn("bbox", F.struct(*((F.col(f"bbox.{c}") + (30.0 if c[0] == "y" else 0.0)).alias(c) for c in ("xmin", "xmax", "ymin", "ymax"))))
+    b.unionByName(far).write.parquet(f"{tmp_path}/b")
+    r.write.parquet(f"{tmp_path}/r")
+    out, parts = f"file://{tmp_path}/out", f"file://{tmp_path}/parts"
+    args, area = (spark, f"file://{tmp_path}/b", f"file://{tmp_path}/r", out, parts), dict(lon_min=80, lon_max=90, lat_min=20, lat_max=70, lon_step=5, lat_step=10)
+    assert _scans(spark, lambda: chunks.run_planet(*args, **area)) == [list(range(10))]
+    one = {x.h3: x for x in spark.read.parquet(out).collect()}
+    whole = completeness.coverage(spark.read.parquet(args[1]), spark.read.parquet(args[2]), F.lit(True)).collect()
+    assert {x.h3: (x.bld_count, x.bld_osm, x.road_count, x.road_len_m) for x in whole} == {h: (x.bld_count, x.bld_osm, x.road_count, x.road_len_m) for h, x in one.items()} and len(one) > 1
+    assert sorted(p.name for p in (tmp_path / "parts").glob("chunk=*")) == ["chunk=1", "chunk=7"]
+    assert _scans(spark, lambda: chunks.run_planet(*args, **area)) == []  # all done
+    (tmp_path / "parts" / "done_0007.json").unlink()
+    assert _scans(spark, lambda: chunks.run_planet(*args, **area)) == [[7]]
+    assert {x.h3 for x in spark.read.parquet(out).collect()} == set(one)
+    # Files that changed are read again; of other parameters nothing stays.
+    b.write.mode("overwrite").parquet(f"{tmp_path}/b")
+    assert _scans(spark, lambda: chunks.run_planet(*args, **area)) == [list(range(10))]
+    assert [p.name for p in (tmp_path / "parts").glob("chunk=*")] == ["chunk=1"]
+    # An input that cannot be read: nothing is merged, and a rerun resumes with what failed.
+    (tmp_path / "b" / "broken.parquet").write_bytes(b"PAR1 this is no footer PAR1")
+    (tmp_path / "none").mkdir()
+    for bad in (args[1], f"file://{tmp_path}/missing"):
+        tried = []
+        with pytest.raises(RuntimeError, match="10 of 10 chunks failed and were not merged"):
+            tried = _scans(spark, lambda: chunks.run_planet(spark, bad, args[2], f"{out}-bad", f"{parts}-bad", **area)) or tried  # noqa: B023
+        assert not (tmp_path / "out-bad").exists()
+
+
+def test_chunks_that_can_be_read_are_done_when_others_fail(spark, tmp_path, monkeypatch):
+    b, r = _features(spark)
+    b.write.parquet(f"{tmp_path}/b")
+    r.write.parquet(f"{tmp_path}/r")
+    write, calls = chunks._write_chunks, []
+
+    def flaky(*args):
+        calls.append(list(args[5]))
+        if 3 in args[5]:
+            spark.read.parquet(f"file://{tmp_path}/gone").count()
+        return write(*args)
+
+    monkeypatch.setattr(chunks, "_write_chunks", flaky)
+    args, area = (spark, f"file://{tmp_path}/b", f"file://{tmp_path}/r", f"file://{tmp_path}/out", f"file://{tmp_path}/parts"), dict(lon_min=80, lon_max=90, lat_min=20, lat_max=40, lon_step=5, lat_step=10)
+    with pytest.raises(RuntimeError, match="1 of 4 chunks failed"):
+        chunks.run_planet(*args, **area)
+    assert calls == [[0, 1, 2, 3], [0, 1], [2, 3], [2], [3]] and not (tmp_path / "out").exists()
+    monkeypatch.setattr(chunks, "_write_chunks", write)
+    assert _scans(spark, lambda: chunks.run_planet(*args, **area)) == [[3]] and (tmp_path / "out").exists()
+    with pytest.raises(ZeroDivisionError):  # not an input that cannot be read
+        monkeypatch.setattr(chunks, "_write_chunks", lambda *_: 1 // 0)
+        chunks.run_planet(*args[:4], f"{args[4]}2", **area)
+
+
 def test_boxes():
     boxes = chunks.chunk_boxes(-180, 180, -60, 84, 360, 12)
     assert len(boxes) == 12 and boxes[0] == chunks.BoundingBox(-180, -60, 180, -48) and boxes[-1].north == 84
