@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 #: Fixed by the task: what separates words, as a regular expression class.
 WORD = r"[^\x20\x09-\x0D]+"
 PIECE_BYTES = 1 << 20
+#: Bytes hashed at a time, which stay in the cache.
+HASH_BYTES = 1 << 18
 
 _own_dir: list[str] = []
 
@@ -292,13 +294,17 @@ def hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool =
     code = _CODE_LOWER if lower else _CODE
     lo = 0
     while lo < len(starts):  # by ranges of bytes, as a text may be very long
-        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + PIECE_BYTES, "right")))
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + HASH_BYTES, "right")))
         first, last = int(starts[lo]), int(ends[hi - 1])
         s, e = starts[lo:hi] - first, ends[lo:hi] - first
         n = last - first
-        place = np.arange(n) - np.repeat(s, np.diff(np.append(s, n)))
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(code[raw[first:last]] * _places.of(int(place.max(initial=0)) + 1)[place], out=total[1:])
+        place = np.arange(n, dtype=np.int32)
+        place -= np.repeat(s.astype(np.int32), np.diff(np.append(s, n)))
+        values = np.take(code, raw[first:last])
+        values *= np.take(_places.of(int(place.max(initial=0)) + 1), place)
+        total = np.empty(n + 1, np.uint64)
+        total[0] = 0
+        np.cumsum(values, out=total[1:])
         out[lo:hi] = mix64(total[e] - total[s] + (e - s).astype(np.uint64))
         lo = hi
     return out
