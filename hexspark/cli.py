@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hexspark import config
 from hexspark.operators import catalog, chunks, population, tiles, timeseries
 from hexspark.session import session
-from hexspark.sources.geotiff import read_year, rasters_of
+from hexspark.sources.geotiff import read_year, years_of
 from hexspark.sources.gpkg import read_gpkg
 
 
@@ -67,7 +67,7 @@ def write_year(spark: SparkSession, folder: str, scratch: str, year: int) -> int
 
 
 def series(spark: SparkSession, a: argparse.Namespace) -> str:
-    years = [y for y in range(a.year_min, a.year_max + 1) if rasters_of(a.tif_dir, y)]
+    years = [y for y in years_of(spark, a.tif_dir) if a.year_min <= y <= a.year_max]
     if not years:
         raise FileNotFoundError(f"no rasters of {a.year_min} to {a.year_max} under {a.tif_dir}")
     for y in years:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from hexspark.functions.grid import _UNIT, _bases, cells_of, centres_of, latlng_to_cell
 from hexspark.functions.scalar import cell_hex, hex_cell
+from hexspark.session import spread
 
 #: How far below-cells stray, in steps of the hexagons at the face's middle; 0.5885 is the most that was measured.
 STRAY = 0.65
@@ -196,10 +197,11 @@ def compact_cover(polygons: DataFrame, resolution: int, rings: str = "rings", po
                 flat = edges.values.to_numpy(zero_copy_only=False).reshape(-1, 4)
                 yield _emitted([], [(own, cells, True, middle, None)] if done else _parts(own, children_of(cells), flat, middle, resolution))
 
-    out = polygons.select(F.col(polygon).cast("long").alias("polygon"), rings).where(F.col("polygon").isNotNull()).mapInArrow(first, _ROW)
+    out = polygons.select(F.col(polygon).cast("long").alias("polygon"), rings).where(F.col("polygon").isNotNull())
+    out = spread(out, "polygon").mapInArrow(first, _ROW)
     # A task goes three levels at least before it has enough to pass on.
     for _ in range(-(-max(0, resolution - 1) // 3)):
-        out = out.repartition("cell").mapInArrow(again, _ROW)
+        out = spread(out, "cell").mapInArrow(again, _ROW)
     return out.select("polygon", "cell")
 
 

@@ -71,6 +71,31 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(part, target)
 
 
+def join_files(spark: SparkSession, paths: list[str], to: str, head: bytes, tail: bytes, skip: int = 0) -> None:
+    """One file of others' bytes between a head and a tail, without the first `skip` bytes of the first that has any."""
+    part, fs = _path(spark, to + ".part")
+    sink = fs.create(part, True)
+    try:
+        sink.write(bytearray(head))
+        for path in paths:
+            p, own = _path(spark, path)
+            if own.getFileStatus(p).getLen() == 0:
+                continue
+            source = own.open(p)
+            try:
+                source.skipNBytes(skip)
+                skip = 0
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, sink, 1 << 20, False)
+            finally:
+                source.close()
+        sink.write(bytearray(tail))
+    finally:
+        sink.close()
+    target, _ = _path(spark, to)
+    fs.delete(target, False)
+    fs.rename(part, target)
+
+
 def list_files(spark: SparkSession, root: str) -> list[str]:
     """Paths of all files under root, relative to it, sorted."""
     p, fs = _path(spark, root)

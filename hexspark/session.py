@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Set on every session the library makes: adaptive plans, UTC, and partition values kept as text
 #: (a partition named 82 is an identifier, not a number).
@@ -42,6 +42,11 @@ def session(
     return builder.config(map=options | {k.replace("__", "."): v for k, v in conf.items()}).getOrCreate()
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Small rows that stand for much work, dealt over as many tasks as shuffles have; an adaptive plan would put them into one."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give executors this package, once per application, as they may not have it installed."""
     app = spark.sparkContext.applicationId

@@ -1,8 +1,8 @@
 """Single-band GeoTIFF rasters as pixels with people: north-up, classic or BigTIFF, strips or tiles; plain, deflated or LZW,
 with or without differences between neighbours.
 
-Rasters on a local disk are read block by block, runs of blocks in parallel; those in another store come through Spark's own
-reader, a file a row.
+Rasters in a store that executors can open are read by runs of blocks in parallel; those in another come through Spark's own reader, a
+file a row.
 """
 
 from __future__ import annotations
@@ -12,14 +12,15 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+
+from hexspark.session import spread
 
 _SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 8: 2, 9: 4, 11: 4, 12: 8, 16: 8}
 _CODE = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q"}
@@ -156,8 +157,31 @@ class _Kept(io.RawIOBase):
         return len(data)
 
 
+#: Blocks of a raster that one row of work stands for.
+BLOCKS = 256
+
+
+def _uri(path: str) -> str:
+    """A path as the library that opens it on executors has it."""
+    return re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", path))
+
+
+def seekable(path: str) -> bool:
+    """Whether executors can open a path of this kind themselves and read parts of it."""
+    try:
+        pyarrow.fs.FileSystem.from_uri(_uri(path))
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+    return True
+
+
+def _opened(path: str) -> pa.NativeFile:
+    store, name = pyarrow.fs.FileSystem.from_uri(_uri(path))
+    return store.open_input_file(name)
+
+
 def remote(folder: str) -> bool:
-    """Whether a path is in a store that only Spark reads."""
+    """Whether a path is in a store other than the local one."""
     return bool(re.match(r"[a-z][a-z0-9+.-]*:", folder)) and not folder.startswith("file:")
 
 
@@ -165,73 +189,74 @@ def local(path: str) -> str:
     return re.sub(r"^file:/*", "/", path)
 
 
-def rasters_of(folder: str, year: int) -> list[str]:
-    """Rasters of one year under a local folder, by name (<iso>_pop_<year>_...), sorted."""
-    named = ((p, p.stem.split("_")) for p in Path(local(folder)).rglob("*.tif"))
-    return sorted(str(p) for p, parts in named if len(parts) > 2 and parts[1] == "pop" and parts[2] == str(year))
+def listed(spark: SparkSession, folder: str) -> DataFrame:
+    """path and year of the rasters, named <iso>_pop_<year>_..., under a folder of any store; files are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tif").load(folder).select("path")
+    name = F.split(F.element_at(F.split("path", "/"), -1), "_")
+    year = F.when((F.size(name) > 2) & (F.get(name, F.lit(1)) == "pop"), F.get(F.split(F.get(name, F.lit(2)), r"\."), F.lit(0)).try_cast("int"))
+    return files.select("path", year.alias("year")).where("year is not null")
 
 
-class GeoTiffSource(DataSource):
-    """Option paths: the rasters, one a line.  A partition is a run of blocks of one raster."""
+def years_of(spark: SparkSession, folder: str) -> list[int]:
+    """Years that have a raster under a folder of any store."""
+    return sorted(r[0] for r in listed(spark, folder).select("year").distinct().collect())
 
-    @classmethod
-    def name(cls) -> str:
-        return "geotiff"
 
-    def schema(self) -> str:
-        return "lon double, lat double, pop double"
+_PIXELS = "lon double, lat double, pop double"
 
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(self.options["paths"].splitlines())
 
+def _batch(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["lon", "lat", "pop"])
 
-class _Reader(DataSourceReader):
-    BLOCKS = 256
 
-    def __init__(self, paths: list[str]) -> None:
-        self.paths = paths
+def read_ranges(rasters: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """lon, lat, pop of all pixels with people of the rasters at column path, by parts.
 
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition((p, a, min(a + self.BLOCKS, n))) for p in self.paths for n in [len(Raster(p).offsets)] for a in range(0, n, self.BLOCKS)]
+    One set of tasks reads the headers and cuts the rasters into runs of blocks, another reads each run from where it lies, so a raster
+    of any size is read by many tasks, none of which holds more than a block.
+    """
 
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        path, first, last = partition.value
-        raster = Raster(path)
-        for n in range(first, last):
-            found = raster.pixels(n)
-            if len(found[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["lon", "lat", "pop"])
+    def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with _opened(path) as source:
+                    first = np.arange(0, len(Raster(path, source).offsets), blocks)
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(first), pa.string()), pa.array(first, pa.int64())], ["path", "first"])
 
+    def pixels(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, first in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+                with _opened(path) as source:
+                    raster = Raster(path, source)
+                    for n in range(first, min(first + blocks, len(raster.offsets))):
+                        found = raster.pixels(n)
+                        if len(found[0]):
+                            yield _batch(found)
 
-def read_rasters(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """lon, lat, pop of all pixels with people."""
-    if not paths:
-        raise FileNotFoundError("no rasters")
-    spark.dataSource.register(GeoTiffSource)
-    return spark.read.format("geotiff").option("paths", "\n".join(paths)).load()
+    parts = spread(rasters.select("path"), "path").mapInArrow(runs, "path string, first long")
+    return spread(parts, "path", "first").mapInArrow(pixels, _PIXELS)
 
 
 def read_stored(files: DataFrame) -> DataFrame:
-    """lon, lat, pop of all pixels with people of rasters given as rows (path, content)."""
+    """lon, lat, pop of all pixels with people of rasters given as rows (path, content), for stores that only Spark can read."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 raster = Raster(path, io.BytesIO(content.as_buffer()))
                 for n in range(len(raster.offsets)):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in raster.pixels(n)], ["lon", "lat", "pop"])
+                    yield _batch(raster.pixels(n))
 
-    return files.select("path", "content").mapInArrow(run, "lon double, lat double, pop double")
+    return files.select("path", "content").mapInArrow(run, _PIXELS)
 
 
 def read_year(spark: SparkSession, folder: str, year: int) -> DataFrame:
     """lon, lat, pop of a year's rasters under a folder of any store."""
-    if remote(folder):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*_pop_{year}_*.tif").load(folder)
-        if files.select("path").isEmpty():
-            raise FileNotFoundError(f"no rasters of {year} under {folder}")
-        return read_stored(files)
-    paths = rasters_of(folder, year)
-    if not paths:
+    found = listed(spark, folder).where(F.col("year") == year)
+    one = found.first()
+    if one is None:
         raise FileNotFoundError(f"no rasters of {year} under {folder}")
-    return read_rasters(spark, paths)
+    if seekable(one["path"]):
+        return read_ranges(found)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*_pop_{year}_*.tif").load(folder)
+    return read_stored(files)

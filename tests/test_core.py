@@ -401,6 +401,21 @@ def test_lzw_of_long_and_random_data():
         geotiff.unpacked_lzw(b"\xff\xff\xff\xff")
 
 
+def _tiff_of_rows(path, band):
+    """A plain GeoTIFF with a strip for each row."""
+    high, wide = band.shape
+    data = band.astype("<f4").tobytes()
+    text = b"-99999\0\0"
+    doubles = struct.pack("<3d", 0.01, 0.01, 0.0) + struct.pack("<6d", 0, 0, 0, 85.3, 27.72, 0)
+    at = 8 + len(data)
+    offsets, counts = struct.pack(f"<{high}I", *(8 + 4 * wide * i for i in range(high))), struct.pack(f"<{high}I", *[4 * wide] * high)
+    places = {"o": at, "c": at + len(offsets), "s": at + len(offsets) + len(counts), "t": at + len(offsets) + len(counts) + 24, "n": at + len(offsets) + len(counts) + 72}
+    tags = [(256, 4, 1, wide), (257, 4, 1, high), (258, 3, 1, 32), (259, 3, 1, 1), (262, 3, 1, 1), (273, 4, high, places["o"]), (277, 3, 1, 1), (278, 4, 1, 1), (279, 4, high, places["c"]),
+            (339, 3, 1, 3), (33550, 12, 3, places["s"]), (33922, 12, 6, places["t"]), (42113, 2, len(text), places["n"])]
+    ifd = struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", *t) for t in tags) + struct.pack("<I", 0)
+    path.write_bytes(struct.pack("<2sHI", b"II", 42, places["n"] + len(text)) + data + offsets + counts + doubles + text + ifd)
+
+
 def test_rasters_to_series(spark, tmp_path):
     for n, (iso, year, v) in enumerate([("aaa", 2025, 100.0), ("bbb", 2025, 40.0), ("aaa", 2024, 999.0), ("ccc", 2025, -99999.0)]):
         _tiff(tmp_path / f"{iso}_pop_{year}_CN_1km_R2025A_UA_v1.tif", v, "<>"[n % 2], 8 if n % 2 else 1)
@@ -420,6 +435,60 @@ def test_rasters_to_series(spark, tmp_path):
     assert manifest["years"] == [2025] and manifest["cells"] == 1 and len(manifest["tiles"]) == 1
 
 
+def test_stored_rasters_are_read_by_ranges(spark, tmp_path):
+    """A raster of many blocks is read by several tasks, from wherever executors can open it."""
+    rng = np.random.default_rng(2)
+    band = np.where(rng.random((40, 30)) < 0.5, rng.random((40, 30)), -99999.0).astype("<f4")
+    path = tmp_path / "deep" / "aaa_pop_2025_CN_1km_R2025A_UA_v1.tif"
+    path.parent.mkdir()
+    _tiff_of_rows(path, band)
+    (tmp_path / "deep" / "bbb_pop_2024.tif").write_bytes(path.read_bytes())
+    (tmp_path / "deep" / "note.tif").write_bytes(b"")
+    assert geotiff.years_of(spark, f"file://{tmp_path}") == [2024, 2025]
+    files = geotiff.listed(spark, f"file://{tmp_path}").where("year = 2025")
+    got = geotiff.read_ranges(files, 4)
+    want = sorted((85.3 + (c + 0.5) * 0.01, 27.72 - (r + 0.5) * 0.01, float(band[r, c])) for r, c in zip(*np.nonzero(band > 0), strict=True))
+    assert np.array(sorted(map(tuple, got.collect()))) == pytest.approx(np.array(want))
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
+    assert geotiff.read_year(spark, str(tmp_path), 2025).count() == len(want)
+    assert not geotiff.seekable("unheard-of://x/y.tif")
+
+
+def test_geojson_files_as_tables(spark, tmp_path):
+    box = [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]
+    features = [
+        {"type": "Feature", "properties": {"a": 1}, "geometry": {"type": "Polygon", "coordinates": [box, box]}},
+        {"type": "Feature", "properties": None, "geometry": None},
+        {"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": [[box], [box, box]]}},
+        {"type": "Feature", "properties": {}, "geometry": {"type": "Point", "coordinates": [1, 2]}},
+        {"type": "Feature", "geometry": {"type": "GeometryCollection", "geometries": [{"type": "Polygon", "coordinates": [[[1, 2], [3, 4, 5], [1, 2]]]}, {"type": "LineString", "coordinates": [[0, 0], [1, 1]]}]}},
+    ]
+    for name, text in {"a.json": json.dumps({"type": "FeatureCollection", "features": features}, indent=1), "b.json": json.dumps(features[0]["geometry"]), "c.json": "no json", "d.json": " "}.items():
+        (tmp_path / name).write_text(text)
+    polygons, other = assess.read_geojson(spark, f"file://{tmp_path}/*.json")
+    rows = sorted(polygons.collect(), key=lambda r: (r.source, r.feature, r.part))
+    assert [(r.feature, r.part, len(r.rings), r.properties) for r in rows] == [(0, 0, 2, '{"a":1}'), (2, 0, 1, None), (2, 1, 2, None), (4, 0, 1, None), (0, 0, 2, None)]
+    assert rows[3].rings == [[[1.0, 2.0], [3.0, 4.0, 5.0], [1.0, 2.0]]] and {r.type: r.n for r in other.collect()} == {"Point": 1, "LineString": 1, "invalid": 1}
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "x.ndjson").write_text("\n".join(json.dumps(f) for f in features * 300))
+    polygons, other = assess.read_geojson(spark, f"file://{tmp_path}/lines", lines=True)
+    assert polygons.count() == 1200 and {r.type: r.n for r in other.collect()} == {"Point": 300, "LineString": 300}
+    assert polygons.select("line").distinct().count() == 900
+    dicts, kinds = assess.polygons_of({"type": "FeatureCollection", "features": features[:4]})
+    assert len(dicts) == 3 and kinds == {"Point"}
+
+
+def test_export_is_one_file_of_all_rows(spark, tmp_path):
+    cells = spark.createDataFrame([(f"{c:x}", i) for i, c in enumerate(_every(1))], "h3 string, n int")
+    for rows in (cells.repartition(7), cells.limit(0), cells.coalesce(1).where("n = 5")):
+        out = tmp_path / "area.json"
+        assert assess.export(rows, f"file://{out}") == rows.count()
+        read = json.loads(out.read_text())
+        assert read["type"] == "FeatureCollection" and sorted(f["properties"]["n"] for f in read["features"]) == sorted(r.n for r in rows.collect())
+        assert json.loads(assess.collection(rows))["features"].__len__() == rows.count()
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["area.json"]
+
+
 def test_geopackage(spark, tmp_path):
     path = str(tmp_path / "p.gpkg")
     with sqlite3.connect(path) as db:
