@@ -80,7 +80,7 @@ def _published(spark: SparkSession, folder: str, to: str, prune: str | None) ->
     store = catalog.Store(spark, to)
     n = catalog.publish(store, folder, prune)
     catalog.verify(store, folder)
-    return f"published {n} files to {to}"
+    return f"copied {n} files to {to}"
 
 
 def publish(spark: SparkSession, a: argparse.Namespace) -> str:

@@ -14,7 +14,7 @@ _B = _A * (1 - _F)
 
 
 def inverse_m(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
-    """Geodesic distance by Vincenty's inverse formula; great circle for the nearly antipodal that do not converge."""
+    """Geodesic distance by Vincenty's inverse formula, and by `antipodal_m` where that does not settle."""
     l = np.radians(lon2 - lon1)
     u1, u2 = (np.arctan((1 - _F) * np.tan(np.radians(x))) for x in (lat1, lat2))
     s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
@@ -39,8 +39,51 @@ def inverse_m(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.nda
         b = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
         d = b * ss * (cm + b / 4 * (cs * (-1 + 2 * cm**2) - b / 6 * cm * (-3 + 4 * ss**2) * (-3 + 4 * cm**2)))
         out = _B * a * (sigma - d)
-        circle = 6371008.8 * np.arctan2(ss, cs)
-    return np.where(moved > 1e-9, circle, out)
+    l = np.abs((l + np.pi) % (2 * np.pi) - np.pi)
+    hard = np.flatnonzero((moved > 1e-12) | ~np.isfinite(out) | (np.abs(lam) > np.pi))
+    hard = hard[np.isfinite(l[hard]) & np.isfinite(u1[hard]) & np.isfinite(u2[hard])]
+    if len(hard):
+        out[hard] = antipodal_m(u1[hard], u2[hard], l[hard])
+    return out
+
+
+_NODES, _WEIGHTS = np.polynomial.legendre.leggauss(40)
+
+
+def antipodal_m(u1: np.ndarray, u2: np.ndarray, l: np.ndarray) -> np.ndarray:
+    """Distance of points of reduced latitudes u1 and u2 that lie l apart in longitude, 0 to pi, all in radians; for any pair.
+
+    The point farther from the equator is put into the south and looked from.  The longitude that a geodesic has gained at the other's
+    latitude grows with its azimuth there from 0 to pi, so halving finds the azimuth that gains l; the two integrals along the
+    geodesic are taken numerically.
+    """
+    far = np.abs(u1) >= np.abs(u2)
+    a, b = np.where(far, u1, u2), np.where(far, u2, u1)
+    b, a = np.where(a > 0, -b, b), -np.abs(a)
+    sa, ca, sb, cb = np.minimum(np.sin(a), -1e-200), np.cos(a), np.sin(b), np.cos(b)
+    e2 = (_A**2 - _B**2) / _B**2
+
+    def line(azimuth: np.ndarray) -> tuple[np.ndarray, ...]:
+        sz, cz = np.sin(azimuth), np.cos(azimuth)
+        s0 = sz * ca  # sine of the azimuth at the equator
+        c2 = np.sqrt(np.maximum(0, (cz * ca) ** 2 + (cb - ca) * (cb + ca)))  # times the cosine of b
+        start, end = np.arctan2(sa, cz * ca), np.arctan2(sb, c2)
+        w1, w2 = np.arctan2(s0 * np.sin(start), np.cos(start)), np.arctan2(s0 * np.sin(end), np.cos(end))
+        half = (end - start) / 2
+        at = (end + start)[:, None] / 2 + half[:, None] * _NODES
+        root = np.sqrt(1 + e2 * (1 - s0**2)[:, None] * np.sin(at) ** 2)
+        gained = (w2 - w1) % (2 * np.pi) - _F * s0 * half * (((2 - _F) / (1 + (1 - _F) * root)) @ _WEIGHTS)
+        return gained, _B * half * (root @ _WEIGHTS)
+
+    low, high = np.zeros(len(l)), np.full(len(l), np.pi)
+    for _ in range(64):
+        middle = (low + high) / 2
+        less = line(middle)[0] < l
+        low, high = np.where(less, middle, low), np.where(less, high, middle)
+    out = line((low + high) / 2)[1]
+    # Along the equator, and the same point.
+    flat = (np.abs(u1) < 1e-15) & (np.abs(u2) < 1e-15) & (l <= (1 - _F) * np.pi)
+    return np.where(flat, _A * l, out)
 
 
 def _lines(wkb: bytes, at: int = 0) -> tuple[list[np.ndarray], int]:

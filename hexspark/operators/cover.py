@@ -12,9 +12,12 @@ intervals of numbers instead of a row a cell.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,49 +132,93 @@ def children_of(cells: np.ndarray) -> np.ndarray:
     return out[keep.ravel()]
 
 
-def _divide(cells: np.ndarray, edges: np.ndarray, middle: float, target: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Cells below that are wholly in, at the coarsest resolution, and those along edges that are left to divide."""
-    done: list[np.ndarray] = []
-    while len(cells):
-        res = int(cells[0] >> 52) & 15
-        lat, lon = centres_of(cells)
-        lon = _near(lon, middle)
-        high, wide = _boxes(lat, res)
-        met = _met(lat, lon, high, wide, edges) if res < target else np.zeros(len(cells), bool)
-        sure = np.flatnonzero(~met)
-        done.append(cells[sure[holds(lat[sure], lon[sure], edges)]])
-        cells = cells[met]
-        if not len(cells):
-            break
-        if len(cells) >= FAN:
-            return done, cells
+@cache
+def _coarse_middles(res: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All cells of a coarse resolution, ascending, with their middles."""
+    cells = _top()
+    for _ in range(res):
         cells = children_of(cells)
-    return done, np.zeros(0, np.int64)
+    cells = np.sort(cells)
+    return (cells, *centres_of(cells))
 
 
-def _emitted(polygon: list[int], parts: list[tuple]) -> pa.RecordBatch:
-    """parts: (polygon, cells, done, middle, edges or None)."""
+def _middles(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """centres_of; those of the coarsest cells, which every polygon begins with, are kept."""
+    res = int(cells[0] >> 52) & 15
+    if res > 2:
+        return centres_of(cells)
+    known, lat, lon = _coarse_middles(res)
+    at = np.searchsorted(known, cells)
+    return lat[at], lon[at]
+
+
+#: Rows whose cells are divided side by side.
+ABREAST = 64
+
+
+def _divide(rows: list[tuple[int, np.ndarray, np.ndarray, float]], target: int) -> Iterator[tuple]:
+    """Parts (polygon, cells, done, middle, edges) of rows (polygon, cells of one resolution, edges, middle).
+
+    Cells that are wholly in are done, at the coarsest resolution; of those along edges a row goes on with fewer than FAN, and
+    passes on as many or more, each with the edges in its range of latitudes.  Rows go down level by level together.
+    """
+    active: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for i, (_, cells, _, _) in enumerate(rows):
+        if len(cells):
+            active.setdefault(int(cells[0] >> 52) & 15, []).append((i, cells))
+    while active:
+        res = min(active)
+        group = active.pop(res)
+        lats, lons = _middles(np.concatenate([cells for _, cells in group]))
+        highs, wides = _boxes(lats, res)
+        at = 0
+        for i, cells in group:
+            own = slice(at, at + len(cells))
+            at += len(cells)
+            polygon, _, edges, middle = rows[i]
+            lat, lon, high, wide = lats[own], _near(lons[own], middle), highs[own], wides[own]
+            met = _met(lat, lon, high, wide, edges) if res < target else np.zeros(len(cells), bool)
+            sure = np.flatnonzero(~met)
+            inside = sure[holds(lat[sure], lon[sure], edges)]
+            if len(inside):
+                yield polygon, cells[inside], True, middle, None
+            left = np.flatnonzero(met)
+            if len(left) >= FAN:
+                low, top = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
+                for lo in range(0, len(left), 1024):
+                    part = left[lo : lo + 1024]
+                    yield polygon, cells[part], False, middle, [edges[(top >= lat[k] - high[k]) & (low <= lat[k] + high[k])].ravel() for k in part]
+            elif len(left):
+                active.setdefault(res + 1, []).append((i, children_of(cells[left])))
+
+
+def _emitted(parts: list[tuple]) -> pa.RecordBatch:
     none = np.zeros(0)
-    ids = np.concatenate([np.full(len(c), p, np.int64) for p, c, *_ in parts]) if parts else none
-    cells = np.concatenate([c for _, c, *_ in parts]) if parts else none
-    flags = np.concatenate([np.full(len(c), d) for _, c, d, *_ in parts]) if parts else none
-    middles = np.concatenate([np.full(len(c), m) for _, c, _, m, _ in parts]) if parts else none
+
+    def column(values: Iterable[np.ndarray], kind: pa.DataType) -> pa.Array:
+        return pa.array(np.concatenate(list(values)), kind)
+
     lists = [e for _, c, _, _, own in parts for e in (own if own is not None else [none] * len(c))]
     ends = np.concatenate([[0], np.cumsum([len(e) for e in lists])]).astype(np.int32)
     edges = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists) if lists else none))
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cells, pa.int64()), pa.array(flags, pa.bool_()), pa.array(middles, pa.float64()), edges], ["polygon", "cell", "done", "middle", "edges"])
-
-
-def _parts(polygon: int, cells: np.ndarray, edges: np.ndarray, middle: float, target: int) -> list[tuple]:
-    done, left = _divide(cells, edges, middle, target)
-    out = [(polygon, np.concatenate(done), True, middle, None)] if done else []
-    for lo in range(0, len(left), 4096):
-        part = left[lo : lo + 4096]
-        lat, _ = centres_of(part)
-        high, _ = _boxes(lat, int(part[0] >> 52) & 15)
-        low, top = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
-        out.append((polygon, part, False, middle, [edges[(top >= y - h) & (low <= y + h)].ravel() for y, h in zip(lat, high, strict=True)]))
-    return out
+    columns = [
+        column((np.full(len(c), p, np.int64) for p, c, *_ in parts), pa.int64()), column((c for _, c, *_ in parts), pa.int64()),
+        column((np.full(len(c), d) for _, c, d, *_ in parts), pa.bool_()), column((np.full(len(c), m) for _, c, _, m, _ in parts), pa.float64()), edges,
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["polygon", "cell", "done", "middle", "edges"])
+
+
+def _batches(parts: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Parts as batches of a few megabytes."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += 32 * len(part[1]) + sum(e.nbytes for e in part[4] or ())
+        if size >= 4 << 20:
+            yield _emitted(held)
+            held, size = [], 0
+    if held:
+        yield _emitted(held)
 
 
 def compact_cover(polygons: DataFrame, resolution: int, rings: str = "rings", polygon: str = "polygon") -> DataFrame:
@@ -182,20 +229,34 @@ def compact_cover(polygons: DataFrame, resolution: int, rings: str = "rings", po
     Rows of one number are one area each, so a cell may come twice; `intervals` makes them one.
     """
 
-    def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shapes(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for own, shape in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                shape = [[[float("nan") if v is None else v for v in p] for p in ring if p is not None and len(p) > 1] for ring in shape or [] if ring]
+            for own, shape in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                shape = [[[float("nan") if v is None else v for v in p] for p in ring if p is not None and len(p) > 1] for ring in shape.as_py() or [] if ring]
                 edges, middle = edges_of(shape)
                 if len(edges):
-                    yield _emitted([], _parts(own, _top(), edges, middle, resolution))
+                    yield own, _top(), edges, middle
+
+    def left(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            todo = batch.filter(pa.compute.invert(batch.column(2)))
+            flat = todo.column(4)
+            for i, (own, cell, middle) in enumerate(zip(*(todo.column(k).to_pylist() for k in (0, 1, 3)), strict=True)):
+                yield own, children_of(np.array([cell], np.int64)), flat[i].values.to_numpy(zero_copy_only=False).reshape(-1, 4), middle
+
+    def divided(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        while some := list(islice(rows, ABREAST)):
+            yield from _batches(_divide(some, resolution))
+
+    def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from divided(shapes(batches))
 
     def again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, cell, done, middle, edges in zip(*(batch.column(i).to_pylist() if i < 4 else batch.column(i) for i in range(5)), strict=True):
-                cells = np.array([cell], np.int64)
-                flat = edges.values.to_numpy(zero_copy_only=False).reshape(-1, 4)
-                yield _emitted([], [(own, cells, True, middle, None)] if done else _parts(own, children_of(cells), flat, middle, resolution))
+            done = batch.filter(batch.column(2))
+            if done.num_rows:
+                yield done
+            yield from divided(left([batch]))
 
     out = polygons.select(F.col(polygon).cast("long").alias("polygon"), rings).where(F.col("polygon").isNotNull())
     out = spread(out, "polygon").mapInArrow(first, _ROW)

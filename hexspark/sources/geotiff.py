@@ -169,14 +169,19 @@ def _uri(path: str) -> str:
 def seekable(path: str) -> bool:
     """Whether executors can open a path of this kind themselves and read parts of it."""
     try:
-        pyarrow.fs.FileSystem.from_uri(_uri(path))
+        opened_store(path)
     except (pa.ArrowException, OSError, ValueError):
         return False
     return True
 
 
+def opened_store(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The store of a path, and its name there."""
+    return pyarrow.fs.FileSystem.from_uri(_uri(path))
+
+
 def _opened(path: str) -> pa.NativeFile:
-    store, name = pyarrow.fs.FileSystem.from_uri(_uri(path))
+    store, name = opened_store(path)
     return store.open_input_file(name)
 
 

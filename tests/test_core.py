@@ -133,6 +133,22 @@ def test_geodesic_length():
     assert geodesy.inverse_m(*(np.array([x]) for x in (0.0, 0.0, 0.0, 90.0)))[0] == pytest.approx(10001965.729, abs=1e-2)
 
 
+@pytest.mark.parametrize(("line", "metres"), [
+    ((-30, 0, 29.9, 179.8), 19989832.827610), ((0, 0, 0.5, 179.5), 19936288.579), ((0, 0, 0.5, 179.7), 19944127.421), ((90, 0, -90, 0), 20003931.4586), ((0, 0, 0, 180), 20003931.4586),
+])
+def test_published_lines_near_the_antipodes(line, metres):
+    a, b, c, d = (np.array([float(x)]) for x in line)
+    assert geodesy.inverse_m(b, a, d, c)[0] == pytest.approx(metres, abs=1e-3)
+    assert geodesy.inverse_m(d, c, b, a)[0] == pytest.approx(metres, abs=1e-3)
+
+
+def test_both_solvers_agree():
+    rng = np.random.default_rng(1)
+    lat1, lat2, lon = rng.uniform(-89, 89, 2000), rng.uniform(-89, 89, 2000), rng.uniform(0.01, 170, 2000)
+    u1, u2 = (np.arctan((1 - geodesy._F) * np.tan(np.radians(x))) for x in (lat1, lat2))
+    assert geodesy.antipodal_m(u1, u2, np.radians(lon)) == pytest.approx(geodesy.inverse_m(np.zeros(2000), lat1, lon, lat2), abs=1e-3)
+
+
 def test_length_of_every_kind_of_shape():
     a, b = [(85.31, 27.71), (85.3105, 27.71)], [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]
     plain = [geodesy.line_wkb(a), geodesy.line_wkb(b), None, geodesy.line_wkb(a[:1])]
@@ -633,9 +649,48 @@ def test_publishing(spark, tmp_path):
     assert store.manifest() == {}
     with pytest.raises(RuntimeError, match="2 files"):
         catalog.verify(store, tiles_at)
-    assert catalog.publish(store, tiles_at, "h3_parent=*/*") == 2
+    assert catalog.publish(store, tiles_at, "h3_parent=*/*") == 1
     catalog.verify(store, tiles_at)
-    assert store.files() == {"manifest.json", "readme", "h3_parent=82/x.parquet"} and store.manifest() == {"release": "r"}
+    assert store.files() == {"manifest.json", "readme", "h3_parent=82/x.parquet"} and store.manifest()["release"] == "r"
+
+
+def test_publishing_moves_only_what_changed(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(f"{c:x}", f"{c % 3}", float(c % 7)) for c in range(60)], "h3 string, h3_parent string, v double")
+    store = catalog.Store(spark, f"file://{tmp_path}/to")
+
+    def build(name, rows):
+        tiles.write_tiles(rows, f"file://{tmp_path}/{name}")
+        tiles.write_manifest(spark, f"file://{tmp_path}/{name}", 8, 2)
+        return f"file://{tmp_path}/{name}"
+
+    def read():
+        return sorted(map(tuple, tiles.read_tiles(spark, store.root, ["0", "1", "2"]).select("h3", "v").collect()))
+
+    one = build("one", rows)
+    assert catalog.publish(store, one, "h3_parent=*/*") == 3 and catalog.publish(store, one, "h3_parent=*/*") == 0
+    first, files = store.manifest(), store.files()
+    # Built again, the files have other names and the same bytes, but for one tile.
+    two = build("two", rows.withColumn("v", F.expr("CASE WHEN h3_parent = '1' THEN v + 1 ELSE v END")))
+    monkeypatch.setattr(catalog, "copy_file", lambda *_: 1 / 0)
+    put = store.put_all
+    monkeypatch.setattr(store, "put_all", lambda names: (_ for _ in ()).throw(OSError("the store is gone")))
+    with pytest.raises(OSError, match="gone"):
+        catalog.publish(store, two, "h3_parent=*/*")
+    assert store.manifest() == first and store.files() == files and read() == sorted((r.h3, r.v) for r in rows.collect())
+    monkeypatch.setattr(store, "put_all", put)
+    monkeypatch.undo()
+    assert catalog.publish(store, two, "h3_parent=*/*") == 1
+    now = store.manifest()
+    assert [now["tiles"][p] == first["tiles"][p] for p in "012"] == [True, False, True] and len(store.files()) == 4
+    assert read() == sorted((r.h3, r.v + (r.h3_parent == "1")) for r in rows.collect())
+    catalog.verify(store, two)
+    with pytest.raises(RuntimeError, match="1 files"):
+        catalog.verify(store, one)
+    # A published file that was spoilt is told by its bytes.
+    (tmp_path / "to" / now["tiles"]["0"]).write_bytes(b"spoilt")
+    assert len(catalog.unpublished(store, two)) == 1
+    monkeypatch.setattr(catalog, "seekable", lambda path: False)  # through the driver
+    assert catalog.publish(catalog.Store(spark, f"file://{tmp_path}/other"), two) == 3
 
 
 def test_commands(spark, tmp_path):
