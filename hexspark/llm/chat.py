@@ -95,7 +95,8 @@ def format_branches(messages: DataFrame, per_root: int | None = 1) -> DataFrame:
 
     messages: tree, node (unique), parent, score, role, text.  Null roles and texts count as empty.
     loss_spans lists the code point ranges [start, end) of formatted that hold assistant texts.
-    A tree of cycles only gives no row; an empty table gives none.
+    A tree of cycles only gives no row; an empty table gives none.  Of branches of one score the deeper goes first, then that of the smaller leaf; texts
+    of any length stay whole, a branch's together 2 GB at most.  Other columns are not read, whatever their names.
     """
     links = common.stored(messages.select("tree", "node", "parent", "score"), "links")
     branches = common.stored(chosen_branches(branch_table(links), per_root), "branches")
@@ -159,7 +160,7 @@ def conversation_messages(conversations: DataFrame) -> DataFrame:
 
     Turns go by turn number (nulls first), then role and text; repeated rows are turns of their own.
     A null conv_id is a conversation like any other, and not that named "null".  The turns of one
-    conversation are numbered in one task, and its text is one value, 2 GB at most.
+    conversation are numbered in one task, and its text is one value, 2 GB at most.  Other columns are not read, whatever their names.
     """
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")

@@ -12,6 +12,7 @@ import ctypes
 import re
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -82,19 +83,27 @@ class Scratch:
 
     #: Of Spark 4.1 on; before, the files stay as they do by default.
     CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    _lock, _writing, _before = threading.Lock(), 0, "false"
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.paths: dict[int, tuple[DataFrame, tuple[str, ...]]] = {}
 
     def _write(self, df: DataFrame, path: str, packed: bool) -> DataFrame:
-        conf = self.spark.conf
-        before = conf.get(self.CLEANUP, "false")
-        conf.set(self.CLEANUP, "true")
+        # The setting is the session's, so of writes at the same time the first sets it and the last puts it back.
+        conf, kind = self.spark.conf, Scratch
+        with kind._lock:
+            if not kind._writing:
+                kind._before = conf.get(self.CLEANUP, "false")
+                conf.set(self.CLEANUP, "true")
+            kind._writing += 1
         try:
             (df.write.option("compression", "zstd") if packed else df.write).parquet(path)
         finally:
-            conf.set(self.CLEANUP, before)
+            with kind._lock:
+                kind._writing -= 1
+                if not kind._writing:
+                    conf.set(self.CLEANUP, kind._before)
         return self._read(df, path)
 
     def _read(self, df: DataFrame, *paths: str) -> DataFrame:

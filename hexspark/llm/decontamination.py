@@ -230,8 +230,12 @@ def contaminated(
     Words are compared without case and surrounding punctuation.  Items without words are in nothing, as
     are null and empty texts; an item of fewer than n words is found where its words stand in a row.  An
     item given twice is found twice; repeated rows of docs are each reported.  Similar windows beyond the
-    radius are missed, of those at the similarity itself about one in a thousand; radius None misses none.
+    radius are missed, of those at the similarity itself about one in a thousand; radius None misses none.  Of windows as
+    good the first counts; texts of any length are searched whole; no rows or no items give none.  Other columns are not read,
+    whatever their names; a key named as one of the other results raises.
     """
+    if key.lower() in ("item_id", "similarity", "start_word", "end_word"):
+        raise ValueError(f"the key {key} has the name of another result")
     schema = T.StructType([
         T.StructField(key, docs.schema[key].dataType), T.StructField("item_id", benchmark.schema["item_id"].dataType),
         T.StructField("similarity", T.DoubleType()), T.StructField("start_word", T.LongType()), T.StructField("end_word", T.LongType()),

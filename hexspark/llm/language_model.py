@@ -524,7 +524,8 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
 
     held_out rows are never learned from.  base_score is the add-one unigram log10 probability, score
     the network's.  Null texts count as empty: one token, the end.  With no row to learn from, all tokens
-    are unknown.  Tokens are told apart by 64-bit hashes; repeated rows count as often as they occur.
+    are unknown.  Tokens are told apart by 64-bit hashes; repeated rows count as often as they occur.  Texts of any length are
+    scored whole; no rows give none.  Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     training = docs.where(~held_out)

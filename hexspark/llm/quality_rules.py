@@ -209,8 +209,9 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     The statistics are made in one pass over the texts and kept as a table.  Totals and quantiles are those
     of all rows; the forest is fitted on at most sample_rows of those that pass the base rules, in hash
     order; all labelled rows set the threshold.  Null or empty texts have no words and fail the base rules;
-    without labels of both kinds the threshold is a fixed default.  Repeated rows are each judged; a row
-    of null key has no label.
+    without labels of both kinds the threshold is a fixed default.  Repeated rows are each judged alike, scores at the
+    threshold are rejected; a row of null key has no label.  Texts of any length count whole; no rows give none.  Other columns are
+    not read, whatever their names.
     """
     stats = common.stored(rule_table(docs, key, text), "rules")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))

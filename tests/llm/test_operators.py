@@ -689,8 +689,10 @@ def test_samples_pass_over_what_does_not_fit(spark):
 
 def test_languages_are_told_from_words_and_letters():
     texts = ["the cat of a house", "der Hund und die Katze", "le chat et la maison des amis", "el gato y los perros que", "", "xx yy"]
+    texts += ["Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, ché la diritta via era smarrita", "Все счастливые семьи похожи друг на друга, каждая несчастливая"]
     raw, at = common.utf8_of(pa.array(texts))
-    assert [toxicity.NAMES[i] for i in toxicity.languages(raw, at, *toxicity.word_ids(raw, at))] == ["en", "de", "fr", "es", "en", "en"]
+    names = (*toxicity.NAMES, "other")
+    assert [names[i] for i in toxicity.languages(raw, at, *toxicity.word_ids(raw, at))] == ["en", "de", "fr", "es", *["other"] * 4]
     z, y = np.array([0.0, 1.0, 2.0, 3.0] * 40), np.array([0, 0, 1, 1] * 40)
     cuts = toxicity.calibrated(z, y, np.zeros(160, int))
     assert 1.3 < cuts[0] < 1.6 and len(set(cuts[1:])) == 1  # languages without texts take the common cut
