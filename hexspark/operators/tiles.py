@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,6 +27,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that all executors share; a local session without one uses its own temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.gettempdir()
+    return f"{base.rstrip('/')}/hexspark-{tag}-{uuid.uuid4().hex}"
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that a pattern matches, sorted."""
     p, fs = _path(spark, pattern)

@@ -309,18 +309,6 @@ def distinct_parents(spark: SparkSession, d: str) -> DataFrame:
     return assess.parents_of(_people(spark, d))
 
 
-def _scratch(spark: SparkSession, tag: str) -> str:
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.gettempdir()
-    return f"{base}/hexspark-{tag}-{uuid.uuid4().hex}"
-
-
 # People by nation: 25 cells, each with a parent of its own.
 _PRUNED = [f"{(1 << 59) + (config.PARENT_RESOLUTION << 52) + (n % 122 << 45) + ((n % 7) << 42) + ((n % 49 // 7) << 39) + ((1 << 39) - 1):x}" for n in (0, 7, 14)]
 
@@ -328,7 +316,7 @@ _PRUNED = [f"{(1 << 59) + (config.PARENT_RESOLUTION << 52) + (n % 122 << 45) + (
 @_query(f"WITH p AS ({_NATION}) SELECT h3, population, {_hex(_parent("CAST('0x' || h3 AS BIGINT)"))} AS h3_parent FROM p WHERE {_hex(_parent("CAST('0x' || h3 AS BIGINT)"))} IN ({', '.join(repr(p) for p in _PRUNED)})")
 def tile_partition_pruning(spark: SparkSession, d: str) -> DataFrame:
     rows = _people(spark, d, "c_nationkey").withColumn("h3_parent", scalar.cell_hex(scalar.cell_parent(scalar.hex_cell("h3"), config.PARENT_RESOLUTION)))
-    out = _scratch(spark, "tiles")
+    out = tiles.scratch(spark, "tiles")
     tiles.write_tiles(rows, out)
     return tiles.read_pruned(spark, out, _PRUNED).select("h3", "population", F.col("h3_parent").cast("string").alias("h3_parent"))
 
@@ -336,7 +324,7 @@ def tile_partition_pruning(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"WITH p AS ({_PEOPLE}) SELECT h3, population AS population_a, CAST(NULL AS DOUBLE) AS population_b FROM p UNION ALL SELECT h3, NULL, population FROM ({_NATION})")
 def schema_union_by_name(spark: SparkSession, d: str) -> DataFrame:
     a, b = (_people(spark, d).withColumnRenamed("population", "population_a"), _people(spark, d, "c_nationkey").withColumnRenamed("population", "population_b"))
-    out = _scratch(spark, "union")
+    out = tiles.scratch(spark, "union")
     a.write.parquet(f"{out}/tile=1")
     b.write.parquet(f"{out}/tile=2")
     return spark.read.option("mergeSchema", "true").parquet(f"{out}/tile=1", f"{out}/tile=2").select("h3", "population_a", "population_b")

@@ -715,6 +715,16 @@ def test_commands(spark, tmp_path):
     assert again["needs_update"] is False and spark.read.parquet(f"{at}/published").count() == 1
 
 
+def test_sessions_and_where_the_features_are(spark):
+    """Settings reach the session; the globs of a release are those of a store that its files system reads."""
+    from hexspark import config, session
+
+    same = session.session(threads=2, memory_limit="1g", temp_dir="/tmp/x", region="eu-west-1", **{"spark__sql__shuffle__partitions": spark.conf.get("spark.sql.shuffle.partitions")})
+    assert same.conf.get("spark.hadoop.fs.s3a.endpoint.region") == "eu-west-1" and same.conf.get("spark.sql.adaptive.enabled") == "true"
+    buildings, segments = config.feature_paths("2026-01-01.0")
+    assert buildings.startswith("s3a://") and buildings.endswith("/2026-01-01.0/theme=buildings/type=building/*.parquet") and "type=segment" in segments
+
+
 def test_named_paths():
     from hexspark.cli import named_paths
 
