@@ -213,10 +213,13 @@ class Tree:
     def __init__(self, sets: list[np.ndarray], like: Likeness) -> None:
         self.like = like
         self.sets = sets
-        bits = np.zeros((len(sets), BITS), bool)
-        for row, s in zip(bits, sets, strict=True):
-            row[(s & np.uint64(BITS - 1)).astype(np.int64)] = True
-        maps = np.packbits(bits, axis=1).view(np.uint64)
+        maps = np.zeros((len(sets), BITS // 64), np.uint64)
+        for lo in range(0, len(sets), 1024):  # bytes for bits are held for so many sets only
+            part = sets[lo : lo + 1024]
+            bits = np.zeros((len(part), BITS), bool)
+            for row, s in zip(bits, part, strict=True):
+                row[(s & np.uint64(BITS - 1)).astype(np.int64)] = True
+            maps[lo : lo + 1024] = np.packbits(bits, axis=1).view(np.uint64)
         size = np.array([len(s) for s in sets])
         over = size - np.bitwise_count(maps).sum(1).astype(np.int64)  # elements beyond one a bit
         self.levels = [(maps, size, size, over)]
