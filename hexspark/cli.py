@@ -102,7 +102,7 @@ def refresh_year(spark: SparkSession, a: argparse.Namespace) -> str:
     """Bring a year's rasters, if a plan is given, and bin them."""
     if a.plan:
         plan = catalog.load_plan(spark, a.plan)
-        n = catalog.fetch(catalog.WebClient(), plan["assets"][str(a.year)].values(), Path(a.rasters))
+        n = catalog.fetch(spark, catalog.WebClient(), plan["assets"][str(a.year)].values(), a.rasters)
         print(f"{n} rasters of {a.year}")
     return f"{write_year(spark, a.rasters, a.out_dir, int(a.year))} cells"
 

@@ -572,7 +572,9 @@ class _Service(http.server.BaseHTTPRequestHandler):
         self.wfile.write(data)
 
     def do_GET(self):
-        if self.path.endswith(".tif"):
+        if self.path.startswith("/gone/"):
+            self.send_error(404)
+        elif self.path.endswith(".tif"):
             self._say(b"x" * 3_000_000)
         elif self.path == "/part/collections":
             self._say({"collections": [{"id": "npl"}], "numberReturned": 1, "numberMatched": 2})
@@ -610,11 +612,16 @@ def test_service_is_listed_and_fetched(spark, tmp_path):
         with pytest.raises(RuntimeError, match="404"):
             client.ask(f"{base}/none")
         name = "npl_pop_2025_CN_1km_R2025A_UA_v1.tif"
-        assert catalog.fetch(client, [f"{base}/{name}"], tmp_path / "in") == 1 and [p.name for p in (tmp_path / "in").iterdir()] == [name]
+        store = f"file://{tmp_path}/in"
+        assert catalog.fetch(spark, client, [f"{base}/{name}"], store) == 1 and [p.name for p in (tmp_path / "in").iterdir()] == [name]
+        assert catalog.fetch(spark, client, [f"{base}/{name}"], store) == 0  # it is there
+        with pytest.raises(Exception, match="404"):
+            catalog.fetch(spark, client, [f"{base}/gone/{name.replace('2025', '2019', 1)}"], store)
+        assert [p.name for p in (tmp_path / "in").iterdir()] == [name]
         assert (tmp_path / "in" / name).stat().st_size == 3_000_000
         for bad in (f"{base}/evil.tif", f"{base}/{name}.sh"):
             with pytest.raises(ValueError):
-                catalog.fetch(client, [bad], tmp_path / "out")
+                catalog.fetch(spark, client, [bad], f"file://{tmp_path}/out")
         assert not (tmp_path / "out").exists()
     finally:
         server.shutdown()
