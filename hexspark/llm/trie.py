@@ -93,7 +93,7 @@ def _with_neighbours(scratch: Scratch, rows: DataFrame) -> DataFrame:
     over = Window.partitionBy(F.lit(0)).orderBy("run")  # a row a range
     ends = ends.select("run", F.lag("last").over(over).alias("before"), F.lead("first").over(over).alias("after"))
     by = Window.partitionBy("run").orderBy("nth")
-    out = kept.select("*", F.lag(own).over(by).alias("_b"), F.lead(own).over(by).alias("_a")).join(F.broadcast(ends), "run")
+    out = kept.select("*", F.lag(own).over(by).alias("_b"), F.lead(own).over(by).alias("_a")).join(ends, "run")
 
     def shared(other: Column) -> Column:
         differs = F.array_position(F.zip_with("seq", other["seq"], lambda x, y: x.eqNullSafe(y)), False)
