@@ -425,9 +425,15 @@ def _dealt(rows: DataFrame, shards: int) -> DataFrame:
     alone = rows.withColumns({"shard": F.pmod("h", F.lit(shards)), "copies": F.lit(1).cast("long")})
     if shards == 1:
         return alone
-    sizes = rows.groupBy("h").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    # Equal rows have one key, so the texts are read only if keys come more than once.
+    again = common.stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("_again")), "again")
+    if again.isEmpty():
+        return alone
+    sizes = rows.join(again, F.col("key").eqNullSafe(F.col("_again")), "left_semi").groupBy("h").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
     # Two bytes a token at least, so these are all that hold a quarter of a shard; most have more.
     hot = common.stored(sizes.where((F.col("n") > 1) & (F.col("bytes") >= SHARD_TOKENS // 2)).select("h"), "hot")
+    if hot.isEmpty():
+        return alone
     many = rows.join(hot, "h", "left_semi").groupBy("h", "key", "text").agg(F.count("*").alias("n"))
     spread = many.select("h", "key", "text", "n", F.explode(F.sequence(F.lit(0), F.least("n", F.lit(shards)).cast("int") - 1)).alias("i"))
     copies = (F.col("n") - F.pmod("n", F.lit(shards))) / shards + F.when(F.col("i") < F.pmod("n", F.lit(shards)), 1).otherwise(0)
