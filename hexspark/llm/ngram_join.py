@@ -6,8 +6,9 @@ K = d + 1 + e parts, at least e + 1 parts are equal.  Every set therefore emits
 (shingles found in very many documents left aside, which leaves the bound intact), and a set with more
 than e empty parts emits further keys, so that each linked pair shares a key.  Keys are sorted over
 ranges of key and set, so that no key lies in one task alone, and sets that share one are clusters.  Many
-keys are shuffled list by list, a list holding the keys of one range, and scratch tables go when they
-have been read, so that the disk holds a copy of the texts, the keys and the shuffle of one list at most.
+keys are made in several passes over the texts and shuffled list by list, a list holding the keys of one
+range, and scratch tables go when they have been read, so that the disk holds a copy of the texts, the
+keys of one pass and the shuffle of one list at most.
 
 Clusters are packed together into blocks, and over each block a signature tree does the join: leaves hold
 token bitmaps, inner nodes the OR of their children's bitmaps and their range of sizes, and a dual
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,9 @@ BLOCK_SHINGLES = 1_500_000
 PACK_SHINGLES = 100_000
 #: Lists a set's keys are dealt into, by their first bits; so many keys in all are shuffled at once, or one list.
 KEY_BITS, KEYS_AT_ONCE = 3, 8_000_000
+#: Bytes of text whose keys are written at once; of more, the lists are made in up to so many passes over the texts, as
+#: all keys together take more disk than the texts.
+TEXT_AT_ONCE, MOST_PASSES = 128_000_000, 4
 #: A table of two or three numbers a row is broadcast up to so many rows; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 #: A shingle found so often among the shingles of a piece is a candidate for the very common, which are
@@ -152,12 +157,12 @@ def _emit(h, mixed, bounds, use, own, k, spare, salt, found, empty=False) -> tup
     return own, own[bare > spare]
 
 
-def key_lists(keys: np.ndarray, bounds: np.ndarray) -> list[pa.ListArray]:
-    """The keys of all sets in a row as a list a set for each value of the first KEY_BITS bits."""
+def key_lists(keys: np.ndarray, bounds: np.ndarray, wanted: Iterable[int] = range(1 << KEY_BITS)) -> list[pa.ListArray]:
+    """The keys of all sets in a row as a list a set for each wanted value of the first KEY_BITS bits."""
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     first = (keys.view(np.uint64) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
     out = []
-    for part in range(1 << KEY_BITS):
+    for part in wanted:
         own = first == part
         upto = np.concatenate([[0], np.cumsum(np.bincount(doc[own], minlength=len(bounds) - 1))])
         out.append(pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(keys[own])))
@@ -453,15 +458,14 @@ def _link_tasks(rows: DataFrame, like: Likeness, count: bool = False) -> DataFra
 KEY_LISTS = [f"_keys{i}" for i in range(1 << KEY_BITS)]
 
 
-def shingle_table(rows: DataFrame, passed: list[str], text: str, like: Likeness, scratch: common.Scratch) -> DataFrame:
-    """The columns passed, _n (shingles), _sid (null for empty sets) and the KEY_LISTS of every row, in one pass over the texts.
+def shingle_table(rows: DataFrame, passed: list[str], text: str, like: Likeness, often: Broadcast, wanted: range) -> DataFrame:
+    """The columns passed, _n (shingles), _sid (null for empty sets) and the wanted KEY_LISTS of every row, in one pass over the texts.
 
-    Of rows of equal sets in a task the first alone has keys.
+    Of rows of equal sets in a task the first alone has keys.  often: the common_shingles, the same ones for all lists.
     """
-    often = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text, like, scratch))
     chosen = rows.select(*passed, text)
     schema = T.StructType([
-        *chosen.schema.fields[:-1], T.StructField("_n", T.LongType()), T.StructField("_sid", T.LongType()), *(T.StructField(c, T.ArrayType(T.LongType())) for c in KEY_LISTS),
+        *chosen.schema.fields[:-1], T.StructField("_n", T.LongType()), T.StructField("_sid", T.LongType()), *(T.StructField(KEY_LISTS[i], T.ArrayType(T.LongType())) for i in wanted),
     ])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -479,14 +483,14 @@ def shingle_table(rows: DataFrame, passed: list[str], text: str, like: Likeness,
                 mine = np.repeat(fresh, size)
                 found, where = keys_of(h[mine], np.concatenate([[0], np.cumsum(size * fresh)]), often.value, like)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(lo, hi - lo) for i in range(len(passed))), pa.array(size), pa.array(ids, mask=size == 0), *key_lists(found, where)], schema.names
+                    [*(batch.column(i).slice(lo, hi - lo) for i in range(len(passed))), pa.array(size), pa.array(ids, mask=size == 0), *key_lists(found, where, wanted)], schema.names
                 )
 
     return chosen.mapInArrow(common.freed(run), schema)
 
 
-def shared_keys(keyed: DataFrame, total: int, scratch: common.Scratch) -> DataFrame:
-    """A written table of what shared_pairs needs, from _sid and the KEY_LISTS of every set, `total` keys in all.
+def shared_keys(keyed: DataFrame, lists: list[str], total: int, scratch: common.Scratch) -> list[DataFrame]:
+    """Written tables of what shared_pairs needs, from _sid and some of the KEY_LISTS of every set, `total` keys in all.
 
     Keys are taken a few lists at a time.  Their rows are sorted over ranges of key and set, so a key of very many
     sets is spread over tasks.  A key that goes on from one task to the next is known by the ends of the tasks, two
@@ -516,12 +520,12 @@ def shared_keys(keyed: DataFrame, total: int, scratch: common.Scratch) -> DataFr
             yield out(np.array([hub[1]]), None, np.array([hub[0]]))
 
     found = []
-    step = -(-len(KEY_LISTS) // min(len(KEY_LISTS), max(1, -(-total // KEYS_AT_ONCE))))
-    for at in range(0, len(KEY_LISTS), step):
-        keys = keyed.select(F.explode(F.concat(*KEY_LISTS[at : at + step])).alias("k"), F.col("_sid").alias("sid"))
+    step = -(-len(lists) // min(len(lists), max(1, -(-total // KEYS_AT_ONCE))))
+    for at in range(0, len(lists), step):
+        keys = keyed.select(F.explode(F.concat(*lists[at : at + step])).alias("k"), F.col("_sid").alias("sid"))
         placed = keys.repartitionByRange("k", "sid").sortWithinPartitions("k", "sid")
         found.append(scratch.stored(placed.mapInArrow(common.freed(run), "a long, b long, k long"), "shared"))
-    return scratch.joined(found)
+    return found
 
 
 def shared_pairs(found: DataFrame) -> DataFrame:
@@ -536,22 +540,35 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _members(rows: DataFrame, placed: DataFrame, row: str, text: str, scratch: common.Scratch) -> DataFrame:
-    """placed with the text of each of its rows.  Of many rows the numbers are broadcast range by range, so that texts are never shuffled."""
-    ranges = max(1, -(-placed.count() // BROADCAST_ROWS))
-    cuts = sorted({int(x) for x in placed.approxQuantile("row", [i / ranges for i in range(1, ranges)], 0.1 / ranges)}) if ranges > 1 else []
-    out = []
+def _row_ranges(numbered: DataFrame, name: str) -> Iterator[Callable[[str], Column]]:
+    """Ranges of row numbers that hold about BROADCAST_ROWS rows of numbered, a written table, each as a condition on a column."""
+    ranges = max(1, -(-numbered.count() // BROADCAST_ROWS))
+    cuts = sorted({int(x) for x in numbered.approxQuantile(name, [i / ranges for i in range(1, ranges)], 0.1 / ranges)}) if ranges > 1 else []
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
 
         def within(name: str, low: int | None = low, high: int | None = high) -> Column:
             return (F.lit(True) if low is None else F.col(name) >= low) & (F.lit(True) if high is None else F.col(name) < high)
 
+        yield within
+
+
+def _members(rows: DataFrame, placed: DataFrame, row: str, text: str, scratch: common.Scratch) -> DataFrame:
+    """placed with the text of each of its rows.  Of many rows the numbers are broadcast range by range, so that texts are never shuffled."""
+    out = []
+    for within in _row_ranges(placed, "row"):
         side = F.broadcast(placed.where(within("row")).withColumnRenamed("row", "_at"))
         texts = rows.select(F.col(row).alias("_row"), F.col(text).alias("text")).where(within("_row"))
         out.append(scratch.stored(texts.join(side, F.col("_row") == F.col("_at")).drop("_row", "_at"), "members", True))
     return scratch.joined(out)
 
 
+def _without(rows: DataFrame, row: str, gone: DataFrame, gone_id: str, scratch: common.Scratch) -> DataFrame:
+    """rows but those numbered in gone, a written table.  Of many numbers each range is broadcast in turn, so that texts are never shuffled."""
+    ranges = list(_row_ranges(gone, gone_id))
+    parts = (rows.where(w(row)).join(F.broadcast(gone.where(w(gone_id))), F.col(row) == F.col(gone_id), "left_anti") for w in ranges)
+    return next(parts) if len(ranges) == 1 else scratch.joined([scratch.stored(p, "left", True) for p in parts])
+
+
 def _placed(clusters: DataFrame, classes: DataFrame, block: int, scratch: common.Scratch) -> tuple[DataFrame, DataFrame]:
     """cluster, sid, row, n, weight, block and task of every set of a cluster; and the clusters cut into several blocks."""
     sets = clusters.join(classes, F.col("node") == F.col("sid")).select(F.col("root").alias("cluster"), "sid", "row", "n", "weight")
@@ -576,16 +593,26 @@ def _placed(clusters: DataFrame, classes: DataFrame, block: int, scratch: common
     return whole.unionByName(cut), large
 
 
-def linked_sets(rows: DataFrame, like: Likeness, row: str, key: str, text: str, block: int, count: bool, scratch: common.Scratch, passed: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def linked_sets(
+    rows: DataFrame, size: int, like: Likeness, row: str, key: str, text: str, block: int, count: bool, scratch: common.Scratch, passed: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
     """The set of every row, and an answer for every set that is linked or has several rows.
 
-    rows: a written table with a unique number in the column row.  Sets: row, key, the columns passed, _n, _sid.
+    rows: a written table with a unique number in the column row and `size` bytes of text.  Sets: row, key, the columns passed, _n, _sid.
     Answers: node (a _sid), root (of its component), component_id (its smallest key), n_links (0 without count).
     """
-    keyed, (total,) = scratch.observed(shingle_table(rows, [row, key, *passed], text, like, scratch), "keys", F.sum(sum(F.size(c) for c in KEY_LISTS)))
-    sets = scratch.stored(keyed.drop(*KEY_LISTS), "sets")
-    shared = shared_keys(keyed.where("_sid is not null"), total or 0, scratch)
-    scratch.drop(keyed)
+    often = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text, like, scratch))
+    step, found = len(KEY_LISTS) // min(MOST_PASSES, max(1, -(-size // TEXT_AT_ONCE))), []
+    for at in range(0, len(KEY_LISTS), step):
+        wanted = range(at, min(at + step, len(KEY_LISTS)))
+        lists = [KEY_LISTS[i] for i in wanted]
+        table = shingle_table(rows, [] if at else [row, key, *passed], text, like, often, wanted)
+        keyed, (total,) = scratch.observed(table, "keys", F.sum(sum(F.size(c) for c in lists)))
+        if not at:
+            sets = scratch.stored(keyed.drop(*lists), "sets")
+        found += shared_keys(keyed.where("_sid is not null"), lists, total or 0, scratch)
+        scratch.drop(keyed)
+    shared = scratch.joined(found)
     clusters = components(shared_pairs(shared))
     scratch.drop(shared)
     full = sets.where("_sid is not null")
@@ -622,8 +649,9 @@ def link_components(docs: DataFrame, like: Likeness = Likeness(), key: str = "do
     sets included; all pairs a tree leaves are verified for it.
     """
     scratch = common.Scratch(docs.sparkSession)
-    rows = scratch.stored(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row")), "rows", True)
-    sets, answers = linked_sets(rows, like, "_row", "_key", "_text", block, count, scratch)
+    numbered = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    rows, (size,) = scratch.observed(numbered, "rows", F.sum(F.octet_length("_text")), packed=True)
+    sets, answers = linked_sets(rows, size or 0, like, "_row", "_key", "_text", block, count, scratch)
     scratch.drop(rows)
     out = sets.join(_small(answers), F.col("_sid") == F.col("node"), "left")
     return out.select(
@@ -685,8 +713,9 @@ def deduplicated(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_i
     """
     row, digest, gone_id = common.free_names([*docs.columns, "_n", "_sid", *KEY_LISTS, "node", "root", "component_id", "n_links"], "row", "digest", "gone")
     scratch = common.Scratch(docs.sparkSession)
-    rows = scratch.stored(docs.withColumns({row: F.monotonically_increasing_id(), digest: F.xxhash64(text)}), "rows", True)
-    sets, answers = linked_sets(rows, like, row, key, text, BLOCK_SHINGLES, False, scratch, (digest,))
+    numbered = docs.withColumns({row: F.monotonically_increasing_id(), digest: F.xxhash64(text)})
+    rows, (size,) = scratch.observed(numbered, "rows", F.sum(F.octet_length(text)), packed=True)
+    sets, answers = linked_sets(rows, size or 0, like, row, key, text, BLOCK_SHINGLES, False, scratch, (digest,))
     found = sets.join(_small(answers), F.col("_sid") == F.col("node")).select("root", F.struct(F.col(key).isNull(), F.col(key), F.col(digest), F.col(row)).alias("rank"))
     found = scratch.stored(found, "found")
     scratch.drop(sets, answers)
@@ -694,4 +723,4 @@ def deduplicated(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_i
     gone = found.join(_small(first), F.col("root") == F.col("_r")).where(F.col("rank")[row] != F.col("_first")[row]).select(F.col("rank")[row].alias(gone_id))
     gone = scratch.stored(gone, "gone")
     scratch.drop(found, first)
-    return rows.join(_small(gone), F.col(row) == F.col(gone_id), "left_anti").drop(row, digest)
+    return _without(rows, row, gone, gone_id, scratch).drop(row, digest)

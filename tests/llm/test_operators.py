@@ -523,6 +523,36 @@ def test_ngram_join_frees_its_scratch(spark, tmp_path, monkeypatch):
     assert [got[i] for i in range(len(texts))] == root
 
 
+def test_keys_of_many_texts_are_never_written_at_once(spark, monkeypatch):
+    """The same rows with a part of the keys on disk at a time, and texts written range by range, not shuffled, where many rows go."""
+    monkeypatch.setattr(ngram_join, "TEXT_AT_ONCE", 1)
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 5)
+    write, live, lists, kept = common.Scratch._write, set(), [], []
+
+    def seen(self, df, path, packed):
+        tag = path.rsplit("/", 1)[1].rpartition("-")[0]
+        if tag == "keys":
+            assert not live, "keys of another pass are still there"
+            live.add(tag)
+            lists.append([c for c in df.columns if c in ngram_join.KEY_LISTS])
+        elif tag == "left":
+            plan = df._jdf.queryExecution().sparkPlan().toString()
+            kept.append("BroadcastHashJoin" in plan and "SortMergeJoin" not in plan)
+        return write(self, df, path, packed)
+
+    drop = common.Scratch.drop
+    monkeypatch.setattr(common.Scratch, "_write", seen)
+    monkeypatch.setattr(common.Scratch, "drop", lambda self, *tables: (live.clear() if any("/keys-" in x for t in tables for x in t.inputFiles()) else None, drop(self, *tables))[1])
+    rng = random.Random(12)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(60)] for _ in range(12)]
+    texts = [" ".join(w if rng.random() > 0.02 * (i % 4) else f"x{i}" for w in base[i % 12]) for i in range(60)] + [None, ""]
+    _, root = _brute_components(texts, 5, 80, 100)
+    docs = _docs(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    assert {r.doc_id for r in ngram_join.deduplicated(docs).collect()} == set(root)
+    assert sorted(sum(lists, [])) == ngram_join.KEY_LISTS and max(map(len, lists)) <= len(ngram_join.KEY_LISTS) // 4
+    assert len(kept) > 1 and all(kept)
+
+
 def test_scratch_leaves_no_shuffle_files(spark):
     blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     held = lambda: {x for x in blocks.getAllFiles().mkString(" ").split() if "shuffle_" in x}
