@@ -4,6 +4,7 @@ import collections
 import http.server
 import json
 import math
+import re
 import sqlite3
 import struct
 import threading
@@ -182,6 +183,15 @@ def test_exact_sums_equal_exact_arithmetic_under_any_partitioning(spark):
         spark.createDataFrame([(1e36,)], "x double").agg(scalar.exact_sum("x")).collect()
 
 
+def test_exact_sums_query_gives_no_task_a_fixed_share_of_the_table(spark):
+    from hexspark.plans import queries
+
+    plan = queries.QUERIES["exact_sums"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    repartitions = [x for x in plan.splitlines() if "Exchange" in x]
+    assert len(repartitions) >= 3 and "SinglePartition" not in plan and "RoundRobinPartitioning(1)" not in plan
+    assert min(int(n) for n in re.findall(r"(?:hash|range)partitioning\(.*?, (\d+)\), REPARTITION", plan)) >= min(211, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 @pytest.mark.parametrize("res", [0, 1, 2, 3])
 def test_boundaries_share_their_corners_and_fill_the_globe(res):
     cells = _every(res)
