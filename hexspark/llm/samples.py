@@ -54,6 +54,16 @@ def labelled(
     return found, seen.get(1, 0) / max(1, seen.get(0, 0) + seen.get(1, 0))
 
 
+def every_labelled(docs: DataFrame, labels: DataFrame, target: str, where: Column | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All labelled texts (_key, label, text) under the rules of labelled, without its limits."""
+    once = labels.where(F.col(target).isNotNull() & F.col(key).isNotNull())
+    if where is not None:
+        once = once.where(where)
+    once = once.groupBy(F.col(key).alias("_key")).agg(F.min(target).cast("int").alias("label"))
+    found = docs.select(F.col(key).alias("_of"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(once, F.col("_of") == F.col("_key"))
+    return found.groupBy("_key", "label").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("text"))
+
+
 def fitted(sample: DataFrame, fit: Callable[[list[bytes], np.ndarray], object]) -> object:
     """fit(texts, labels) over a sample, in one task: the driver holds the model alone."""
 

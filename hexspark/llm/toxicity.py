@@ -8,12 +8,14 @@ the common words and letters of the text, other languages having the common one;
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hexspark.llm import common, samples
@@ -28,6 +30,8 @@ EPOCHS, MOST_EPOCHS, LEAST_BATCHES = 8, 40, 1500
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 12 << 20
 #: Every so many-th text of each class calibrates the thresholds and is not trained on.
 CALIBRATION = 5
+#: Where labelled texts are left over, all are trained on in shards of about so many bytes, at this rate, from the model of the sample.
+SHARD_BYTES, SHARD_RATE = 16 << 20, 0.02
 #: A clean text called toxic counts as so many toxic texts missed.
 CLEAN_COUNTS = 4.0
 #: A language's threshold is drawn towards that of all, and that of all towards the one the costs give, as by
@@ -149,10 +153,15 @@ def new_model(seed: int = 4) -> Model:
     )
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int | None = None, seed: int = 4) -> Model:
-    """Fit by Adagrad; through max pooling only the best window of each filter gets a gradient."""
-    model = new_model(seed)
-    if len(set(labels.tolist())) < 2:
+def train(texts: list[bytes], labels: np.ndarray, epochs: int | None = None, seed: int = 4, start: Model | None = None) -> Model:
+    """Fit by Adagrad; through max pooling only the best window of each filter gets a gradient.
+
+    With start, all texts are trained on in one pass that goes on from it, and its cuts stay.
+    """
+    model = new_model(seed) if start is None else copy.deepcopy(start)
+    if start is not None and not len(labels):
+        return model
+    if start is None and len(set(labels.tolist())) < 2:
         model.bias = -4.0 if not len(labels) or labels[0] == 0 else 4.0
         return model
     rng = np.random.default_rng(seed)
@@ -172,12 +181,14 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int | None = None, see
         place[labels == c] = np.arange(np.sum(labels == c))
     held = np.flatnonzero(place % CALIBRATION == CALIBRATION - 1)
     rows = np.flatnonzero(place % CALIBRATION != CALIBRATION - 1)
+    if start is not None:
+        rows, epochs = np.arange(len(texts)), 1
     weight = np.where(labels == 1, 0.5 / max(1, np.sum(labels[rows] == 1)), 0.5 / max(1, np.sum(labels[rows] == 0))) * len(rows)
     seen = {k: np.full_like(v, 1e-3) for k, v in (("tables", model.tables), ("conv", model.conv), ("shift", model.shift), ("out", model.out))}
     seen_bias = 1e-3
     epochs = epochs or min(MOST_EPOCHS, max(EPOCHS, LEAST_BATCHES * BATCH // max(1, len(rows))))
     for epoch in range(epochs):
-        rate = RATE * (1 - epoch / (epochs + 1))
+        rate = (RATE if start is None else SHARD_RATE) * (1 - epoch / (epochs + 1))
         for batch in np.array_split(rng.permutation(rows), max(1, len(rows) // BATCH)):
             word = np.concatenate([np.arange(first[d], first[d + 1]) for d in batch])
             own = np.concatenate([[0], np.cumsum(first[batch + 1] - first[batch])])
@@ -220,6 +231,8 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int | None = None, see
                 np.add.at(grad, where, v)
                 seen["tables"][t][hit] += grad**2
                 model.tables[t][hit] -= rate * grad / np.sqrt(seen["tables"][t][hit])
+    if start is not None:
+        return model
     if len(held):
         z = model.logits(np.concatenate([ids[:, first[d] : first[d + 1]] for d in held], axis=1), np.concatenate([[0], np.cumsum(first[held + 1] - first[held])]))
         model.cuts = calibrated(z, labels[held], np.concatenate(spoken)[held])
@@ -248,18 +261,76 @@ def calibrated(z: np.ndarray, y: np.ndarray, language: np.ndarray) -> np.ndarray
     return np.array([*(cut_of(language == i, every) for i in range(len(NAMES))), every])
 
 
+def _flat(model: Model) -> np.ndarray:
+    """The weights as rows of WIDTH numbers: those of the buckets, then all others."""
+    rest = np.concatenate([model.conv.ravel(), model.shift, model.out, [model.bias]]).astype(np.float32)
+    return np.concatenate([model.tables.reshape(-1, WIDTH), np.pad(rest, (0, -len(rest) % WIDTH)).reshape(-1, WIDTH)])
+
+
+def _moved(model: Model, at: np.ndarray, by: np.ndarray) -> Model:
+    flat = _flat(model)
+    flat[at] += by
+    n = model.tables.size // WIDTH
+    tables, rest = flat[:n].reshape(model.tables.shape), flat[n:].ravel()
+    a, b = model.conv.size, model.conv.size + len(model.shift)
+    return Model(tables, rest[:a].reshape(model.conv.shape), rest[a:b], rest[b : b + len(model.out)], float(rest[b + len(model.out)]), model.cuts)
+
+
+def trained_on_all(model: Model, every: DataFrame) -> Model:
+    """The model after a pass over all texts of every (_key, label, text) but a fifth by hash, whose scores give the cuts.
+
+    Texts are dealt by hash into shards, which train apart from the same start; a weight moves by the mean over the
+    shards that moved it.  The driver gets the weights and a histogram of scores.
+    """
+    every = common.stored(every, "labelled")
+    fold = F.pmod(F.xxhash64(F.lit(9), "_key"), F.lit(CALIBRATION))
+    size = every.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-size // SHARD_BYTES))
+    sent = every.sparkSession.sparkContext.broadcast(model)
+
+    def shard(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_key")
+        texts, labels = [t.encode() for t in rows.column("text").to_pylist()], rows.column("label").to_numpy()
+        by = _flat(train(texts, labels, start=sent.value)) - _flat(sent.value)
+        at = np.flatnonzero(by.any(1))
+        return pa.table({"at": pa.array(at.astype(np.int64)), **{f"d{i}": by[at, i].astype(np.float64) for i in range(WIDTH)}})
+
+    dealt = every.where(fold != 0).withColumn("shard", F.pmod(F.xxhash64(F.lit(8), "_key"), F.lit(shards)))
+    moved = dealt.groupBy("shard").applyInArrow(shard, ", ".join(["at long", *(f"d{i} double" for i in range(WIDTH))]))
+    mean = moved.groupBy("at").agg(*(F.avg(f"d{i}").cast("float").alias(f"d{i}") for i in range(WIDTH))).toArrow()
+    model = _moved(model, mean.column("at").to_numpy(), np.stack([mean.column(f"d{i}").to_numpy() for i in range(WIDTH)], 1))
+    final = every.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, at = common.utf8_of(batch.column(1))
+            for lo, hi in common.pieces(at):
+                part, bounds = raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
+                ids, first = word_ids(part, bounds)
+                z = np.round(np.clip(final.value.logits(ids, first), -40, 40), 2)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(languages(part, bounds, ids, first).astype(np.int32)), pa.array(z)], ["y", "l", "z"])
+
+    seen = every.where(fold == 0).select("label", "text").mapInArrow(common.freed(run), "y int, l int, z double").groupBy("y", "l", "z").count().toArrow()
+    y, lang, z = (np.repeat(seen.column(c).to_numpy(), seen.column("count").to_numpy()) for c in ("y", "l", "z"))
+    model.cuts = calibrated(z, y, lang) if len(z) else model.cuts
+    return model
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, train_on: Column | None = None, key: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES
 ) -> DataFrame:
     """key and score, 0 to 1, of every row of docs; 0.5 is the threshold of the text's language.
 
-    Learns from the labels that train_on (a condition on the labels' key) admits, at most `rows` texts
-    and `max_bytes` bytes of each class.  Null and empty texts get the score of a text without words, texts of any length
+    Learns from all labels that train_on (a condition on the labels' key) admits: a first model from at most `rows`
+    texts and `max_bytes` bytes of each class, then, where that is not all, from every text, which also gives the thresholds.  Null and empty texts get the score of a text without words, texts of any length
     are read whole, and equal texts get equal scores, each row its own; without labels all rows count as clean, no rows give
     none.  Other columns are not read, whatever their names.
     """
     sample, _ = samples.labelled(docs, labels, "toxic", rows, max_bytes, train_on, key, text)
     model = samples.fitted(sample, train)
+    every = samples.every_labelled(docs, labels, "toxic", train_on, key, text)
+    if every.select("_key").count() > sample.count():
+        model = trained_on_all(model, every)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("score", T.DoubleType())])
 

@@ -788,3 +788,15 @@ def test_pipeline_equals_brute_force(spark):
     for source, own in before.groupby("source"):
         taken = sum(size[i] * left.mix_copies[i] for i in own.index if i in left.index)
         assert taken <= 3 * sum(size[i] for i in own.index)
+
+
+def test_toxicity_learns_from_labels_beyond_its_sample(spark):
+    """Texts that the first sample leaves out change the scores of others."""
+    rows = [(i, f"w{i % 7} is " + ("moron here" if i % 2 else "fine here"), "a") for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    docs = _docs(spark, rows)
+    first = {r._key for r in samples.labelled(docs, labels, "toxic", 10, 1 << 20)[0].collect()}
+    assert len(first) == 20
+    other = _docs(spark, [(i, t if i in first else t.replace("moron", "idiot"), s) for i, t, s in rows])
+    a, b = ({r.doc_id: r.score for r in toxicity.classify(x, labels, rows=10).collect()} for x in (docs, other))
+    assert len(a) == len(b) == 80 and all(a[i] != b[i] for i in first)
